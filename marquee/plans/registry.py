@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import driver
+from . import driver, driver_ops
 
 
 def queries():
     out = {}
     out.update(driver.QUERIES)
+    out.update(driver_ops.Q)
     return out
 
 
 def oracle_sql():
     out = {}
     out.update(driver.ORACLE)
+    out.update(driver_ops.SQL)
     return out
