@@ -53,8 +53,7 @@ def parse_day(c, fmt: str = DAY_FORMAT) -> Column:
 
 
 def try_parse_day(c, fmt: str = DAY_FORMAT) -> Column:
-    return F.try_to_date(_c(c), F.lit(fmt)) if hasattr(F, "try_to_date") else \
-        F.try_to_timestamp(_c(c), F.lit(fmt)).cast("date")
+    return F.try_to_date(_c(c), fmt)
 
 
 def english_months(c) -> Column:

@@ -89,7 +89,8 @@ def accept_metrics(raw: DataFrame) -> DataFrame:
     bad = []
     for c in REQUIRED_METRICS:
         v = F.when(q(c) == "-", F.lit(None).cast("int")).otherwise(X.int_trunc(q(c)))
-        bad.append(F.when((q(c) != "-") & v.isNull(), F.lit(f"bad {c}")))
+        # a CSV reader may hand a blank cell over as NULL: both reject the row
+        bad.append(F.when(q(c).isNull() | ((q(c) != "-") & v.isNull()), F.lit(f"bad {c}")))
         out.append(v.alias(c))
     for c in OPTIONAL_INT_METRICS:
         out.append(F.when(q(c).isin("-", ""), F.lit(None).cast("int"))
@@ -99,7 +100,7 @@ def accept_metrics(raw: DataFrame) -> DataFrame:
                    .otherwise(F.regexp_replace(q(c), ",", "").try_cast("double")).alias(c))
     out.append(F.when(q("HoursWatched") == "-", F.lit(None).cast("string"))
                .otherwise(q("HoursWatched")).alias("HoursWatched"))
-    month_bad = F.when(F.try_to_timestamp(q("Month"), F.lit("d/M/yyyy")).isNull(),
+    month_bad = F.when(F.try_to_date(q("Month"), "d/M/yyyy").isNull(),
                        F.lit("bad Month"))
     reason = F.coalesce(*bad, month_bad)
     extra = [c for c in raw.columns if c not in

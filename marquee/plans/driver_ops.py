@@ -41,7 +41,7 @@ def table_scan(spark, sf):
     """Projection + optional predicate; both reach the Parquet scan."""
     from ..sources.tables import scan_table
     return scan_table(read_table(spark, sf, "part"), {"p_partkey": "appid", "p_name": "name"},
-                      where=F.col("p_retailprice") > 1500)
+                      where=F.col("p_retailprice") > 1000)
 
 
 # ------------------------------------------------------------ filters

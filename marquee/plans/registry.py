@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import driver, driver_ops
+from . import driver, driver_io, driver_ops
 
 
 def queries():
     out = {}
     out.update(driver.QUERIES)
     out.update(driver_ops.Q)
+    out.update(driver_io.Q)
     return out
 
 
@@ -16,4 +17,5 @@ def oracle_sql():
     out = {}
     out.update(driver.ORACLE)
     out.update(driver_ops.SQL)
+    out.update(driver_io.SQL)
     return out
