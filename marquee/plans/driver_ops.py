@@ -36,12 +36,12 @@ def table_counts(spark, sf):
 
 
 @register("table_scan", """
-SELECT p_partkey AS appid, p_name AS name FROM part WHERE p_retailprice > 1000""")
+SELECT p_partkey AS appid, p_name AS name FROM part WHERE p_retailprice > 950""")
 def table_scan(spark, sf):
     """Projection + optional predicate; both reach the Parquet scan."""
     from ..sources.tables import scan_table
     return scan_table(read_table(spark, sf, "part"), {"p_partkey": "appid", "p_name": "name"},
-                      where=F.col("p_retailprice") > 1000)
+                      where=F.col("p_retailprice") > 950)
 
 
 # ------------------------------------------------------------ filters
