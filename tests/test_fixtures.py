@@ -240,3 +240,22 @@ def test_pages_to_player_rows(spark):
     rows = collect.player_rows(pages, as_of="March 2025").orderBy("row_no").collect()
     assert [(r.Month, r.Peak, r.Gain, r.Percent_Gain) for r in rows] == [
         ("01/03/2025", "1500", "20", "1.3"), ("01/02/2025", "1480", "-", "-")]
+
+
+def test_pipeline_end_to_end(spark, tmp):
+    from marquee.plans import pipeline
+    root = os.path.join(tmp, "raw")
+    games = [_game(10, "Alpha", genre=["Action", "RPG"]), _game(20, "Beta")]
+    _write(os.path.join(root, "steam", "o1", "steam_data_001.json"), json.dumps(games, indent=2))
+    _write(os.path.join(root, "twitch", "block.csv"),
+           "steam_id,Month,AvgViewers,AvgViewersGain,AvgViewers%Gain,PeakViewers,AvgStreams,"
+           "AvgStreamsGain,AvgStreamsùGain,PeakStreams,HoursWatched\n"
+           "10,01/03/2024,2.5,1,2.25,10,3.5,,0.15,4,1000\n"
+           "20,01/04/2024,3,1,2,10,3,1,1,4,10\n"
+           "99,01/04/2024,1,1,1,1,1,1,1,1,1\n")
+    w, summary = pipeline.run(spark, f"{root}/twitch/*.csv", f"{root}/steam/*/*.json",
+                              os.path.join(tmp, "wh"))
+    assert len(summary) == 31 and all(n == 0 for *_, n in summary)
+    assert w.fct.count() == 2            # the unknown game drops out of the join
+    assert w.bridge_game_genre.count() == 3
+    assert sorted(r.date_key for r in w.dim_date.collect()) == [202403, 202404]
