@@ -90,17 +90,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
+# Below this estimated size a table is not worth a shuffle to parallelise.
+SPREAD_MIN_BYTES = 1 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan at least one partition per core.
 
     A table stored as one unsplittable file (a single Parquet row group) scans
     as one task, so all per-row work before the first shuffle would run on one
-    core. Only then is it spread round-robin; on a cluster, where inputs arrive
-    as many splits, this is a no-op and adds no shuffle."""
+    core. Only then -- and only when Catalyst's size estimate says the table is
+    worth it -- is it spread round-robin. On a cluster, where inputs arrive as
+    many splits, this is a no-op and adds no shuffle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size >= SPREAD_MIN_BYTES else df
 
 
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
