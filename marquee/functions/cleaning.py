@@ -7,9 +7,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Python's ``\w`` is Unicode; Java's is ASCII. Spell the class out so accented
-# letters and digits of any script survive, as they do in the reference.
-NON_WORD = r"[^\p{L}\p{N}_\s]"
+# Python's ``\w`` and ``\s`` are Unicode; Java's (and RE2's) are ASCII. Spell
+# both classes out so letters and digits of any script survive and Unicode
+# spaces count as spaces, as they do in the reference. The same text works in
+# Java regex and in RE2.
+WHITESPACE = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}"
+NON_WORD = r"[^\p{L}\p{N}_" + WHITESPACE + "]"
+SPACE_RUN = "[" + WHITESPACE + "]+"
 
 
 def _c(c) -> Column:
@@ -20,7 +24,7 @@ def clean_name(c) -> Column:
     """NULL -> '', lower case, drop non-word characters, whitespace runs -> '-'."""
     c = F.lower(F.coalesce(_c(c).cast("string"), F.lit("")))
     c = F.regexp_replace(c, NON_WORD, "")
-    return F.regexp_replace(c, r"\s+", "-")
+    return F.regexp_replace(c, SPACE_RUN, "-")
 
 
 def strip_marks(c) -> Column:

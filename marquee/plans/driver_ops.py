@@ -91,26 +91,24 @@ def name_present(spark, sf):
 
 # ------------------------------------------------------------ cleaners
 
-@register("clean_name", r"""
-SELECT doc_id,
-       regexp_replace(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}_\s]', '', 'g'),
-                      '\s+', '-', 'g') AS clean
-FROM documents""")
+def _clean_sql(expr):
+    return (f"regexp_replace(regexp_replace(lower(coalesce({expr}, '')), '{X.NON_WORD}', '', 'g'), "
+            f"'{X.SPACE_RUN}', '-', 'g')")
+
+
+@register("clean_name", f"""
+SELECT doc_id, {_clean_sql('text')} AS clean FROM documents""")
 def clean_name_q(spark, sf):
     """X2 over whole texts."""
     d = read_table(spark, sf, "documents")
     return d.select("doc_id", X.clean_name("text").alias("clean"))
 
 
-@register("name_match", """
-WITH c AS (SELECT regexp_replace(regexp_replace(lower(coalesce(p_name, '')), '[^\\p{L}\\p{N}_\\s]', '', 'g'),
-                                  '\\s+', '-', 'g') AS nk,
-                  min(p_partkey) AS matched_id
+@register("name_match", f"""
+WITH c AS (SELECT {_clean_sql('p_name')} AS nk, min(p_partkey) AS matched_id
            FROM part WHERE p_name IS NOT NULL AND p_name <> '' GROUP BY 1)
 SELECT p.p_partkey AS appid, p.p_name AS name, c.matched_id
-FROM part p JOIN c
-  ON regexp_replace(regexp_replace(lower(coalesce(p.p_name, '')), '[^\\p{L}\\p{N}_\\s]', '', 'g'),
-                    '\\s+', '-', 'g') = c.nk
+FROM part p JOIN c ON {_clean_sql('p.p_name')} = c.nk
 WHERE p.p_name IS NOT NULL AND p.p_name <> ''""")
 def name_match(spark, sf):
     """Each part matched to the first (lowest key) part of the same cleaned name."""
