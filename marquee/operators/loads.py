@@ -60,6 +60,18 @@ def load_audit(df: DataFrame, by: str, accepted: Column | str) -> DataFrame:
     )
 
 
+def insert_audit(all_rows: DataFrame, inserted: DataFrame, by: str) -> DataFrame:
+    """K9 + A5 for keyed loads: per file, rows read, rows actually inserted
+    (after parse checks, parent checks and first-wins), and the rest rejected,
+    plus the grand total (``by`` NULL). Two grouped counts, joined on the file
+    with NULL-safe equality so the total rows meet."""
+    tot = all_rows.rollup(by).agg(F.count(F.lit(1)).alias("n_total"))
+    ok = inserted.rollup(by).agg(F.count(F.lit(1)).alias("n_ok")).withColumnRenamed(by, "_by")
+    return (tot.join(ok, tot[by].eqNullSafe(ok["_by"]), "left")
+               .select(by, "n_total", F.coalesce("n_ok", F.lit(0)).alias("n_ok"))
+               .withColumn("n_rejected", F.col("n_total") - F.col("n_ok")))
+
+
 def status_log(df: DataFrame, key: str, flags: dict[str, Column],
                with_time: bool = True) -> DataFrame:
     """One status row per processed key with success flags and the time."""

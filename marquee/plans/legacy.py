@@ -57,7 +57,10 @@ def catalogue_load(bronze: DataFrame, developers: DataFrame | None = None,
 def catalogue_links(bronze: DataFrame, dim: DataFrame, array_col: str,
                     existing: DataFrame | None = None) -> DataFrame:
     """K10 for categories / genres: (game, member id), duplicates ignored."""
-    return member_links(bronze, "appid", array_col, dim, "name", "id", existing)
+    if existing is not None:
+        existing = existing.select(F.col("game_appid").alias("appid"), F.col("member_id").alias("id"))
+    return member_links(bronze, "appid", array_col, dim, "name", "id", existing) \
+        .withColumnRenamed("appid", "game_appid").withColumnRenamed("id", "member_id")
 
 
 def metrics_load(raw_text: DataFrame, games: DataFrame, target: DataFrame | None = None,
@@ -72,7 +75,7 @@ def metrics_load(raw_text: DataFrame, games: DataFrame, target: DataFrame | None
                                ["file_path", "line_no"])
     rejected = parsed.where(~ok).withColumn(
         "reason", F.coalesce(F.col("reason"), F.lit("unknown game"))).drop("_known")
-    audit = loads.load_audit(parsed, "file_path", ok)
+    audit = loads.insert_audit(parsed, rows, "file_path")
     cols = ["steam_id", "date", "AvgViewers", "AvgViewersGain", "AvgViewers%Gain",
             "PeakViewers", "AvgStreams", "AvgStreamsGain", "AvgStreamsùGain",
             "PeakStreams", "HoursWatched"]
@@ -130,11 +133,11 @@ def _with_parent(df: DataFrame, games: DataFrame, key: str, game_key: str) -> Da
 def _keyed_history(p: DataFrame, games: DataFrame, keys, cols) -> LoadResult:
     p = _with_parent(p, games, "appid", "appid")
     ok = ~F.col("_bad") & F.col("_known")
-    rows = loads.insert_ignore(p.where(ok), None, keys, ["file_path", "line_no"]).select(*cols)
+    firsts = loads.insert_ignore(p.where(ok), None, keys, ["file_path", "line_no"])
     rejected = p.where(~ok).withColumn(
         "reason", F.when(F.col("_bad"), F.lit("unparsable")).otherwise(F.lit("unknown game")))
-    audit = loads.load_audit(p, "file_path", ok)
-    return LoadResult(rows, rejected, audit)
+    audit = loads.insert_audit(p, firsts, "file_path")
+    return LoadResult(firsts.select(*cols), rejected, audit)
 
 
 def users_load(raw: DataFrame) -> DataFrame:
@@ -148,3 +151,59 @@ def users_load(raw: DataFrame) -> DataFrame:
         as_int("Average Users").alias("AverageUsers"),
         as_int("In-Game").alias("InGame"),
     ).where(F.col("DateTime").isNotNull())
+
+
+def member_dim(bronze: DataFrame, array_col: str, existing: DataFrame | None = None,
+               collation: str | None = None) -> DataFrame:
+    """Categories / genres: every member name gets an id (get-or-create, W2)."""
+    spark = bronze.sparkSession
+    dim = existing if existing is not None else spark.createDataFrame([], "id bigint, name string")
+    names = (bronze.where(F.col(array_col).isNotNull())
+                   .select(F.explode(array_col).alias("name")))
+    return get_or_create_keys(names, dim.select(F.col("id"), F.col("name")), "name", "id", collation)
+
+
+def run(spark, out: str, catalogue_glob: str, metrics_glob: str | None = None,
+        steamdb_root: str | None = None, users_path: str | None = None,
+        players_as_of: str | None = None, collation: str | None = None) -> dict:
+    """The whole legacy load as Spark jobs. Each table is written once under
+    ``out`` and read back by the loads that reference it (parent checks)."""
+    from ..schemas import CATALOGUE_SCHEMA, METRICS_TEXT_SCHEMA, PLAYERS_SCHEMA, PRICE_SCHEMA, USERS_SCHEMA
+    from ..sources import files, sinks
+
+    def keep(name, df):
+        sinks.write_table(df, f"{out}/{name}")
+        return spark.read.parquet(f"{out}/{name}")
+
+    t = {}
+    bronze = files.read_catalogue_json(spark, catalogue_glob, CATALOGUE_SCHEMA, with_order=True)
+    games, devs = catalogue_load(bronze, collation=collation)
+    t["developers"] = keep("developers", devs)
+    t["steamgames"] = keep("steamgames", games)
+    ids = t["steamgames"].select("appid")
+    known = bronze.join(ids, "appid", "left_semi")
+    for table, link, col in (("categories", "games_categories", "categories"),
+                             ("genres", "games_genres", "genre")):
+        t[table] = keep(table, member_dim(known, col, collation=collation))
+        t[link] = keep(link, catalogue_links(known, t[table], col))
+    if metrics_glob:
+        raw = files.read_metrics_csv(spark, metrics_glob, METRICS_TEXT_SCHEMA, with_order=True)
+        res = metrics_load(raw, t["steamgames"].select(F.col("appid").cast("int")))
+        t["twitchgames"] = keep("twitchgames", res.rows)
+        t["twitchgames_rejects"] = keep("twitchgames_rejects", res.rejected)
+        t["twitchgames_audit"] = keep("twitchgames_audit", res.audit)
+    if steamdb_root:
+        players = files.read_keyed_csv(spark, f"{steamdb_root}/instance_*/players/*_players.csv",
+                                       PLAYERS_SCHEMA)
+        res = players_load(players, ids, as_of=players_as_of)
+        t["players_history"] = keep("players_history", res.rows)
+        t["players_history_audit"] = keep("players_history_audit", res.audit)
+        price = files.read_keyed_csv(spark, f"{steamdb_root}/instance_*/price/*_price.csv",
+                                     PRICE_SCHEMA, sep=";", drop_footer=True)
+        res = price_load(price, ids)
+        t["price_history"] = keep("price_history", res.rows)
+        t["price_history_audit"] = keep("price_history_audit", res.audit)
+    if users_path:
+        t["global_steam_users"] = keep(
+            "global_steam_users", users_load(files.read_semicolon_csv(spark, users_path, USERS_SCHEMA)))
+    return t

@@ -116,7 +116,7 @@ def test_metrics_legacy_load(spark, metrics_dir):
     reasons = sorted(r.reason for r in res.rejected.collect())
     assert reasons == ["bad AvgViewers", "unknown game"]
     audit = {r.file_path: (r.n_total, r.n_ok, r.n_rejected) for r in res.audit.collect()}
-    assert audit[None] == (5, 3, 2)
+    assert audit[None] == (5, 2, 3)  # the duplicate key is not inserted
 
 
 @pytest.fixture()
@@ -259,3 +259,26 @@ def test_pipeline_end_to_end(spark, tmp):
     assert w.fct.count() == 2            # the unknown game drops out of the join
     assert w.bridge_game_genre.count() == 3
     assert sorted(r.date_key for r in w.dim_date.collect()) == [202403, 202404]
+
+
+def test_legacy_run(spark, tmp, catalogue_dir, metrics_dir, steamdb_dir):
+    users = os.path.join(tmp, "users.csv")
+    _write(users, "DateTime;Users;Average Users;In-Game\n2024-01-01 00:00:00;10.7;3.2;\n")
+    t = legacy.run(spark, os.path.join(tmp, "legacy"), f"{catalogue_dir}/*/*.json",
+                   f"{metrics_dir}/*.csv", steamdb_dir, users, collation="UNICODE_CI_AI")
+    games = {r.appid: r for r in t["steamgames"].collect()}
+    assert sorted(games) == [10, 20, 30, 40]        # appid 30 twice: first file wins
+    assert games[30].name == "Gamma" and games[20].developer_id is None
+    devs = {r.name: r.developer_id for r in t["developers"].collect()}
+    # first developers only; 'eve' and 'Ève' would be one name, but only 'Zeta',
+    # 'eve' and 'Dev A' are first developers
+    assert set(devs) == {"Dev A", "Zeta", "eve"}
+    assert games[10].developer_id == devs["Zeta"]
+    gen = {r.name for r in t["genres"].collect()}
+    assert gen == {"Action", "RPG"}                 # NULL member is no genre
+    links = t["games_genres"].collect()
+    assert len(links) == len({(r.game_appid, r.member_id) for r in links})
+    assert t["twitchgames"].count() == 2 and t["players_history"].count() == 2
+    assert t["price_history"].count() == 2 and t["global_steam_users"].count() == 1
+    audit = {r.file_path: r.n_ok for r in t["twitchgames_audit"].collect()}
+    assert audit[None] == 2                         # steam_id 20 has only a rejected row
