@@ -33,9 +33,16 @@ def surrogate_key(df: DataFrame, by: str, name: str, partitions: int | None = No
     like ``row_number``."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Ties may be numbered in any order, so the range order carries tie-breakers:
+    # a hash of the row, then a row id for exact copies. A key value (or a group
+    # of identical rows) holding a third of the input is then split across
+    # range partitions instead of landing in one task.
+    tie = [F.xxhash64(*[F.col(c) for c in df.columns]).alias("_h"),
+           F.monotonically_increasing_id().alias("_r")]
+    order = [_order(by, nulls_last), F.col("_h"), F.col("_r")]
     ordered = materialize(
-        df.repartitionByRange(n, _order(by, nulls_last))
-          .sortWithinPartitions(_order(by, nulls_last)))
+        df.select("*", *tie).repartitionByRange(n, *order).sortWithinPartitions(*order)
+          .drop("_h", "_r"))
     mid = F.monotonically_increasing_id()
     tagged = ordered.select(
         F.shiftright(mid, 33).alias("_pid"), mid.bitwiseAND(F.lit(_LOW_BITS)).alias("_pos"),

@@ -58,3 +58,17 @@ def test_dense_key_moves_no_rows_to_one_task(spark):
         if "Arguments: SinglePartition" in b:
             cols = re.search(r"Input \[\d+\]: \[([^\]]*)\]", b).group(1)
             assert all(c.strip().startswith(("_pid", "_n")) for c in cols.split(",")), b
+
+
+def test_dense_key_splits_a_hot_key(spark):
+    from marquee.operators.keys import surrogate_key
+    # one key value (and identical copies) holds a third of all rows
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    keyed = surrogate_key(df, "k", "key", partitions=4)
+    sizes = [r["count"] for r in keyed.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 0.4 * 30000, sizes
+    agg = keyed.agg(F.min("key"), F.max("key"), F.countDistinct("key")).first()
+    assert tuple(agg) == (1, 30000, 30000)
+    hot = keyed.where(F.col("k") == 7).agg(F.max("key") - F.min("key")).first()[0]
+    assert hot == 10000 - 1  # the hot key's rows are numbered contiguously
