@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions import dates as D
 from ..operators.members import bridge
-from ..schemas import CATALOGUE_SCHEMA, METRICS_TEXT_SCHEMA, USERS_SCHEMA
+from ..schemas import CATALOGUE_SCHEMA, METRICS_TEXT_SCHEMA, PLAYERS_SCHEMA, PRICE_SCHEMA, USERS_SCHEMA
 from ..session import read_table, scratch_path
 from ..sources import files, pages, payload, sinks
 from . import goals, legacy, marts
@@ -186,6 +186,114 @@ def keyed_file_load(spark, sf):
                       X.decimal_comma(F.col("`Final price`")).alias("final_price"))
 
 
+def _per_key_files(spark, df, root: str, kind: str, sep: str = ","):
+    """Write ``df`` as one CSV file per key bucket (``appid``), rows in
+    ``o_orderkey`` order, split over two worker folders like the collectors'
+    ``instance_*/<kind>/`` layout; every file's line order is then known."""
+    ordered = (df.repartition(20, "appid").sortWithinPartitions("appid", "o_orderkey")
+                 .drop("o_orderkey"))
+    sinks.export_csv(ordered.where(F.col("appid") < 10), f"{root}/instance_1/{kind}",
+                     by=["appid"], sep=sep)
+    sinks.export_csv(ordered.where(F.col("appid") >= 10), f"{root}/instance_2/{kind}",
+                     by=["appid"], sep=sep)
+
+
+_FR_MONTHS = ", ".join(f"'{fr}'" for fr, _ in D.FRENCH_MONTHS[:12])
+_PLAYER_TEXT_SQL = f"""
+SELECT o_custkey % 20 AS appid, o_orderkey,
+       CASE WHEN o_orderdate >= TIMESTAMP '2001-08-01' THEN 'Last 30 days'
+            WHEN o_orderstatus = 'F'
+              THEN list_extract([{_FR_MONTHS}], month(o_orderdate)::INT) || strftime(o_orderdate, ' %Y')
+            ELSE strftime(o_orderdate, '%B %Y') END AS "Month",
+       CASE WHEN o_orderstatus = 'P' THEN '-' ELSE trunc(o_totalprice)::BIGINT::VARCHAR END AS "Peak",
+       CASE WHEN o_orderpriority = '5-LOW' THEN '-' ELSE '+' || (o_orderkey % 100)::VARCHAR END AS "Gain",
+       replace((o_totalprice / 1000)::DECIMAL(10,1)::VARCHAR, '.', ',') AS "Percent_Gain"
+FROM orders"""
+
+
+def _player_text(o):
+    d = F.col("o_orderdate")
+    fr = F.element_at(F.array(*[F.lit(fr) for fr, _ in D.FRENCH_MONTHS[:12]]), F.month(d))
+    month = (F.when(d >= F.lit("2001-08-01").cast("timestamp_ntz"), F.lit("Last 30 days"))
+              .when(F.col("o_orderstatus") == "F", F.concat(fr, F.date_format(d, " yyyy")))
+              .otherwise(F.date_format(d, "MMMM yyyy")))
+    return o.select(
+        (F.col("o_custkey") % 20).alias("appid"), "o_orderkey", month.alias("Month"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("-"))
+         .otherwise(F.col("o_totalprice").cast("bigint").cast("string")).alias("Peak"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("-"))
+         .otherwise(F.concat(F.lit("+"), (F.col("o_orderkey") % 100).cast("string"))).alias("Gain"),
+        F.replace((F.col("o_totalprice") / 1000).cast("decimal(10,1)").cast("string"),
+                  F.lit("."), F.lit(",")).alias("Percent_Gain"))
+
+
+@register("players_load", f"""
+WITH t AS ({_PLAYER_TEXT_SQL}),
+p AS (
+  SELECT appid, o_orderkey,
+         date_trunc('month', coalesce(
+           try_strptime(CASE WHEN "Month" = 'Last 30 days' THEN 'August 2001' ELSE "Month" END, '%B %Y'),
+           make_date(CAST(right("Month", 4) AS INT),
+                     list_position([{_FR_MONTHS}], split_part("Month", ' ', 1)), 1)))::DATE AS month,
+         nullif("Peak", '-')::INT AS peak,
+         nullif(replace(replace(replace("Gain", ',', ''), '+', ''), '%', ''), '-')::INT AS gain,
+         replace(replace(replace("Percent_Gain", ',', ''), '+', ''), '%', '')::DOUBLE AS percent_gain
+  FROM t)
+SELECT appid::BIGINT AS appid, month, peak, gain, percent_gain FROM p
+WHERE appid IN (SELECT p_partkey FROM part WHERE p_size <= 40)
+QUALIFY row_number() OVER (PARTITION BY appid, month ORDER BY o_orderkey) = 1""")
+def players_load(spark, sf):
+    """M14 + S4/S7 + X5/X7/X13: players files per game (key from the path) in
+    two worker folders; 'Last 30 days' resolved to a given month, English and
+    French month names, '-' -> NULL, first row per (game, month) wins, unknown
+    games refused."""
+    root = scratch_path(spark, "players")
+    _per_key_files(spark, _player_text(read_table(spark, sf, "orders")), root, "players")
+    raw = files.read_keyed_csv(spark, f"{root}/instance_*/players/appid=*/*.csv",
+                               PLAYERS_SCHEMA, key_regex=r"appid=(\d+)/")
+    games = read_table(spark, sf, "part").where(F.col("p_size") <= 40).select(
+        F.col("p_partkey").alias("appid"))
+    return legacy.players_load(raw, games, as_of="August 2001").rows
+
+
+_PRICE_TEXT_SQL = """
+SELECT o_custkey % 20 AS appid, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS "DateTime",
+       CASE WHEN o_orderstatus = 'P' THEN NULL
+            ELSE replace(o_totalprice::DECIMAL(12,2)::VARCHAR, '.', ',') END AS "Final price",
+       replace((floor(o_totalprice * 50) / 100)::DECIMAL(12,2)::VARCHAR, '.', ',') AS "2-year low"
+FROM orders"""
+
+
+@register("price_load", f"""
+WITH t AS ({_PRICE_TEXT_SQL}),
+body AS (SELECT * FROM t QUALIFY o_orderkey < max(o_orderkey) OVER (PARTITION BY appid))
+SELECT appid::BIGINT AS appid, strptime("DateTime", '%Y-%m-%d')::DATE AS date,
+       replace("Final price", ',', '.')::DOUBLE AS final_price,
+       replace("2-year low", ',', '.')::DOUBLE AS two_year_low
+FROM body
+WHERE appid IN (SELECT p_partkey FROM part WHERE p_size <= 40)
+QUALIFY row_number() OVER (PARTITION BY appid, "DateTime" ORDER BY o_orderkey) = 1""")
+def price_load(spark, sf):
+    """M15 + S5: ';' price files per game with decimal commas; the last line of
+    every file is dropped; first row per (game, day) wins."""
+    root = scratch_path(spark, "price")
+    o = read_table(spark, sf, "orders")
+    text = o.select(
+        (F.col("o_custkey") % 20).alias("appid"), "o_orderkey",
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("DateTime"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string")).otherwise(
+            F.replace(F.col("o_totalprice").cast("decimal(12,2)").cast("string"), F.lit("."),
+                      F.lit(","))).alias("Final price"),
+        F.replace((F.floor(F.col("o_totalprice") * 50) / 100).cast("decimal(12,2)").cast("string"),
+                  F.lit("."), F.lit(",")).alias("2-year low"))
+    _per_key_files(spark, text, root, "price", sep=";")
+    raw = files.read_keyed_csv(spark, f"{root}/instance_*/price/appid=*/*.csv", PRICE_SCHEMA,
+                               sep=";", key_regex=r"appid=(\d+)/", drop_footer=True)
+    games = read_table(spark, sf, "part").where(F.col("p_size") <= 40).select(
+        F.col("p_partkey").alias("appid"))
+    return legacy.price_load(raw, games).rows
+
+
 @register("users_load", """
 SELECT strptime(strftime(day, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS "DateTime",
        users AS "Users", trunc(avg_users)::BIGINT AS "AverageUsers",

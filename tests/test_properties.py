@@ -28,10 +28,22 @@ def _col(spark, values, dtype="string"):
     return spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {dtype}")
 
 
-# Basic Multilingual Plane only: letters added in recent Unicode versions (e.g.
-# U+10570) are letters to Python but not yet to the JVM's character tables.
+# Basic Multilingual Plane only, without the letters added in Unicode versions
+# newer than the JVM's character tables (found by an exhaustive BMP comparison;
+# a documented divergence): there Python keeps a letter the JVM drops.
+NEWER_LETTERS = ((0x870, 0x887), (0x889, 0x88E), (0x8B5, 0x8B5), (0x8C8, 0x8C9),
+                 (0xC5D, 0xC5D), (0xCDD, 0xCDD), (0x170D, 0x170D), (0x171F, 0x171F),
+                 (0x1B4C, 0x1B4C), (0x2C2F, 0x2C2F), (0x2C5F, 0x2C5F), (0x9FFD, 0x9FFF),
+                 (0xA7C0, 0xA7C1), (0xA7CB, 0xA7CB), (0xA7D0, 0xA7D1), (0xA7D3, 0xA7D3),
+                 (0xA7D5, 0xA7D9), (0xA7DC, 0xA7DC), (0xA7F2, 0xA7F4))
+
+
+def _known_to_jvm(ch):
+    return not any(a <= ord(ch) <= b for a, b in NEWER_LETTERS)
+
+
 TEXT = st.text(alphabet=st.characters(whitelist_categories=("Lu", "Ll", "Nd", "Zs", "Po", "Pd"),
-                                      max_codepoint=0xFFFF), max_size=20)
+                                      max_codepoint=0xFFFF).filter(_known_to_jvm), max_size=20)
 
 
 @SETTINGS
