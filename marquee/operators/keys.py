@@ -8,18 +8,21 @@ whole table in one task. Here the key is built in two distributed phases:
    differ from the one that was counted);
 2. each row's position inside its partition comes from
    ``monotonically_increasing_id`` (partition id in the high bits); per-partition
-   counts -- one row per partition, a bound set by configuration, not data --
-   give running offsets, broadcast back to every row.
+   counts -- one number per partition, a bound set by configuration, not data --
+   give running offsets, applied to every row as a literal array (or, with very
+   many partitions, a broadcast table of one row per partition).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
 _LOW_BITS = (1 << 33) - 1
+# Up to this many partitions the running offsets travel as a literal array.
+MAX_LITERAL_OFFSETS = 10_000
 
 
 def _order(col: str, nulls_last: bool = True):
@@ -43,19 +46,28 @@ def surrogate_key(df: DataFrame, by: str, name: str, partitions: int | None = No
     ordered = materialize(
         df.select("*", *tie).repartitionByRange(n, *order).sortWithinPartitions(*order)
           .drop("_h", "_r"))
+    # One count per partition -- a list bounded by the partition count, not by
+    # the data -- taken once, right after the checkpoint; consumers then see a
+    # plain projection with the running offsets as a literal array.
+    sizes = dict(ordered.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    offsets, running = [], 0
+    for pid in range(max(sizes, default=-1) + 1):
+        offsets.append(running)
+        running += sizes.get(pid, 0)
     mid = F.monotonically_increasing_id()
-    tagged = ordered.select(
-        F.shiftright(mid, 33).alias("_pid"), mid.bitwiseAND(F.lit(_LOW_BITS)).alias("_pos"),
-        *[F.col(c) for c in ordered.columns])
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: a configuration-bounded table, safe to broadcast.
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    keyed = tagged.join(F.broadcast(offsets), "_pid")
-    key = (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + 1).cast("bigint").alias(name)
-    return keyed.select(key, *[F.col(c) for c in df.columns])
+    pid = F.shiftright(mid, 33)
+    pos = mid.bitwiseAND(F.lit(_LOW_BITS))
+    if len(offsets) <= MAX_LITERAL_OFFSETS:
+        base = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets] or
+                                    [F.lit(0).cast("bigint")]), (pid + 1).cast("int"))
+        return ordered.select((base + pos + 1).cast("bigint").alias(name),
+                              *[F.col(c) for c in df.columns])
+    # very many partitions: the offsets table (one row per partition) is broadcast
+    table = spark.createDataFrame(list(enumerate(offsets)), "_pid bigint, _off bigint")
+    tagged = ordered.select(pid.alias("_pid"), pos.alias("_pos"), *[F.col(c) for c in df.columns])
+    keyed = tagged.join(F.broadcast(table), "_pid")
+    return keyed.select((F.col("_off") + F.col("_pos") + 1).cast("bigint").alias(name),
+                        *[F.col(c) for c in df.columns])
 
 
 def get_or_create_keys(names: DataFrame, dim: DataFrame, name_col: str, key_col: str,
