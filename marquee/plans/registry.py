@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import driver, driver_io, driver_ops
+from . import driver, driver_io, driver_ops, driver_pages
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
     out.update(driver.QUERIES)
     out.update(driver_ops.Q)
     out.update(driver_io.Q)
+    out.update(driver_pages.Q)
     return out
 
 
@@ -18,4 +19,5 @@ def oracle_sql():
     out.update(driver.ORACLE)
     out.update(driver_ops.SQL)
     out.update(driver_io.SQL)
+    out.update(driver_pages.SQL)
     return out
