@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The day/month/year text format written by the collectors.
 DAY_FORMAT = "d/M/yyyy"
 
-# Formats tried, in order, for free-form dates.
+# Formats tried, in order, for free-form dates (X5), each with the
+# text shape it can parse. A format is only attempted on text of its shape, so a
+# value costs one or two parse attempts instead of failing through the list.
 ANY_DATE_FORMATS = (
-    "d/M/yyyy",
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm:ss",
-    "d MMM, yyyy",
-    "d MMMM yyyy",
-    "d MMM yyyy",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "MMMM yyyy",
-    "MMM yyyy",
+    ("d/M/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    ("yyyy-MM-dd", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    ("yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$"),
+    ("d MMM, yyyy", r"^\d{1,2} \p{L}+\.?, \d{4}$"),
+    ("d MMMM yyyy", r"^\d{1,2} \p{L}+ \d{4}$"),
+    ("d MMM yyyy", r"^\d{1,2} \p{L}+ \d{4}$"),
+    ("MMM d, yyyy", r"^\p{L}+\.? \d{1,2}, \d{4}$"),
+    ("MMMM d, yyyy", r"^\p{L}+\.? \d{1,2}, \d{4}$"),
+    ("MMMM yyyy", r"^\p{L}+ \d{4}$"),
+    ("MMM yyyy", r"^\p{L}+ \d{4}$"),
 )
 
 # French month names (store pages are fetched in French) and the
@@ -56,18 +60,32 @@ def try_parse_day(c, fmt: str = DAY_FORMAT) -> Column:
     return F.try_to_date(_c(c), fmt)
 
 
+_FRENCH_HINT = "|".join(re.escape(fr) for fr, _ in FRENCH_MONTHS)
+
+
 def english_months(c) -> Column:
-    out = F.lower(F.trim(_c(c)))
+    """French month names rewritten in English; other text is only trimmed.
+    The rewrite runs only on text that contains a French name."""
+    t = F.trim(_c(c))
+    low = F.lower(t)
+    out = low
     for fr, en in FRENCH_MONTHS:
         out = F.replace(out, F.lit(fr), F.lit(en.lower()))
-    return out
+    return F.when(low.rlike(_FRENCH_HINT), out).otherwise(t)
 
 
 def parse_any_date(c, formats=ANY_DATE_FORMATS) -> Column:
-    """First format that parses wins; French month names are understood;
-    text matching no format gives NULL (callers route it to a reject table)."""
-    text = F.initcap(english_months(c))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]).cast("date")
+    """First format that parses wins (parsing ignores case); French month
+    names are understood; text matching no format gives NULL (callers route it
+    to a reject table)."""
+    text = english_months(c)
+    shapes: dict[str, list[str]] = {}
+    for fmt, shape in formats:
+        shapes.setdefault(shape, []).append(fmt)
+    attempts = [F.when(text.rlike(shape),
+                       F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in fmts]))
+                for shape, fmts in shapes.items()]
+    return F.coalesce(*attempts).cast("date")
 
 
 def month_floor(c) -> Column:

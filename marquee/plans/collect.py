@@ -49,8 +49,12 @@ def metric_rows(game_pages: DataFrame, matches: DataFrame, key: str = "steam_id"
     '-' -> NULL, '1,234' / '+5' / '-3.2%' cleaned (X11), '1.2M' / '3.4K'
     expanded (X12), the game key added to each row (P6)."""
     pages = drop_notice_pages(game_pages).withColumnRenamed("page_id", "tracker_id")
-    rows = extract_tables(pages, METRICS_TABLE_MARKER, key="tracker_id")
-    rows = rows.where(F.size("cells") > 0).join(matches, "tracker_id")
+    # Pages and matches are both one row per entity and grow with the catalogue:
+    # join them before the rows are exploded, shuffled on the page id (a size
+    # estimate after aggregates must not decide to broadcast either side).
+    pages = pages.join(matches.hint("shuffle_hash"), "tracker_id")
+    rows = extract_tables(pages, METRICS_TABLE_MARKER, key="tracker_id", keep=(key,))
+    rows = rows.where(F.size("cells") > 0)
     month = F.date_format(D.month_floor(D.parse_any_date(F.get(F.col("cells"), 0))), "dd/MM/yyyy")
     values = [X.cell_value(F.get(F.col("cells"), i)) for i in range(1, len(METRIC_HEADERS) - 1)]
     out = rows.select(F.col(key).alias("steam_id"), month, *values)

@@ -56,21 +56,21 @@ def table_block(html, marker: str) -> Column:
 
 
 def extract_tables(pages: DataFrame, marker: str, key: str = "page_id",
-                   html: str = "html") -> DataFrame:
-    """One row per body row of the marked table: (key, row_no, headers,
-    cells). Header and cell text is trimmed; pages without the table give no
-    rows; empty rows are kept here (filter with F8)."""
+                   html: str = "html", keep: tuple = ()) -> DataFrame:
+    """One row per body row of the marked table: (key, *keep, row_no,
+    headers, cells). Header and cell text is trimmed; pages without the table
+    give no rows; empty rows are kept here (filter with F8)."""
     block = table_block(html, marker)
     body = F.coalesce(F.nullif(F.regexp_extract(block, r"(?s)<tbody[^>]*>(.*?)</tbody>", 1),
                                F.lit("")), block)
     t = pages.select(
-        F.col(key),
+        F.col(key), *[F.col(c) for c in keep],
         _texts(F.regexp_extract_all(block, F.lit(r"(?s)<th[^>]*>(.*?)</th>"), 1)).alias("headers"),
         F.regexp_extract_all(body, F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), 1).alias("_rows"),
     )
-    rows = t.select(key, "headers", F.posexplode("_rows").alias("row_no", "_row"))
+    rows = t.select(key, *keep, "headers", F.posexplode("_rows").alias("row_no", "_row"))
     cells = _texts(F.regexp_extract_all(F.col("_row"), F.lit(r"(?s)<td[^>]*>(.*?)</td>"), 1))
-    return rows.select(key, "row_no", "headers", cells.alias("cells"))
+    return rows.select(key, *keep, "row_no", "headers", cells.alias("cells"))
 
 
 LINK_PATTERN = r'(?s)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
