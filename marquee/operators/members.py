@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checked_broadcast
 from .keys import surrogate_key
 
 
@@ -33,8 +34,10 @@ def bridge(df: DataFrame, key: str, array_col: str, entity_dim: DataFrame,
     """Exploded members joined to both dimensions by natural key.
     Duplicates are kept; NULL members drop out of the equi-join."""
     pairs = exploded(df, key, array_col, member_name)
-    return (pairs.join(entity_dim.select(key, entity_key), key)
-                 .join(member_dim.select(member_name, member_key), member_name)
+    entities = checked_broadcast(entity_dim.select(key, entity_key))
+    members = checked_broadcast(member_dim.select(member_name, member_key))
+    return (pairs.join(entities, key)
+                 .join(members, member_name)
                  .select(entity_key, member_key))
 
 

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checked_broadcast
+
 
 def member_month(fact: DataFrame, bridge: DataFrame, member_dim: DataFrame, member_key: str,
                  member_name: str, date_dim: DataFrame) -> DataFrame:
@@ -13,8 +15,9 @@ def member_month(fact: DataFrame, bridge: DataFrame, member_dim: DataFrame, memb
     map-side, so a genre holding a third of all facts is pre-aggregated in every
     task before the shuffle."""
     return (fact.join(bridge, "game_key")
-                .join(member_dim.select(member_key, member_name), member_key)
-                .join(date_dim.select("date_key", "year", "month"), "date_key")
+                .join(checked_broadcast(member_dim.select(member_key, member_name)), member_key)
+                .join(checked_broadcast(date_dim.select("date_key", "year", "month"), 12_000),
+                      "date_key")
                 .groupBy(member_name, "date_key", "year", "month")
                 .agg(F.sum("hours_watched").cast("bigint").alias("total_hours"),
                      F.max("peak_viewers").alias("peak_viewers"),
@@ -33,7 +36,8 @@ def price_viewer_corr(fact: DataFrame, games: DataFrame, bridge: DataFrame,
                          F.count(F.lit(1)).alias("n_games"),
                          F.round(F.corr("price", "mean_viewers"), digits).alias("corr"))
     by_member = (priced.join(bridge, "game_key")
-                       .join(member_dim.select(member_key, member_name), member_key)
+                       .join(checked_broadcast(member_dim.select(member_key, member_name)),
+                             member_key)
                        .groupBy(member_name)
                        .agg(F.count(F.lit(1)).alias("n_games"),
                             F.round(F.corr("price", "mean_viewers"), digits).alias("corr")))

@@ -58,12 +58,14 @@ def fact(stg_metrics: DataFrame, entity_dim: DataFrame, date_dim: DataFrame,
          key: str = "appid", entity_key: str = "game_key",
          month_col: str = "metric_month", measures=FACT_MEASURES) -> DataFrame:
     """Metrics joined to the entity key (J1) and the computed month key
-    (J2). The entity dimension grows with the catalogue, so it is left to the
-    planner (sort-merge, or AQE's runtime broadcast when it turns out small);
-    the month dimension is broadcast behind a row-count check."""
+    (J2). Both dimensions are broadcast only behind a row-count check: the
+    month dimension is calendar-bounded; the entity keys grow with the
+    catalogue and beyond the bound are joined by sort-merge (AQE splits a hot
+    key's partitions)."""
     dates = checked_broadcast(date_dim.select("date_key"), MAX_DATE_ROWS)
+    entities = checked_broadcast(entity_dim.select(key, entity_key))
     m = stg_metrics.select(key, D.date_key(month_col).alias("date_key"), *measures)
-    return (m.join(entity_dim.select(key, entity_key), key)
+    return (m.join(entities, key)
              .join(dates, "date_key")
              .select(entity_key, "date_key", *measures))
 

@@ -109,11 +109,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if size >= SPREAD_MIN_BYTES else df
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+# A key table of this many rows (a key and a name or id, tens of bytes a row)
+# stays well inside a broadcast.
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:
     """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
 
-    The count reads at most ``max_rows + 1`` rows; a larger side is returned
-    unchanged and left to the planner (sort-merge, or AQE's runtime switch).
+    The count reads at most ``max_rows + 1`` rows. A larger side is pinned to a
+    sort-merge join, so a low size estimate of the *other* side (after an
+    aggregate or a generator) can never make that side the broadcast one.
     """
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if n <= max_rows else df.hint("merge")

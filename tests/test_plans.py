@@ -72,3 +72,15 @@ def test_dense_key_splits_a_hot_key(spark):
     assert tuple(agg) == (1, 30000, 30000)
     hot = keyed.where(F.col("k") == 7).agg(F.max("key") - F.min("key")).first()[0]
     assert hot == 10000  # 10,001 rows with k = 7 (id 7 too), numbered contiguously
+
+
+def test_checked_broadcast_bounds_the_build_side(spark):
+    from marquee.session import checked_broadcast
+    big = spark.range(5000).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    ok = big.join(checked_broadcast(small, max_rows=100), "k")
+    assert "BroadcastHashJoin" in ok._jdf.queryExecution().executedPlan().toString()
+    over = big.join(checked_broadcast(small, max_rows=5), "k")
+    text = over._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    assert over.count() == 10
