@@ -14,6 +14,7 @@ from ..functions import dates as D
 from ..operators import loads
 from ..operators.keys import get_or_create_keys
 from ..operators.members import member_links
+from ..session import evaluate_once
 
 
 @dataclass
@@ -68,8 +69,8 @@ def metrics_load(raw_text: DataFrame, games: DataFrame, target: DataFrame | None
     """Monthly metrics CSV read as text (with file order). F10 parses and
     rejects, K8 rejects unknown games, K7 keeps the first row per
     (steam_id, date) and skips stored keys, K9 audits per file."""
-    parsed = _with_parent(loads.accept_metrics(raw_text).withColumn("date", D.try_parse_day("Month")),
-                          games, "steam_id", game_key)
+    accepted = evaluate_once(loads.accept_metrics(raw_text).withColumn("date", D.try_parse_day("Month")))
+    parsed = _with_parent(accepted, games, "steam_id", game_key)
     ok = F.col("accepted") & F.col("_known")
     rows = loads.insert_ignore(parsed.where(ok), target, ["steam_id", "date"],
                                ["file_path", "line_no"])
@@ -87,13 +88,13 @@ def players_load(raw: DataFrame, games: DataFrame, as_of: str | None = None) ->
     the declared format list (X5/X7), counts as integers, gains cleaned (X13);
     unparsable month or peak rejects the row; first (appid, month) wins."""
     month_text = D.relative_month("Month", as_of) if as_of else F.col("Month")
-    p = raw.select(
+    p = evaluate_once(raw.select(
         "appid", "file_path", "line_no", F.col("Month").alias("month_text"),
         D.month_floor(D.parse_any_date(month_text)).alias("month"),
         F.nullif(F.nullif(F.col("Peak"), F.lit("-")), F.lit("")).alias("_peak"),
         F.nullif(F.nullif(X.gain("Gain"), F.lit("-")), F.lit("")).alias("_gain"),
         F.nullif(F.nullif(X.gain("Percent_Gain"), F.lit("-")), F.lit("")).alias("_pct"),
-    ).select(
+    )).select(
         "appid", "file_path", "line_no", "month", "month_text",
         F.col("_peak").try_cast("int").alias("peak"),
         F.col("_gain").try_cast("int").alias("gain"),
@@ -109,15 +110,15 @@ def players_load(raw: DataFrame, games: DataFrame, as_of: str | None = None) ->
 def price_load(raw: DataFrame, games: DataFrame) -> LoadResult:
     """Per-game price CSV (';', decimal comma, footer already dropped by the
     reader); date parsed with the format list; first (appid, date) wins."""
-    p = raw.select(
-        "appid", "file_path", "line_no",
+    p = evaluate_once(raw.select(
+        "appid", "file_path", "line_no", F.col("`Final price`").alias("_final_text"),
         D.parse_any_date("DateTime").alias("date"),
         X.decimal_comma(F.col("`Final price`")).alias("final_price"),
         X.decimal_comma(F.col("`2-year low`")).alias("two_year_low"),
-        (D.parse_any_date("DateTime").isNull()
-         | (F.col("`Final price`").isNotNull() & (F.col("`Final price`") != "")
-            & X.decimal_comma(F.col("`Final price`")).isNull())).alias("_bad"),
-    )
+    ))
+    p = p.withColumn("_bad", F.col("date").isNull()
+                     | (F.col("_final_text").isNotNull() & (F.col("_final_text") != "")
+                        & F.col("final_price").isNull()))
     return _keyed_history(p, games, ["appid", "date"],
                           ["appid", "date", "final_price", "two_year_low"])
 

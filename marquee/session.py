@@ -123,3 +123,17 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> Data
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df.hint("merge")
+
+
+def evaluate_once(df: DataFrame) -> DataFrame:
+    """Keep the expressions computed so far from being re-evaluated by later
+    filters.
+
+    Catalyst pushes a filter below a projection by substituting the projected
+    expressions into the predicate, so a parse that is filtered on afterwards
+    runs once in the filter and again in the projection. A predicate on a
+    generator's output cannot move below the generator: exploding a one-element
+    array of the row is a no-op that pins the parse to one evaluation per row."""
+    cols = df.columns
+    packed = F.explode(F.array(F.struct(*[F.col(f"`{c}`") for c in cols]))).alias("_row")
+    return df.select(packed).select(*[F.col(f"_row.`{c}`").alias(c) for c in cols])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_any_date
 from ..operators.filters import unreleased
 from ..schemas import PAYLOAD_SCHEMA
+from ..session import evaluate_once
 
 
 def parse_payload(df: DataFrame, payload: str, id_col: str) -> DataFrame:
@@ -18,7 +19,8 @@ def parse_payload(df: DataFrame, payload: str, id_col: str) -> DataFrame:
     an absent key from an explicit null, so both take the default -- a stated
     choice. The release date is re-written as ``dd/MM/yyyy`` text (X5)."""
     entry = F.from_json(F.col(payload), PAYLOAD_SCHEMA)[F.col(id_col).cast("string")]
-    t = df.select(F.col(id_col).alias("appid"), entry.alias("_e"))
+    # parsed once per row, then filtered (see ``evaluate_once``)
+    t = evaluate_once(df.select(F.col(id_col).alias("appid"), entry.alias("_e")))
     t = t.where(F.coalesce(F.col("_e.success"), F.lit(False)) & F.col("_e.data").isNotNull())
     d = "_e.data"
     t = t.where(~unreleased(F.col(f"{d}.release_date.date"), F.col(f"{d}.release_date.coming_soon")))
