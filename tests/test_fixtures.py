@@ -282,3 +282,30 @@ def test_legacy_run(spark, tmp, catalogue_dir, metrics_dir, steamdb_dir):
     assert t["price_history"].count() == 2 and t["global_steam_users"].count() == 1
     audit = {r.file_path: r.n_ok for r in t["twitchgames_audit"].collect()}
     assert audit[None] == 2                         # steam_id 20 has only a rejected row
+
+
+def test_pipeline_bucketed_fact_and_bridge_join_without_shuffle(spark, tmp):
+    from marquee.plans import goals, pipeline
+    root = os.path.join(tmp, "raw")
+    games = [_game(i, f"G{i}", genre=["Action", "RPG"][: 1 + i % 2]) for i in range(1, 30)]
+    _write(os.path.join(root, "steam", "o1", "steam_data_001.json"), json.dumps(games, indent=2))
+    lines = [f"{i},01/0{1 + i % 9}/2024,{i}.5,1,2.25,10,3.5,,0.15,4,{i * 10}" for i in range(1, 30)]
+    _write(os.path.join(root, "twitch", "block.csv"),
+           "steam_id,Month,AvgViewers,AvgViewersGain,AvgViewers%Gain,PeakViewers,AvgStreams,"
+           "AvgStreamsGain,AvgStreamsùGain,PeakStreams,HoursWatched\n" + "\n".join(lines) + "\n")
+    w, summary = pipeline.run(spark, f"{root}/twitch/*.csv", f"{root}/steam/*/*.json",
+                              os.path.join(tmp, "whb"), buckets=4, table_prefix="t_bucket_")
+    assert all(n == 0 for *_, n in summary)
+    joined = w.fct.join(w.bridge_game_genre, "game_key")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = w.fct.join(w.bridge_game_genre, "game_key")._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert "SortMergeJoin" in plan
+    assert "Exchange" not in plan  # co-located buckets: no shuffle on either side
+    g1 = goals.member_month(w.fct, w.bridge_game_genre, w.dim_genre, "genre_key", "genre_name",
+                            w.dim_date)
+    assert g1.agg(F.sum("n_rows")).first()[0] == joined.count()
