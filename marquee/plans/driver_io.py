@@ -103,7 +103,7 @@ def payload_fields(spark, sf):
 
 _LINK_SQL = r"""
 WITH t AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)(<a\s[^>]*>.*?</a>)', 1)) AS tag,
-                  generate_subscripts(regexp_extract_all(html, '(?s)(<a\s[^>]*>.*?</a>)', 1), 1) - 1 AS pos
+                  (generate_subscripts(regexp_extract_all(html, '(?s)(<a\s[^>]*>.*?</a>)', 1), 1) - 1)::INTEGER AS pos
            FROM pages)"""
 
 
@@ -297,7 +297,7 @@ def price_load(spark, sf):
 @register("users_load", """
 SELECT strptime(strftime(day, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS "DateTime",
        users AS "Users", trunc(avg_users)::BIGINT AS "AverageUsers",
-       CASE WHEN in_game < 10 THEN NULL ELSE in_game END AS "InGame"
+       CASE WHEN in_game < 10 THEN NULL ELSE in_game END::BIGINT AS "InGame"
 FROM (SELECT date_trunc('day', ts) AS day, count(*) AS users, avg(value) AS avg_users,
              count_if(event_type = 'view') AS in_game FROM events GROUP BY 1) t""")
 def users_load(spark, sf):

@@ -27,7 +27,7 @@ def register(name, sql=None):
 # ------------------------------------------------------------ scans, counts
 
 @register("table_counts", """
-SELECT count(*) AS n_rows, count_if(o_orderstatus = 'F') AS n_filtered FROM orders""")
+SELECT count(*) AS n_rows, count_if(o_orderstatus = 'F')::BIGINT AS n_filtered FROM orders""")
 def table_counts(spark, sf):
     """A1 + A2: total and filtered counts in one pass."""
     o = read_table(spark, sf, "orders")
@@ -373,8 +373,8 @@ def get_or_create_key(spark, sf):
 
 @register("load_audit", """
 SELECT source, count(*) AS n_total,
-       count_if(length(trim(text)) > 0 AND n_chars >= 200) AS n_ok,
-       count_if(NOT (length(trim(text)) > 0 AND n_chars >= 200)) AS n_rejected
+       count_if(length(trim(text)) > 0 AND n_chars >= 200)::BIGINT AS n_ok,
+       count_if(NOT (length(trim(text)) > 0 AND n_chars >= 200))::BIGINT AS n_rejected
 FROM documents GROUP BY ROLLUP (source)""")
 def load_audit(spark, sf):
     """K9 + A5: accepted / rejected per source, with the grand total row."""

@@ -55,17 +55,38 @@ def _rows(cols, rows):
     return sorted(out, key=repr)
 
 
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                  "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                  "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def duck_type(t) -> str:
+    """The DuckDB type name a Spark column type corresponds to."""
+    s = t.simpleString()
+    if s.startswith("decimal"):
+        return s.upper()
+    if s.startswith("array<"):
+        return duck_type(t.elementType) + "[]"
+    return _SPARK_TO_DUCK.get(s, s)
+
+
 def compare(spark, con, name, qfn, sql, sf_dir):
     sdf = qfn(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {f.name: duck_type(f.dataType) for f in sdf.schema.fields}
     s_rows = [tuple(r) for r in sdf.collect()]
     rel = con.sql(sql)
     d_cols = rel.columns
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     d_rows = rel.fetchall()
     problems = []
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns spark={sorted(s_cols)} duck={sorted(d_cols)}")
         return problems, len(s_rows), len(d_rows)
+    type_diff = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+    if type_diff:
+        problems.append(f"types {type_diff}")
     if len(s_rows) != len(d_rows):
         problems.append(f"rows spark={len(s_rows)} duck={len(d_rows)}")
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
