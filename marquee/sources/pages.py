@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import evaluate_once
+
 # Texts of the block / rate-limit notices a collector may save
 # instead of the page it asked for.
 NOTICE_TERMS = (
@@ -25,12 +27,19 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The whitespace stripped from both ends of a cell's text.
+CELL_SPACE = " \t\n\r\f\v\u00a0"
+
+
 def cell_text(c) -> Column:
-    """Visible text of an HTML fragment: tags dropped, entities decoded, trimmed."""
-    t = F.regexp_replace(_c(c), r"<[^>]*>", "")
+    """Visible text of an HTML fragment: tags dropped, entities decoded, trimmed.
+    Plain cells (no '<', no '&') skip straight to the trim."""
+    c = _c(c)
+    t = F.regexp_replace(c, r"<[^>]*>", "")
     for ent, ch in ENTITIES:
         t = F.replace(t, F.lit(ent), F.lit(ch))
-    return F.regexp_replace(t, r"^[\s ]+|[\s ]+$", "")
+    plain = ~(c.contains("<") | c.contains("&"))
+    return F.btrim(F.when(plain, c).otherwise(t), F.lit(CELL_SPACE))
 
 
 def _texts(arr: Column) -> Column:
@@ -60,7 +69,10 @@ def extract_tables(pages: DataFrame, marker: str, key: str = "page_id",
     """One row per body row of the marked table: (key, *keep, row_no,
     headers, cells). Header and cell text is trimmed; pages without the table
     give no rows; empty rows are kept here (filter with F8)."""
-    block = table_block(html, marker)
+    # the marked table's markup, computed once per page and reused below
+    pages = pages.select(F.col(key), *[F.col(c) for c in keep],
+                         table_block(html, marker).alias("_block"))
+    block = F.col("_block")
     body = F.coalesce(F.nullif(F.regexp_extract(block, r"(?s)<tbody[^>]*>(.*?)</tbody>", 1),
                                F.lit("")), block)
     t = pages.select(
@@ -68,7 +80,10 @@ def extract_tables(pages: DataFrame, marker: str, key: str = "page_id",
         _texts(F.regexp_extract_all(block, F.lit(r"(?s)<th[^>]*>(.*?)</th>"), 1)).alias("headers"),
         F.regexp_extract_all(body, F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), 1).alias("_rows"),
     )
-    rows = t.select(key, *keep, "headers", F.posexplode("_rows").alias("row_no", "_row"))
+    # posexplode makes Catalyst infer ``size(_rows) > 0`` and push it down with the
+    # whole extraction substituted in; the fence keeps that filter above it
+    rows = evaluate_once(t).select(key, *keep, "headers",
+                                   F.posexplode("_rows").alias("row_no", "_row"))
     cells = _texts(F.regexp_extract_all(F.col("_row"), F.lit(r"(?s)<td[^>]*>(.*?)</td>"), 1))
     return rows.select(key, *keep, "row_no", "headers", cells.alias("cells"))
 
@@ -81,7 +96,8 @@ def extract_links(pages: DataFrame, key: str = "page_id", html: str = "html",
     """(key, pos, href, title) for every anchor, optionally only those with
     a CSS class (``a.item-title``)."""
     tags = F.regexp_extract_all(F.col(html), F.lit(r"(?s)(<a\s[^>]*>.*?</a>)"), 1)
-    t = pages.select(F.col(key), F.posexplode(tags).alias("pos", "_tag"))
+    t = evaluate_once(pages.select(F.col(key), tags.alias("_tags"))).select(
+        key, F.posexplode("_tags").alias("pos", "_tag"))
     out = t.select(
         key, "pos",
         F.regexp_extract("_tag", r'href="([^"]*)"', 1).alias("href"),
