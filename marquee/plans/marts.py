@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..operators.keys import surrogate_key
 from ..operators.members import bridge, distinct_members
-from ..session import checked_broadcast
+from ..session import checked_broadcast, materialize
 
 GAME_COLUMNS = (
     "game_key", "appid", "name", "release_date", "price", "currency", "windows",
@@ -36,17 +36,20 @@ def dim_entity(stg_catalogue: DataFrame, key: str = "appid", name: str = "game_k
 
 
 def dim_date(stg_metrics: DataFrame, month_col: str = "metric_month") -> DataFrame:
-    """M4: distinct non-NULL months with their calendar attributes."""
+    """M4: distinct non-NULL months with their calendar attributes.
+
+    Checkpointed where it is built: the table is calendar-sized, and consumers
+    (a size check, then a broadcast) would otherwise each re-scan the metrics."""
     months = (stg_metrics.where(F.col(month_col).isNotNull())
               .select(F.col(month_col).alias("full_date")).distinct())
-    return months.select(
+    return materialize(months.select(
         D.date_key("full_date").alias("date_key"),
         F.col("full_date"),
         D.year("full_date").alias("year"),
         D.month("full_date").alias("month"),
         D.month_name("full_date").alias("month_name"),
         D.quarter("full_date").alias("quarter"),
-    )
+    ))
 
 
 def dim_member(stg_catalogue: DataFrame, array_col: str, name: str, key: str) -> DataFrame:
