@@ -23,6 +23,17 @@ from ..session import materialize
 _LOW_BITS = (1 << 33) - 1
 # Up to this many partitions the running offsets travel as a literal array.
 MAX_LITERAL_OFFSETS = 10_000
+# Range partitions are sized for about this much input each.
+TARGET_PARTITION_BYTES = 128 << 20
+
+
+def range_partitions(df: DataFrame) -> int:
+    """Range partitions for ``df``: its size estimate over the target partition
+    size, at least 1 and at most ``spark.sql.shuffle.partitions`` (a genre list
+    is not spread over thousands of files, a large catalogue uses them all)."""
+    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, min(cap, -(-size // TARGET_PARTITION_BYTES)))
 
 
 def _order(col: str, nulls_last: bool = True):
@@ -35,7 +46,7 @@ def surrogate_key(df: DataFrame, by: str, name: str, partitions: int | None = No
     default), as the first column. Ties get consecutive keys in arbitrary order,
     like ``row_number``."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or range_partitions(df)
     # Ties may be numbered in any order, so the range order carries tie-breakers:
     # a hash of the row, then a row id for exact copies. A key value (or a group
     # of identical rows) holding a third of the input is then split across
