@@ -309,3 +309,36 @@ def test_pipeline_bucketed_fact_and_bridge_join_without_shuffle(spark, tmp):
     g1 = goals.member_month(w.fct, w.bridge_game_genre, w.dim_genre, "genre_key", "genre_name",
                             w.dim_date)
     assert g1.agg(F.sum("n_rows")).first()[0] == joined.count()
+
+
+def test_recursive_discovery_by_extension(spark, tmp):
+    header = ("steam_id,Month,AvgViewers,AvgViewersGain,AvgViewers%Gain,PeakViewers,AvgStreams,"
+              "AvgStreamsGain,AvgStreamsùGain,PeakStreams,HoursWatched\n")
+    _write(os.path.join(tmp, "out", "output_1", "block_games_1_30.csv"), header + "1,01/03/2024,1,,,1,1,,,1,1\n")
+    _write(os.path.join(tmp, "out", "output_2", "deep", "block_games_2_30.csv"), header + "2,01/03/2024,1,,,1,1,,,1,1\n")
+    _write(os.path.join(tmp, "out", "output_2", "notes.txt"), "not a metrics file\n")
+    df = files.read_metrics_csv(spark, os.path.join(tmp, "out"), METRICS_TEXT_SCHEMA, with_order=True,
+                                recursiveFileLookup=True, pathGlobFilter="*.csv")
+    assert sorted(r.steam_id for r in df.collect()) == ["1", "2"]
+
+
+def test_get_or_create_keys_collation(spark):
+    from marquee.operators.keys import get_or_create_keys
+    dim = spark.createDataFrame([(1, "Ève"), (2, "Zeta")], "id bigint, name string")
+    names = spark.createDataFrame([("eve",), ("EVE",), ("New",), ("zeta",), ("new",)], "name string")
+    exact = {r.name: r.id for r in get_or_create_keys(names, dim, "name", "id").collect()}
+    assert exact["Ève"] == 1 and exact["Zeta"] == 2 and len(exact) == 2 + 5
+    folded = {r.name: r.id for r in get_or_create_keys(names, dim, "name", "id", "UNICODE_CI_AI").collect()}
+    # 'eve'/'EVE' are 'Ève', 'zeta' is 'Zeta'; 'New'/'new' are one new name with id 3
+    assert folded == {"Ève": 1, "Zeta": 2, "New": 3}
+
+
+def test_member_links_skip_stored_pairs(spark):
+    bronze = spark.createDataFrame([(1, ["A", "B", "A"]), (2, ["B"]), (3, None)],
+                                   "appid bigint, genre array<string>")
+    dim = legacy.member_dim(bronze, "genre")
+    ids = {r.name: r.id for r in dim.collect()}
+    stored = spark.createDataFrame([(1, ids["A"])], "game_appid bigint, member_id bigint")
+    links = legacy.catalogue_links(bronze, dim, "genre", existing=stored)
+    assert sorted((r.game_appid, r.member_id) for r in links.collect()) == \
+        [(1, ids["B"]), (2, ids["B"])]
