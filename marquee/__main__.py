@@ -2,7 +2,7 @@
 
 Jobs:
   warehouse  --metrics GLOB --catalogue GLOB --out DIR [--buckets N]
-  legacy     --catalogue GLOB --out DIR [--metrics GLOB] [--steamdb DIR] [--users FILE]
+  legacy     --catalogue GLOB --out DIR [--metrics GLOB] [--history DIR] [--users FILE]
              [--as-of "March 2025"] [--collation UNICODE_CI_AI]
   incremental --source DIR --target DIR --checkpoint DIR --keys k1,k2 --order c1,c2
              --schema "k bigint, ts timestamp_ntz, ..." [--format parquet]
@@ -31,7 +31,7 @@ def main(argv=None) -> int:
     lg.add_argument("--catalogue", required=True)
     lg.add_argument("--out", required=True)
     lg.add_argument("--metrics")
-    lg.add_argument("--steamdb")
+    lg.add_argument("--history")
     lg.add_argument("--users")
     lg.add_argument("--as-of")
     lg.add_argument("--collation")
@@ -50,7 +50,7 @@ def main(argv=None) -> int:
             print("\t".join(map(str, row)))
     elif args.job == "legacy":
         from .plans import legacy
-        tables = legacy.run(spark, args.out, args.catalogue, args.metrics, args.steamdb,
+        tables = legacy.run(spark, args.out, args.catalogue, args.metrics, args.history,
                             args.users, players_as_of=args.as_of, collation=args.collation)
         for name in sorted(tables):
             if name.endswith("_audit"):

@@ -165,7 +165,7 @@ def member_dim(bronze: DataFrame, array_col: str, existing: DataFrame | None = N
 
 
 def run(spark, out: str, catalogue_glob: str, metrics_glob: str | None = None,
-        steamdb_root: str | None = None, users_path: str | None = None,
+        history_root: str | None = None, users_path: str | None = None,
         players_as_of: str | None = None, collation: str | None = None) -> dict:
     """The whole legacy load as Spark jobs. Each table is written once under
     ``out`` and read back by the loads that reference it (parent checks)."""
@@ -193,13 +193,13 @@ def run(spark, out: str, catalogue_glob: str, metrics_glob: str | None = None,
         t["twitchgames"] = keep("twitchgames", res.rows)
         t["twitchgames_rejects"] = keep("twitchgames_rejects", res.rejected)
         t["twitchgames_audit"] = keep("twitchgames_audit", res.audit)
-    if steamdb_root:
-        players = files.read_keyed_csv(spark, f"{steamdb_root}/instance_*/players/*_players.csv",
+    if history_root:
+        players = files.read_keyed_csv(spark, f"{history_root}/instance_*/players/*_players.csv",
                                        PLAYERS_SCHEMA)
         res = players_load(players, ids, as_of=players_as_of)
         t["players_history"] = keep("players_history", res.rows)
         t["players_history_audit"] = keep("players_history_audit", res.audit)
-        price = files.read_keyed_csv(spark, f"{steamdb_root}/instance_*/price/*_price.csv",
+        price = files.read_keyed_csv(spark, f"{history_root}/instance_*/price/*_price.csv",
                                      PRICE_SCHEMA, sep=";", drop_footer=True)
         res = price_load(price, ids)
         t["price_history"] = keep("price_history", res.rows)

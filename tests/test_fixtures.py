@@ -120,8 +120,8 @@ def test_metrics_legacy_load(spark, metrics_dir):
 
 
 @pytest.fixture()
-def steamdb_dir(tmp):
-    root = os.path.join(tmp, "steamdb")
+def history_dir(tmp):
+    root = os.path.join(tmp, "history")
     _write(os.path.join(root, "instance_1", "players", "10_players.csv"),
            "﻿Month,Peak,Gain,Percent_Gain\n"
            "March 2024,\"1,234\",+5,\"1,5\"\n"
@@ -137,8 +137,8 @@ def steamdb_dir(tmp):
     return root
 
 
-def test_players_load_key_from_file_name(spark, steamdb_dir):
-    raw = files.read_keyed_csv(spark, f"{steamdb_dir}/instance_*/players/*_players.csv", PLAYERS_SCHEMA)
+def test_players_load_key_from_file_name(spark, history_dir):
+    raw = files.read_keyed_csv(spark, f"{history_dir}/instance_*/players/*_players.csv", PLAYERS_SCHEMA)
     games = spark.createDataFrame([(10,), (20,)], "appid bigint")
     res = legacy.players_load(raw, games)
     rows = sorted((r.appid, str(r.month), r.peak, r.gain, r.percent_gain) for r in res.rows.collect())
@@ -147,8 +147,8 @@ def test_players_load_key_from_file_name(spark, steamdb_dir):
     assert sorted(r.reason for r in res.rejected.collect()) == ["unparsable", "unparsable"]
 
 
-def test_price_load_drops_footer(spark, steamdb_dir):
-    raw = files.read_keyed_csv(spark, f"{steamdb_dir}/instance_*/price/*_price.csv", PRICE_SCHEMA,
+def test_price_load_drops_footer(spark, history_dir):
+    raw = files.read_keyed_csv(spark, f"{history_dir}/instance_*/price/*_price.csv", PRICE_SCHEMA,
                                sep=";", drop_footer=True)
     games = spark.createDataFrame([(10,), (20,)], "appid bigint")
     res = legacy.price_load(raw, games)
@@ -261,11 +261,11 @@ def test_pipeline_end_to_end(spark, tmp):
     assert sorted(r.date_key for r in w.dim_date.collect()) == [202403, 202404]
 
 
-def test_legacy_run(spark, tmp, catalogue_dir, metrics_dir, steamdb_dir):
+def test_legacy_run(spark, tmp, catalogue_dir, metrics_dir, history_dir):
     users = os.path.join(tmp, "users.csv")
     _write(users, "DateTime;Users;Average Users;In-Game\n2024-01-01 00:00:00;10.7;3.2;\n")
     t = legacy.run(spark, os.path.join(tmp, "legacy"), f"{catalogue_dir}/*/*.json",
-                   f"{metrics_dir}/*.csv", steamdb_dir, users, collation="UNICODE_CI_AI")
+                   f"{metrics_dir}/*.csv", history_dir, users, collation="UNICODE_CI_AI")
     games = {r.appid: r for r in t["steamgames"].collect()}
     assert sorted(games) == [10, 20, 30, 40]        # appid 30 twice: first file wins
     assert games[30].name == "Gamma" and games[20].developer_id is None
