@@ -90,23 +90,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
-# Below this estimated size a table is not worth a shuffle to parallelise.
+# Below this estimated size a table is not worth a shuffle to parallelise;
+# above the upper bound the shuffle itself would cost more than it saves.
 SPREAD_MIN_BYTES = 1 << 20
+SPREAD_MAX_BYTES = 8 << 30
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
+    """Spread a scan that has far fewer partitions than there are cores.
 
     A table stored as one unsplittable file (a single Parquet row group) scans
     as one task, so all per-row work before the first shuffle would run on one
-    core. Only then -- and only when Catalyst's size estimate says the table is
-    worth it -- is it spread round-robin. On a cluster, where inputs arrive as
-    many splits, this is a no-op and adds no shuffle."""
+    core. Only a scan with at most a quarter as many partitions as cores, whose
+    estimated size is between 1 MB and 8 GB, is spread round-robin; a large
+    table arriving in many splits is never shuffled just to add parallelism."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() * 4 > cores:
         return df
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size >= SPREAD_MIN_BYTES else df
+    return df.repartition(cores) if SPREAD_MIN_BYTES <= size <= SPREAD_MAX_BYTES else df
 
 
 # A key table of this many rows (a key and a name or id, tens of bytes a row)
