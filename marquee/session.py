@@ -97,15 +97,15 @@ SPREAD_MAX_BYTES = 8 << 30
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that has far fewer partitions than there are cores.
+    """Spread a scan that has fewer partitions than there are cores.
 
     A table stored as one unsplittable file (a single Parquet row group) scans
-    as one task, so all per-row work before the first shuffle would run on one
-    core. Only a scan with at most a quarter as many partitions as cores, whose
-    estimated size is between 1 MB and 8 GB, is spread round-robin; a large
-    table arriving in many splits is never shuffled just to add parallelism."""
+    as one task -- even when it is cut into several splits, all but one of them
+    are empty -- so all per-row work before the first shuffle would run on one
+    core. Such a scan, if its estimated size is between 1 MB and 8 GB, is spread
+    round-robin; a large table is never shuffled just to add parallelism."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 4 > cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(cores) if SPREAD_MIN_BYTES <= size <= SPREAD_MAX_BYTES else df
