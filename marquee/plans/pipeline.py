@@ -16,15 +16,22 @@ from . import marts, staging
 
 def load_bronze(spark: SparkSession, metrics_glob: str, catalogue_glob: str, out: str) -> dict:
     """S1 + S2 + K1: typed bronze tables from the metric CSVs and catalogue JSON
-    batches, with row counts (A1)."""
-    metrics = files.read_metrics_csv(spark, metrics_glob, METRICS_SCHEMA)
-    catalogue = files.read_catalogue_json(spark, catalogue_glob, CATALOGUE_SCHEMA)
-    sinks.write_table(metrics, f"{out}/bronze_twitch")
-    sinks.write_table(catalogue, f"{out}/bronze_steam")
-    return {
-        "bronze_twitch": spark.read.parquet(f"{out}/bronze_twitch"),
-        "bronze_steam": spark.read.parquet(f"{out}/bronze_steam"),
-    }
+    batches. Lines whose values do not fit the declared types go to
+    ``*_rejects`` tables (raw text kept) instead of loading as NULLs."""
+    tables = {}
+    for name, df in (
+            ("bronze_twitch", files.read_metrics_csv(spark, metrics_glob, METRICS_SCHEMA,
+                                                      rejects=True)),
+            ("bronze_steam", files.read_catalogue_json(spark, catalogue_glob, CATALOGUE_SCHEMA,
+                                                        rejects=True))):
+        # the raw read is materialised once, then split into rows and rejects
+        sinks.write_table(df, f"{out}/_raw_{name}")
+        good, bad = files.split_rejects(spark.read.parquet(f"{out}/_raw_{name}"))
+        sinks.write_table(good, f"{out}/{name}")
+        sinks.write_table(bad, f"{out}/{name}_rejects")
+        tables[name] = spark.read.parquet(f"{out}/{name}")
+        tables[f"{name}_rejects"] = spark.read.parquet(f"{out}/{name}_rejects")
+    return tables
 
 
 # Models joined on the game key downstream (fact <-> bridges in the goal

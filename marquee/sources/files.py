@@ -28,10 +28,29 @@ def with_file_order(df: DataFrame) -> DataFrame:
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
+def with_corrupt_column(schema: T.StructType) -> T.StructType:
+    """``schema`` plus a text column that receives lines the reader cannot parse."""
+    return T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+
+
+def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(parsed rows, rejected raw lines) of a read made with ``with_corrupt_column``."""
+    return (df.where(F.col(CORRUPT).isNull()).drop(CORRUPT),
+            df.where(F.col(CORRUPT).isNotNull()))
+
+
 def read_metrics_csv(spark: SparkSession, path: str, schema: T.StructType = METRICS_TEXT_SCHEMA,
-                     with_order: bool = False, **options) -> DataFrame:
+                     with_order: bool = False, rejects: bool = False, **options) -> DataFrame:
     """Comma CSV files with a header, declared schema, globbed or
-    discovered recursively (``recursiveFileLookup`` + ``pathGlobFilter``)."""
+    discovered recursively (``recursiveFileLookup`` + ``pathGlobFilter``). With
+    ``rejects`` a line whose values do not fit the schema keeps its raw text in
+    ``_corrupt_record`` instead of silently becoming NULLs."""
+    if rejects:
+        schema = with_corrupt_column(schema)
+        options = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE", **options}
     reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
     for k, v in options.items():
         reader = reader.option(k, v)
@@ -41,9 +60,13 @@ def read_metrics_csv(spark: SparkSession, path: str, schema: T.StructType = METR
 
 def read_catalogue_json(spark: SparkSession, path: str,
                         schema: T.StructType = CATALOGUE_SCHEMA, with_order: bool = False,
-                        **options) -> DataFrame:
+                        rejects: bool = False, **options) -> DataFrame:
     """Pretty-printed JSON arrays of objects (``multiLine``), any depth of
-    glob. An empty array file contributes no rows."""
+    glob. An empty array file contributes no rows. With ``rejects`` an
+    unparsable file or record lands in ``_corrupt_record``."""
+    if rejects:
+        schema = with_corrupt_column(schema)
+        options = {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE", **options}
     reader = spark.read.schema(schema).option("multiLine", True)
     for k, v in options.items():
         reader = reader.option(k, v)

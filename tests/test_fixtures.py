@@ -342,3 +342,20 @@ def test_member_links_skip_stored_pairs(spark):
     links = legacy.catalogue_links(bronze, dim, "genre", existing=stored)
     assert sorted((r.game_appid, r.member_id) for r in links.collect()) == \
         [(1, ids["B"]), (2, ids["B"])]
+
+
+def test_pipeline_rejects_values_that_do_not_fit(spark, tmp):
+    from marquee.plans import pipeline
+    root = os.path.join(tmp, "raw")
+    _write(os.path.join(root, "steam", "o1", "a.json"), json.dumps([_game(1, "A"), _game(2, "B")], indent=2))
+    _write(os.path.join(root, "twitch", "b.csv"),
+           "steam_id,Month,AvgViewers,AvgViewersGain,AvgViewers%Gain,PeakViewers,AvgStreams,"
+           "AvgStreamsGain,AvgStreamsùGain,PeakStreams,HoursWatched\n"
+           "1,01/03/2024,2.5,1,2,10,3,1,1,4,100\n"
+           "2,01/03/2024,\"1,234\",1,2,10,3,1,1,4,100\n")
+    t = pipeline.load_bronze(spark, f"{root}/twitch/*.csv", f"{root}/steam/*/*.json",
+                             os.path.join(tmp, "wh"))
+    assert t["bronze_twitch"].count() == 1
+    rej = t["bronze_twitch_rejects"].collect()
+    assert len(rej) == 1 and "1,234" in rej[0]["_corrupt_record"]
+    assert t["bronze_steam"].count() == 2 and t["bronze_steam_rejects"].count() == 0
