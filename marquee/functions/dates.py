@@ -47,10 +47,6 @@ def parse_timestamp(c, fmt: str = DAY_FORMAT) -> Column:
     return F.to_timestamp_ntz(_c(c), F.lit(fmt))
 
 
-def try_parse_timestamp(c, fmt: str = DAY_FORMAT) -> Column:
-    return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("timestamp_ntz")
-
-
 def parse_day(c, fmt: str = DAY_FORMAT) -> Column:
     """Text -> DATE with the collectors' day/month/year format."""
     return F.to_date(_c(c), fmt)

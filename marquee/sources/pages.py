@@ -88,9 +88,6 @@ def extract_tables(pages: DataFrame, marker: str, key: str = "page_id",
     return rows.select(key, *keep, "row_no", "headers", cells.alias("cells"))
 
 
-LINK_PATTERN = r'(?s)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
-
-
 def extract_links(pages: DataFrame, key: str = "page_id", html: str = "html",
                   css_class: str | None = None) -> DataFrame:
     """(key, pos, href, title) for every anchor, optionally only those with
