@@ -51,12 +51,12 @@ def surrogate_key(df: DataFrame, by: str, name: str, partitions: int | None = No
     # a hash of the row, then a row id for exact copies. A key value (or a group
     # of identical rows) holding a third of the input is then split across
     # range partitions instead of landing in one task.
-    tie = [F.xxhash64(*[F.col(c) for c in df.columns]).alias("_h"),
-           F.monotonically_increasing_id().alias("_r")]
-    order = [_order(by, nulls_last), F.col("_h"), F.col("_r")]
+    tie = [F.xxhash64(*[F.col(c) for c in df.columns]).alias("__mq_h"),
+           F.monotonically_increasing_id().alias("__mq_r")]
+    order = [_order(by, nulls_last), F.col("__mq_h"), F.col("__mq_r")]
     ordered = materialize(
         df.select("*", *tie).repartitionByRange(n, *order).sortWithinPartitions(*order)
-          .drop("_h", "_r"))
+          .drop("__mq_h", "__mq_r"))
     # One count per partition -- a list bounded by the partition count, not by
     # the data -- taken once, right after the checkpoint; consumers then see a
     # plain projection with the running offsets as a literal array.
@@ -74,10 +74,10 @@ def surrogate_key(df: DataFrame, by: str, name: str, partitions: int | None = No
         return ordered.select((base + pos + 1).cast("bigint").alias(name),
                               *[F.col(c) for c in df.columns])
     # very many partitions: the offsets table (one row per partition) is broadcast
-    table = spark.createDataFrame(list(enumerate(offsets)), "_pid bigint, _off bigint")
-    tagged = ordered.select(pid.alias("_pid"), pos.alias("_pos"), *[F.col(c) for c in df.columns])
-    keyed = tagged.join(F.broadcast(table), "_pid")
-    return keyed.select((F.col("_off") + F.col("_pos") + 1).cast("bigint").alias(name),
+    table = spark.createDataFrame(list(enumerate(offsets)), "__mq_pid bigint, __mq_off bigint")
+    tagged = ordered.select(pid.alias("__mq_pid"), pos.alias("__mq_pos"), *[F.col(c) for c in df.columns])
+    keyed = tagged.join(F.broadcast(table), "__mq_pid")
+    return keyed.select((F.col("__mq_off") + F.col("__mq_pos") + 1).cast("bigint").alias(name),
                         *[F.col(c) for c in df.columns])
 
 
