@@ -69,7 +69,7 @@ def decimal_comma(c) -> Column:
 def int_trunc(c) -> Column:
     """Python ``int(float(x.replace(',', '')))`` -- truncation toward zero."""
     c = _c(c)
-    return F.regexp_replace(c.cast("string"), ",", "").try_cast("double").cast("int")
+    return F.replace(c.cast("string"), F.lit(","), F.lit("")).try_cast("double").cast("int")
 
 
 def int_half_even(c) -> Column:

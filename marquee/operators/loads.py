@@ -93,7 +93,8 @@ def accept_metrics(raw: DataFrame) -> DataFrame:
 
     Required counts: '-' -> NULL, otherwise ``int(float(x))`` after removing
     commas; a blank (or otherwise unparsable) value rejects the row. Gains: blank
-    or '-' -> NULL. Adds ``accepted`` and ``reason``."""
+    or '-' -> NULL. Adds ``date`` (the day-first month), ``accepted`` and
+    ``reason``."""
     def q(c):
         return F.col(f"`{c}`")
 
@@ -109,14 +110,14 @@ def accept_metrics(raw: DataFrame) -> DataFrame:
                    .otherwise(X.int_trunc(q(c))).alias(c))
     for c in OPTIONAL_PCT_METRICS:
         out.append(F.when(q(c).isin("-", ""), F.lit(None).cast("double"))
-                   .otherwise(F.regexp_replace(q(c), ",", "").try_cast("double")).alias(c))
+                   .otherwise(F.replace(q(c), F.lit(","), F.lit("")).try_cast("double")).alias(c))
     out.append(F.when(q("HoursWatched") == "-", F.lit(None).cast("string"))
                .otherwise(q("HoursWatched")).alias("HoursWatched"))
-    month_bad = F.when(F.try_to_date(q("Month"), "d/M/yyyy").isNull(),
-                       F.lit("bad Month"))
+    date = F.try_to_date(q("Month"), "d/M/yyyy")
+    month_bad = F.when(date.isNull(), F.lit("bad Month"))
     reason = F.coalesce(*bad, month_bad)
     extra = [c for c in raw.columns if c not in
              ("steam_id", "Month", *REQUIRED_METRICS, *OPTIONAL_INT_METRICS,
               *OPTIONAL_PCT_METRICS, "HoursWatched")]
-    return raw.select(*out, *extra, reason.alias("reason")).withColumn(
+    return raw.select(*out, *extra, date.alias("date"), reason.alias("reason")).withColumn(
         "accepted", F.col("reason").isNull())

@@ -69,7 +69,7 @@ def metrics_load(raw_text: DataFrame, games: DataFrame, target: DataFrame | None
     """Monthly metrics CSV read as text (with file order). F10 parses and
     rejects, K8 rejects unknown games, K7 keeps the first row per
     (steam_id, date) and skips stored keys, K9 audits per file."""
-    accepted = evaluate_once(loads.accept_metrics(raw_text).withColumn("date", D.try_parse_day("Month")))
+    accepted = evaluate_once(loads.accept_metrics(raw_text))
     parsed = _with_parent(accepted, games, "steam_id", game_key)
     ok = F.col("accepted") & F.col("_known")
     rows = loads.insert_ignore(parsed.where(ok), target, ["steam_id", "date"],
