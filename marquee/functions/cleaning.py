@@ -49,10 +49,14 @@ def suffix_number(c) -> Column:
 
 
 def cell_value(c) -> Column:
-    """A scraped table cell as a number: X11 first, X12 for suffixed values."""
-    stripped = strip_marks(_c(c))
-    return F.when(_c(c) == "-", F.lit(None).cast("double")).otherwise(
-        F.coalesce(stripped.try_cast("double"), suffix_number(stripped).cast("double")))
+    """A scraped table cell as a number: X12 for values ending in M/K (which can
+    never parse as plain numbers), X11 otherwise. Routing by the suffix avoids
+    a failed cast per suffixed cell."""
+    stripped = F.trim(strip_marks(_c(c)))
+    suffixed = stripped.endswith("M") | stripped.endswith("K")
+    return (F.when(_c(c) == "-", F.lit(None).cast("double"))
+             .when(suffixed, suffix_number(stripped).cast("double"))
+             .otherwise(stripped.try_cast("double")))
 
 
 def gain(c) -> Column:
