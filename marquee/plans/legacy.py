@@ -182,7 +182,10 @@ def run(spark, out: str, catalogue_glob: str, metrics_glob: str | None = None,
     t["developers"] = keep("developers", devs)
     t["steamgames"] = keep("steamgames", games)
     ids = t["steamgames"].select("appid")
-    known = bronze.join(ids, "appid", "left_semi")
+    # members are linked only from the rows that were inserted: a later row of
+    # an appid already stored is refused whole, its members included
+    known = loads.first_per_key(bronze.where(F.col("name").isNotNull()), ["appid"],
+                                ["file_path", "line_no"])
     for table, link, col in (("categories", "games_categories", "categories"),
                              ("genres", "games_genres", "genre")):
         t[table] = keep(table, member_dim(known, col, collation=collation))

@@ -276,6 +276,8 @@ def test_legacy_run(spark, tmp, catalogue_dir, metrics_dir, history_dir):
     assert games[10].developer_id == devs["Zeta"]
     gen = {r.name for r in t["genres"].collect()}
     assert gen == {"Action", "RPG"}                 # NULL member is no genre
+    cats = {r.name for r in t["categories"].collect()}
+    assert cats == {"Single-player"}
     links = t["games_genres"].collect()
     assert len(links) == len({(r.game_appid, r.member_id) for r in links})
     assert t["twitchgames"].count() == 2 and t["players_history"].count() == 2
@@ -359,3 +361,12 @@ def test_pipeline_rejects_values_that_do_not_fit(spark, tmp):
     rej = t["bronze_twitch_rejects"].collect()
     assert len(rej) == 1 and "1,234" in rej[0]["_corrupt_record"]
     assert t["bronze_steam"].count() == 2 and t["bronze_steam_rejects"].count() == 0
+
+
+def test_legacy_refused_duplicate_links_no_members(spark, tmp):
+    root = os.path.join(tmp, "cat")
+    _write(os.path.join(root, "o1", "a.json"), json.dumps([_game(7, "First", genre=["Action"])], indent=2))
+    _write(os.path.join(root, "o2", "b.json"), json.dumps([_game(7, "Again", genre=["Indie"])], indent=2))
+    t = legacy.run(spark, os.path.join(tmp, "out"), f"{root}/*/*.json")
+    assert [r.name for r in t["steamgames"].collect()] == ["First"]
+    assert {r.name for r in t["genres"].collect()} == {"Action"}  # 'Indie' came with the refused row
