@@ -60,7 +60,9 @@ def surrogate_key(df: DataFrame, by: str, name: str, partitions: int | None = No
     # One count per partition -- a list bounded by the partition count, not by
     # the data -- taken once, right after the checkpoint; consumers then see a
     # plain projection with the running offsets as a literal array.
-    sizes = dict(ordered.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    # (a single partition needs no count: its offset is 0)
+    sizes = ({0: 0} if n == 1 else
+             dict(ordered.groupBy(F.spark_partition_id().alias("p")).count().collect()))
     offsets, running = [], 0
     for pid in range(max(sizes, default=-1) + 1):
         offsets.append(running)
