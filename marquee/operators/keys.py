@@ -23,19 +23,6 @@ from ..session import materialize
 _LOW_BITS = (1 << 33) - 1
 # Up to this many partitions the running offsets travel as a literal array.
 MAX_LITERAL_OFFSETS = 10_000
-# Range partitions are sized for about this much input each.
-TARGET_PARTITION_BYTES = 128 << 20
-
-
-def range_partitions(df: DataFrame) -> int:
-    """Range partitions for ``df``: its size estimate over the target partition
-    size, at least 1 and at most ``spark.sql.shuffle.partitions`` (a genre list
-    is not spread over thousands of files, a large catalogue uses them all)."""
-    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(1, min(cap, -(-size // TARGET_PARTITION_BYTES)))
-
-
 def _order(col: str, nulls_last: bool = True):
     return F.col(col).asc_nulls_last() if nulls_last else F.col(col).asc_nulls_first()
 
@@ -46,7 +33,6 @@ def surrogate_key(df: DataFrame, by: str, name: str, partitions: int | None = No
     default), as the first column. Ties get consecutive keys in arbitrary order,
     like ``row_number``."""
     spark = df.sparkSession
-    n = partitions or range_partitions(df)
     # Ties may be numbered in any order, so the range order carries tie-breakers:
     # a hash of the row, then a row id for exact copies. A key value (or a group
     # of identical rows) holding a third of the input is then split across
@@ -54,9 +40,14 @@ def surrogate_key(df: DataFrame, by: str, name: str, partitions: int | None = No
     tie = [F.xxhash64(*[F.col(c) for c in df.columns]).alias("__mq_h"),
            F.monotonically_increasing_id().alias("__mq_r")]
     order = [_order(by, nulls_last), F.col("__mq_h"), F.col("__mq_r")]
-    ordered = materialize(
-        df.select("*", *tie).repartitionByRange(n, *order).sortWithinPartitions(*order)
-          .drop("__mq_h", "__mq_r"))
+    # Without an explicit count the range exchange uses the shuffle setting and
+    # AQE coalesces neighbouring ranges to the advisory partition size at
+    # runtime: a genre list ends up in one partition, a large catalogue in many.
+    tagged = df.select("*", *tie)
+    ranged = (tagged.repartitionByRange(partitions, *order) if partitions
+              else tagged.repartitionByRange(*order))
+    ordered = materialize(ranged.sortWithinPartitions(*order).drop("__mq_h", "__mq_r"))
+    n = ordered.rdd.getNumPartitions()
     # One count per partition -- a list bounded by the partition count, not by
     # the data -- taken once, right after the checkpoint; consumers then see a
     # plain projection with the running offsets as a literal array.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,12 +103,16 @@ def spread(df: DataFrame) -> DataFrame:
     A table stored as one unsplittable file (a single Parquet row group) scans
     as one task -- even when it is cut into several splits, all but one of them
     are empty -- so all per-row work before the first shuffle would run on one
-    core. Such a scan, if its estimated size is between 1 MB and 8 GB, is spread
-    round-robin; a large table is never shuffled just to add parallelism."""
+    core. Such a scan of local files between 1 MB and 8 GB is spread
+    round-robin; a large table is never shuffled just to add parallelism, and
+    inputs on distributed storage are left to the reader's splits."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    paths = [urlparse(f) for f in df.inputFiles()]
+    if not paths or any(p.scheme not in ("", "file") for p in paths):
+        return df  # distributed storage: inputs are split by the cluster's reader
+    size = sum(os.path.getsize(p.path) for p in paths)
     return df.repartition(cores) if SPREAD_MIN_BYTES <= size <= SPREAD_MAX_BYTES else df
 
 
