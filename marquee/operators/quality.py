@@ -4,6 +4,7 @@ the declared YAML tests do; ``run_checks`` runs a list and fails on violations."
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,28 +57,51 @@ def run_checks(checks: list[Check]) -> list[tuple[str, str, str, int]]:
     return rows
 
 
+# The declared checks of the staging and mart models: (model, table in the
+# built warehouse, check, column, parent table for relationships).
+DECLARED_CHECKS = (
+    ("stg_steam", "stg_catalogue", "not_null", "appid", None),
+    ("stg_steam", "stg_catalogue", "unique", "appid", None),
+    ("stg_twitch", "stg_metrics", "not_null", "appid", None),
+    *[(m, m, kind, col, None)
+      for m, col in (("dim_games", "game_key"), ("dim_games", "appid"), ("dim_date", "date_key"),
+                     ("dim_developer", "developer_key"), ("dim_genre", "genre_key"),
+                     ("dim_category", "category_key"))
+      for kind in ("not_null", "unique")],
+    *[(label, table, kind, col, parent if kind == "relationships" else None)
+      for label, table, col, parent in (
+          ("fct_twitch_data", "fct", "game_key", "dim_games"),
+          ("fct_twitch_data", "fct", "date_key", "dim_date"),
+          ("bridge_game_developer", "bridge_game_developer", "game_key", "dim_games"),
+          ("bridge_game_developer", "bridge_game_developer", "developer_key", "dim_developer"),
+          ("bridge_game_genre", "bridge_game_genre", "game_key", "dim_games"),
+          ("bridge_game_genre", "bridge_game_genre", "genre_key", "dim_genre"),
+          ("bridge_game_category", "bridge_game_category", "game_key", "dim_games"),
+          ("bridge_game_category", "bridge_game_category", "category_key", "dim_category"))
+      for kind in ("not_null", "relationships")],
+)
+
+
 def warehouse_checks(w) -> list[Check]:
     """The 31 declared checks of the staging and mart models."""
     t = w.tables()
-    out = [
-        Check("stg_steam", "not_null", "appid", check_not_null(t["stg_catalogue"], "appid")),
-        Check("stg_steam", "unique", "appid", check_unique(t["stg_catalogue"], "appid")),
-        Check("stg_twitch", "not_null", "appid", check_not_null(t["stg_metrics"], "appid")),
-    ]
-    for model, key in (("dim_games", "game_key"), ("dim_games", "appid"),
-                       ("dim_date", "date_key"), ("dim_developer", "developer_key"),
-                       ("dim_genre", "genre_key"), ("dim_category", "category_key")):
-        out.append(Check(model, "not_null", key, check_not_null(t[model], key)))
-        out.append(Check(model, "unique", key, check_unique(t[model], key)))
-    rels = (("fct", "game_key", "dim_games"), ("fct", "date_key", "dim_date"),
-            ("bridge_game_developer", "game_key", "dim_games"),
-            ("bridge_game_developer", "developer_key", "dim_developer"),
-            ("bridge_game_genre", "game_key", "dim_games"),
-            ("bridge_game_genre", "genre_key", "dim_genre"),
-            ("bridge_game_category", "game_key", "dim_games"),
-            ("bridge_game_category", "category_key", "dim_category"))
-    for model, col, parent in rels:
-        out.append(Check(model, "not_null", col, check_not_null(t[model], col)))
-        out.append(Check(model, "relationships", col,
-                         check_relationship(t[model], col, t[parent], col)))
+    out = []
+    for label, table, kind, col, parent in DECLARED_CHECKS:
+        if kind == "not_null":
+            failing = check_not_null(t[table], col)
+        elif kind == "unique":
+            failing = check_unique(t[table], col)
+        else:
+            failing = check_relationship(t[table], col, t[parent], col)
+        out.append(Check(label, kind, col, failing))
     return out
+
+
+def failure_counts(checks: list[Check]) -> DataFrame:
+    """One row per check with its failing-row count, as a DataFrame (the counts
+    are aggregates over the models; nothing is collected)."""
+    parts = [c.failing.agg(F.count(F.lit(1)).alias("n_failing"))
+             .select(F.lit(c.model).alias("model"), F.lit(c.kind).alias("kind"),
+                     F.lit(c.column).alias("column_name"), "n_failing")
+             for c in checks]
+    return reduce(lambda a, b: a.unionByName(b), parts)

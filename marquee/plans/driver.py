@@ -253,3 +253,69 @@ ORACLE = {
     "bridge_entity_brand": _bridge_sql("categories", "category_name", "category_key"),
     "fct_metrics": FACT_SQL,
 }
+
+
+# ---------------------------------------------------------------- quality gate
+
+STG_MONTHS_DIM_SQL = f"""
+WITH months AS (SELECT DISTINCT metric_month FROM ({STG_METRICS_SQL}) m
+                WHERE metric_month IS NOT NULL)
+SELECT (year(metric_month) * 100 + month(metric_month))::INT AS date_key,
+       metric_month AS full_date, year(metric_month) AS year, month(metric_month) AS month,
+       monthname(metric_month) AS month_name, quarter(metric_month) AS quarter
+FROM months"""
+
+STG_FACT_SQL = f"""
+SELECT g.game_key, d.date_key, t.avg_viewers, t.avg_viewers_gain, t.avg_viewers_pct_gain,
+       t.peak_viewers, t.avg_streams, t.avg_streams_gain, t.avg_streams_u_gain,
+       t.peak_streams, t.hours_watched
+FROM ({STG_METRICS_SQL}) t
+  INNER JOIN ({DIM_GAMES_SQL}) g ON t.appid = g.appid
+  INNER JOIN ({STG_MONTHS_DIM_SQL}) d
+    ON (year(t.metric_month) * 100 + month(t.metric_month))::INT = d.date_key"""
+
+# The warehouse as the pipeline builds it (months from the metrics themselves).
+WAREHOUSE_SQL = {
+    "stg_catalogue": STG_CATALOGUE_SQL,
+    "stg_metrics": STG_METRICS_SQL,
+    "dim_games": DIM_GAMES_SQL,
+    "dim_date": STG_MONTHS_DIM_SQL,
+    "dim_developer": _dim_member_sql("developers", "developer_name", "developer_key"),
+    "dim_genre": _dim_member_sql("genre", "genre_name", "genre_key"),
+    "dim_category": _dim_member_sql("categories", "category_name", "category_key"),
+    "bridge_game_developer": _bridge_sql("developers", "developer_name", "developer_key"),
+    "bridge_game_genre": _bridge_sql("genre", "genre_name", "genre_key"),
+    "bridge_game_category": _bridge_sql("categories", "category_name", "category_key"),
+    "fct": STG_FACT_SQL,
+}
+
+
+def _check_sql(label, table, kind, col, parent):
+    src = WAREHOUSE_SQL[table]
+    if kind == "not_null":
+        failing = f"SELECT 1 FROM ({src}) m WHERE m.{col} IS NULL"
+    elif kind == "unique":
+        failing = (f"SELECT m.{col} FROM ({src}) m WHERE m.{col} IS NOT NULL "
+                   f"GROUP BY m.{col} HAVING count(*) > 1")
+    else:
+        failing = (f"SELECT 1 FROM ({src}) c WHERE c.{col} IS NOT NULL AND c.{col} NOT IN "
+                   f"(SELECT p.{col} FROM ({WAREHOUSE_SQL[parent]}) p WHERE p.{col} IS NOT NULL)")
+    return (f"SELECT '{label}' AS model, '{kind}' AS kind, '{col}' AS column_name, "
+            f"count(*) AS n_failing FROM ({failing}) f")
+
+
+def q_qa_warehouse(spark, sf):
+    """Q1-Q4: the 31 declared checks over a warehouse built from the driver
+    tables, one row per check with its failing-row count."""
+    from ..operators import quality
+    w = marts.build_warehouse(stg_catalogue(spark, sf), stg_metrics(spark, sf))
+    return quality.failure_counts(quality.warehouse_checks(w))
+
+
+def _qa_sql():
+    from ..operators.quality import DECLARED_CHECKS
+    return "\nUNION ALL\n".join(_check_sql(*c) for c in DECLARED_CHECKS)
+
+
+QUERIES["qa_warehouse"] = q_qa_warehouse
+ORACLE["qa_warehouse"] = _qa_sql()
