@@ -308,7 +308,10 @@ def q_qa_warehouse(spark, sf):
     """Q1-Q4: the 31 declared checks over a warehouse built from the driver
     tables, one row per check with its failing-row count."""
     from ..operators import quality
-    w = marts.build_warehouse(stg_catalogue(spark, sf), stg_metrics(spark, sf))
+    from ..session import materialize
+    # every model is materialised once and read by all checks that use it
+    w = marts.build_warehouse(stg_catalogue(spark, sf), stg_metrics(spark, sf),
+                              write=lambda name, df: materialize(df))
     return quality.failure_counts(quality.warehouse_checks(w))
 
 
