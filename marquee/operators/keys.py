@@ -3,9 +3,10 @@
 ``row_number() OVER (ORDER BY k)`` would plan ``Exchange SinglePartition``: the
 whole table in one task. Here the key is built in two distributed phases:
 
-1. range-partition on ``k`` and sort inside each partition, then checkpoint
-   reliably (range bounds come from sampling, so a recomputed partition could
-   differ from the one that was counted);
+1. range-partition on ``k`` (AQE sizes the partitions at runtime) and sort
+   inside each partition, then checkpoint reliably (range bounds come from
+   sampling, so a recomputed partition could differ from the one that was
+   counted);
 2. each row's position inside its partition comes from
    ``monotonically_increasing_id`` (partition id in the high bits); per-partition
    counts -- one number per partition, a bound set by configuration, not data --
@@ -23,6 +24,8 @@ from ..session import materialize
 _LOW_BITS = (1 << 33) - 1
 # Up to this many partitions the running offsets travel as a literal array.
 MAX_LITERAL_OFFSETS = 10_000
+
+
 def _order(col: str, nulls_last: bool = True):
     return F.col(col).asc_nulls_last() if nulls_last else F.col(col).asc_nulls_first()
 
