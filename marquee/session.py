@@ -140,7 +140,9 @@ def evaluate_once(df: DataFrame) -> DataFrame:
     expressions into the predicate, so a parse that is filtered on afterwards
     runs once in the filter and again in the projection. A predicate on a
     generator's output cannot move below the generator: exploding a one-element
-    array of the row is a no-op that pins the parse to one evaluation per row."""
+    array of the row is a no-op that pins the parse to one evaluation per row.
+    Every column goes into the fence, so project to the needed columns first
+    (column pruning does not reach through it)."""
     cols = df.columns
     packed = F.explode(F.array(F.struct(*[F.col(f"`{c}`") for c in cols]))).alias("_row")
     return df.select(packed).select(*[F.col(f"_row.`{c}`").alias(c) for c in cols])
