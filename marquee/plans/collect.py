@@ -54,7 +54,8 @@ def metric_rows(game_pages: DataFrame, matches: DataFrame, key: str = "steam_id"
     # join them before the rows are exploded, shuffled on the page id (a size
     # estimate after aggregates must not decide to broadcast either side).
     pages = pages.join(matches.hint("shuffle_hash"), "tracker_id")
-    rows = evaluate_once(extract_tables(pages, METRICS_TABLE_MARKER, key="tracker_id", keep=(key,)))
+    rows = evaluate_once(extract_tables(pages, METRICS_TABLE_MARKER, key="tracker_id",
+                                        keep=(key,)).drop("headers"))
     rows = rows.where(F.size("cells") > 0)
     month = F.date_format(D.month_floor(D.parse_any_date(F.get(F.col("cells"), 0))), "dd/MM/yyyy")
     values = [X.cell_value(F.get(F.col("cells"), i)) for i in range(1, len(METRIC_HEADERS) - 1)]
@@ -67,7 +68,8 @@ def player_rows(chart_pages: DataFrame, as_of: str, key: str = "appid") -> DataF
     relative "Last 30 days" label resolved to ``as_of`` (X7), the month parsed
     with the format list (X5), thousands separators and signs removed (X13)."""
     pages = drop_notice_pages(chart_pages)
-    rows = evaluate_once(extract_tables(pages, PLAYERS_TABLE_MARKER, key=key)).where(F.size("cells") >= 4)
+    rows = evaluate_once(extract_tables(pages, PLAYERS_TABLE_MARKER, key=key).drop("headers")) \
+        .where(F.size("cells") >= 4)
     cell = lambda i: F.get(F.col("cells"), i)
     month = F.date_format(D.parse_any_date(D.relative_month(cell(0), as_of)), "dd/MM/yyyy")
     return rows.select(
