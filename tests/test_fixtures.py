@@ -370,3 +370,19 @@ def test_legacy_refused_duplicate_links_no_members(spark, tmp):
     t = legacy.run(spark, os.path.join(tmp, "out"), f"{root}/*/*.json")
     assert [r.name for r in t["steamgames"].collect()] == ["First"]
     assert {r.name for r in t["genres"].collect()} == {"Action"}  # 'Indie' came with the refused row
+
+
+def test_cli_warehouse_and_legacy(spark, tmp, capsys):
+    from marquee.__main__ import main
+    root = os.path.join(tmp, "raw")
+    _write(os.path.join(root, "steam", "o1", "a.json"), json.dumps([_game(1, "A"), _game(2, "B")], indent=2))
+    _write(os.path.join(root, "twitch", "b.csv"),
+           "steam_id,Month,AvgViewers,AvgViewersGain,AvgViewers%Gain,PeakViewers,AvgStreams,"
+           "AvgStreamsGain,AvgStreamsùGain,PeakStreams,HoursWatched\n1,01/03/2024,2.5,1,2,10,3,1,1,4,100\n")
+    assert main(["warehouse", "--metrics", f"{root}/twitch/*.csv", "--catalogue",
+                 f"{root}/steam/*/*.json", "--out", os.path.join(tmp, "wh")]) == 0
+    out = capsys.readouterr().out.strip().splitlines()
+    assert len(out) == 31 and all(line.endswith("\t0") for line in out)
+    assert main(["legacy", "--catalogue", f"{root}/steam/*/*.json", "--out", os.path.join(tmp, "lg"),
+                 "--metrics", f"{root}/twitch/*.csv"]) == 0
+    assert spark.read.parquet(os.path.join(tmp, "lg", "steamgames")).count() == 2
