@@ -31,6 +31,8 @@ def price_viewer_corr(fact: DataFrame, games: DataFrame, bridge: DataFrame,
     over priced games (price > 0): one overall row (member NULL) plus one per
     member. Per-game means are a grouped aggregate; ``corr`` is algebraic."""
     per_game = fact.groupBy("game_key").agg(F.avg("avg_viewers").alias("mean_viewers"))
+    # both branches below read ``priced``; the planner reuses its exchanges
+    # (ReusedExchange), so the fact is aggregated once without a checkpoint
     priced = per_game.join(games.where(F.col("price") > 0).select("game_key", "price"), "game_key")
     overall = priced.agg(F.lit(None).cast("string").alias(member_name),
                          F.count(F.lit(1)).alias("n_games"),
