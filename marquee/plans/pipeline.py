@@ -46,15 +46,18 @@ GAME_KEY_BUCKETED = {
 
 def run(spark: SparkSession, metrics_glob: str, catalogue_glob: str, out: str,
         month_format: str = "dd/MM/yyyy", check: bool = True, buckets: int | None = None,
-        table_prefix: str = ""):
+        table_prefix: str = "", partition_fact_by_month: bool = False):
     """Build every model under ``out``; returns (warehouse, check summary).
-    With ``buckets`` the fact and bridges are bucketed on ``game_key``."""
+    With ``buckets`` the fact and bridges are bucketed on ``game_key``; with
+    ``partition_fact_by_month`` the fact is also partitioned by ``date_key``, so
+    month-filtered reads prune whole folders."""
+    parts = {"fct_twitch_data": "date_key"} if partition_fact_by_month else None
     bronze = load_bronze(spark, metrics_glob, catalogue_glob, out)
     stg_c = staging.stage_catalogue(bronze["bronze_steam"])
     raw_m = bronze["bronze_twitch"].withColumn("Month", F.to_date("Month", month_format))
     stg_m = staging.stage_metrics(raw_m)
-    write = (sinks.bucketed_writer(spark, out, GAME_KEY_BUCKETED, buckets, table_prefix)
-             if buckets else sinks.table_writer(spark, out))
+    write = (sinks.bucketed_writer(spark, out, GAME_KEY_BUCKETED, buckets, table_prefix, parts)
+             if buckets else sinks.table_writer(spark, out, parts))
     w = marts.build_warehouse(stg_c, stg_m, write=write)
     checks = quality.warehouse_checks(w)
     summary = quality.run_checks(checks) if check else quality.summary(checks)

@@ -41,34 +41,39 @@ def export_json(df: DataFrame, path: str, per_file: int | None = None,
     w.json(path)
 
 
-def table_writer(spark: SparkSession, root: str):
+def table_writer(spark: SparkSession, root: str, partitions: dict[str, str] | None = None):
     """``write(name, df) -> df`` for ``build_warehouse``: write a model, hand
-    back its read-back table so later models reuse it instead of recomputing."""
+    back its read-back table so later models reuse it instead of recomputing.
+    Models named in ``partitions`` are written partitioned by that column."""
     def write(name: str, df: DataFrame) -> DataFrame:
         path = f"{root}/{name}"
-        write_table(df, path)
+        by = (partitions or {}).get(name)
+        write_table(df, path, partition_by=[by] if by else None)
         return read_back(spark, path)
     return write
 
 
 def write_bucketed(df: DataFrame, name: str, path: str, by: str, buckets: int,
-                   mode: str = "overwrite") -> DataFrame:
+                   mode: str = "overwrite", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a table bucketed and sorted on ``by`` (files at ``path``,
     registered in the session catalog) and return it read back. Tables bucketed
     on the same key with the same bucket count join without a shuffle."""
-    (df.write.mode(mode).option("path", path)
-       .bucketBy(buckets, by).sortBy(by).saveAsTable(name))
+    w = df.write.mode(mode).option("path", path)
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.bucketBy(buckets, by).sortBy(by).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
 def bucketed_writer(spark: SparkSession, root: str, buckets: dict[str, str], n: int,
-                    prefix: str = ""):
+                    prefix: str = "", partitions: dict[str, str] | None = None):
     """Like ``table_writer``; models named in ``buckets`` are written bucketed on
     their key, all with the same bucket count ``n``."""
-    plain = table_writer(spark, root)
+    plain = table_writer(spark, root, partitions)
 
     def write(name: str, df: DataFrame) -> DataFrame:
         if name in buckets:
-            return write_bucketed(df, f"{prefix}{name}", f"{root}/{name}", buckets[name], n)
+            return write_bucketed(df, f"{prefix}{name}", f"{root}/{name}", buckets[name], n,
+                                  partition_by=(partitions or {}).get(name))
         return plain(name, df)
     return write

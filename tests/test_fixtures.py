@@ -386,3 +386,19 @@ def test_cli_warehouse_and_legacy(spark, tmp, capsys):
     assert main(["legacy", "--catalogue", f"{root}/steam/*/*.json", "--out", os.path.join(tmp, "lg"),
                  "--metrics", f"{root}/twitch/*.csv"]) == 0
     assert spark.read.parquet(os.path.join(tmp, "lg", "steamgames")).count() == 2
+
+
+def test_fact_partitioned_by_month_prunes(spark, tmp):
+    from marquee.plans import pipeline
+    root = os.path.join(tmp, "raw")
+    _write(os.path.join(root, "steam", "o1", "a.json"), json.dumps([_game(1, "A"), _game(2, "B")], indent=2))
+    _write(os.path.join(root, "twitch", "b.csv"),
+           "steam_id,Month,AvgViewers,AvgViewersGain,AvgViewers%Gain,PeakViewers,AvgStreams,"
+           "AvgStreamsGain,AvgStreamsùGain,PeakStreams,HoursWatched\n"
+           "1,01/03/2024,2.5,1,2,10,3,1,1,4,100\n2,01/04/2024,3,1,2,10,3,1,1,4,10\n")
+    w, _ = pipeline.run(spark, f"{root}/twitch/*.csv", f"{root}/steam/*/*.json",
+                        os.path.join(tmp, "wh"), partition_fact_by_month=True)
+    march = w.fct.where(F.col("date_key") == 202403)
+    plan = march._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_key" in plan and "= 202403" in plan
+    assert march.count() == 1 and w.fct.count() == 2
