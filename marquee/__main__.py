@@ -1,7 +1,7 @@
 """Command line: ``spark-submit -m marquee <job> ...`` or ``python -m marquee <job> ...``.
 
 Jobs:
-  warehouse  --metrics GLOB --catalogue GLOB --out DIR [--buckets N]
+  warehouse  --metrics GLOB --catalogue GLOB --out DIR [--buckets N] [--partition-by-month]
   legacy     --catalogue GLOB --out DIR [--metrics GLOB] [--history DIR] [--users FILE]
              [--as-of "March 2025"] [--collation UNICODE_CI_AI]
   incremental --source DIR --target DIR --checkpoint DIR --keys k1,k2 --order c1,c2
@@ -27,6 +27,7 @@ def main(argv=None) -> int:
     w.add_argument("--catalogue", required=True)
     w.add_argument("--out", required=True)
     w.add_argument("--buckets", type=int)
+    w.add_argument("--partition-by-month", action="store_true")
     lg = sub.add_parser("legacy")
     lg.add_argument("--catalogue", required=True)
     lg.add_argument("--out", required=True)
@@ -45,7 +46,8 @@ def main(argv=None) -> int:
     if args.job == "warehouse":
         from .plans import pipeline
         _, summary = pipeline.run(spark, args.metrics, args.catalogue, args.out,
-                                  buckets=args.buckets)
+                                  buckets=args.buckets,
+                                  partition_fact_by_month=args.partition_by_month)
         for row in summary:
             print("\t".join(map(str, row)))
     elif args.job == "legacy":
