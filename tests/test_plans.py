@@ -84,3 +84,12 @@ def test_checked_broadcast_bounds_the_build_side(spark):
     text = over._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
     assert over.count() == 10
+
+
+def test_parses_run_once_per_row(spark):
+    from marquee.plans import driver_io, driver_pages
+    payload = driver_io.payload_fields(spark, SF_SMALL)
+    assert payload._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    pages = driver_pages.page_player_rows(spark, SF_SMALL)
+    # the table block is located once per page, not once per pushed-down filter
+    assert pages._jdf.queryExecution().optimizedPlan().toString().count("locate(") <= 2
