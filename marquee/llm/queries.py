@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, quality_rules, sharding
-from .common import read
+from . import (exact_dedup, jaccard_join, mixing, packing, quality_mil, quality_rules, sharding,
+               toxicity, warc)
+from .common import crc32_mod, read
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"),
+                           usable=toxicity.trainable(F.col("id")))
+    return toxicity.score(docs, model, threshold=0.7, held_out=crc32_mod(F.col("id"), 3) == 1)
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.entropy_balance(read(spark, sf_dir, "documents"), weights=(3.0, 1.0, 2.0),
+                                  budget=1.5, cap=2.0)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,10 +35,40 @@ FROM d JOIN g USING (t)
 """
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality_mil.train(docs, read(spark, sf_dir, "labels"),
+                              usable=quality_mil.trainable(F.col("id")))
+    return quality_mil.score(docs, model, threshold=0.7, held_out=crc32_mod(F.col("id"), 4) == 2)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.external_shuffle(read(spark, sf_dir, "documents"), n_shards=40)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL_OP7 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+     g AS (SELECT h, min(page_id) AS least FROM p WHERE strlen(h) >= 100 GROUP BY h)
+SELECT p.page_id, strlen(p.h) AS payload_bytes, sha256(p.h) AS payload_digest,
+       CASE WHEN g.least < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.least < p.page_id THEN g.least END AS refers_to
+FROM p LEFT JOIN g USING (h)
+"""
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"), threshold=75)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality_rules.ledger(read(spark, sf_dir, "documents"))
     return quality_rules.apply_policy(entries).select(
@@ -34,10 +77,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_mixing": op2_mixing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_sharding": op6_sharding,
+    "op7_warc": op7_warc,
+    "op8_jaccard_join": op8_jaccard_join,
+    "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLE = {
     "op3_exact_dedup": SQL_OP3,
+    "op7_warc": SQL_OP7,
 }
