@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (exact_dedup, jaccard_join, mixing, packing, quality_mil, quality_rules, sharding,
-               toxicity, warc)
+               suffix_dedup, toxicity, warc)
 from .common import crc32_mod, read
 
 
@@ -35,6 +35,10 @@ FROM d JOIN g USING (t)
 """
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = quality_mil.train(docs, read(spark, sf_dir, "labels"),
@@ -80,6 +84,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_sharding": op6_sharding,
     "op7_warc": op7_warc,
