@@ -35,14 +35,17 @@ PREFIX = 32         # characters of the text in the range key
 
 def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        keep: str = "min",
-                       normalise: Callable[[Column], Column] | None = None) -> DataFrame:
-    """One row per input row: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
+                       normalise: Callable[[Column], Column] | None = None,
+                       carry: bool = False) -> DataFrame:
+    """One row per input row: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``
+    and, with ``carry``, the input row as the struct ``record``.
 
     ``keep`` is ``"min"`` or ``"max"``: which id of a group of equal texts stays.
     ``normalise`` maps the text before it is compared (default: no change)."""
     text = F.coalesce(docs[text_col], F.lit(""))
+    record = [F.struct(*[docs[c] for c in docs.columns]).alias("record")] if carry else []
     rows = docs.select(docs[id_col].alias("_id"),
-                       (normalise(text) if normalise else text).alias("_t"))
+                       (normalise(text) if normalise else text).alias("_t"), *record)
     rows = rows.withColumn("_fp", F.xxhash64("_t"))
 
     limit = max(1, docs.count() // HEAVY_TEXTS)
@@ -64,7 +67,8 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .select("_id", "_hot", F.sha2("_t", 256).alias("_sha"),
                     F.row_number().over(run.orderBy(order)).alias("_rank"),
                     best("_id").over(whole).alias("_run_keep"),
-                    F.count(F.lit(1)).over(whole).alias("_run_size")))
+                    F.count(F.lit(1)).over(whole).alias("_run_size"),
+                    *(["record"] if carry else [])))
     runs = written(runs, "content-sort-runs")
 
     merged = (runs.where(F.col("_hot") & (F.col("_rank") == 1)).groupBy("_sha")
@@ -74,18 +78,12 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .select(F.col("_id").alias(id_col), keep_id.alias("keep_id"),
                     F.coalesce("_size", "_run_size").alias("group_size"),
                     (F.col("_id").eqNullSafe(keep_id) & (F.col("_rank") == 1)).alias("kept"),
-                    F.col("_sha").alias("text_sha256")))
+                    F.col("_sha").alias("text_sha256"), *(["record"] if carry else [])))
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    keep: str = "min") -> DataFrame:
-    """The documents that stay, with all their columns. Repeated rows with one id
-    and text come back once."""
-    stay = content_sort_dedup(docs, id_col, text_col, keep).where("kept").select(
-        F.col(id_col).alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
-    sha = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
-    cols = [docs[c] for c in docs.columns]
-    matched = docs.withColumn("_own_sha", sha).join(
-        stay, docs[id_col].eqNullSafe(F.col("_keep_id")) & (F.col("_own_sha") == F.col("_keep_sha")),
-        "left_semi")
-    return matched.select(*cols).dropDuplicates([id_col, text_col])
+    """The documents that stay, one of each group of equal texts, with all their
+    columns."""
+    return content_sort_dedup(docs, id_col, text_col, keep, carry=True).where("kept").select(
+        "record.*")

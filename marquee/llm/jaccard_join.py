@@ -26,7 +26,8 @@ by 64 bits of a hash of the whole set.
 
 Defined cases: a text without words (null too) has the empty set and is linked
 with nothing; fewer than five words make one shingle; rows repeated are one class;
-a null id counts as no id (a component with null ids only has a null id); an empty
+a null id counts as no id (a component with null ids only has a null id and
+no first document); an empty
 table gives an empty table; other columns are ignored.
 """
 
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bloom_bitmap, components, in_bloom, look_up, written
@@ -148,7 +149,8 @@ class _Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, threshold: int):
         self.threshold = threshold
         self.texts = docs.select(docs[id_col].alias("id"),
-                                 F.coalesce(docs[text_col], F.lit("")).alias("text"))
+                                 F.coalesce(docs[text_col], F.lit("")).alias("text"),
+                                 _text_hash(docs[text_col]).alias("th"))
         self.sc = docs.sparkSession.sparkContext
         self.order = self.sc.broadcast(_frequent(self.texts))
 
@@ -159,7 +161,7 @@ class _Join:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 sets = [shingles(t) for t in b["text"]]
-                out = {"id": b["id"], "n": [len(s) for s in sets],
+                out = {"id": b["id"], "th": b["th"], "n": [len(s) for s in sets],
                        "node": pd.array([_node(s) for s in sets], dtype="Int64"),
                        "prefix": [_signed(order.value.prefix(s, threshold)) for s in sets]}
                 maps = np.array([_parity(s) for s in sets], dtype=np.int64).reshape(-1, MAPS)
@@ -167,7 +169,7 @@ class _Join:
 
         maps = ", ".join(f"m{k} long" for k in range(MAPS))
         return written(self.texts.mapInPandas(
-            run, f"id long, n long, node long, prefix array<long>, {maps}"), "jaccard-sets")
+            run, f"id long, th long, n long, node long, prefix array<long>, {maps}"), "jaccard-sets")
 
     def shared_prefixes(self, sets: DataFrame) -> DataFrame:
         """(s, node) of the prefix shingles that several classes have."""
@@ -280,10 +282,14 @@ class _Join:
         return written(pairs.join(tested, ["x", "y"], "left_anti"), "jaccard-pairs")
 
 
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: int = THRESHOLD) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` (the smallest id
-    reachable by links)."""
+    reachable by links), ``first`` (it is the document with that id) and ``text_hash``."""
     join = _Join(docs, id_col, text_col, threshold)
     sets = join.describe()
     maps = [f"m{k}" for k in range(MAPS)]
@@ -299,25 +305,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = written(join.linked(rest, classes), "jaccard-more-links")
     labels = written(components(links.union(more), "jaccard-comps"), "jaccard-labels")
 
-    # the smallest id of each class, then of each component of classes
-    least = sets.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
-    named = written(least.join(labels, "node", "left").select(
-        "node", "least", F.coalesce("comp", "node").alias("comp")), "jaccard-named")
-    comp_id = written(named.groupBy("comp").agg(F.min("least").alias("component_id")),
-                      "jaccard-comp-ids")
-    of_class = written(look_up(named, comp_id, ["comp"], F.col("node")).select(
-        "node", "component_id"), "jaccard-class-ids")
-    out = look_up(sets.select("id", "n", "node"), of_class, ["node"], F.col("id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
-                      .alias("component_id"))
+    # the first document of each class, then of each component of classes
+    first = F.min(F.struct("id", "th")).alias("first")
+    named = written(
+        sets.where("n > 0 and id is not null").groupBy("node").agg(first)
+        .join(labels, "node", "left").select("node", "first", F.coalesce("comp", "node")
+                                             .alias("comp")), "jaccard-named")
+    of_comp = written(named.groupBy("comp").agg(F.min("first").alias("best")), "jaccard-firsts")
+    of_class = written(look_up(named, of_comp, ["comp"], F.col("node")).select("node", "best"),
+                       "jaccard-class-firsts")
+    out = look_up(sets.select("id", "th", "n", "node"), of_class, ["node"], F.col("id"))
+    alone = F.col("n") == 0
+    return out.select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("id")).otherwise(F.col("best.id")).alias("component_id"),
+        (alone | F.struct("id", "th").eqNullSafe(F.col("best"))).alias("first"),
+        F.col("th").alias("text_hash"))
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: int = THRESHOLD) -> DataFrame:
     """The documents that stay when one document of each component -- that with the
-    smallest id -- is kept, with all their columns."""
-    stay = near_duplicates(docs, id_col, text_col, threshold).where(
-        F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("_keep")).distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(F.col("_keep")), "left_semi")
+    smallest id -- is kept, with all their columns; documents without words stay.
+    Rows repeated with one id and text come back once."""
+    stay = near_duplicates(docs, id_col, text_col, threshold).where("first").select(
+        F.col(id_col).alias("_id"), F.col("text_hash").alias("_th")).distinct()
+    own = docs.withColumn("_own_th", _text_hash(docs[text_col]))
+    kept = own.join(stay, own[id_col].eqNullSafe(stay["_id"]) & (own["_own_th"] == stay["_th"]))
+    return kept.dropDuplicates(["_id", "_th"]).select(*docs.columns)

@@ -90,6 +90,70 @@ def _cuts(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["src", "size_class", "bins_taken"])
 
 
+def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int,
+              bins: int, *extra) -> DataFrame:
+    size = F.size(words(docs[text_col])).cast("long")
+    rows = docs.select(docs[id_col].alias("id"), docs[source_col].alias("source"),
+                       size.alias("size"), *extra)
+    size_class = F.when(F.col("size") > 0, F.floor(F.log2("size")).cast("int")).otherwise(-1)
+    return rows.withColumns({
+        "size_class": size_class,
+        "bin": F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(bins)).cast("int")})
+
+
+class Mix:
+    """The solved mix: rates by source, and the bins that get one copy more."""
+
+    def __init__(self, base: DataFrame, weights: Sequence[float], budget: float, cap: float):
+        spark = base.sparkSession
+        found = base.groupBy("source").agg(F.sum("size").alias("n")).limit(
+            MAX_SOURCES + 1).collect()
+        if len(found) > MAX_SOURCES:
+            raise ValueError(f"more than {MAX_SOURCES} sources")
+        found.sort(key=lambda r: (r.source is None, r.source or ""))
+        sizes = [r.n for r in found]
+        goal = np.array(targets(sizes, [weights[k % len(weights)] for k in range(len(found))],
+                                budget, cap))
+
+        def table(**columns) -> DataFrame:
+            """One row a source: bounded by MAX_SOURCES, so it may be broadcast."""
+            rows = [(r.source, k, *[float(c[k]) for c in columns.values()])
+                    for k, r in enumerate(found)]
+            schema = "of string, src int" + "".join(f", {c} double" for c in columns)
+            return F.broadcast(spark.createDataFrame(rows, schema))
+
+        def moments(at: np.ndarray) -> np.ndarray:
+            t = table(at=at)
+            taken = base.join(t, base["source"].eqNullSafe(t["of"])).groupBy("src").agg(
+                F.sum(F.col("size") * F.exp("at")).alias("words"))
+            out = np.zeros(len(found))
+            for r in taken.collect():
+                out[r.src] = r.words
+            return out
+
+        at = newton(moments, goal) if found else np.zeros(0)
+        rates = np.minimum(np.exp(at), cap)
+        rates = np.where(np.abs(rates - np.round(rates)) < 1e-7, np.round(rates), rates)
+        whole = np.floor(rates)
+        self.spec = table(source_size=sizes, target=goal, rate=rates, whole=whole,
+                          share=rates - whole)
+        histogram = (self._with_source(base).where("size > 0")
+                     .groupBy("src", "share", "size_class", "bin")
+                     .agg(F.sum("size").alias("words")))
+        # at most 64 classes a source: bounded like the sources
+        self.cuts = F.broadcast(written(histogram.groupBy("src").applyInPandas(
+            _cuts, "src int, size_class int, bins_taken int"), "mix-cuts"))
+
+    def _with_source(self, rows: DataFrame) -> DataFrame:
+        return rows.join(self.spec, rows["source"].eqNullSafe(self.spec["of"]))
+
+    def copies(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the numbers of their source and ``copies``; no shuffle."""
+        extra = F.when(F.col("bin") < F.col("bins_taken"), 1).otherwise(0)
+        return self._with_source(rows).join(self.cuts, ["src", "size_class"], "left").withColumn(
+            "copies", (F.col("whole") + extra).cast("int"))
+
+
 def entropy_balance(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source", weights: Sequence[float] = WEIGHTS,
                     budget: float = BUDGET, cap: float = CAP, seed: int = 5,
@@ -97,70 +161,24 @@ def entropy_balance(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: id, ``size``, ``source_size``, ``target``, ``taken``,
     ``copies``, ``rate``. Sources by code point, null last, weigh ``weights``
     repeated."""
-    spark = docs.sparkSession
-    size_class = F.when(F.col("size") > 0, F.floor(F.log2("size")).cast("int")).otherwise(-1)
-    base = written(
-        docs.select(docs[id_col].alias("id"), docs[source_col].alias("source"),
-                    F.size(words(docs[text_col])).cast("long").alias("size"))
-        .withColumn("size_class", size_class)
-        .withColumn("bin", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(bins)).cast("int")),
-        "mix-sizes")
-
-    found = base.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    found.sort(key=lambda r: (r.source is None, r.source or ""))
-    sizes = [r.n for r in found]
-    goal = np.array(targets(sizes, [weights[k % len(weights)] for k in range(len(found))],
-                            budget, cap))
-
-    def table(**columns) -> DataFrame:
-        """One row a source: bounded by MAX_SOURCES, so it may be broadcast."""
-        rows = [(r.source, k, *[float(c[k]) for c in columns.values()])
-                for k, r in enumerate(found)]
-        schema = "of string, src int" + "".join(f", {c} double" for c in columns)
-        return F.broadcast(spark.createDataFrame(rows, schema))
-
-    def with_source(t: DataFrame) -> DataFrame:
-        return base.join(t, base["source"].eqNullSafe(t["of"]))
-
-    def moments(at: np.ndarray) -> np.ndarray:
-        rows = with_source(table(at=at)).groupBy("src").agg(
-            F.sum(F.col("size") * F.exp("at")).alias("words")).collect()
-        out = np.zeros(len(found))
-        for r in rows:
-            out[r.src] = r.words
-        return out
-
-    at = newton(moments, goal) if found else np.zeros(0)
-    rates = np.minimum(np.exp(at), cap)
-    rates = np.where(np.abs(rates - np.round(rates)) < 1e-7, np.round(rates), rates)
-    whole = np.floor(rates)
-    spec = table(source_size=sizes, target=goal, rate=rates, whole=whole, share=rates - whole)
-
-    rated = with_source(spec)
-    histogram = (rated.where("size > 0").groupBy("src", "share", "size_class", "bin")
-                 .agg(F.sum("size").alias("words")))
-    cuts = written(histogram.groupBy("src").applyInPandas(
-        _cuts, "src int, size_class int, bins_taken int"), "mix-cuts")
-    # at most 64 classes a source: bounded like the sources
-    cut_up = rated.join(F.broadcast(cuts), ["src", "size_class"], "left")
-    copies = (F.col("whole") + F.when(F.col("bin") < F.col("bins_taken"), 1).otherwise(0)).cast("int")
-    return cut_up.select(
+    base = written(_measured(docs, id_col, text_col, source_col, seed, bins), "mix-sizes")
+    return Mix(base, weights, budget, cap).copies(base).select(
         F.col("id").alias(id_col), "size", F.col("source_size").cast("long").alias("source_size"),
-        "target", (copies * F.col("size")).cast("long").alias("taken"), copies.alias("copies"),
-        "rate")
+        "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies", "rate")
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source", weights: Sequence[float] = WEIGHTS,
+                    budget: float = BUDGET, cap: float = CAP, seed: int = 5,
+                    bins: int = 1024) -> DataFrame:
     """The mix itself: every document as often as it is taken, all columns kept.
 
-    Documents the mix takes no copy of are absent; a document without words is
-    kept once, as it weighs nothing."""
-    copies = entropy_balance(docs, id_col, **options).select(
-        F.col(id_col).alias("_mix_id"),
-        F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).alias("_copies")).distinct()
-    return (docs.join(copies, docs[id_col].eqNullSafe(F.col("_mix_id")))
-            .withColumn("_copy", F.explode(F.expr(
-                "CASE WHEN _copies > 0 THEN sequence(1, _copies) END")))
-            .select(*[docs[c] for c in docs.columns]))
+    Documents the mix takes no copy of are absent; a document without words weighs
+    nothing and is kept once."""
+    base = written(_measured(docs, id_col, text_col, source_col, seed, bins), "mix-sizes")
+    record = F.struct(*[docs[c] for c in docs.columns]).alias("record")
+    rows = _measured(docs, id_col, text_col, source_col, seed, bins, record)
+    times = F.when(F.col("size") == 0, 1).otherwise(F.col("copies"))
+    return (Mix(base, weights, budget, cap).copies(rows)
+            .withColumn("copy", F.explode(F.when(times > 0, F.sequence(F.lit(1), times))))
+            .select("record.*"))

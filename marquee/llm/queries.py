@@ -66,7 +66,8 @@ FROM p LEFT JOIN g USING (h)
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"), threshold=75)
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents"), threshold=75).select(
+        "doc_id", "n_shingles", "component_id")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +80,61 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "fail_bits")
 
+SQL_OP8 = r"""
+WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+      FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN w ELSE list_slice(w, i, i + 4) END AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i
+            FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+      FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+      WHERE 100 * c >= 75 * (p.n + q.n - c)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT x AS a, y AS b FROM e UNION SELECT r.a, e.y FROM r JOIN e ON r.b = e.x)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles,
+       least(w.doc_id, coalesce(m.b, w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, min(b) AS b FROM r GROUP BY a) m USING (doc_id)
+"""
+
+SQL_OP10 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+l AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(t, chr(10)),
+                         lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT doc_id, i, list_slice(w, i, i + 4) AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM l)),
+c AS (SELECT doc_id, count(DISTINCT i + k) AS n
+      FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS times FROM g)
+      CROSS JOIN range(0, 5) r(k) WHERE times > 1 GROUP BY doc_id),
+m AS (SELECT l.doc_id, len(w) AS n_words,
+             length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+             len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+             coalesce(c.n, 0) AS n_repeat_words, len(list_distinct(w)) AS n_distinct,
+             length(regexp_replace(t, '[^!]', '', 'g')) AS n_exclaims,
+             length(regexp_replace(t, '[^\pL]', '', 'g')) AS n_letters,
+             length(regexp_replace(t, '[^\p{Lu}]', '', 'g')) AS n_upper
+      FROM l LEFT JOIN c USING (doc_id)),
+f AS (SELECT *, n_words < 10 AS f0, 100 * n_repeat_words > 20 * n_words AS f1,
+             10 * n_symbols > n_words AS f2, 10 * n_dup_lines > 3 * n_lines AS f3,
+             word_chars < 2 * n_words AS f4, word_chars > 15 * n_words AS f5,
+             2 * n_upper > n_letters AS f6, 5 * n_exclaims > n_words AS f7,
+             2 * n_letters < word_chars AS f8,
+             n_words >= 50 AND 10 * n_distinct < n_words AS f9 FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       f0 OR f1 AS base_failed,
+       NOT (f0 OR f1 OR f2 OR f6 OR f7 OR f8 OR f9 OR f3::INT + f4::INT + f5::INT >= 2) AS kept,
+       (f0::BIGINT + 2 * f1::BIGINT + 4 * f2::BIGINT + 8 * f3::BIGINT + 16 * f4::BIGINT
+        + 32 * f5::BIGINT + 64 * f6::BIGINT + 128 * f7::BIGINT + 256 * f8::BIGINT
+        + 512 * f9::BIGINT)::BIGINT AS fail_bits
+FROM f
+"""
+
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
@@ -95,4 +151,6 @@ QUERIES = {
 ORACLE = {
     "op3_exact_dedup": SQL_OP3,
     "op7_warc": SQL_OP7,
+    "op8_jaccard_join": SQL_OP8,
+    "op10_quality_rules": SQL_OP10,
 }

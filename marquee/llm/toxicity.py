@@ -307,17 +307,21 @@ def _evidence_columns(docs: DataFrame, model: Model, text_col: str = "text") ->
     return [both["evidence"].alias("evidence"), both["clauses"].alias("clauses")]
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-          threshold: float = 0.7, held_out: Column | None = None) -> DataFrame:
-    """id, ``held_out``, ``score``, ``predicted``, ``clauses`` of every document."""
+def _probability(model: Model) -> Column:
     z = F.lit(float(model.bias))
     for k, w in enumerate(model.weights):
         z = z + F.get("evidence", F.lit(k)) * F.lit(float(w))
+    return 1 / (1 + F.exp(-z))
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+          threshold: float = 0.7, held_out: Column | None = None) -> DataFrame:
+    """id, ``held_out``, ``score``, ``predicted``, ``clauses`` of every document."""
     read = docs.select(docs[id_col].alias("id"), *_evidence_columns(docs, model, text_col))
     scored = read.select(
         F.col("id").alias(id_col), (held_out if held_out is not None else F.lit(None)
                                     .cast("boolean")).alias("held_out"),
-        (1 / (1 + F.exp(-z))).alias("score"), "clauses")
+        _probability(model).alias("score"), "clauses")
     return scored.select(id_col, "held_out", "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"), "clauses")
 
@@ -325,3 +329,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def trainable(id_col: Column, folds: int = 3, held: int = 1) -> Column:
     """Rows a model may learn from: crc32 of the id's text mod ``folds`` is not ``held``."""
     return F.coalesce(crc32_mod(id_col, folds) != held, F.lit(False))
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text",
+             threshold: float = 0.7) -> DataFrame:
+    """The documents that score below ``threshold``, with all their columns."""
+    record = F.struct(*[docs[c] for c in docs.columns]).alias("record")
+    read = docs.select(record, _evidence_columns(docs, model, text_col)[0])
+    return read.where(_probability(model) < threshold).select("record.*")
