@@ -51,7 +51,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(read(spark, sf_dir, "pages")).select(
+    return warc.round_trip(read(spark, sf_dir, "pages"), with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -2,35 +2,47 @@
 
 Writing: one record per page. Of pages with equal payloads of at least
 ``MIN_REVISIT`` bytes the one with the smallest id is a ``response``, the others
-are ``revisit`` records that refer to it and carry the HTTP header only. Spark's
-text writer writes the files, so they may lie in any store Spark can write to.
-
-Reading: the files are split at the magic line, so a payload that holds it yields
-false candidates. Every candidate at byte offset ``o`` emits the offset at which
-its successor would start (by its Content-Length). A real record is one that the
-chain from the start of the file reaches; pointer jumping finds these: each round
-every reached candidate marks its pointer's target and every pointer is replaced
-by its target's pointer, so r rounds cover chains of 2 ** r records, over all
-files at once and on (file, offset, pointer) rows only. A record is then put
-together from the candidates between it and the next reached one.
+are ``revisit`` records that refer to it and carry the HTTP header only. Only pages
+whose digest a fixed-size Bloom filter of repeated digests may hold are shuffled to
+find that out. Spark's text writer writes the files (gzip by default), so they may
+lie in any store Spark can write to.
+
+Reading, two scans that shuffle no payload:
+
+1. The files are split at the magic line, so a payload that holds it yields false
+   candidates. Every candidate at byte offset ``o`` emits the offset at which its
+   successor would start (by its Content-Length). A real record is one that the
+   chain from the start of the file reaches; pointer jumping finds these: each round
+   every reached candidate marks its pointer's target and every pointer is replaced
+   by its target's pointer, so r rounds cover chains of 2 ** r records, over all
+   files at once and on (file, offset, pointer) numbers only.
+2. A candidate that is a whole record is parsed where it is read. The pieces of
+   records that hold the magic (found by a Bloom filter, then exactly) are brought
+   together by record.
 
 Defined cases: a null html is an empty payload and a null url an empty target;
 line ends in a url are escaped; an empty payload is a response; rows repeated
 with the same id and payload are all responses; a page id that is null is written
-as an empty id and read back as null; an empty table writes an archive without
-records; other columns are ignored. A file whose chain does not end at its last
-byte is reported by ``broken_files``.
+as an empty id and read back as null (and is never referred to); an empty table
+writes an archive without records; other columns are ignored. A file whose chain
+does not end at its last byte is reported by ``broken_files``.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marquee.session import scratch_path
 
-from .common import look_up, written
+from .common import bloom_bitmap, in_bloom, look_up, written
 
 MAGIC = "WARC/1.0\r\n"
 BLANK = "\r\n\r\n"
@@ -46,13 +58,23 @@ def classify(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     base = pages.select(pages[id_col].alias("id"), pages[url_col].alias("url"),
                         payload.alias("payload"), F.octet_length(payload).alias("n"),
                         F.sha2(payload, 256).alias("digest"))
-    groups = (base.where(F.col("n") >= MIN_REVISIT).groupBy("digest")
-              .agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
-              .where("copies > 1").select("digest", "least"))
-    found = look_up(base, groups, ["digest"], F.struct("id", "url"))
-    return found.select("id", "url", "payload", "n", "digest",
-                        F.when(~F.col("least").eqNullSafe(F.col("id")), F.col("least"))
-                        .alias("first"))
+    groups = written(
+        base.where(F.col("n") >= MIN_REVISIT).groupBy("digest")
+        .agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+        .where("copies > 1").select("digest", "least"), "warc-repeated")
+    held = bloom_bitmap(groups.select(F.xxhash64("digest")), groups.count())
+
+    @F.pandas_udf("boolean")
+    def maybe(h: pd.Series) -> pd.Series:
+        return pd.Series(in_bloom(held.value, h.to_numpy().view(np.uint64)))
+
+    marked = base.withColumn("maybe", maybe(F.xxhash64("digest")))
+    columns = ["id", "url", "payload", "n", "digest"]
+    once = marked.where(~F.col("maybe")).select(*columns, F.lit(None).cast("long").alias("first"))
+    found = look_up(marked.where("maybe").select(*columns), groups, ["digest"],
+                    F.struct("id", "url"))
+    return once.unionByName(found.select(
+        *columns, F.when(~F.col("least").eqNullSafe(F.col("id")), F.col("least")).alias("first")))
 
 
 def _urn(i: Column) -> Column:
@@ -81,115 +103,199 @@ def record_text(date: str = "2024-01-01T00:00:00Z") -> Column:
 
 
 def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE,
-                   **columns) -> None:
+                   compression: str = "gzip", **columns) -> None:
     (classify(pages, **columns).select(record_text().alias("value")).write
-     .option("lineSep", BLANK).option("maxRecordsPerFile", records_per_file).text(path))
+     .option("lineSep", BLANK).option("maxRecordsPerFile", records_per_file)
+     .option("compression", compression).text(path))
 
 
-def _field(head: Column, name: str) -> Column:
-    """A header field's value; empty if there is none."""
-    return F.regexp_extract(head, rf"(?i)(?:^|\r\n){name}:[ \t]*([^\r\n]*)", 1)
+_FIELD = re.compile(rb"(?:^|\r\n)([^:\r\n]+):[ \t]*([^\r\n]*)")
+_PAGE = re.compile(rb"^<urn:page:(-?\d{1,18})>$")
+_DIGEST = re.compile(rb"^sha256:([0-9a-f]{64})$")
+_SIZE = re.compile(rb"^\d{1,15}$")
 
 
-def candidates(spark: SparkSession, path: str) -> DataFrame:
-    """file, ``size`` of the file, ``off``, ``succ`` and ``body`` (what follows the
-    magic up to the next one) of every magic in the files."""
-    lines = spark.read.option("lineSep", MAGIC).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+def _fields(head: bytes) -> dict[bytes, bytes]:
+    out: dict[bytes, bytes] = {}
+    for name, value in _FIELD.findall(head):
+        out.setdefault(name.lower(), value)
+    return out
+
+
+def _extent(body: bytes) -> int | None:
+    """Bytes from a candidate's magic to where its successor would start."""
+    head, blank, _ = body.partition(b"\r\n\r\n")
+    size = _fields(head).get(b"content-length", b"") if blank else b""
+    return len(MAGIC) + len(head) + 4 + int(size) + 4 if _SIZE.match(size) else None
+
+
+def _record(body: bytes) -> tuple:
+    """page id, payload size, digest, type, refers_to, url, payload of a whole record."""
+    head, _, rest = body.partition(b"\r\n\r\n")
+    fields, block = _fields(head), rest[:-4]
+    http, _, payload = block.partition(b"\r\n\r\n")
+
+    def page(name: bytes) -> int | None:
+        found = _PAGE.match(fields.get(name, b""))
+        return int(found[1]) if found else None
+
+    kind = fields.get(b"warc-type", b"").decode("utf-8", "replace")
+    if kind == "response":
+        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+    else:  # what the record states of the payload it leaves out
+        stated = _fields(http).get(b"content-length", b"")
+        size = int(stated) if _SIZE.match(stated) else None
+        found = _DIGEST.match(fields.get(b"warc-payload-digest", b""))
+        digest, payload = found[1].decode() if found else None, None
+    return (page(b"warc-record-id"), size, digest, kind, page(b"warc-refers-to"),
+            fields.get(b"warc-target-uri", b"").decode("utf-8", "replace"), payload)
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """fid (hash of the file's path), block (start of the split) and body, in file order
+    inside a split: what precedes the first magic of a file, then what follows each."""
+    return spark.read.option("lineSep", MAGIC).text(path).select(
+        F.xxhash64("_metadata.file_path").alias("fid"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("nth"), F.col("value").alias("body"))
-    before = Window.partitionBy("file").orderBy("block", "nth").rowsBetween(
-        Window.unboundedPreceding, -1)
-    magic = len(MAGIC)
-    # the first piece of a file is what precedes its first magic
-    placed = lines.withColumn("off", F.sum(F.octet_length("body") + magic).over(before) - magic)
-    head = F.substring_index("body", BLANK, 1)
-    length = _field(head, "Content-Length").try_cast("bigint")
-    whole = F.octet_length(head) < F.octet_length("body")
-    succ = F.col("off") + magic + F.octet_length(head) + 4 + length + 4
-    return placed.where(F.col("off").isNotNull()).select(
-        "file", "size", "off", F.when(whole & (length >= 0), succ).alias("succ"), "body")
+        F.col("value").cast("binary").alias("body"))
+
+
+def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[int]]]:
+    """The batches with each line's distance from its split's first line."""
+    now, at = None, 0
+    for b in batches:
+        rel = []
+        for fid, block, body in zip(b["fid"], b["block"], b["body"]):
+            if (fid, block) != now:
+                now, at = (fid, block), 0
+            rel.append(at)
+            at += len(body) + len(MAGIC)
+        yield b, rel
+
+
+def candidates(spark: SparkSession, path: str) -> DataFrame:
+    """fid, block, rel, ``off`` (null-free; -10 for what precedes the first magic),
+    ``size`` and ``succ`` of every line: numbers only."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b, rel in _numbered(batches):
+            yield pd.DataFrame({
+                "fid": b["fid"], "block": b["block"], "rel": rel,
+                "size": [len(x) for x in b["body"]],
+                "extent": pd.array([_extent(x) for x in b["body"]], dtype="Int64")})
+
+    found = written(_lines(spark, path).mapInPandas(
+        run, "fid long, block long, rel long, size long, extent long"), "warc-lines")
+    before = Window.partitionBy("fid").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    bases = found.groupBy("fid", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("bytes"))
+    bases = bases.select("fid", "block", F.coalesce(F.sum("bytes").over(before), F.lit(0))
+                         .alias("base"))
+    off = F.col("base") + F.col("rel") - len(MAGIC)
+    return written(found.join(bases, ["fid", "block"]).select(
+        "fid", "block", "rel", off.alias("off"), "size",
+        F.when(off >= 0, off + F.col("extent")).alias("succ")), "warc-candidates")
 
 
 def reachable(nodes: DataFrame) -> DataFrame:
-    """(file, off) of the candidates that the chain from offset 0 reaches."""
-    state = written(nodes.select("file", "off", F.col("succ").alias("jump"),
+    """(fid, off) of the candidates that the chain from offset 0 reaches."""
+    state = written(nodes.select("fid", "off", F.col("succ").alias("jump"),
                                  (F.col("off") == 0).alias("reached")), "warc-jump")
     count = state.where("reached").count()
     while True:
-        target = state.select(F.col("file"), F.col("off").alias("jump"),
-                              F.col("jump").alias("far"))
-        jumped = state.join(target, ["file", "jump"], "left").select(
-            "file", "off", F.col("far").alias("jump"), "reached")
+        target = state.select("fid", F.col("off").alias("jump"), F.col("jump").alias("far"))
+        jumped = state.join(target, ["fid", "jump"], "left").select(
+            "fid", "off", F.col("far").alias("jump"), "reached", F.lit(True).alias("own"))
         marks = state.where(F.col("reached") & F.col("jump").isNotNull()).select(
-            "file", F.col("jump").alias("off"), F.lit(None).cast("long").alias("jump"),
-            F.lit(True).alias("reached"))
+            "fid", F.col("jump").alias("off"), F.lit(None).cast("long").alias("jump"),
+            F.lit(True).alias("reached"), F.lit(False).alias("own"))
         state = written(
-            jumped.withColumn("own", F.lit(True)).unionByName(marks.withColumn("own", F.lit(False)))
-            .groupBy("file", "off").agg(F.max("jump").alias("jump"), F.max("reached").alias("reached"),
-                                        F.max("own").alias("own"))
-            .where("own").drop("own"), "warc-jump")
+            jumped.unionByName(marks).groupBy("fid", "off")
+            .agg(F.max("jump").alias("jump"), F.max("reached").alias("reached"),
+                 F.max("own").alias("own")).where("own").drop("own"), "warc-jump")
         now = state.where("reached").count()
         if now == count:
-            return state.where("reached").select("file", "off")
+            return state.where("reached").select("fid", "off")
         count = now
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+_OUT = ("page_id long, payload_bytes long, payload_digest string, record_type string, "
+        "refers_to long, url string, payload binary")
+_NAMES = [c.split()[0] for c in _OUT.split(", ")]
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=_NAMES)
+    for c in ("page_id", "payload_bytes", "refers_to"):
+        out[c] = out[c].astype("Int64")
+    return out
+
+
+def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """One row per record: page id, ``payload_bytes``, ``payload_digest``,
-    ``record_type``, ``refers_to``, ``url``, ``payload`` (null for a revisit),
-    ``file``, ``off``."""
-    found = written(candidates(spark, path), "warc-candidates")
-    real = reachable(found).withColumn("real", F.lit(True))
-    chain = found.select("file", "off").join(real, ["file", "off"], "left")
-    upto = Window.partitionBy("file").orderBy("off")
-    owner = F.last(F.when(F.col("real"), F.col("off")), ignorenulls=True).over(upto)
-    owners = chain.select("file", "off", owner.alias("start")).where("start is not null")
-    parts = found.join(owners, ["file", "off"])
-    # most records are one candidate; only those with the magic inside have several
-    records = parts.groupBy("file", "start").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("off", "body"))), lambda x: x["body"]), MAGIC)
-        .alias("body"))
-    head = F.substring_index("body", BLANK, 1)
-    split = records.select("file", F.col("start").alias("off"), head.alias("head"),
-                           F.expr(f"substring(body, length(substring_index(body, '{_SQL_BLANK}', 1))"
-                                  " + 5)").alias("rest"))
-    split = split.withColumn("block", F.expr("substring(rest, 1, length(rest) - 4)"))
-    http = F.substring_index("block", BLANK, 1)
-    payload = F.expr(f"substring(block, length(substring_index(block, '{_SQL_BLANK}', 1)) + 5)")
-    page = lambda name: F.regexp_extract(
-        _field(F.col("head"), name), r"<urn:page:(-?\d+)>", 1).try_cast("bigint")
-    kind = _field(F.col("head"), "WARC-Type")
-    response, is_response = kind == "response", F.col("record_type") == "response"
-    return split.select(
-        page("WARC-Record-ID").alias("page_id"), _field(http, "Content-Length").try_cast("bigint")
-        .alias("stated"), F.when(response, payload).alias("payload"), kind.alias("record_type"),
-        F.regexp_extract(_field(F.col("head"), "WARC-Payload-Digest"), "^sha256:([0-9a-f]{64})$", 1)
-        .alias("stated_digest"), page("WARC-Refers-To").alias("refers_to"),
-        _field(F.col("head"), "WARC-Target-URI").alias("url"), "file", "off").select(
-        "page_id",
-        F.when(is_response, F.octet_length("payload")).otherwise(F.col("stated")).cast("long")
-        .alias("payload_bytes"),
-        F.when(is_response, F.sha2("payload", 256)).otherwise(F.col("stated_digest"))
-        .alias("payload_digest"), "record_type", "refers_to", "url", "payload", "file", "off")
-
-
-_SQL_BLANK = r"\r\n\r\n"
+    ``record_type``, ``refers_to``, ``url``, ``payload`` (bytes; null for a revisit,
+    or if not asked for)."""
+    found = candidates(spark, path)
+    real = reachable(found.where("off >= 0")).withColumn("real", F.lit(True))
+    upto = Window.partitionBy("fid").orderBy("off")
+    start = F.last(F.when(F.col("real"), F.col("off")), ignorenulls=True).over(upto)
+    owned = found.join(real, ["fid", "off"], "left").select(
+        "fid", "block", "rel", "off", "real", start.alias("start"))
+    # pieces that no record owns, or of records in several pieces
+    pieces = F.count(F.lit(1)).over(Window.partitionBy("fid", "start"))
+    odd = written(owned.withColumn("pieces", pieces).where("start is null or pieces > 1")
+                  .select("fid", "block", "rel", "off", "start"), "warc-odd")
+    held = bloom_bitmap(odd.select(F.xxhash64("fid", "block", "rel")), odd.count())
+    key = F.xxhash64("fid", "block", "rel").alias("key")
+
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b, rel in _numbered(batches):
+            yield b.assign(rel=rel)
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            maybe = in_bloom(held.value, b["key"].to_numpy().view(np.uint64))
+            rows = [(None,) * 7 if odd_one else _record(body)
+                    for odd_one, body in zip(maybe, b["body"])]
+            out = _frame([r if with_payload else (*r[:6], None) for r in rows])
+            out["fid"], out["block"], out["rel"] = b["fid"], b["block"], b["rel"]
+            out["piece"] = b["body"].where(maybe, None)
+            yield out
+
+    lines = _lines(spark, path).mapInPandas(number, "fid long, block long, body binary, rel long")
+    read = written(lines.select("fid", "block", "rel", "body", key).mapInPandas(
+        parse, f"{_OUT}, fid long, block long, rel long, piece binary"), "warc-records")
+    whole = read.where("piece is null").select(*_NAMES)
+    # a piece that the filter holds by mistake is a whole record of its own
+    parts = read.where("piece is not null").select("fid", "block", "rel", "piece").join(
+        odd.withColumn("known", F.lit(True)), ["fid", "block", "rel"], "left")
+    alone = F.col("known").isNull()
+    parts = parts.where(alone | F.col("start").isNotNull()).select(
+        "fid", F.when(alone, F.struct("block", "rel")).alias("own"), "start", "off", "piece")
+
+    def assemble(pdf: pd.DataFrame) -> pd.DataFrame:
+        body = MAGIC.encode().join(pdf.sort_values("off")["piece"])
+        row = _record(body)
+        return _frame([row if with_payload else (*row[:6], None)])
+
+    return whole.unionByName(parts.groupBy("fid", "own", "start").applyInPandas(assemble, _OUT))
 
 
 def broken_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files whose chain does not end at their last byte, with where it ends."""
-    found = written(candidates(spark, path), "warc-candidates")
-    ends = found.join(reachable(found), ["file", "off"]).groupBy("file", "size").agg(
+    """Files whose chain does not end at their last byte: file, ``bytes`` (of the
+    uncompressed file) and ``chain_end``."""
+    found = candidates(spark, path)
+    names = spark.read.option("lineSep", MAGIC).text(path).select(
+        F.col("_metadata.file_path").alias("file")).distinct()
+    ends = found.join(reachable(found.where("off >= 0")), ["fid", "off"]).groupBy("fid").agg(
         F.max("succ").alias("chain_end"))
-    all_files = found.select("file", "size").distinct()
-    return all_files.join(ends, ["file", "size"], "left").where(
-        ~F.col("size").eqNullSafe(F.col("chain_end")))
+    sizes = found.groupBy("fid").agg((F.sum(F.col("size") + len(MAGIC)) - len(MAGIC)).alias("bytes"))
+    return (names.withColumn("fid", F.xxhash64("file")).join(sizes, "fid")
+            .join(ends, "fid", "left").where(~F.col("bytes").eqNullSafe(F.col("chain_end")))
+            .select("file", "bytes", "chain_end"))
 
 
-def round_trip(pages: DataFrame, **columns) -> DataFrame:
+def round_trip(pages: DataFrame, with_payload: bool = True, **columns) -> DataFrame:
     """Write the pages to a fresh archive in the shared folder and read it back."""
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     write_archives(pages, path, **columns)
-    return read_archives(spark, path)
+    return read_archives(spark, path, with_payload)
