@@ -7,6 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.operators.lookup import look_up  # noqa: F401
 from marquee.session import scratch_path
 
 # The word alphabet of every operator: runs of anything but ASCII white space.
@@ -39,19 +40,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def look_up(left: DataFrame, right: DataFrame, keys: list[str], spread_by: Column,
-            salts: int = 64) -> DataFrame:
-    """``left`` with the columns of ``right`` (one row a key, or none: nulls).
-
-    A plain join would send all left rows of a hot key to one task. Here the
-    distinct (key, salt) pairs of the left side -- at most ``salts`` a key,
-    combined in the map tasks -- fetch the right row, and the left rows join on
-    (key, salt). Exact, and no decision depends on sizes."""
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    need = salted.select(*keys, "_salt").distinct().join(right, keys)
-    return salted.join(need, [*keys, "_salt"], "left").drop("_salt")
-
-
 def crc32_mod(id_col: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo ``n``."""
     return F.crc32(id_col.cast("string").cast("binary")) % n
