@@ -45,7 +45,7 @@ def suffix_number(c) -> Column:
     head = c.substr(F.lit(1), F.length(c) - 1)
     mult = (F.when(c.endswith("M"), F.lit(1_000_000.0))
             .when(c.endswith("K"), F.lit(1_000.0)))
-    return (head.try_cast("double") * mult).cast("bigint")
+    return (head.try_cast("double") * mult).try_cast("bigint")
 
 
 def cell_value(c) -> Column:
@@ -71,9 +71,12 @@ def decimal_comma(c) -> Column:
 
 
 def int_trunc(c) -> Column:
-    """Python ``int(float(x.replace(',', '')))`` -- truncation toward zero."""
+    """Python ``int(float(x.replace(',', '')))`` -- truncation toward zero.
+
+    Text that is no number, not finite, or beyond the integer column gives NULL,
+    which the loads take as a reason to reject the row."""
     c = _c(c)
-    return F.replace(c.cast("string"), F.lit(","), F.lit("")).try_cast("double").cast("int")
+    return F.replace(c.cast("string"), F.lit(","), F.lit("")).try_cast("double").try_cast("int")
 
 
 def int_half_even(c) -> Column:
@@ -106,6 +109,12 @@ def blank_to_null(c) -> Column:
     return F.nullif(F.trim(c.cast("string")), F.lit(""))
 
 
+def finite(c) -> Column:
+    """A DOUBLE that a number column can hold; NaN and infinities become NULL."""
+    c = _c(c)
+    return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
+
+
 def nan_to_null(c) -> Column:
     c = _c(c)
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
@@ -117,8 +126,8 @@ def percent(part, whole, digits: int = 2) -> Column:
 
 
 def link_id(c, pattern: str = r"/games/(\d+)") -> Column:
-    """Numeric id captured from a link; NULL when absent."""
-    return F.nullif(F.regexp_extract(_c(c), pattern, 1), F.lit("")).cast("bigint")
+    """Numeric id captured from a link; NULL when absent or beyond BIGINT."""
+    return F.nullif(F.regexp_extract(_c(c), pattern, 1), F.lit("")).try_cast("bigint")
 
 
 def name_part(c, sep: str, pos: int) -> Column:

@@ -10,8 +10,7 @@ whole table in one task. Here the key is built in two distributed phases:
 2. each row's position inside its partition comes from
    ``monotonically_increasing_id`` (partition id in the high bits); per-partition
    counts -- one number per partition, a bound set by configuration, not data --
-   give running offsets, applied to every row as a literal array (or, with very
-   many partitions, a broadcast table of one row per partition).
+   give running offsets, applied to every row as a literal array.
 """
 
 from __future__ import annotations
@@ -22,8 +21,6 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 _LOW_BITS = (1 << 33) - 1
-# Up to this many partitions the running offsets travel as a literal array.
-MAX_LITERAL_OFFSETS = 10_000
 
 
 def _order(col: str, nulls_last: bool = True):
@@ -64,26 +61,25 @@ def surrogate_key(df: DataFrame, by: str, name: str, partitions: int | None = No
     mid = F.monotonically_increasing_id()
     pid = F.shiftright(mid, 33)
     pos = mid.bitwiseAND(F.lit(_LOW_BITS))
-    if len(offsets) <= MAX_LITERAL_OFFSETS:
-        base = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets] or
-                                    [F.lit(0).cast("bigint")]), (pid + 1).cast("int"))
-        return ordered.select((base + pos + 1).cast("bigint").alias(name),
-                              *[F.col(c) for c in df.columns])
-    # very many partitions: the offsets table (one row per partition) is broadcast
-    table = spark.createDataFrame(list(enumerate(offsets)), "__mq_pid bigint, __mq_off bigint")
-    tagged = ordered.select(pid.alias("__mq_pid"), pos.alias("__mq_pos"), *[F.col(c) for c in df.columns])
-    keyed = tagged.join(F.broadcast(table), "__mq_pid")
-    return keyed.select((F.col("__mq_off") + F.col("__mq_pos") + 1).cast("bigint").alias(name),
-                        *[F.col(c) for c in df.columns])
+    base = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets] or
+                                [F.lit(0).cast("bigint")]), (pid + 1).cast("int"))
+    return ordered.select((base + pos + 1).cast("bigint").alias(name),
+                          *[F.col(c) for c in df.columns])
+
+
+def collated(name: str, collation: str | None):
+    """A name as its unique index compares it."""
+    return F.collate(F.col(name), collation) if collation else F.col(name)
 
 
 def get_or_create_keys(names: DataFrame, dim: DataFrame, name_col: str, key_col: str,
                        collation: str | None = None) -> DataFrame:
     """Existing names keep their keys; new distinct names get fresh keys
     after ``max(key)``, in name order. ``collation='UNICODE_CI_AI'`` makes
-    'Éa' and 'ea' the same name (the legacy track's unique index)."""
+    'Éa' and 'ea' the same name (the legacy track's unique index); whoever looks an
+    id up must compare names by ``collated`` too."""
     def norm(c):
-        return F.collate(F.col(c), collation) if collation else F.col(c)
+        return collated(c, collation)
 
     cand = names.select(F.col(name_col)).where(F.col(name_col).isNotNull())
     if collation:

@@ -3,10 +3,15 @@ per-file audit (K9, A5), scrape status log (K11), metric acceptance (F10)."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as X
+from ..session import checked_broadcast
+from .lookup import look_up
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -28,11 +33,17 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     ).select(*df.columns)
 
 
+def has_key(keys: list[str]) -> Column:
+    """No part of the primary key is NULL."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def insert_ignore(new: DataFrame, target: DataFrame | None, keys: list[str],
                   order: list[str]) -> DataFrame:
     """K7: rows to append -- first row per key wins, keys already stored are
-    skipped (an insert-ignore into a table with a primary key)."""
-    firsts = first_per_key(new, keys, order)
+    skipped, rows without a key are refused (an insert-ignore into a table with a
+    primary key)."""
+    firsts = first_per_key(new.where(has_key(keys)), keys, order)
     if target is None:
         return firsts
     return firsts.join(target.select(*keys), keys, "left_anti")
@@ -72,6 +83,48 @@ def insert_audit(all_rows: DataFrame, inserted: DataFrame, by: str) -> DataFrame
                .withColumn("n_rejected", F.col("n_total") - F.col("n_ok")))
 
 
+@dataclass
+class LoadResult:
+    """One keyed load: rows + rejects = rows read, per file."""
+
+    rows: DataFrame        # rows to append to the target
+    rejected: DataFrame    # every row refused, with its ``reason``
+    audit: DataFrame       # per file: n_total, n_ok, n_rejected (+ grand total)
+
+
+def with_parent(df: DataFrame, parent: DataFrame, key: str, parent_key: str,
+                order: list[str]) -> DataFrame:
+    """K8: reason ``unknown game`` on rows whose parent does not exist.
+
+    The parent keys are broadcast behind a size check; beyond it they are looked
+    up by salted keys, so a parent with a third of the rows is never gathered."""
+    parents = parent.select(F.col(parent_key).alias(key)).where(F.col(key).isNotNull()).distinct()
+    known = parents.withColumn("_known", F.lit(True))
+    small = checked_broadcast(known, otherwise=None)
+    flagged = (df.join(small, key, "left") if small is not None
+               else look_up(df, known, [key], F.struct(*order)))
+    return flagged.withColumn("reason", F.coalesce(
+        "reason", F.when(F.col("_known").isNull(), F.lit("unknown game")))).drop("_known")
+
+
+def keyed_load(parsed: DataFrame, keys: list[str], order: list[str], cols: list[str],
+               target: DataFrame | None = None, by: str = "file_path") -> LoadResult:
+    """K7 + K9 over parsed rows with a ``reason`` (NULL: acceptable so far).
+
+    ``order`` identifies a row (file and line). Rows without a key are refused; of
+    the rest the first of each key is inserted unless the key is stored already,
+    and every other row is a reject: ``duplicate key``. Refused duplicates are
+    found by their own (file, line), so no hot key is ever joined."""
+    parsed = parsed.withColumn("reason", F.coalesce(
+        "reason", F.when(~has_key(keys), F.lit("null key"))))
+    good = parsed.where(F.col("reason").isNull())
+    rows = insert_ignore(good, target, keys, order)
+    late = good.join(rows.select(*order), order, "left_anti").withColumn(
+        "reason", F.lit("duplicate key"))
+    rejected = parsed.where(F.col("reason").isNotNull()).unionByName(late)
+    return LoadResult(rows.select(*cols), rejected, insert_audit(parsed, rows, by))
+
+
 def status_log(df: DataFrame, key: str, flags: dict[str, Column],
                with_time: bool = True) -> DataFrame:
     """One status row per processed key with success flags and the time."""
@@ -92,25 +145,30 @@ def accept_metrics(raw: DataFrame) -> DataFrame:
     """F10 + X15: parse the metric CSV's text columns as the legacy load does.
 
     Required counts: '-' -> NULL, otherwise ``int(float(x))`` after removing
-    commas; a blank (or otherwise unparsable) value rejects the row. Gains: blank
-    or '-' -> NULL. Adds ``date`` (the day-first month), ``accepted`` and
+    commas; a blank, unparsable or too large value rejects the row. Gains: blank
+    or '-' -> NULL, anything else that is no number rejects the row. Adds ``date`` (the day-first month), ``accepted`` and
     ``reason``."""
     def q(c):
         return F.col(f"`{c}`")
 
-    out = [F.col("steam_id").try_cast("int").alias("steam_id"), q("Month").alias("Month")]
-    bad = []
+    out = [F.when(q("steam_id") != "-", q("steam_id").try_cast("int")).alias("steam_id"),
+           q("Month").alias("Month")]
+    bad = [F.when((q("steam_id") != "-") & q("steam_id").try_cast("int").isNull(),
+                  F.lit("bad steam_id"))]
     for c in REQUIRED_METRICS:
-        v = F.when(q(c) == "-", F.lit(None).cast("int")).otherwise(X.int_trunc(q(c)))
+        v = F.when(q(c) != "-", X.int_trunc(q(c)))
         # a CSV reader may hand a blank cell over as NULL: both reject the row
         bad.append(F.when(q(c).isNull() | ((q(c) != "-") & v.isNull()), F.lit(f"bad {c}")))
         out.append(v.alias(c))
     for c in OPTIONAL_INT_METRICS:
-        out.append(F.when(q(c).isin("-", ""), F.lit(None).cast("int"))
-                   .otherwise(X.int_trunc(q(c))).alias(c))
+        v = F.when(~q(c).isin("-", ""), X.int_trunc(q(c)))
+        bad.append(F.when(~q(c).isin("-", "") & v.isNull(), F.lit(f"bad {c}")))
+        out.append(v.alias(c))
     for c in OPTIONAL_PCT_METRICS:
-        out.append(F.when(q(c).isin("-", ""), F.lit(None).cast("double"))
-                   .otherwise(F.replace(q(c), F.lit(","), F.lit("")).try_cast("double")).alias(c))
+        number = F.replace(q(c), F.lit(","), F.lit("")).try_cast("double")
+        v = F.when(~q(c).isin("-", ""), X.finite(number))
+        bad.append(F.when(~q(c).isin("-", "") & v.isNull(), F.lit(f"bad {c}")))
+        out.append(v.alias(c))
     out.append(F.when(q("HoursWatched") == "-", F.lit(None).cast("string"))
                .otherwise(q("HoursWatched")).alias("HoursWatched"))
     date = F.try_to_date(q("Month"), "d/M/yyyy")

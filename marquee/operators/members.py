@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checked_broadcast
-from .keys import surrogate_key
+from .keys import collated, surrogate_key
 
 
 def exploded(df: DataFrame, key: str, array_col: str, name: str) -> DataFrame:
@@ -42,11 +42,15 @@ def bridge(df: DataFrame, key: str, array_col: str, entity_dim: DataFrame,
 
 
 def member_links(df: DataFrame, key: str, array_col: str, dim: DataFrame,
-                 name_col: str, id_col: str, existing: DataFrame | None = None) -> DataFrame:
+                 name_col: str, id_col: str, existing: DataFrame | None = None,
+                 collation: str | None = None) -> DataFrame:
     """(entity, member id) links with a composite key: duplicates within the
-    input are collapsed and pairs already stored are skipped."""
-    links = (exploded(df, key, array_col, name_col)
-             .join(dim.select(name_col, id_col), name_col)
+    input are collapsed, pairs already stored and rows without a key are skipped.
+    With ``collation`` a name finds its id under the dimension's collation, as the
+    unique index would."""
+    ids = dim.select(collated(name_col, collation).alias("_k"), id_col)
+    names = exploded(df.where(F.col(key).isNotNull()), key, array_col, name_col)
+    links = (names.join(ids, collated(name_col, collation) == F.col("_k"))
              .select(key, id_col)
              .dropDuplicates([key, id_col]))
     if existing is not None:

@@ -13,9 +13,13 @@ from .keys import surrogate_key
 
 def page(df: DataFrame, key: str, n: int, offset: int = 0) -> DataFrame:
     """L2: ``LIMIT n OFFSET m``, with the ORDER BY the reference left out added
-    so pages are reproducible. Planned as a top-k (``TakeOrderedAndProject``):
-    each task keeps at most ``m + n`` rows, no global sort."""
-    return df.orderBy(F.col(key).asc_nulls_last()).offset(offset).limit(n)
+    so pages are reproducible. A first page is a top-k (``TakeOrderedAndProject``:
+    ``n`` rows a task); an offset is a range of the distributed dense key, so no task
+    holds the rows that are skipped."""
+    if not offset:
+        return df.orderBy(F.col(key).asc_nulls_last()).limit(n)
+    ranked = surrogate_key(df, key, "_rn")
+    return ranked.where((F.col("_rn") > offset) & (F.col("_rn") <= offset + n)).drop("_rn")
 
 
 def keyset_page(df: DataFrame, key: str, cursor, n: int) -> DataFrame:
@@ -37,10 +41,10 @@ def pending(df: DataFrame, log: DataFrame, key: str) -> DataFrame:
 def shard(df: DataFrame, key: str, n: int, name: str = "shard") -> DataFrame:
     """Contiguous shards in key order, ``total // n`` rows each, the
     remainder to the last shard. Positions come from the distributed dense key
-    (no single-partition window); the total is one scalar."""
-    total = df.count()
-    size = max(total // n, 1)
+    (no single-partition window), and so does the total."""
     ranked = surrogate_key(df, key, "_rn")
+    total = ranked.agg(F.max("_rn")).first()[0] or 0
+    size = max(total // n, 1)
     s = F.least(F.floor((F.col("_rn") - 1) / F.lit(size)), F.lit(n - 1)).cast("int")
     return ranked.select(*df.columns, s.alias(name))
 
@@ -71,3 +75,11 @@ def union_blocks(*dfs: DataFrame) -> DataFrame:
     """Union by column name of old and new blocks; columns missing in
     a block come out NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
+
+
+def append_block(spark, folder: str, new: DataFrame, number: int, per_file: int | None = None) -> DataFrame:
+    """Write the next block file and read every block back, old and new, with
+    one schema (columns that older blocks lack come out NULL)."""
+    writer = new.write.option("maxRecordsPerFile", per_file or 0)
+    writer.mode("errorifexists").parquet(f"{folder}/block_{number}")
+    return spark.read.option("mergeSchema", True).parquet(f"{folder}/block_*")

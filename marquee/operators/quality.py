@@ -9,6 +9,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checked_broadcast
+from .lookup import look_up
+
 
 def check_not_null(df: DataFrame, col: str) -> DataFrame:
     """Q1: rows where ``col`` is NULL."""
@@ -57,28 +60,40 @@ def run_checks(checks: list[Check]) -> list[tuple[str, str, str, int]]:
     return rows
 
 
-# The declared checks of the staging and mart models: (model, table in the
-# built warehouse, check, column, parent table for relationships).
+# The declared checks of the staging and mart models: (model, table
+# in the built warehouse, check, column, parent table for relationships).
 DECLARED_CHECKS = (
     ("stg_steam", "stg_catalogue", "not_null", "appid", None),
     ("stg_steam", "stg_catalogue", "unique", "appid", None),
     ("stg_twitch", "stg_metrics", "not_null", "appid", None),
-    *[(m, m, kind, col, None)
-      for m, col in (("dim_games", "game_key"), ("dim_games", "appid"), ("dim_date", "date_key"),
-                     ("dim_developer", "developer_key"), ("dim_genre", "genre_key"),
-                     ("dim_category", "category_key"))
-      for kind in ("not_null", "unique")],
-    *[(label, table, kind, col, parent if kind == "relationships" else None)
-      for label, table, col, parent in (
-          ("fct_twitch_data", "fct", "game_key", "dim_games"),
-          ("fct_twitch_data", "fct", "date_key", "dim_date"),
-          ("bridge_game_developer", "bridge_game_developer", "game_key", "dim_games"),
-          ("bridge_game_developer", "bridge_game_developer", "developer_key", "dim_developer"),
-          ("bridge_game_genre", "bridge_game_genre", "game_key", "dim_games"),
-          ("bridge_game_genre", "bridge_game_genre", "genre_key", "dim_genre"),
-          ("bridge_game_category", "bridge_game_category", "game_key", "dim_games"),
-          ("bridge_game_category", "bridge_game_category", "category_key", "dim_category"))
-      for kind in ("not_null", "relationships")],
+    ("dim_games", "dim_games", "not_null", "game_key", None),
+    ("dim_games", "dim_games", "unique", "game_key", None),
+    ("dim_games", "dim_games", "not_null", "appid", None),
+    ("dim_games", "dim_games", "unique", "appid", None),
+    ("dim_date", "dim_date", "not_null", "date_key", None),
+    ("dim_date", "dim_date", "unique", "date_key", None),
+    ("dim_developer", "dim_developer", "not_null", "developer_key", None),
+    ("dim_developer", "dim_developer", "unique", "developer_key", None),
+    ("dim_genre", "dim_genre", "not_null", "genre_key", None),
+    ("dim_genre", "dim_genre", "unique", "genre_key", None),
+    ("dim_category", "dim_category", "not_null", "category_key", None),
+    ("dim_category", "dim_category", "unique", "category_key", None),
+    ("fct_twitch_data", "fct", "not_null", "game_key", None),
+    ("fct_twitch_data", "fct", "relationships", "game_key", "dim_games"),
+    ("fct_twitch_data", "fct", "not_null", "date_key", None),
+    ("fct_twitch_data", "fct", "relationships", "date_key", "dim_date"),
+    ("bridge_game_developer", "bridge_game_developer", "not_null", "game_key", None),
+    ("bridge_game_developer", "bridge_game_developer", "relationships", "game_key", "dim_games"),
+    ("bridge_game_developer", "bridge_game_developer", "not_null", "developer_key", None),
+    ("bridge_game_developer", "bridge_game_developer", "relationships", "developer_key", "dim_developer"),
+    ("bridge_game_genre", "bridge_game_genre", "not_null", "game_key", None),
+    ("bridge_game_genre", "bridge_game_genre", "relationships", "game_key", "dim_games"),
+    ("bridge_game_genre", "bridge_game_genre", "not_null", "genre_key", None),
+    ("bridge_game_genre", "bridge_game_genre", "relationships", "genre_key", "dim_genre"),
+    ("bridge_game_category", "bridge_game_category", "not_null", "game_key", None),
+    ("bridge_game_category", "bridge_game_category", "relationships", "game_key", "dim_games"),
+    ("bridge_game_category", "bridge_game_category", "not_null", "category_key", None),
+    ("bridge_game_category", "bridge_game_category", "relationships", "category_key", "dim_category"),
 )
 
 
@@ -97,11 +112,44 @@ def warehouse_checks(w) -> list[Check]:
     return out
 
 
-def failure_counts(checks: list[Check]) -> DataFrame:
-    """One row per check with its failing-row count, as a DataFrame (the counts
-    are aggregates over the models; nothing is collected)."""
-    parts = [c.failing.agg(F.count(F.lit(1)).alias("n_failing"))
-             .select(F.lit(c.model).alias("model"), F.lit(c.kind).alias("kind"),
-                     F.lit(c.column).alias("column_name"), "n_failing")
-             for c in checks]
+def failure_counts(w, declared=DECLARED_CHECKS) -> DataFrame:
+    """One row per declared check with its failing-row count.
+
+    One pass per table: its not-null and relationship checks are conditional counts
+    of a single aggregation (parent keys joined as broadcasts behind a size check,
+    else looked up by salted keys); each uniqueness check is one grouped count."""
+    t = w.tables() if hasattr(w, "tables") else w
+    parts = []
+    for table in dict.fromkeys(c[1] for c in declared):
+        own = [c for c in declared if c[1] == table]
+        df, counts = t[table].select(*dict.fromkeys(c[3] for c in own)), []
+        for i, (_, _, kind, col, parent) in enumerate(own):
+            if kind == "not_null":
+                counts.append((i, F.col(col).isNull()))
+            elif kind == "relationships":
+                known = t[parent].select(col).where(F.col(col).isNotNull()).distinct() \
+                    .withColumn(f"_p{i}", F.lit(True))
+                small = checked_broadcast(known, otherwise=None)
+                df = (df.join(small, col, "left") if small is not None
+                      else look_up(df, known, [col], F.monotonically_increasing_id()))
+                counts.append((i, F.col(col).isNotNull() & F.col(f"_p{i}").isNull()))
+        if counts:
+            one = df.agg(*[F.count_if(test).alias(f"n{i}") for i, test in counts])
+            parts.append(one.select(F.inline(F.array(*[F.struct(
+                F.lit(own[i][0]).alias("model"), F.lit(own[i][2]).alias("kind"),
+                F.lit(own[i][3]).alias("column_name"), F.col(f"n{i}").alias("n_failing"))
+                for i, _ in counts]))))
+        parts += [check_unique(t[table], col).agg(F.count(F.lit(1)).alias("n_failing")).select(
+            F.lit(model).alias("model"), F.lit(kind).alias("kind"),
+            F.lit(col).alias("column_name"), "n_failing")
+            for model, _, kind, col, _ in own if kind == "unique"]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def gate(w, check: bool = True) -> list[tuple[str, str, str, int]]:
+    """The declared checks of a warehouse (a row each); raises if any fails."""
+    rows = [tuple(r) for r in failure_counts(w).collect()]
+    bad = [r for r in rows if r[3]]
+    if check and bad:
+        raise QualityError(f"quality checks failed: {bad}")
+    return rows

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions import cleaning as X
 from ..functions import dates as D
+from ..operators.filters import min_arity
 from ..session import evaluate_once
-from ..sources.pages import drop_notice_pages, extract_links, extract_tables
+from ..sources.pages import cell_text, drop_notice_pages, extract_links, extract_tables
 from .staging import METRIC_HEADERS
 
 # Where the tables sit in the collected pages.
@@ -51,14 +52,15 @@ def metric_rows(game_pages: DataFrame, matches: DataFrame, key: str = "steam_id"
     expanded (X12), the game key added to each row (P6)."""
     pages = drop_notice_pages(game_pages).withColumnRenamed("page_id", "tracker_id")
     # Pages and matches are both one row per entity and grow with the catalogue:
-    # join them before the rows are exploded, shuffled on the page id (a size
-    # estimate after aggregates must not decide to broadcast either side).
-    pages = pages.join(matches.hint("shuffle_hash"), "tracker_id")
+    # join them before the rows are exploded, by sort-merge on the page id (a size
+    # estimate after aggregates must not decide to hash or broadcast either side).
+    pages = pages.join(matches.hint("merge"), "tracker_id")
     rows = evaluate_once(extract_tables(pages, METRICS_TABLE_MARKER, key="tracker_id",
-                                        keep=(key,)).drop("headers"))
-    rows = rows.where(F.size("cells") > 0)
-    month = F.date_format(D.month_floor(D.parse_any_date(F.get(F.col("cells"), 0))), "dd/MM/yyyy")
-    values = [X.cell_value(F.get(F.col("cells"), i)) for i in range(1, len(METRIC_HEADERS) - 1)]
+                                        keep=(key,), raw=True))
+    rows = rows.where(min_arity("cells", 1))
+    cell = lambda i: cell_text(F.get(F.col("cells"), i))
+    month = F.date_format(D.month_floor(D.parse_any_date(cell(0))), "dd/MM/yyyy")
+    values = [X.cell_value(cell(i)) for i in range(1, len(METRIC_HEADERS) - 1)]
     out = rows.select(F.col(key).alias("steam_id"), month, *values)
     return out.toDF(*METRIC_HEADERS)
 
@@ -68,9 +70,9 @@ def player_rows(chart_pages: DataFrame, as_of: str, key: str = "appid") -> DataF
     relative "Last 30 days" label resolved to ``as_of`` (X7), the month parsed
     with the format list (X5), thousands separators and signs removed (X13)."""
     pages = drop_notice_pages(chart_pages)
-    rows = evaluate_once(extract_tables(pages, PLAYERS_TABLE_MARKER, key=key).drop("headers")) \
-        .where(F.size("cells") >= 4)
-    cell = lambda i: F.get(F.col("cells"), i)
+    rows = evaluate_once(extract_tables(pages, PLAYERS_TABLE_MARKER, key=key, raw=True)) \
+        .where(min_arity("cells", 4))
+    cell = lambda i: cell_text(F.get(F.col("cells"), i))
     month = F.date_format(D.parse_any_date(D.relative_month(cell(0), as_of)), "dd/MM/yyyy")
     return rows.select(
         key, "row_no",

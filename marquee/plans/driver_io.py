@@ -186,21 +186,29 @@ def keyed_file_load(spark, sf):
                       X.decimal_comma(F.col("`Final price`")).alias("final_price"))
 
 
-def _per_key_files(spark, df, root: str, kind: str, sep: str = ","):
-    """Write ``df`` as one CSV file per key bucket (``appid``), rows in
-    ``o_orderkey`` order, split over two worker folders like the collectors'
-    ``instance_*/<kind>/`` layout; every file's line order is then known."""
-    ordered = (df.repartition(20, "appid").sortWithinPartitions("appid", "o_orderkey")
+def _history_files(spark, df, root: str, kind: str, sep: str = ","):
+    """Write ``df`` as CSV files of a hundred customers each, rows in ``o_orderkey``
+    order, split over two worker folders like the collectors' ``instance_*/<kind>/``
+    layout; every file's line order is then known. The key is a column."""
+    ordered = (df.withColumn("block", F.floor(F.col("appid") / 100).cast("int"))
+                 .repartition("block").sortWithinPartitions("block", "o_orderkey")
                  .drop("o_orderkey"))
-    sinks.export_csv(ordered.where(F.col("appid") < 10), f"{root}/instance_1/{kind}",
-                     by=["appid"], sep=sep)
-    sinks.export_csv(ordered.where(F.col("appid") >= 10), f"{root}/instance_2/{kind}",
-                     by=["appid"], sep=sep)
+    for worker in (1, 2):
+        sinks.export_csv(ordered.where(F.col("block") % 2 == worker - 1),
+                         f"{root}/instance_{worker}/{kind}", by=["block"], sep=sep)
+
+
+def _read_history(spark, root: str, kind: str, schema: T.StructType, **options):
+    """The files back: every column as text, the appid last (as it was written)."""
+    text = T.StructType([T.StructField("appid", T.StringType()), *schema.fields])
+    raw = files.read_keyed_csv(spark, f"{root}/instance_*/{kind}/block=*/*.csv", text,
+                               key_regex=r"block=(\d+)/", key_name="block", **options)
+    return raw.withColumn("appid", F.col("appid").try_cast("bigint"))
 
 
 _FR_MONTHS = ", ".join(f"'{fr}'" for fr, _ in D.FRENCH_MONTHS[:12])
 _PLAYER_TEXT_SQL = f"""
-SELECT o_custkey % 20 AS appid, o_orderkey,
+SELECT o_custkey AS appid, o_orderkey,
        CASE WHEN o_orderdate >= TIMESTAMP '2001-08-01' THEN 'Last 30 days'
             WHEN o_orderstatus = 'F'
               THEN list_extract([{_FR_MONTHS}], month(o_orderdate)::INT) || strftime(o_orderdate, ' %Y')
@@ -218,7 +226,7 @@ def _player_text(o):
               .when(F.col("o_orderstatus") == "F", F.concat(fr, F.date_format(d, " yyyy")))
               .otherwise(F.date_format(d, "MMMM yyyy")))
     return o.select(
-        (F.col("o_custkey") % 20).alias("appid"), "o_orderkey", month.alias("Month"),
+        F.col("o_custkey").alias("appid"), "o_orderkey", month.alias("Month"),
         F.when(F.col("o_orderstatus") == "P", F.lit("-"))
          .otherwise(F.col("o_totalprice").cast("bigint").cast("string")).alias("Peak"),
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit("-"))
@@ -243,21 +251,20 @@ SELECT appid::BIGINT AS appid, month, peak, gain, percent_gain FROM p
 WHERE appid IN (SELECT p_partkey FROM part WHERE p_size <= 40)
 QUALIFY row_number() OVER (PARTITION BY appid, month ORDER BY o_orderkey) = 1""")
 def players_load(spark, sf):
-    """M14 + S4/S7 + X5/X7/X13: players files per game (key from the path) in
-    two worker folders; 'Last 30 days' resolved to a given month, English and
+    """M14 + S7 + X5/X7/X13: players files of a hundred games each in two worker
+    folders; 'Last 30 days' resolved to a given month, English and
     French month names, '-' -> NULL, first row per (game, month) wins, unknown
     games refused."""
     root = scratch_path(spark, "players")
-    _per_key_files(spark, _player_text(read_table(spark, sf, "orders")), root, "players")
-    raw = files.read_keyed_csv(spark, f"{root}/instance_*/players/appid=*/*.csv",
-                               PLAYERS_SCHEMA, key_regex=r"appid=(\d+)/")
+    _history_files(spark, _player_text(read_table(spark, sf, "orders")), root, "players")
+    raw = _read_history(spark, root, "players", PLAYERS_SCHEMA)
     games = read_table(spark, sf, "part").where(F.col("p_size") <= 40).select(
         F.col("p_partkey").alias("appid"))
     return legacy.players_load(raw, games, as_of="August 2001").rows
 
 
 _PRICE_TEXT_SQL = """
-SELECT o_custkey % 20 AS appid, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS "DateTime",
+SELECT o_custkey AS appid, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS "DateTime",
        CASE WHEN o_orderstatus = 'P' THEN NULL
             ELSE replace(o_totalprice::DECIMAL(12,2)::VARCHAR, '.', ',') END AS "Final price",
        replace((floor(o_totalprice * 50) / 100)::DECIMAL(12,2)::VARCHAR, '.', ',') AS "2-year low"
@@ -266,7 +273,7 @@ FROM orders"""
 
 @register("price_load", f"""
 WITH t AS ({_PRICE_TEXT_SQL}),
-body AS (SELECT * FROM t QUALIFY o_orderkey < max(o_orderkey) OVER (PARTITION BY appid))
+body AS (SELECT * FROM t QUALIFY o_orderkey < max(o_orderkey) OVER (PARTITION BY appid // 100))
 SELECT appid::BIGINT AS appid, strptime("DateTime", '%Y-%m-%d')::DATE AS date,
        replace("Final price", ',', '.')::DOUBLE AS final_price,
        replace("2-year low", ',', '.')::DOUBLE AS two_year_low
@@ -274,21 +281,20 @@ FROM body
 WHERE appid IN (SELECT p_partkey FROM part WHERE p_size <= 40)
 QUALIFY row_number() OVER (PARTITION BY appid, "DateTime" ORDER BY o_orderkey) = 1""")
 def price_load(spark, sf):
-    """M15 + S5: ';' price files per game with decimal commas; the last line of
+    """M15 + S5: ';' price files with decimal commas; the last line of
     every file is dropped; first row per (game, day) wins."""
     root = scratch_path(spark, "price")
     o = read_table(spark, sf, "orders")
     text = o.select(
-        (F.col("o_custkey") % 20).alias("appid"), "o_orderkey",
+        F.col("o_custkey").alias("appid"), "o_orderkey",
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("DateTime"),
         F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string")).otherwise(
             F.replace(F.col("o_totalprice").cast("decimal(12,2)").cast("string"), F.lit("."),
                       F.lit(","))).alias("Final price"),
         F.replace((F.floor(F.col("o_totalprice") * 50) / 100).cast("decimal(12,2)").cast("string"),
                   F.lit("."), F.lit(",")).alias("2-year low"))
-    _per_key_files(spark, text, root, "price", sep=";")
-    raw = files.read_keyed_csv(spark, f"{root}/instance_*/price/appid=*/*.csv", PRICE_SCHEMA,
-                               sep=";", key_regex=r"appid=(\d+)/", drop_footer=True)
+    _history_files(spark, text, root, "price", sep=";")
+    raw = _read_history(spark, root, "price", PRICE_SCHEMA, sep=";", drop_footer=True)
     games = read_table(spark, sf, "part").where(F.col("p_size") <= 40).select(
         F.col("p_partkey").alias("appid"))
     return legacy.price_load(raw, games).rows
@@ -314,7 +320,8 @@ def users_load(spark, sf):
                        F.when(F.col("_ig") < 10, F.lit(None).cast("double"))
                        .otherwise(F.col("_ig").cast("double")).alias("In-Game"))
     sinks.export_csv(out, root, sep=";")
-    return legacy.users_load(files.read_semicolon_csv(spark, root, USERS_SCHEMA))
+    return legacy.users_load(files.with_file_order(
+        files.read_semicolon_csv(spark, root, USERS_SCHEMA))).rows
 
 
 def _metric_text(li):
@@ -421,8 +428,7 @@ def catalogue_load(spark, sf):
     sinks.export_json(bronze_catalogue(read_table(spark, sf, "part")), root, per_file=500)
     bronze = files.read_catalogue_json(spark, root, CATALOGUE_SCHEMA, with_order=True,
                                        multiLine=False)
-    games, _ = legacy.catalogue_load(bronze)
-    return games
+    return legacy.catalogue_load(bronze).rows.select(*legacy.GAME_FIELDS)
 
 
 @register("incremental_load", """

@@ -12,24 +12,43 @@ from pyspark.sql import functions as F
 from ..functions import cleaning as X
 from ..functions import dates as D
 from ..operators import loads
-from ..operators.keys import get_or_create_keys
+from ..operators.keys import collated, get_or_create_keys
+from ..operators.loads import LoadResult
 from ..operators.members import member_links
-from ..session import evaluate_once
+from ..session import checked_broadcast, evaluate_once, materialize
+
+ORDER = ["file_path", "line_no"]
+
+
+def _identified(bronze: DataFrame) -> DataFrame:
+    """Rows with their file and line; rows that come without are numbered once (a
+    checkpoint keeps the numbers the same for every reader)."""
+    if all(c in bronze.columns for c in ORDER):
+        return bronze
+    return materialize(bronze.drop(*ORDER).withColumns({
+        "file_path": F.lit("-"), "line_no": F.monotonically_increasing_id()}))
 
 
 @dataclass
-class LoadResult:
-    rows: DataFrame        # rows to append to the target
-    rejected: DataFrame    # rows refused, with a reason
-    audit: DataFrame       # per file: n_total, n_ok, n_rejected (+ grand total)
+class CatalogueLoad(LoadResult):
+    developers: DataFrame  # the developer dimension after the load
+
+
+GAME_FIELDS = ["appid", "name", "developer_id", "release_date", "short_description", "price",
+               "currency", "windows", "linux", "mac", "metacritic", "recommendations",
+               "header_image"]
 
 
 def catalogue_load(bronze: DataFrame, developers: DataFrame | None = None,
-                   target: DataFrame | None = None, collation: str | None = None):
+                   target: DataFrame | None = None, collation: str | None = None) -> CatalogueLoad:
     """Games with their *first* developer's id (get-or-create, W2), the
-    load-time defaults (P12) and a day-precision release date (X4). Returns
-    (games, developer dimension)."""
+    load-time defaults (P12) and a day-precision release date (X4).
+
+    A game without an id or a name is refused; so is a second game of one id. Under
+    a collation the developer's id is found by the collated name, as the unique
+    index finds it."""
     spark = bronze.sparkSession
+    bronze = _identified(bronze)
     dev_dim = developers if developers is not None else spark.createDataFrame(
         [], "developer_id bigint, name string")
     first_dev = bronze.select(F.get(F.col("developers"), 0).alias("name"))
@@ -46,21 +65,21 @@ def catalogue_load(bronze: DataFrame, developers: DataFrame | None = None,
         "metacritic",
         F.coalesce("recommendations", F.lit(0).cast("bigint")).alias("recommendations"),
         F.coalesce("header_image", F.lit("")).alias("header_image"),
-        *[c for c in ("file_path", "line_no") if c in bronze.columns],
-    ).where(F.col("name").isNotNull())
-    ids = dev_dim.select(F.col("name").alias("_dev"), "developer_id")
-    games = games.join(ids, "_dev", "left").drop("_dev")
-    order = [c for c in ("file_path", "line_no") if c in bronze.columns] or ["name"]
-    games = loads.insert_ignore(games, target, ["appid"], order)
-    return games.drop(*[c for c in ("file_path", "line_no") if c in games.columns]), dev_dim
+        *ORDER)
+    ids = dev_dim.select(collated("name", collation).alias("_name"), "developer_id")
+    games = games.join(checked_broadcast(ids), collated("_dev", collation) == F.col("_name"),
+                       "left").drop("_dev", "_name")
+    games = games.withColumn("reason", F.when(F.col("name").isNull(), F.lit("no name")))
+    res = loads.keyed_load(games, ["appid"], ORDER, [*GAME_FIELDS, *ORDER], target)
+    return CatalogueLoad(res.rows, res.rejected, res.audit, dev_dim)
 
 
 def catalogue_links(bronze: DataFrame, dim: DataFrame, array_col: str,
-                    existing: DataFrame | None = None) -> DataFrame:
+                    existing: DataFrame | None = None, collation: str | None = None) -> DataFrame:
     """K10 for categories / genres: (game, member id), duplicates ignored."""
     if existing is not None:
         existing = existing.select(F.col("game_appid").alias("appid"), F.col("member_id").alias("id"))
-    return member_links(bronze, "appid", array_col, dim, "name", "id", existing) \
+    return member_links(bronze, "appid", array_col, dim, "name", "id", existing, collation) \
         .withColumnRenamed("appid", "game_appid").withColumnRenamed("id", "member_id")
 
 
@@ -69,89 +88,90 @@ def metrics_load(raw_text: DataFrame, games: DataFrame, target: DataFrame | None
     """Monthly metrics CSV read as text (with file order). F10 parses and
     rejects, K8 rejects unknown games, K7 keeps the first row per
     (steam_id, date) and skips stored keys, K9 audits per file."""
-    accepted = evaluate_once(loads.accept_metrics(raw_text))
-    parsed = _with_parent(accepted, games, "steam_id", game_key)
-    ok = F.col("accepted") & F.col("_known")
-    rows = loads.insert_ignore(parsed.where(ok), target, ["steam_id", "date"],
-                               ["file_path", "line_no"])
-    rejected = parsed.where(~ok).withColumn(
-        "reason", F.coalesce(F.col("reason"), F.lit("unknown game"))).drop("_known")
-    audit = loads.insert_audit(parsed, rows, "file_path")
+    parsed = evaluate_once(loads.accept_metrics(raw_text)).drop("accepted")
+    parsed = loads.with_parent(parsed, games, "steam_id", game_key, ORDER)
     cols = ["steam_id", "date", "AvgViewers", "AvgViewersGain", "AvgViewers%Gain",
             "PeakViewers", "AvgStreams", "AvgStreamsGain", "AvgStreamsùGain",
             "PeakStreams", "HoursWatched"]
-    return LoadResult(rows.select(*cols), rejected, audit)
+    return loads.keyed_load(parsed, ["steam_id", "date"], ORDER, cols, target)
+
 
+def _cell(c: str):
+    """A history cell: blank or '-' holds no value."""
+    return F.nullif(F.nullif(F.trim(F.col(c)), F.lit("-")), F.lit(""))
 
-def players_load(raw: DataFrame, games: DataFrame, as_of: str | None = None) -> LoadResult:
+
+def _first_reason(*tests):
+    """The first test that holds, as the reason to reject a row."""
+    return F.coalesce(*[F.when(test, F.lit(reason)) for reason, test in tests])
+
+
+def players_load(raw: DataFrame, games: DataFrame, as_of: str | None = None,
+                 target: DataFrame | None = None) -> LoadResult:
     """Per-game players CSV (key from the file name): month parsed once with
-    the declared format list (X5/X7), counts as integers, gains cleaned (X13);
-    unparsable month or peak rejects the row; first (appid, month) wins."""
+    the declared format list (X5/X7), counts as integers, the percentage with its
+    thousands separators removed; a cell that does not parse rejects the row; first
+    (appid, month) wins."""
     month_text = D.relative_month("Month", as_of) if as_of else F.col("Month")
     p = evaluate_once(raw.select(
-        "appid", "file_path", "line_no", F.col("Month").alias("month_text"),
+        "appid", *ORDER, F.col("Month").alias("month_text"),
         D.month_floor(D.parse_any_date(month_text)).alias("month"),
-        F.nullif(F.nullif(F.col("Peak"), F.lit("-")), F.lit("")).alias("_peak"),
-        F.nullif(F.nullif(X.gain("Gain"), F.lit("-")), F.lit("")).alias("_gain"),
-        F.nullif(F.nullif(X.gain("Percent_Gain"), F.lit("-")), F.lit("")).alias("_pct"),
-    )).select(
-        "appid", "file_path", "line_no", "month", "month_text",
-        F.col("_peak").try_cast("int").alias("peak"),
-        F.col("_gain").try_cast("int").alias("gain"),
-        F.col("_pct").try_cast("double").alias("percent_gain"),
-        (F.col("month").isNull() | (F.col("_peak").isNotNull() & F.col("_peak").try_cast("int").isNull())
-         | (F.col("_gain").isNotNull() & F.col("_gain").try_cast("int").isNull()))
-        .alias("_bad"),
-    )
+        _cell("Peak").alias("_peak"), _cell("Gain").alias("_gain"), _cell("Percent_Gain").alias("_pct"),
+        _cell("Peak").try_cast("int").alias("peak"), _cell("Gain").try_cast("int").alias("gain"),
+        X.finite(F.replace(_cell("Percent_Gain"), F.lit(","), F.lit("")).try_cast("double"))
+        .alias("percent_gain")))
+    lost = lambda text, value: F.col(text).isNotNull() & F.col(value).isNull()
+    p = p.withColumn("reason", _first_reason(
+        ("bad Month", F.col("month").isNull()), ("bad Peak", lost("_peak", "peak")),
+        ("bad Gain", lost("_gain", "gain")), ("bad Percent_Gain", lost("_pct", "percent_gain"))))
     return _keyed_history(p, games, ["appid", "month"],
-                          ["appid", "month", "peak", "gain", "percent_gain"])
+                          ["appid", "month", "peak", "gain", "percent_gain"], target)
 
 
-def price_load(raw: DataFrame, games: DataFrame) -> LoadResult:
+def price_load(raw: DataFrame, games: DataFrame, target: DataFrame | None = None) -> LoadResult:
     """Per-game price CSV (';', decimal comma, footer already dropped by the
-    reader); date parsed with the format list; first (appid, date) wins."""
+    reader); date parsed with the format list; a cell that does not parse rejects
+    the row; first (appid, date) wins."""
+    final, low = F.col("`Final price`"), F.col("`2-year low`")
     p = evaluate_once(raw.select(
-        "appid", "file_path", "line_no", F.col("`Final price`").alias("_final_text"),
+        "appid", *ORDER, F.nullif(final, F.lit("")).alias("_final"), F.nullif(low, F.lit("")).alias("_low"),
         D.parse_any_date("DateTime").alias("date"),
-        X.decimal_comma(F.col("`Final price`")).alias("final_price"),
-        X.decimal_comma(F.col("`2-year low`")).alias("two_year_low"),
-    ))
-    p = p.withColumn("_bad", F.col("date").isNull()
-                     | (F.col("_final_text").isNotNull() & (F.col("_final_text") != "")
-                        & F.col("final_price").isNull()))
+        X.finite(X.decimal_comma(final)).alias("final_price"),
+        X.finite(X.decimal_comma(low)).alias("two_year_low")))
+    lost = lambda text, value: F.col(text).isNotNull() & F.col(value).isNull()
+    p = p.withColumn("reason", _first_reason(
+        ("bad DateTime", F.col("date").isNull()), ("bad Final price", lost("_final", "final_price")),
+        ("bad 2-year low", lost("_low", "two_year_low"))))
     return _keyed_history(p, games, ["appid", "date"],
-                          ["appid", "date", "final_price", "two_year_low"])
-
+                          ["appid", "date", "final_price", "two_year_low"], target)
 
-def _with_parent(df: DataFrame, games: DataFrame, key: str, game_key: str) -> DataFrame:
-    """Flag rows whose parent game exists (K8) with one left join against the
-    distinct parent keys; NULL keys are never known."""
-    parents = games.select(F.col(game_key).alias(key)).distinct().withColumn("_known", F.lit(True))
-    return (df.join(parents, key, "left")
-              .withColumn("_known", F.coalesce(F.col("_known"), F.lit(False))))
 
+def _keyed_history(p: DataFrame, games: DataFrame, keys, cols, target) -> LoadResult:
+    return loads.keyed_load(loads.with_parent(p, games, "appid", "appid", ORDER), keys, ORDER,
+                            cols, target)
 
-def _keyed_history(p: DataFrame, games: DataFrame, keys, cols) -> LoadResult:
-    p = _with_parent(p, games, "appid", "appid")
-    ok = ~F.col("_bad") & F.col("_known")
-    firsts = loads.insert_ignore(p.where(ok), None, keys, ["file_path", "line_no"])
-    rejected = p.where(~ok).withColumn(
-        "reason", F.when(F.col("_bad"), F.lit("unparsable")).otherwise(F.lit("unknown game")))
-    audit = loads.insert_audit(p, firsts, "file_path")
-    return LoadResult(firsts.select(*cols), rejected, audit)
 
-
-def users_load(raw: DataFrame) -> DataFrame:
+def users_load(raw: DataFrame) -> LoadResult:
     """Platform users (';' CSV): timestamp parsed, counts truncated to
-    integers, blanks/NaN -> NULL; a row without a timestamp is refused."""
-    def as_int(c):
-        return X.nan_to_null(F.col(f"`{c}`")).cast("bigint")
-    return raw.select(
-        D.parse_timestamp("DateTime", "yyyy-MM-dd HH:mm:ss").alias("DateTime"),
-        as_int("Users").alias("Users"),
-        as_int("Average Users").alias("AverageUsers"),
-        as_int("In-Game").alias("InGame"),
-    ).where(F.col("DateTime").isNotNull())
+    integers, blanks/NaN -> NULL; a row without a timestamp, or with a count that is
+    no number an integer column holds, is refused. Rows have no natural key: equal
+    times are all kept."""
+    raw = _identified(raw)
+    counts = {"Users": "Users", "Average Users": "AverageUsers", "In-Game": "InGame"}
+    text = lambda c: F.trim(F.col(f"`{c}`").cast("string"))
+    absent = lambda c: F.coalesce(F.lower(text(c)).isin("", "nan", "na", "null", "none", "n/a"), F.lit(True))
+    p = evaluate_once(raw.select(
+        F.try_to_timestamp("DateTime", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+        .alias("DateTime"),
+        *[F.when(~absent(c), text(c).try_cast("double").try_cast("int")).cast("bigint").alias(n)
+          for c, n in counts.items()],
+        _first_reason(*[(f"bad {c}", ~absent(c) & text(c).try_cast("double").try_cast("int").isNull())
+                        for c in counts]).alias("_bad"), *ORDER))
+    p = p.withColumn("reason", F.coalesce(F.when(F.col("DateTime").isNull(), F.lit("bad DateTime")),
+                                          F.col("_bad"))).drop("_bad")
+    ok = F.col("reason").isNull()
+    return LoadResult(p.where(ok).select("DateTime", *counts.values()), p.where(~ok),
+                      loads.load_audit(p, "file_path", ok))
 
 
 def member_dim(bronze: DataFrame, array_col: str, existing: DataFrame | None = None,
@@ -177,37 +197,42 @@ def run(spark, out: str, catalogue_glob: str, metrics_glob: str | None = None,
         return spark.read.parquet(f"{out}/{name}")
 
     t = {}
-    bronze = files.read_catalogue_json(spark, catalogue_glob, CATALOGUE_SCHEMA, with_order=True)
-    games, devs = catalogue_load(bronze, collation=collation)
-    t["developers"] = keep("developers", devs)
-    t["steamgames"] = keep("steamgames", games)
+
+    def load(name, res):
+        """Rows, rejects and audit of one load."""
+        t[name] = keep(name, res.rows.drop(*[c for c in ORDER if c in res.rows.columns]))
+        t[f"{name}_rejects"] = keep(f"{name}_rejects", res.rejected)
+        t[f"{name}_audit"] = keep(f"{name}_audit", res.audit)
+
+    # raw files are parsed once, into typed bronze tables; all else reads those
+    bronze = keep("_bronze_catalogue", files.read_catalogue_json(
+        spark, catalogue_glob, CATALOGUE_SCHEMA, with_order=True))
+    res = catalogue_load(bronze, collation=collation)
+    games = keep("_games", res.rows)
+    t["developers"] = keep("developers", res.developers)
+    load("steamgames", LoadResult(games, res.rejected, res.audit))
     ids = t["steamgames"].select("appid")
     # members are linked only from the rows that were inserted: a later row of
     # an appid already stored is refused whole, its members included
-    known = loads.first_per_key(bronze.where(F.col("name").isNotNull()), ["appid"],
-                                ["file_path", "line_no"])
+    known = keep("_bronze_inserted", bronze.join(games.select(*ORDER), ORDER, "left_semi"))
     for table, link, col in (("categories", "games_categories", "categories"),
                              ("genres", "games_genres", "genre")):
         t[table] = keep(table, member_dim(known, col, collation=collation))
-        t[link] = keep(link, catalogue_links(known, t[table], col))
+        t[link] = keep(link, catalogue_links(known, t[table], col, collation=collation))
     if metrics_glob:
-        raw = files.read_metrics_csv(spark, metrics_glob, METRICS_TEXT_SCHEMA, with_order=True)
-        res = metrics_load(raw, t["steamgames"].select(F.col("appid").cast("int")))
-        t["twitchgames"] = keep("twitchgames", res.rows)
-        t["twitchgames_rejects"] = keep("twitchgames_rejects", res.rejected)
-        t["twitchgames_audit"] = keep("twitchgames_audit", res.audit)
+        raw = keep("_bronze_metrics", files.read_metrics_csv(
+            spark, metrics_glob, METRICS_TEXT_SCHEMA, with_order=True))
+        load("twitchgames", metrics_load(raw, t["steamgames"].select(F.col("appid").try_cast("int"))))
     if history_root:
-        players = files.read_keyed_csv(spark, f"{history_root}/instance_*/players/*_players.csv",
-                                       PLAYERS_SCHEMA)
-        res = players_load(players, ids, as_of=players_as_of)
-        t["players_history"] = keep("players_history", res.rows)
-        t["players_history_audit"] = keep("players_history_audit", res.audit)
-        price = files.read_keyed_csv(spark, f"{history_root}/instance_*/price/*_price.csv",
-                                     PRICE_SCHEMA, sep=";", drop_footer=True)
-        res = price_load(price, ids)
-        t["price_history"] = keep("price_history", res.rows)
-        t["price_history_audit"] = keep("price_history_audit", res.audit)
+        players = keep("_bronze_players", files.read_keyed_csv(
+            spark, f"{history_root}/instance_*/players/*_players.csv", PLAYERS_SCHEMA))
+        load("players_history", players_load(players, ids, as_of=players_as_of))
+        price = keep("_bronze_price", files.read_keyed_csv(
+            spark, f"{history_root}/instance_*/price/*_price.csv", PRICE_SCHEMA, sep=";",
+            drop_footer=True))
+        load("price_history", price_load(price, ids))
     if users_path:
-        t["global_steam_users"] = keep(
-            "global_steam_users", users_load(files.read_semicolon_csv(spark, users_path, USERS_SCHEMA)))
+        users = keep("_bronze_users", files.with_file_order(
+            files.read_semicolon_csv(spark, users_path, USERS_SCHEMA)))
+        load("global_steam_users", users_load(users))
     return t

@@ -14,10 +14,12 @@ from ..sources import files, sinks
 from . import marts, staging
 
 
-def load_bronze(spark: SparkSession, metrics_glob: str, catalogue_glob: str, out: str) -> dict:
+def load_bronze(spark: SparkSession, metrics_glob: str, catalogue_glob: str, out: str,
+                month_format: str = "d/M/yyyy") -> dict:
     """S1 + S2 + K1: typed bronze tables from the metric CSVs and catalogue JSON
-    batches. Lines whose values do not fit the declared types go to
-    ``*_rejects`` tables (raw text kept) instead of loading as NULLs."""
+    batches. Lines whose values do not fit the declared types (raw text kept) and
+    metric rows whose month does not parse go to ``*_rejects`` tables instead of
+    loading as NULLs or failing the build."""
     tables = {}
     for name, df in (
             ("bronze_twitch", files.read_metrics_csv(spark, metrics_glob, METRICS_SCHEMA,
@@ -26,7 +28,12 @@ def load_bronze(spark: SparkSession, metrics_glob: str, catalogue_glob: str, out
                                                         rejects=True))):
         # the raw read is materialised once, then split into rows and rejects
         sinks.write_table(df, f"{out}/_raw_{name}")
-        good, bad = files.split_rejects(spark.read.parquet(f"{out}/_raw_{name}"))
+        raw = spark.read.parquet(f"{out}/_raw_{name}")
+        good, bad = files.split_rejects(raw)
+        if "Month" in good.columns:
+            dated = F.col("Month").isNull() | F.try_to_date("Month", month_format).isNotNull()
+            bad = bad.unionByName(good.where(~dated), allowMissingColumns=True)
+            good = good.where(dated)
         sinks.write_table(good, f"{out}/{name}")
         sinks.write_table(bad, f"{out}/{name}_rejects")
         tables[name] = spark.read.parquet(f"{out}/{name}")
@@ -45,20 +52,18 @@ GAME_KEY_BUCKETED = {
 
 
 def run(spark: SparkSession, metrics_glob: str, catalogue_glob: str, out: str,
-        month_format: str = "dd/MM/yyyy", check: bool = True, buckets: int | None = None,
+        month_format: str = "d/M/yyyy", check: bool = True, buckets: int | None = None,
         table_prefix: str = "", partition_fact_by_month: bool = False):
     """Build every model under ``out``; returns (warehouse, check summary).
     With ``buckets`` the fact and bridges are bucketed on ``game_key``; with
     ``partition_fact_by_month`` the fact is also partitioned by ``date_key``, so
     month-filtered reads prune whole folders."""
     parts = {"fct_twitch_data": "date_key"} if partition_fact_by_month else None
-    bronze = load_bronze(spark, metrics_glob, catalogue_glob, out)
+    bronze = load_bronze(spark, metrics_glob, catalogue_glob, out, month_format)
     stg_c = staging.stage_catalogue(bronze["bronze_steam"])
-    raw_m = bronze["bronze_twitch"].withColumn("Month", F.to_date("Month", month_format))
+    raw_m = bronze["bronze_twitch"].withColumn("Month", F.try_to_date("Month", month_format))
     stg_m = staging.stage_metrics(raw_m)
     write = (sinks.bucketed_writer(spark, out, GAME_KEY_BUCKETED, buckets, table_prefix, parts)
              if buckets else sinks.table_writer(spark, out, parts))
     w = marts.build_warehouse(stg_c, stg_m, write=write)
-    checks = quality.warehouse_checks(w)
-    summary = quality.run_checks(checks) if check else quality.summary(checks)
-    return w, summary
+    return w, quality.gate(w, check)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import driver, driver_io, driver_ops, driver_pages
+from . import driver, driver_dirty, driver_io, driver_ops, driver_pages
 
 
 def queries():
@@ -11,6 +11,7 @@ def queries():
     out.update(driver_ops.Q)
     out.update(driver_io.Q)
     out.update(driver_pages.Q)
+    out.update(driver_dirty.Q)
     return out
 
 
@@ -20,4 +21,5 @@ def oracle_sql():
     out.update(driver_ops.SQL)
     out.update(driver_io.SQL)
     out.update(driver_pages.SQL)
+    out.update(driver_dirty.SQL)
     return out

@@ -35,9 +35,10 @@ PRICE_SCHEMA = T.StructType([
     T.StructField("DateTime", S), T.StructField("Final price", S), T.StructField("2-year low", S),
 ])
 
+# Counts stay text until the load, which rejects a cell that is no number.
 USERS_SCHEMA = T.StructType([
-    T.StructField("DateTime", S), T.StructField("Users", D), T.StructField("Average Users", D),
-    T.StructField("In-Game", D),
+    T.StructField("DateTime", S), T.StructField("Users", S), T.StructField("Average Users", S),
+    T.StructField("In-Game", S),
 ])
 
 PAYLOAD_DATA = T.StructType([

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import os
-import tempfile
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings every job assumes: AQE re-plans joins/partition counts at runtime and
 # splits skewed sort-merge partitions; ANSI casts raise like the reference's
@@ -43,26 +42,15 @@ def build_session(master: str | None = None, app: str = "marquee",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Reliable checkpoints go to the shared folder named by ``spark.checkpoint.dir``.
-
-    A folder is created here only when none is configured *and* the master is
-    local (tests, laptops); on a cluster a missing setting is an error, since a
-    machine-local folder would not survive the loss of an executor.
-    """
+    """Reliable checkpoints go to the shared folder named by ``spark.checkpoint.dir``;
+    where none is named, to a folder of the warehouse, which executors share too."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        local = tempfile.mkdtemp(prefix="marquee-ckpt-")
-        sc.setCheckpointDir(local)
-        return sc.getCheckpointDir()
-    raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    if not sc.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+            "spark.checkpoint.dir", None)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        sc.setCheckpointDir(configured or f"{warehouse.rstrip('/')}/_checkpoints")
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -88,48 +76,37 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
-
-
-# Below this estimated size a table is not worth a shuffle to parallelise;
-# above the upper bound the shuffle itself would cost more than it saves.
-SPREAD_MIN_BYTES = 1 << 20
-SPREAD_MAX_BYTES = 8 << 30
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer partitions than there are cores.
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
-    A table stored as one unsplittable file (a single Parquet row group) scans
-    as one task -- even when it is cut into several splits, all but one of them
-    are empty -- so all per-row work before the first shuffle would run on one
-    core. Such a scan of local files between 1 MB and 8 GB is spread
-    round-robin; a large table is never shuffled just to add parallelism, and
-    inputs on distributed storage are left to the reader's splits."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    paths = [urlparse(f) for f in df.inputFiles()]
-    if not paths or any(p.scheme not in ("", "file") for p in paths):
-        return df  # distributed storage: inputs are split by the cluster's reader
-    size = sum(os.path.getsize(p.path) for p in paths)
-    return df.repartition(cores) if SPREAD_MIN_BYTES <= size <= SPREAD_MAX_BYTES else df
 
-
-# A key table of this many rows (a key and a name or id, tens of bytes a row)
-# stays well inside a broadcast.
+# A key table of this many rows and bytes stays well inside a broadcast.
 MAX_BROADCAST_KEYS = 1_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
-
-    The count reads at most ``max_rows + 1`` rows. A larger side is pinned to a
-    sort-merge join, so a low size estimate of the *other* side (after an
-    aggregate or a generator) can never make that side the broadcast one.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df.hint("merge")
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of values, by one aggregation: every task sends one partial
+    count and sum."""
+    size = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        width = F.octet_length(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.StringType) else F.lit(8)
+        size = size + F.coalesce(width, F.lit(0))
+    n, b = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return n, b or 0
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS,
+                      max_bytes: int = MAX_BROADCAST_BYTES, otherwise: str | None = "merge"):
+    """Broadcast ``df`` only after counting that it holds at most ``max_rows`` rows and
+    ``max_bytes`` bytes.
+
+    A larger side is pinned to a sort-merge join (``otherwise``; None returns None,
+    for a caller with a way of its own), so a low size estimate of the *other* side
+    (after an aggregate or a generator) can never make that side the broadcast one."""
+    n, size = measured(df)
+    if n <= max_rows and size <= max_bytes:
+        return F.broadcast(df)
+    return df.hint(otherwise) if otherwise else None
 
 
 def evaluate_once(df: DataFrame) -> DataFrame:

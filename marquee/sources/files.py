@@ -10,6 +10,7 @@ are read in line order, which is all first-wins loads (K7) and footer drops
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,13 +81,20 @@ def read_keyed_csv(spark: SparkSession, path: str, schema: T.StructType, sep: st
     """Per-entity CSV files whose key is taken from the file path.
 
     ``path`` may hold globs over worker directories (``instance_*/players``);
-    directories that do not exist simply contribute nothing. With
-    ``drop_footer`` the last data line of every file is dropped (S5)."""
+    directories that do not exist contribute nothing, also if none of them does.
+    With ``drop_footer`` the last data line of every file is dropped (S5)."""
     reader = (spark.read.schema(schema).option("header", True).option("sep", sep)
               .option("ignoreMissingFiles", True))
     for k, v in options.items():
         reader = reader.option(k, v)
-    df = with_file_order(reader.csv(path))
+    try:
+        df = with_file_order(reader.csv(path))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        columns = T.StructType([*schema.fields, T.StructField("file_path", T.StringType()),
+                                T.StructField("line_no", T.LongType())])
+        df = spark.createDataFrame([], columns)
     df = df.withColumn(key_name, F.regexp_extract("file_path", key_regex, 1).try_cast("bigint"))
     if drop_footer:
         df = drop_last_per_group(df, "file_path", "line_no")

@@ -1,8 +1,10 @@
 """Collected HTML pages (S10-S12): tables, links and notice pages.
 
 Each page is one row; parsing is a projection of built-in regex functions over
-that row (``regexp_extract_all`` + ``posexplode``), so it runs in whole-stage
-codegen on whatever partitioning the page table has -- no Python worker."""
+that row (``regexp_extract_all`` + ``posexplode``) on whatever partitioning the
+page table has, without a Python worker. Cell texts asked for one by one
+(``cell_text`` of a raw cell) are plain expressions; ``cells`` as a whole array of
+texts goes through ``transform``, which Spark interprets."""
 
 from __future__ import annotations
 
@@ -65,27 +67,31 @@ def table_block(html, marker: str) -> Column:
 
 
 def extract_tables(pages: DataFrame, marker: str, key: str = "page_id",
-                   html: str = "html", keep: tuple = ()) -> DataFrame:
+                   html: str = "html", keep: tuple = (), raw: bool = False) -> DataFrame:
     """One row per body row of the marked table: (key, *keep, row_no,
     headers, cells). Header and cell text is trimmed; pages without the table
-    give no rows; empty rows are kept here (filter with F8)."""
+    give no rows; empty rows are kept here (filter with F8). With ``raw`` there are
+    no headers and the cells are markup, for a caller that takes ``cell_text`` of the
+    cells it needs."""
     # the marked table's markup, computed once per page and reused below
     pages = pages.select(F.col(key), *[F.col(c) for c in keep],
                          table_block(html, marker).alias("_block"))
     block = F.col("_block")
     body = F.coalesce(F.nullif(F.regexp_extract(block, r"(?s)<tbody[^>]*>(.*?)</tbody>", 1),
                                F.lit("")), block)
+    headers = [] if raw else [_texts(F.regexp_extract_all(
+        block, F.lit(r"(?s)<th[^>]*>(.*?)</th>"), 1)).alias("headers")]
+    names = [] if raw else ["headers"]
     t = pages.select(
-        F.col(key), *[F.col(c) for c in keep],
-        _texts(F.regexp_extract_all(block, F.lit(r"(?s)<th[^>]*>(.*?)</th>"), 1)).alias("headers"),
+        F.col(key), *[F.col(c) for c in keep], *headers,
         F.regexp_extract_all(body, F.lit(r"(?s)<tr[^>]*>(.*?)</tr>"), 1).alias("_rows"),
     )
     # posexplode makes Catalyst infer ``size(_rows) > 0`` and push it down with the
     # whole extraction substituted in; the fence keeps that filter above it
-    rows = evaluate_once(t).select(key, *keep, "headers",
+    rows = evaluate_once(t).select(key, *keep, *names,
                                    F.posexplode("_rows").alias("row_no", "_row"))
-    cells = _texts(F.regexp_extract_all(F.col("_row"), F.lit(r"(?s)<td[^>]*>(.*?)</td>"), 1))
-    return rows.select(key, *keep, "row_no", "headers", cells.alias("cells"))
+    cells = F.regexp_extract_all(F.col("_row"), F.lit(r"(?s)<td[^>]*>(.*?)</td>"), 1)
+    return rows.select(key, *keep, "row_no", *names, (cells if raw else _texts(cells)).alias("cells"))
 
 
 def extract_links(pages: DataFrame, key: str = "page_id", html: str = "html",

@@ -3,10 +3,12 @@
 New files dropped into the source folder are picked up once (the file source
 remembers what it has read in its checkpoint), each micro-batch is appended to
 the target with insert-ignore semantics (K7: first row per key wins, keys
-already stored are skipped; the stored keys are scanned with a broadcast
-lookup of the batch's keys, never shuffled). ``availableNow`` processes whatever has arrived and
-stops, so a scheduled job resumes exactly where the last run ended, and a lost
-executor only re-runs the failed micro-batch."""
+already stored are skipped, rows without a key go to the rejects). The stored
+keys are read between the batch's least and greatest key only and filtered by a
+broadcast of the batch's keys (behind a size check), never shuffled whole.
+``availableNow`` processes whatever has arrived and stops, so a scheduled job
+resumes exactly where the last run ended, and a lost executor only re-runs the
+failed micro-batch."""
 
 from __future__ import annotations
 
@@ -14,36 +16,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.loads import first_per_key
+from ..operators.loads import first_per_key, has_key
 from ..session import checked_broadcast
 
 
 def run_incremental(spark: SparkSession, source: str, schema: T.StructType, target: str,
                     checkpoint: str, keys: list[str], order: list[str],
-                    fmt: str = "parquet", options: dict | None = None) -> None:
-    """Process every file not yet seen under ``source`` into ``target``."""
+                    fmt: str = "parquet", options: dict | None = None,
+                    rejects: str | None = None) -> None:
+    """Process every file not yet seen under ``source`` into ``target``; rows without
+    a key are written to ``rejects`` (default: ``target`` + ``_rejects``)."""
     reader = spark.readStream.format(fmt).schema(schema)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     stream = reader.load(source)
+    rejects = rejects or f"{target.rstrip('/')}_rejects"
+    # the target exists from the start, so that any failure to read it is an error
+    nothing = spark.createDataFrame([], schema)
+    for folder in (target, rejects):
+        nothing.write.mode("ignore").parquet(f"{folder}/_batch=-1")
+    stored_schema = T.StructType([*schema.fields, T.StructField("_batch", T.LongType())])
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = first_per_key(batch, keys, order)
-        try:
-            # keys of earlier batches only: a re-run of this batch must not see
-            # its own partial output
-            stored = (spark.read.parquet(target).where(F.col("_batch") != batch_id)
-                      .select(*keys))
-        except Exception:  # first batch: no target yet
-            stored = None
-        if stored is not None:
-            # Stored keys are filtered against this batch's keys (broadcast behind
-            # a row-count check): the target's key column is scanned once with a
-            # hash lookup instead of being shuffled for every micro-batch.
-            hits = stored.join(checked_broadcast(rows.select(*keys)), keys, "left_semi")
-            rows = rows.join(hits, keys, "left_anti")
+        batch = batch.persist()
+        rows = first_per_key(batch.where(has_key(keys)), keys, order).persist()
+        ends = rows.agg(*[f(k).alias(f"{n}{i}") for i, k in enumerate(keys)
+                          for n, f in (("lo", F.min), ("hi", F.max))]).first()
+        # keys of earlier batches only: a re-run of this batch must not see its own
+        # partial output
+        stored = spark.read.schema(stored_schema).parquet(target).where(F.col("_batch") != batch_id)
+        for i, k in enumerate(keys):
+            stored = stored.where(F.col(k).between(F.lit(ends[f"lo{i}"]), F.lit(ends[f"hi{i}"])))
+        hits = stored.select(*keys).join(checked_broadcast(rows.select(*keys)), keys, "left_semi")
         # one folder per batch id, overwritten on a re-run: idempotent
-        rows.write.mode("overwrite").parquet(f"{target}/_batch={batch_id}")
+        (rows.join(hits, keys, "left_anti").write.mode("overwrite")
+         .parquet(f"{target}/_batch={batch_id}"))
+        batch.where(~has_key(keys)).write.mode("overwrite").parquet(f"{rejects}/_batch={batch_id}")
+        rows.unpersist()
+        batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(upsert)
                .option("checkpointLocation", checkpoint)

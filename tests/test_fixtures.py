@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators import quality
 from marquee.plans import collect, legacy, marts, staging
-from marquee.schemas import METRICS_SCHEMA, METRICS_TEXT_SCHEMA, PLAYERS_SCHEMA, PRICE_SCHEMA, USERS_SCHEMA
+from marquee.schemas import CATALOGUE_SCHEMA, METRICS_SCHEMA, METRICS_TEXT_SCHEMA, PLAYERS_SCHEMA, PRICE_SCHEMA, USERS_SCHEMA
 from marquee.sources import files, payload
 
 
@@ -114,7 +114,7 @@ def test_metrics_legacy_load(spark, metrics_dir):
     assert rows[1].AvgViewersGain is None and rows[1]["AvgViewers%Gain"] is None
     assert rows[1].HoursWatched == "3000000000"                   # kept as text
     reasons = sorted(r.reason for r in res.rejected.collect())
-    assert reasons == ["bad AvgViewers", "unknown game"]
+    assert reasons == ["bad AvgViewers", "duplicate key", "unknown game"]
     audit = {r.file_path: (r.n_total, r.n_ok, r.n_rejected) for r in res.audit.collect()}
     assert audit[None] == (5, 2, 3)  # the duplicate key is not inserted
 
@@ -144,7 +144,9 @@ def test_players_load_key_from_file_name(spark, history_dir):
     rows = sorted((r.appid, str(r.month), r.peak, r.gain, r.percent_gain) for r in res.rows.collect())
     # '1,234' is not an integer (rejected, as int() would); 'mars' is March
     assert rows == [(10, "2024-03-01", 999, None, None), (20, "2024-01-01", 50, -3, -2.5)]
-    assert sorted(r.reason for r in res.rejected.collect()) == ["unparsable", "unparsable"]
+    assert sorted(r.reason for r in res.rejected.collect()) == ["bad Peak", "bad Peak"]
+    audit = {r.file_path: (r.n_total, r.n_ok, r.n_rejected) for r in res.audit.collect()}
+    assert audit[None] == (4, 2, 2) and all(a == b + c for a, b, c in audit.values())
 
 
 def test_price_load_drops_footer(spark, history_dir):
@@ -161,10 +163,86 @@ def test_users_load(spark, tmp):
     p = os.path.join(tmp, "users.csv")
     _write(p, "DateTime;Users;Average Users;In-Game\n2024-01-01 00:00:00;10.7;3.2;\n"
               "2024-01-02 00:00:00;NaN;4.9;7\n")
-    rows = legacy.users_load(files.read_semicolon_csv(spark, p, USERS_SCHEMA)).orderBy("DateTime").collect()
+    rows = legacy.users_load(files.read_semicolon_csv(spark, p, USERS_SCHEMA)).rows.orderBy("DateTime").collect()
     assert [(r.Users, r.AverageUsers, r.InGame) for r in rows] == [(10, 3, None), (None, 4, 7)]
 
 
+def test_users_load_refuses_bad_cells(spark, tmp):
+    p = os.path.join(tmp, "users.csv")
+    _write(p, "DateTime;Users;Average Users;In-Game\n2024-01-01 00:00:00;abc;3.2;\nsoon;1;1;1\n"
+              "2024-01-02 00:00:00;3000000000;1;1\n2024-01-03 00:00:00;inf;1;1\n2024-01-04 00:00:00;1;1;1\n"
+              "2024-01-04 00:00:00;1;1;1\n")
+    res = legacy.users_load(files.with_file_order(files.read_semicolon_csv(spark, p, USERS_SCHEMA)))
+    assert res.rows.count() == 2  # equal times are no repeated key
+    assert sorted(r.reason for r in res.rejected.collect()) == ["bad DateTime", "bad Users", "bad Users", "bad Users"]
+    audit = {r.file_path: (r.n_total, r.n_ok, r.n_rejected) for r in res.audit.collect()}
+    assert len(audit) == 2 and set(audit.values()) == {(6, 2, 4)}
+
+
+def test_metrics_load_refuses_what_no_column_holds(spark, tmp):
+    header = ("steam_id,Month,AvgViewers,AvgViewersGain,AvgViewers%Gain,PeakViewers,AvgStreams,"
+              "AvgStreamsGain,AvgStreamsùGain,PeakStreams,HoursWatched\n")
+    cells = ["10,1/3/2024,3000000000,1,1,1,1,1,1,1,1", "10,1/4/2024,nan,1,1,1,1,1,1,1,1",
+             "10,1/5/2024,1,1e400,1,1,1,1,1,1,1", "10,1/6/2024,1,1,inf,1,1,1,1,1,1", "-,1/6/2024,1,1,1,1,1,1,1,1,1",
+             "10,June 2024,1,1,1,1,1,1,1,1,1", "10,6/3/2024,7,,,1,-,,,1,1", "10,06/03/2024,8,,,1,-,,,1,1"]
+    _write(os.path.join(tmp, "m.csv"), header + "\n".join(cells) + "\n")
+    raw = files.read_metrics_csv(spark, os.path.join(tmp, "m.csv"), METRICS_TEXT_SCHEMA, with_order=True)
+    res = legacy.metrics_load(raw, spark.createDataFrame([(10,), (None,)], "appid int"))
+    assert [(r.AvgViewers, str(r.date)) for r in res.rows.collect()] == [(7, "2024-03-06")]
+    assert sorted(r.reason for r in res.rejected.collect()) == [
+        "bad AvgViewers", "bad AvgViewers", "bad AvgViewers%Gain", "bad AvgViewersGain", "bad Month",
+        "duplicate key", "unknown game"]
+
+
+def test_stored_keys_are_rejects(spark, history_dir):
+    raw = files.read_keyed_csv(spark, f"{history_dir}/instance_*/players/*_players.csv", PLAYERS_SCHEMA)
+    games = spark.createDataFrame([(10,), (20,)], "appid bigint")
+    stored = spark.createDataFrame([(20, "2024-01-01")], "appid bigint, month string").selectExpr(
+        "appid", "cast(month as date) month")
+    res = legacy.players_load(raw, games, target=stored)
+    assert [r.appid for r in res.rows.collect()] == [10]
+    assert sorted(r.reason for r in res.rejected.collect()) == ["bad Peak", "bad Peak", "duplicate key"]
+
+
+def test_no_worker_folder_at_all(spark, tmp):
+    raw = files.read_keyed_csv(spark, f"{tmp}/none/instance_*/players/*_players.csv", PLAYERS_SCHEMA)
+    assert raw.count() == 0 and {"appid", "file_path", "line_no"} <= set(raw.columns)
+    raw = files.read_keyed_csv(spark, f"{tmp}/none/*/price/*.csv", PRICE_SCHEMA, sep=";", drop_footer=True)
+    assert legacy.price_load(raw, spark.createDataFrame([(1,)], "appid bigint")).audit.count() <= 1
+
+
+def test_catalogue_refuses_games_without_id_or_name(spark):
+    rows = [(None, "No id", ["A"]), (1, None, ["A"]), (2, "Two", ["A"]), (2, "Again", ["B"]), (3, "", None)]
+    bronze = spark.createDataFrame([(a, n, None, "", d, None, ["g"], "", 1, "EUR", True, True, True, 1, 1)
+                                    for a, n, d in rows], CATALOGUE_SCHEMA).coalesce(1)
+    res = legacy.catalogue_load(bronze)
+    assert {(r.appid, r.name) for r in res.rows.collect()} == {(2, "Two"), (3, "")}
+    assert sorted(r.reason for r in res.rejected.collect()) == ["duplicate key", "no name", "null key"]
+    total = res.audit.where("file_path is null").first()
+    assert (total.n_total, total.n_ok, total.n_rejected) == (5, 2, 3)
+    dim = legacy.member_dim(bronze, "genre")
+    assert sorted(r.game_appid for r in legacy.catalogue_links(bronze, dim, "genre").collect()) == [1, 2, 3]
+
+
+def test_collated_names_keep_their_ids(spark):
+    rows = [(1, "One", ["Éa"], ["Rpg"]), (2, "Two", ["ea"], ["RPG", "rpg"]), (3, "Three", ["Other"], ["rpġ"])]
+    bronze = spark.createDataFrame([(a, n, None, "", d, None, g, "", 1, "EUR", True, True, True, 1, 1)
+                                    for a, n, d, g in rows], CATALOGUE_SCHEMA)
+    res = legacy.catalogue_load(bronze, collation="UNICODE_CI_AI")
+    devs = {r.appid: r.developer_id for r in res.rows.collect()}
+    assert devs[1] == devs[2] and devs[3] not in (None, devs[1]) and res.developers.count() == 2
+    dim = legacy.member_dim(bronze, "genre", collation="UNICODE_CI_AI")
+    links = legacy.catalogue_links(bronze, dim, "genre", collation="UNICODE_CI_AI").collect()
+    assert dim.count() == 1 and sorted(r.game_appid for r in links) == [1, 2, 3]
+
+
+def test_link_ids_and_suffixes_out_of_range_are_null(spark):
+    from marquee.functions import cleaning as X
+    row = spark.createDataFrame([("/games/99999999999999999999", "1e30M", "7.9K")], "a string, b string, c string") \
+        .select(X.link_id("a").alias("a"), X.suffix_number("b").alias("b"), X.suffix_number("c").alias("c")).first()
+    assert tuple(row) == (None, None, 7900)
+
+
 def _payload(appid, success=True, data=True, **data_kw):
     d = {"name": "G", "release_date": {"coming_soon": False, "date": "6 mars 2024"},
          "developers": ["D"], "categories": [{"id": 1, "description": "Solo"}],
@@ -284,6 +362,10 @@ def test_legacy_run(spark, tmp, catalogue_dir, metrics_dir, history_dir):
     assert t["price_history"].count() == 2 and t["global_steam_users"].count() == 1
     audit = {r.file_path: r.n_ok for r in t["twitchgames_audit"].collect()}
     assert audit[None] == 2                         # steam_id 20 has only a rejected row
+    for name in ("steamgames", "twitchgames", "players_history", "price_history", "global_steam_users"):
+        total = t[f"{name}_audit"].where("file_path is null").first()
+        assert t[name].count() == total.n_ok and t[f"{name}_rejects"].count() == total.n_rejected
+        assert total.n_ok + total.n_rejected == total.n_total
 
 
 def test_pipeline_bucketed_fact_and_bridge_join_without_shuffle(spark, tmp):
@@ -353,13 +435,15 @@ def test_pipeline_rejects_values_that_do_not_fit(spark, tmp):
     _write(os.path.join(root, "twitch", "b.csv"),
            "steam_id,Month,AvgViewers,AvgViewersGain,AvgViewers%Gain,PeakViewers,AvgStreams,"
            "AvgStreamsGain,AvgStreamsùGain,PeakStreams,HoursWatched\n"
-           "1,01/03/2024,2.5,1,2,10,3,1,1,4,100\n"
+           "1,6/3/2024,2.5,1,2,10,3,1,1,4,100\n"
+           "1,June 2024,2.5,1,2,10,3,1,1,4,100\n"
            "2,01/03/2024,\"1,234\",1,2,10,3,1,1,4,100\n")
     t = pipeline.load_bronze(spark, f"{root}/twitch/*.csv", f"{root}/steam/*/*.json",
                              os.path.join(tmp, "wh"))
     assert t["bronze_twitch"].count() == 1
     rej = t["bronze_twitch_rejects"].collect()
-    assert len(rej) == 1 and "1,234" in rej[0]["_corrupt_record"]
+    assert len(rej) == 2 and any("1,234" in (r["_corrupt_record"] or "") for r in rej)
+    assert any(r.Month == "June 2024" for r in rej)
     assert t["bronze_steam"].count() == 2 and t["bronze_steam_rejects"].count() == 0
 
 

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from marquee.plans import registry
 from tests.conftest import SF_SMALL
 from tests.oracle import compare, duck
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -49,15 +49,22 @@ def test_member_filter_pushed_into_scan(spark, tmp):
     assert dim.count() == 1
 
 
-def test_dense_key_moves_no_rows_to_one_task(spark):
+def test_dense_key_moves_no_rows_to_one_task(spark, monkeypatch):
+    """No job of the key, the one before its checkpoint included, has an exchange into
+    a single partition."""
+    from marquee.operators import keys
+    plans = []
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df)
+
+    materialize = keys.materialize
+    monkeypatch.setattr(keys, "materialize", watched)
     dim = driver.q_dim_entity(spark, SF_SMALL)
-    formatted = spark._jvm.PythonSQLUtils.explainString(dim._jdf.queryExecution(), "formatted")
-    blocks = formatted.split("\n\n")
-    # the only single-partition exchange carries the per-partition counts
-    for b in blocks:
-        if "Arguments: SinglePartition" in b:
-            cols = re.search(r"Input \[\d+\]: \[([^\]]*)\]", b).group(1)
-            assert all(c.strip().startswith(("_pid", "_n")) for c in cols.split(",")), b
+    plans.append(dim._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 2 and "rangepartitioning" in plans[0]
+    assert not any("SinglePartition" in p for p in plans)
 
 
 def test_dense_key_splits_a_hot_key(spark):
@@ -84,6 +91,55 @@ def test_checked_broadcast_bounds_the_build_side(spark):
     text = over._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
     assert over.count() == 10
+    text = spark.createDataFrame([("x" * 1000,)] * 10, "k string")
+    assert checked_broadcast(text, max_bytes=9_000, otherwise=None) is None
+    assert checked_broadcast(text, max_bytes=10_000, otherwise=None) is not None
+
+
+def test_the_size_check_sends_one_partial_count_a_task(spark, monkeypatch):
+    """Its only exchange into one partition is fed by the partial aggregate."""
+    from marquee import session
+    DataFrame = type(spark.range(1))
+    plans, first = [], DataFrame.first
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return first(df)
+
+    monkeypatch.setattr(DataFrame, "first", watched)
+    assert session.measured(spark.range(5000).repartition(8)) == (5000, 40_000)
+    (plan_text,) = plans
+    lines = plan_text.splitlines()
+    at = [k for k, line in enumerate(lines) if "SinglePartition" in line]
+    assert len(at) == 1 and "partial_count" in lines[at[0] + 1] and "Limit" not in plan_text
+
+
+def test_reading_a_table_plans_the_same_at_every_size(spark):
+    """No size switch: the scan is a plain scan."""
+    from marquee.session import read_table
+    for sf in (SF_SMALL, "/root/testdata/sf0.1"):
+        assert "Exchange" not in read_table(spark, sf, "lineitem")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_deep_page_is_not_gathered_in_one_task(spark):
+    from marquee.operators.paging import page
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    deep = page(df, "k", 10, 900)
+    assert sorted(r.k for r in deep.collect()) == list(range(900, 910))
+    assert "TakeOrdered" not in deep._jdf.queryExecution().executedPlan().toString()
+    assert [r.k for r in page(df, "k", 3).collect()] == [0, 1, 2]
+
+
+def test_look_up_splits_a_hot_key(spark):
+    from marquee.operators.lookup import look_up
+    left = spark.range(30_000).select(
+        "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("long").alias("k"))
+    right = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    got = look_up(left, right, ["k"], F.col("id"))
+    assert got.count() == 30_000
+    assert got.where("v is distinct from case when k < 20000 then k * 2 end").count() == 0
+    sizes = [r["count"] for r in got.repartition(8, "k").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) > 10_000  # hashed by the key alone, one task would hold a third
 
 
 def test_parses_run_once_per_row(spark):

@@ -110,11 +110,3 @@ def test_shards_partition_the_input(spark, n_rows, n_shards):
     size = max(n_rows // n_shards, 1)
     for r in out:
         assert r.shard == min(r.k // size, n_shards - 1)
-
-
-def test_surrogate_key_offsets_table_path(spark, monkeypatch):
-    from marquee.operators import keys
-    monkeypatch.setattr(keys, "MAX_LITERAL_OFFSETS", 0)
-    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("v"))
-    got = keys.surrogate_key(df, "v", "k", partitions=5)
-    assert sorted((r.v, r.k) for r in got.collect()) == [(i, i + 1) for i in range(1000)]

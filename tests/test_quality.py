@@ -25,6 +25,25 @@ def test_declared_checks_pass(warehouse):
     assert all(n == 0 for *_, n in rows)
 
 
+def test_one_pass_counts_agree_with_the_failing_rows(spark, warehouse):
+    """failure_counts on broken tables against the rows each check lists."""
+    t = dict(warehouse.tables())
+    t["fct"] = t["fct"].unionByName(t["fct"].limit(3).withColumns({
+        "game_key": F.lit(10**9).cast("bigint"), "date_key": F.lit(None).cast("int")}))
+    t["dim_games"] = t["dim_games"].unionByName(t["dim_games"].limit(2))
+    got = {tuple(r)[:3]: r.n_failing for r in quality.failure_counts(t).collect()}
+    assert len(got) == 31
+    for model, table, kind, col, parent in quality.DECLARED_CHECKS:
+        failing = {"not_null": lambda: quality.check_not_null(t[table], col),
+                   "unique": lambda: quality.check_unique(t[table], col),
+                   "relationships": lambda: quality.check_relationship(t[table], col, t[parent], col)}[kind]()
+        assert got[model, kind, col] == failing.count(), (model, kind, col)
+    assert sum(got.values()) >= 3 + 3 + 2
+    with pytest.raises(quality.QualityError):
+        quality.gate(t)
+    assert len(quality.gate(warehouse)) == 31
+
+
 def test_broken_fact_fails_relationship(spark, warehouse):
     orphan = warehouse.fct.limit(1).withColumn("game_key", F.lit(10**9).cast("bigint"))
     broken = quality.check_relationship(warehouse.fct.unionByName(orphan), "game_key",
