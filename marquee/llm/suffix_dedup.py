@@ -48,10 +48,12 @@ from .common import bloom_bitmap, in_bloom, look_up, written
 SPAN = 200
 GRAM = 32
 REACH = SPAN - GRAM           # an anchor is at most this far into its windows
-BLOCK = 1 << 21               # bytes hashed at once
+BLOCK = 1 << 17               # bytes hashed at once: few enough to stay in a core's cache
 HOT, HOT_PART = 1_000, 2_000
+HOT_SET = 2_000_000           # hashes (16 MB) of hot repeated windows that may be broadcast
 RANGE_SUFFIXES = 20_000       # suffixes that one merge is planned for
-RUN_BYTES = 32 << 20          # a task's suffixes are sorted and written when they reach this
+RUN_BYTES = 8 << 20           # a task's suffixes are sorted and written when they reach this
+HELD = 200_000                # numbers a task holds before it hands them on
 KEY = 8                       # bytes of the gram hash before a suffix in the sort key
 WIDTH = KEY + SPAN
 
@@ -114,9 +116,14 @@ class Block:
         self.grams = grams
         self.first, self.last = _runs(self.windows, self.anchors)
 
+    def names(self, anchors: np.ndarray) -> np.ndarray:
+        """The grams at anchors, hashed once more: anchors have the least hashes, which
+        are anything but uniform."""
+        return _mixed(self.grams[anchors])
+
     def groups(self) -> np.ndarray:
-        """The gram hash of each group of windows with one anchor."""
-        return self.grams[self.anchors[self.first]]
+        """The gram of each group of windows with one anchor."""
+        return self.names(self.anchors[self.first])
 
     def piece_of(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, at, side="right") - 1
@@ -332,62 +339,131 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _count_anchors(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+
+        def counted() -> pd.DataFrame:
+            h, c = np.unique(np.concatenate(held), return_counts=True)
+            return pd.DataFrame({"h": h.view(np.int64), "c": c})
+
         for block, _ in blocks(batches):
-            h, c = np.unique(block.groups(), return_counts=True)
-            yield pd.DataFrame({"h": h.view(np.int64), "c": c})
+            held.append(block.groups())
+            n += len(held[-1])
+            if n >= HELD:
+                yield counted()
+                held, n = [], 0
+        if held:
+            yield counted()
 
     return (texts.select("text", "th", "n").mapInPandas(run, "h long, c long")
             .groupBy("h").agg(F.sum("c").alias("c")))
 
 
-def _suffix_runs(texts: DataFrame, bitmap, hot, parts: int) -> DataFrame:
+HOT_COLUMNS = ("th", "n", "a", "w")
+OPEN_SCHEMA = RUN_SCHEMA + "".join(f", hot_{c} array<long>" for c in HOT_COLUMNS)
+
+
+def _open_rows(texts: DataFrame, bitmap, hot, parts: int) -> DataFrame:
+    """The second scan: front-coded runs of the open suffixes (``part`` not null) and,
+    for hot anchors, th, n, start and hash of every open window."""
+    names = [c.split()[0] for c in OPEN_SCHEMA.split(", ")]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, lefts, facts, size = [], [], [], 0
-        for block, names in blocks(batches):
+        warm, n_warm = [], 0
+
+        def full(frame: pd.DataFrame) -> pd.DataFrame:
+            return frame.assign(**{c: None for c in names if c not in frame})[names]
+
+        def runs() -> pd.DataFrame:
+            return full(_run_rows(keys, lefts, np.concatenate(facts), parts))
+
+        def windows() -> pd.DataFrame:
+            return full(pd.DataFrame([dict(zip(names[-4:], np.concatenate(warm, axis=1)))]))
+
+        for block, of in blocks(batches):
             live = np.flatnonzero(block.open_windows(bitmap.value))
-            live = live[~np.isin(block.grams[block.anchors[live]], hot.value)]
-            windows, anchors = block.windows[live], block.anchors[live]
-            first, last = _runs(windows, anchors)
-            lo, hi, at = windows[first], windows[last], anchors[first]
+            is_hot = np.isin(block.names(block.anchors[live]), hot.value)
+            shift = np.array([p[1] for p in block.pieces]) - block.starts
+            th, n = np.array(of, dtype=np.int64).T
+            if is_hot.any():
+                warm.append(_hot_windows(block, live[is_hot], th, n, shift))
+                n_warm += warm[-1].shape[1]
+                if n_warm >= HELD:
+                    yield windows()
+                    warm, n_warm = [], 0
+            live = live[~is_hot]
+            win, anchors = block.windows[live], block.anchors[live]
+            first, last = _runs(win, anchors)
+            lo, hi, at = win[first], win[last], anchors[first]
             piece = block.piece_of(at)
             raw = block.data.tobytes()
-            heads = block.grams[at].astype(">u8").tobytes()
+            heads = block.names(at).astype(">u8").tobytes()
             for k, (a, b, p) in enumerate(zip(lo.tolist(), hi.tolist(), at.tolist())):
                 keys.append(heads[KEY * k:KEY * k + KEY] + raw[p:b + SPAN])
                 lefts.append(raw[a:p][::-1])
-            shift = np.array([p[1] for p in block.pieces])[piece] - block.starts[piece]
-            facts.append(np.stack([np.array([x[0] for x in names], dtype=np.int64)[piece],
-                                   np.array([x[1] for x in names], dtype=np.int64)[piece],
-                                   at + shift, at - hi, at - lo], axis=1))
+            facts.append(np.stack([th[piece], n[piece], at + shift[piece], at - hi, at - lo], axis=1))
             size += int((hi - lo).sum()) + (SPAN + KEY) * len(lo)
             if size >= RUN_BYTES:
-                yield _run_rows(keys, lefts, np.concatenate(facts), parts)
+                yield runs()
                 keys, lefts, facts, size = [], [], [], 0
         if keys:
-            yield _run_rows(keys, lefts, np.concatenate(facts), parts)
+            yield runs()
+        if warm:
+            yield windows()
 
-    return texts.select("text", "th", "n").mapInPandas(run, RUN_SCHEMA)
+    out = texts.select("text", "th", "n").mapInPandas(run, OPEN_SCHEMA)
+    return written(out, "suffix-open")
 
 
-def _hot_windows(texts: DataFrame, bitmap, hot) -> DataFrame:
-    """th, n, start and hash of every open window with a hot anchor."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block, names in blocks(batches):
-            live = np.flatnonzero(block.open_windows(bitmap.value))
-            live = live[np.isin(block.grams[block.anchors[live]], hot.value)]
-            if not len(live):
-                continue
-            w = block.windows[live]
-            h = _hashes(block.data, (8, 64, 128))
-            whole = _mixed(h[128][w] * _power(72) + h[64][w + 128] * _power(8) + h[8][w + 192])
-            piece = block.piece_of(w)
-            shift = np.array([p[1] for p in block.pieces])[piece] - block.starts[piece]
-            yield pd.DataFrame({
-                "th": np.array([x[0] for x in names], dtype=np.int64)[piece],
-                "n": np.array([x[1] for x in names], dtype=np.int64)[piece],
-                "a": w + shift, "w": whole.view(np.int64)})
+def _hot_windows(block: Block, live: np.ndarray, th: np.ndarray, n: np.ndarray,
+                 shift: np.ndarray) -> np.ndarray:
+    """th, n, start in the text and hash of windows, a row each."""
+    w = block.windows[live]
+    h = _hashes(block.data, (8, 64, 128))
+    whole = _mixed(h[128][w] * _power(72) + h[64][w + 128] * _power(8) + h[8][w + 192])
+    piece = block.piece_of(w)
+    return np.stack([th[piece], n[piece], w + shift[piece], whole.view(np.int64)])
 
-    return texts.select("text", "th", "n").mapInPandas(run, "th long, n long, a long, w long")
+
+def _hot_spans(rows: DataFrame) -> DataFrame:
+    """th, n, first and last start of the repeated windows with hot anchors: those whose
+    hash is counted twice.
+
+    The repeated hashes (of few passages, however many documents hold them) are
+    broadcast if counted to be at most HOT_SET; else windows look them up by salted
+    keys."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for hashes in b["hot_w"]:  # of many documents: combined before they are shuffled
+                w, k = np.unique(np.asarray(hashes, dtype=np.int64), return_counts=True)
+                yield pd.DataFrame({"w": w, "k": k})
+
+    twice = written(rows.select("hot_w").mapInPandas(count, "w long, k long").groupBy("w")
+                    .agg(F.sum("k").alias("k")).where("k > 1"), "suffix-hot")
+    if twice.count() <= HOT_SET:
+        known = rows.sparkSession.sparkContext.broadcast(
+            np.sort(twice.select("w").toPandas()["w"].to_numpy(dtype=np.int64)))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                for row in b.itertuples(index=False):
+                    th, n, a, w = (np.asarray(x, dtype=np.int64) for x in row)
+                    own = np.flatnonzero(np.isin(w, known.value))
+                    th, n, a = th[own], n[own], a[own]
+                    new = (np.diff(th) != 0) | (np.diff(n) != 0) | (np.diff(a) != 1)
+                    first = np.concatenate([[0], np.flatnonzero(new) + 1])[:len(own)]
+                    last = np.concatenate([first[1:] - 1, [len(own) - 1]])[:len(first)]
+                    yield pd.DataFrame({"th": th[first], "n": n[first], "a": a[first], "b": a[last]})
+
+        return rows.select(*[f"hot_{c}" for c in HOT_COLUMNS]).mapInPandas(
+            run, "th long, n long, a long, b long")
+    windows = rows.select(F.inline(F.arrays_zip(
+        *[F.col(f"hot_{c}").alias(c) for c in HOT_COLUMNS]))).toDF(*HOT_COLUMNS)
+    counted = look_up(windows, twice, ["w"], F.col("th")).where("k is not null")
+    # adjacent windows of a text become one span
+    rank = F.dense_rank().over(Window.partitionBy("th", "n").orderBy("a"))
+    return (counted.withColumn("island", F.col("a") - rank).groupBy("th", "n", "island")
+            .agg(F.min("a").alias("a"), F.max("a").alias("b")).drop("island"))
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -407,17 +483,12 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     hot, bitmap = sc.broadcast(hot), bloom_bitmap(counts.select("h"), total.k)
 
     parts = max(1, -(-(total.c or 0) // RANGE_SUFFIXES))
-    sorted_out = _suffix_runs(texts, bitmap, hot, parts).groupBy("part").applyInPandas(
+    found = _open_rows(texts, bitmap, hot, parts)
+    run_columns = [c.split()[0] for c in RUN_SCHEMA.split(", ")]
+    sorted_out = found.where("part is not null").select(*run_columns).groupBy("part").applyInPandas(
         repeated_windows, "th long, n long, a long, b long")
 
-    windows = _hot_windows(texts, bitmap, hot)
-    twice = windows.groupBy("w").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    counted = look_up(windows, twice, ["w"], F.col("th")).where("k is not null")
-    # adjacent windows of a text become one span
-    rank = F.dense_rank().over(Window.partitionBy("th", "n").orderBy("a"))
-    counted = (counted.withColumn("island", F.col("a") - rank).groupBy("th", "n", "island")
-               .agg(F.min("a").alias("a"), F.max("a").alias("b")).drop("island"))
-    spans = whole.unionByName(sorted_out).unionByName(counted)
+    spans = whole.unionByName(sorted_out).unionByName(_hot_spans(found.where("part is null")))
     return written(spans.groupBy("th", "n").agg(
         F.array_sort(F.collect_set(F.struct("a", "b"))).alias("starts")), "suffix-spans")
 
