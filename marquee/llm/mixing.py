@@ -124,8 +124,9 @@ class Mix:
 
         def moments(at: np.ndarray) -> np.ndarray:
             t = table(at=at)
-            taken = base.join(t, base["source"].eqNullSafe(t["of"])).groupBy("src").agg(
-                F.sum(F.col("size") * F.exp("at")).alias("words"))
+            # whole words are summed, so the result does not depend on the order of rows
+            taken = base.join(t, base["source"].eqNullSafe(t["of"])).groupBy("src", "at").agg(
+                (F.sum("size") * F.exp("at")).alias("words"))
             out = np.zeros(len(found))
             for r in taken.collect():
                 out[r.src] = r.words
