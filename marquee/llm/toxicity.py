@@ -61,13 +61,19 @@ QUOTES = frozenset("\"“”„«»")
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, END = range(8)
 NEGATION_SCOPE = 3
+SLICE = 100             # texts whose terms a task holds at once
+REMEMBERED = 100_000    # words whose symbols a task remembers
 STEMS = (4, 5, 6)
 MODES = ("plain", "negated", "reported")
 PATTERNS = [(kind, mode, target) for kind in ("insult", "threat") for mode in MODES
             for target in (False, True)]
-# fixed values: prior weight of each pattern, in the order of PATTERNS
-PRIOR = (3.0, 4.0, 1.0, 1.0, 1.0, 1.0, 1.0, 3.0, 0.5, 0.5, 0.5, 0.5)
+# fixed values: prior weight of a kind's evidence, and what each of its patterns adds
+# to it (plain, negated, reported; without and with a target)
+PRIOR_KIND = {"insult": 3.0, "threat": 2.0}
+PRIOR_PATTERN = {"insult": (0.0, 1.0, -2.0, -2.0, -2.0, -2.0),
+                 "threat": (-1.0, 1.0, -2.0, -2.0, -2.0, -2.0)}
 PRIOR_BIAS = -3.0
+PRIOR = tuple(PRIOR_KIND[k] + a for k in ("insult", "threat") for a in PRIOR_PATTERN[k])
 
 WORD = r"[^\W\d_]+(?:'[^\W\d_]+)?"
 TOKEN = re.compile(WORD + r"|[\"“”„«»]|[.,;:!?|\n]")
@@ -141,13 +147,16 @@ def classify(word: str, lexicon: dict[str, float]) -> tuple[int, float]:
                             (REPORT, REPORTS)):
         if word in members:
             return symbol, 1.0
-    return OTHER, 0.0
+    return NOTHING
+
+
+NOTHING = (OTHER, 0.0)
 
 
 class Reader:
     """Reads texts with one model; remembers the symbols of words."""
 
-    def __init__(self, model: Model, memory: int = 500_000):
+    def __init__(self, model: Model, memory: int = REMEMBERED):
         self.model, self.memory, self.known = model, memory, {}
 
     def symbol(self, word: str) -> tuple[int, float]:
@@ -207,12 +216,13 @@ def learn_lexicon(train: DataFrame, min_docs: int = 4, min_share: float = 0.01,
     be met by chance among all terms tried (log-likelihood plus ``margin``)."""
     def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = set()
-            for text in b["text"]:
-                words = set(WORDS.findall(text.lower()))
-                sig = signature(words)
-                rows |= {(f, sig) for w in words if len(w) >= 3 for f in features_of(w)}
-            yield pd.DataFrame(list(rows), columns=["term", "sig"])
+            for start in range(0, len(b), SLICE):
+                rows = set()
+                for text in b["text"].iloc[start:start + SLICE]:
+                    words = set(WORDS.findall(text.lower()))
+                    sig = signature(words)
+                    rows |= {(f, sig) for w in words if len(w) >= 3 for f in features_of(w)}
+                yield pd.DataFrame(list(rows), columns=["term", "sig"])
 
     toxic, clean = train.where("label = 1"), train.where("label = 0")
     n_clean = clean.count()
@@ -253,20 +263,26 @@ def learn_lexicon(train: DataFrame, min_docs: int = 4, min_share: float = 0.01,
     return lexicon
 
 
-def fit_patterns(x: np.ndarray, y: np.ndarray, strength: float = 0.05,
+def fit_patterns(x: np.ndarray, y: np.ndarray, loose: float = 0.05, tight: float = 0.5,
                  steps: int = 50) -> tuple[np.ndarray, float]:
-    """Logistic weights by Newton steps, pulled towards the prior weights."""
-    prior = np.array([*PRIOR, PRIOR_BIAS])
-    a, w = np.hstack([x, np.ones((len(x), 1))]), prior.copy()
+    """Logistic weights by Newton steps, pulled towards the prior weights.
+
+    A pattern's weight is its kind's (loosely held) plus its own (tightly held), so a
+    pattern that training never showed moves with its kind."""
+    kinds = np.repeat(np.eye(2), 6, axis=0)
+    a = np.hstack([x @ kinds, x, np.ones((len(x), 1))])
+    prior = np.array([*PRIOR_KIND.values(), *PRIOR_PATTERN["insult"], *PRIOR_PATTERN["threat"],
+                      PRIOR_BIAS])
+    pull, w = np.array([loose] * 2 + [tight] * 12 + [loose]), prior.copy()
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        gradient = a.T @ (p - y) + strength * (w - prior)
-        hessian = (a * (p * (1 - p) + 1e-9)[:, None]).T @ a + strength * np.eye(len(w))
+        gradient = a.T @ (p - y) + pull * (w - prior)
+        hessian = (a * (p * (1 - p) + 1e-9)[:, None]).T @ a + np.diag(pull)
         step = np.linalg.solve(hessian, gradient)
         w -= np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
-    return w[:-1], float(w[-1])
+    return kinds @ w[:2] + w[2:14], float(w[14])
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None,
