@@ -15,12 +15,15 @@ WHITE = r"[\x20\x09-\x0D]+"
 WHITE_CHARS = " \t\n\x0b\f\r"
 
 
+ARROW_ROWS = "1000"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Python workers import the operators' functions from where the driver has them
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    # documents are long: small Arrow batches keep what a Python worker holds small
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
@@ -116,7 +119,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     state = written(edges.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
                     .where("x <> y").distinct(), name)
     before = mark(state)
-    while True:
+    while before[0]:
         state = written(star(star(state, True), False), name)
         after = mark(state)
         if after == before:

@@ -3,9 +3,9 @@
 Two documents link when the Jaccard similarity of their sets of 5-word shingles
 is at least the threshold; the result is each document's connected component.
 
-1. Order. All shingles have one global order: rare ones by hash, then the frequent
-   ones (counted over all documents, block by block) by rising frequency. The order
-   only decides how much work is done.
+1. Order. All shingles have one global order: rare ones by hash, then those whose
+   cell in a count sketch over all documents is overfull, by rising count. The sketch
+   has a fixed size; the order only decides how much work is done.
 2. Candidates. Two sets that link share a shingle among the first
    n - ceil(t n) + 1 of each (prefix filter). Documents with equal sets are one
    *class*; prefix shingles of a single class are dropped (exactly: a fixed-size
@@ -14,13 +14,16 @@ is at least the threshold; the result is each document's connected component.
    class is tested against the leader it shares most with. Near copies of one text
    are thus connected by a row each, not by all pairs.
 4. The rest. Pairs from different components that share a prefix shingle are all
-   tested, save those which sizes or 512-bit parity maps rule out (the maps differ
-   in at most as many bits as the sets differ in shingles). No link between
-   different components can be missed.
+   tested, save those which sizes or parity maps rule out (the maps differ in at most
+   as many bits as the sets differ in shingles; a small map inside the join, a wide
+   one for each pair). No link between different components can be missed.
 5. Testing, vertically: the global order is cut into ``FRAGMENTS``; each pair's
    overlap is counted fragment by fragment and summed. Only classes that some pair
    needs are cut up, and a hot leader's fragments are spread over salts.
 
+Joins on a shingle are sort-merge joins of written tables, whose hot partitions
+Spark's adaptive execution splits.
+
 Shingles are 64-bit hashes; nothing else is approximate. Classes are told apart
 by 64 bits of a hash of the whole set.
 
@@ -33,21 +36,29 @@ table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.session import checked_broadcast
+
 from .common import bloom_bitmap, components, in_bloom, look_up, written
 
 WORDS = 5
 THRESHOLD = 75          # percent
 FRAGMENTS = 8
-MAPS = 8                # 64-bit words of a parity map
-BLOCK = 1 << 22         # shingles counted together when looking for frequent ones
-LOCAL_FREQUENT, FREQUENT, MAX_FREQUENT = 4, 8, 100_000
+MAPS = 8                # 64-bit words of the small parity map, one column each
+WIDE = 16               # least number of 64-bit words of the wide one
+CELL_BITS = 23          # cells of the count sketch (16 MB of counts)
+CHUNK_BITS = 15         # cells of one piece of it
+TASKS_AT_ONCE = 256     # sketches added up in one group
+SLICE = 500             # documents described at once
+OVERFULL = 12           # a cell is overfull from mean + max(this, 4 deviations)
 PAIRS_PER_SALT = 2_000
 
 # odd multipliers, one for each place in a shingle
@@ -77,20 +88,23 @@ def prefix_length(n: int, threshold: int = THRESHOLD) -> int:
     return n + (-threshold * n) // 100 + 1 if n else 0
 
 
+def cells(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
 class Order:
-    """The global order, from the frequent shingles and their counts."""
+    """The global order, from the count sketch."""
 
-    def __init__(self, frequent: np.ndarray, counts: np.ndarray):
-        at = np.argsort(frequent)
-        self.frequent, self.counts = frequent[at], counts[at]
+    def __init__(self, counts: np.ndarray):
+        mean = counts.mean()
+        self.counts = np.minimum(counts, 0xFFFF).astype(np.uint16)
+        self.limit = mean + max(OVERFULL, 4 * mean ** 0.5)
 
     def split(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rare and the frequent shingles of a set, in order."""
-        if not len(self.frequent):
-            return s, s[:0]
-        at = np.minimum(np.searchsorted(self.frequent, s), len(self.frequent) - 1)
-        often = self.frequent[at] == s
-        return s[~often], s[often][np.argsort(self.counts[at[often]], kind="stable")]
+        n = self.counts[cells(s)]
+        often = n >= self.limit
+        return s[~often], s[often][np.argsort(n[often], kind="stable")]
 
     def prefix(self, s: np.ndarray, threshold: int) -> np.ndarray:
         return np.concatenate(self.split(s))[:prefix_length(len(s), threshold)]
@@ -115,34 +129,52 @@ def _node(s: np.ndarray) -> int | None:
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64))
 
 
-def _parity(s: np.ndarray) -> np.ndarray:
-    bits = np.bincount((s >> np.uint64(7)) % np.uint64(64 * MAPS), minlength=64 * MAPS) & 1
+def _parity(s: np.ndarray, size: int) -> np.ndarray:
+    """A map of ``size`` words: for each bit, whether the set holds an odd number of
+    the shingles that belong to it."""
+    bits = np.bincount((s >> np.uint64(7)) % np.uint64(64 * size), minlength=64 * size) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-def _frequent(texts: DataFrame) -> Order:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, n = [], 0
+def _wide(n: int) -> int:
+    """Words of the wide map of a set: at least four bits a shingle, a power of two."""
+    return max(WIDE, 1 << max(0, (n - 1) >> 4).bit_length())
 
-        def flush() -> pd.DataFrame:
-            got, count = np.unique(np.concatenate(held), return_counts=True)
-            often = count >= LOCAL_FREQUENT
-            return pd.DataFrame({"s": _signed(got[often]), "n": count[often]})
 
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches in pieces small enough that their shingles take little memory."""
+    for b in batches:
+        for start in range(0, len(b), SLICE):
+            yield b.iloc[start:start + SLICE].reset_index(drop=True)
+
+
+def _sketch(texts: DataFrame) -> Order:
+    """Count the shingles of all documents by cell. Each task adds up one sketch; the
+    tasks' sketches are added piece by piece, some at a time."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(1 << CELL_BITS, dtype=np.uint32)
         for b in batches:
             for text in b["text"]:
-                held.append(shingles(text))
-                n += len(held[-1])
-                if n >= BLOCK:
-                    yield flush()
-                    held, n = [], 0
-        if held:
-            yield flush()
+                np.add.at(total, cells(shingles(text)), 1)
+        yield packed(total.reshape(-1, 1 << CHUNK_BITS), TaskContext.get().partitionId())
+
+    def packed(pieces: np.ndarray, task: int, first: int = 0) -> pd.DataFrame:
+        return pd.DataFrame({"chunk": range(first, first + len(pieces)), "task": task,
+                             "counts": [zlib.compress(p.tobytes(), 1) for p in pieces]})
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(1 << CHUNK_BITS, dtype=np.uint32)
+        for piece in pdf["counts"]:
+            total += np.frombuffer(zlib.decompress(piece), dtype=np.uint32)
+        return packed(total[None, :], pdf["task"].iloc[0] // TASKS_AT_ONCE, pdf["chunk"].iloc[0])
 
-    rows = (texts.select("text").mapInPandas(run, "s long, n long").groupBy("s")
-            .agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
-            .orderBy(F.desc("n"), "s").limit(MAX_FREQUENT).toPandas())
-    return Order(rows["s"].to_numpy(dtype=np.int64).view(np.uint64), rows["n"].to_numpy())
+    schema = "chunk int, task int, counts binary"
+    some = texts.select("text").mapInPandas(count, schema).groupBy(
+        "chunk", F.floor(F.col("task") / TASKS_AT_ONCE)).applyInPandas(add, schema)
+    counts = np.zeros((1 << (CELL_BITS - CHUNK_BITS), 1 << CHUNK_BITS), dtype=np.uint32)
+    for r in some.groupBy("chunk").applyInPandas(add, schema).collect():  # of fixed size
+        counts[r.chunk] = np.frombuffer(zlib.decompress(r.counts), dtype=np.uint32)
+    return Order(counts.ravel())
 
 
 class _Join:
@@ -152,24 +184,25 @@ class _Join:
                                  F.coalesce(docs[text_col], F.lit("")).alias("text"),
                                  _text_hash(docs[text_col]).alias("th"))
         self.sc = docs.sparkSession.sparkContext
-        self.order = self.sc.broadcast(_frequent(self.texts))
+        self.order = self.sc.broadcast(_sketch(self.texts))
 
     def describe(self) -> DataFrame:
         """id, n, node (the class), prefix and parity map of every document."""
         order, threshold = self.order, self.threshold
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
+            for b in _slices(batches):
                 sets = [shingles(t) for t in b["text"]]
                 out = {"id": b["id"], "th": b["th"], "n": [len(s) for s in sets],
                        "node": pd.array([_node(s) for s in sets], dtype="Int64"),
                        "prefix": [_signed(order.value.prefix(s, threshold)) for s in sets]}
-                maps = np.array([_parity(s) for s in sets], dtype=np.int64).reshape(-1, MAPS)
+                maps = np.array([_parity(s, MAPS) for s in sets], dtype=np.int64).reshape(-1, MAPS)
+                out["wide"] = [_parity(s, _wide(len(s))) for s in sets]
                 yield pd.DataFrame(out | {f"m{k}": maps[:, k] for k in range(MAPS)})
 
         maps = ", ".join(f"m{k} long" for k in range(MAPS))
         return written(self.texts.mapInPandas(
-            run, f"id long, th long, n long, node long, prefix array<long>, {maps}"), "jaccard-sets")
+            run, f"id long, th long, n long, node long, prefix array<long>, wide array<long>, {maps}"), "jaccard-sets")
 
     def shared_prefixes(self, sets: DataFrame) -> DataFrame:
         """(s, node) of the prefix shingles that several classes have."""
@@ -184,14 +217,16 @@ class _Join:
                 if lengths.sum():
                     s = np.concatenate(b["prefix"].to_list()).astype(np.int64)
                     keep = in_bloom(bitmap.value, s.view(np.uint64))
-                    yield pd.DataFrame({"s": s[keep],
-                                        "node": np.repeat(b["node"].to_numpy(), lengths)[keep]})
+                    yield pd.DataFrame({
+                        "s": s[keep], "node": np.repeat(b["node"].to_numpy(), lengths)[keep]
+                    }).drop_duplicates()
 
         maybe = sets.where("n > 0").select("prefix", "node").mapInPandas(run, "s long, node long")
-        return written(maybe.distinct().join(many, "s", "left_semi"), "jaccard-lists")
+        # one exchange: the join's partitioning serves the distinct rows too
+        return written(maybe.hint("merge").join(many, "s", "left_semi").distinct(), "jaccard-lists")
 
-    def fits(self, a: str, b: str):
-        """Neither the sizes nor the parity maps of rows ``a`` and ``b`` rule out a link."""
+    def fits(self, a: str, b: str) -> Column:
+        """Neither the sizes nor the small maps of rows ``a`` and ``b`` rule out a link."""
         t = self.threshold
         na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
         differ = sum((F.bit_count(F.col(f"{a}.m{k}").bitwiseXOR(F.col(f"{b}.m{k}")))
@@ -199,17 +234,45 @@ class _Join:
         return ((100 * F.least(na, nb) >= t * F.greatest(na, nb))
                 & ((100 + t) * differ <= (100 - t) * (na + nb)))
 
+    def worth_testing(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """The pairs that neither sizes and small maps nor the wide maps rule out, with
+        their sizes."""
+        t = self.threshold
+        fact = F.struct("n", *[f"m{k}" for k in range(MAPS)])
+        for side in ("x", "y"):
+            pairs = pairs.hint("merge").join(
+                classes.select(F.col("node").alias(side), fact.alias(f"f{side}")), side)
+        pairs = pairs.where(self.fits("fx", "fy")).select(
+            "x", "y", F.col("fx.n").alias("nx"), F.col("fy.n").alias("ny"))
+        pairs = written(pairs, "jaccard-fitting")
+        for side in ("x", "y"):
+            pairs = pairs.hint("merge").join(
+                classes.select(F.col("node").alias(side), F.col("wide").alias(f"w{side}")), side)
+
+        def halved(w: str, least: Column) -> Column:
+            """Sets of like sizes have maps of one size, or of one size and its double,
+            whose halves add up to the smaller map."""
+            half = F.zip_with(F.slice(w, F.lit(1), least), F.slice(w, least + 1, least),
+                              lambda a, b: a.bitwiseXOR(b))
+            return F.when(F.size(w) > least, half).otherwise(F.col(w))
+
+        least = F.least(F.size("wx"), F.size("wy"))
+        differ = F.aggregate(
+            F.zip_with(halved("wx", least), halved("wy", least),
+                       lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+        return pairs.where((100 + t) * differ <= (100 - t) * (F.col("nx") + F.col("ny"))).drop(
+            "wx", "wy")
+
     def linked(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """The pairs (x, y) of classes that link; y is the side that may be hot."""
-        n_pairs = pairs.count()
-        salts = max(1, -(-n_pairs // PAIRS_PER_SALT))
+        pairs = written(self.worth_testing(pairs, classes), "jaccard-worth")
+        salts = max(1, -(-pairs.count() // PAIRS_PER_SALT))
         pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(salts)))
-        wanted = pairs.select(F.col("x").alias("node")).union(
-            pairs.select(F.col("y").alias("node"))).distinct()
-        wanted = written(wanted.join(classes.select("node", "first_id"), "node"), "jaccard-wanted")
-        id_hash = F.xxhash64(F.coalesce(F.col("id"), F.lit(-1)))
-        held = bloom_bitmap(wanted.select(F.xxhash64(F.coalesce("first_id", F.lit(-1)))),
-                            wanted.count())
+        wanted = written(
+            pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node")))
+            .distinct().join(classes.select("node", "first_id"), "node"), "jaccard-wanted")
+        id_hash = lambda c: F.xxhash64(F.coalesce(F.col(c), F.lit(-1)))
+        held = bloom_bitmap(wanted.select(id_hash("first_id")), wanted.count())
         order = self.order
 
         @F.pandas_udf("boolean")
@@ -217,71 +280,94 @@ class _Join:
             return pd.Series(in_bloom(held.value, h.to_numpy().view(np.uint64)))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
+            for b in _slices(batches):
                 sets = [shingles(t) for t in b["text"]]
                 yield pd.DataFrame({
-                    "node": pd.array([_node(s) for s in sets], dtype="Int64"),
+                    "id": b["id"], "node": pd.array([_node(s) for s in sets], dtype="Int64"),
                     "parts": [[_signed(f) for f in order.value.fragments(s)] for s in sets]})
 
-        parts = written(
-            self.texts.where(maybe(id_hash)).select("text")
-            .mapInPandas(run, "node long, parts array<array<long>>")
-            .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]),
-            "jaccard-fragments")
+        # one document of each class that a pair needs (more only if rows are repeated)
+        parts = self.texts.where(maybe(id_hash("id"))).select("id", "text").mapInPandas(
+            run, "id long, node long, parts array<array<long>>")
+        parts = parts.join(checked_broadcast(wanted), (parts["node"] == wanted["node"])
+                           & parts["id"].eqNullSafe(wanted["first_id"]), "left_semi")
         cut = F.posexplode("parts").alias("fragment", "part")
-        left = pairs.join(parts, F.col("x") == F.col("node")).select("x", "y", "salt", cut)
-        right = (pairs.select("y", "salt").distinct().join(parts, F.col("y") == F.col("node"))
-                 .select("y", "salt", cut).withColumnRenamed("part", "other"))
-        overlap = (left.join(right, ["y", "salt", "fragment"])
-                   .select("x", "y", F.size(F.array_intersect("part", "other")).alias("both"))
-                   .groupBy("x", "y").agg(F.sum("both").alias("both")))
-        size = classes.select("node", "n")
-        sized = overlap.join(size.select(F.col("node").alias("x"), F.col("n").alias("nx")), "x")
-        sized = look_up(sized, size.select(F.col("node").alias("y"), F.col("n").alias("ny")),
-                        ["y"], F.col("x"))
-        return sized.where(100 * F.col("both") >= self.threshold
-                           * (F.col("nx") + F.col("ny") - F.col("both"))).select("x", "y")
+        left = (parts.join(checked_broadcast(pairs), F.col("x") == F.col("node"))
+                .select("x", "y", "nx", "ny", "salt", cut))
+        leaders = checked_broadcast(pairs.select("y", "salt").distinct())
+        right = (parts.join(leaders, F.col("y") == F.col("node")).select("y", "salt", cut)
+                 .withColumnRenamed("part", "other"))
+        overlap = (left.hint("merge").join(right, ["y", "salt", "fragment"])
+                   .select("x", "y", "nx", "ny", "fragment",
+                           F.size(F.array_intersect("part", "other")).alias("both"))
+                   .groupBy("x", "y", "nx", "ny", "fragment").agg(F.max("both").alias("both"))
+                   .groupBy("x", "y", "nx", "ny").agg(F.sum("both").alias("both")))
+        return overlap.where(100 * F.col("both") >= self.threshold
+                             * (F.col("nx") + F.col("ny") - F.col("both"))).select("x", "y")
 
     def stars(self, lists: DataFrame, classes: DataFrame) -> DataFrame:
         """For each class, the leader it shares most prefix shingles with, if sizes and
         maps allow a link."""
-        frequency = lists.groupBy("s").agg(F.count(F.lit(1)).alias("f"))
-        weight = written(look_up(lists, frequency, ["s"], F.col("node")).groupBy("node").agg(
+        frequency = written(lists.groupBy("s").agg(F.count(F.lit(1)).alias("f")),
+                            "jaccard-frequency")
+        weight = written(lists.hint("merge").join(frequency, "s").groupBy("node").agg(
             F.sum(F.col("f") - 1).alias("w")), "jaccard-weights")
-        leaders = lists.join(weight, "node").groupBy("s").agg(
-            F.max(F.struct("w", "node"))["node"].alias("leader"))
-        shared = (look_up(lists, written(leaders, "jaccard-leaders"), ["s"], F.col("node"))
-                  .where("node <> leader").groupBy("node", "leader")
-                  .agg(F.count(F.lit(1)).alias("c")))
-        facts = classes.drop("first_id")
-        a = shared.join(facts, "node").select("node", "leader", "c", F.struct("n", *[
-            f"m{k}" for k in range(MAPS)]).alias("a"))
-        b = look_up(a, facts.select(F.col("node").alias("leader"), F.struct(
-            "n", *[f"m{k}" for k in range(MAPS)]).alias("b")), ["leader"], F.col("node"))
-        best = b.where(self.fits("a", "b")).groupBy("node").agg(
-            F.max(F.struct("c", "leader"))["leader"].alias("y"))
+        # by weight, then by node: a total order, so leaders never lead in a circle
+        leaders = written(lists.hint("merge").join(weight, "node").groupBy("s").agg(
+            F.max(F.struct("w", "node"))["node"].alias("leader")), "jaccard-leaders")
+        shared = (lists.hint("merge").join(leaders, "s").where("node <> leader")
+                  .groupBy("node", "leader").agg(F.count(F.lit(1)).alias("c")))
+        fact = F.struct("n", *[f"m{k}" for k in range(MAPS)])
+        a = shared.hint("merge").join(classes.select("node", fact.alias("a")), "node")
+        b = a.hint("merge").join(classes.select(F.col("node").alias("leader"), fact.alias("b")),
+                                 "leader")
+        best = b.where(self.fits("a", "b")).groupBy("node").agg(F.max_by("leader", "c").alias("y"))
         return written(best.select(F.col("node").alias("x"), "y"), "jaccard-stars")
 
     def across(self, lists: DataFrame, classes: DataFrame, labels: DataFrame,
                tested: DataFrame) -> DataFrame:
         """All pairs from different components that share a prefix shingle and may link."""
-        own = written(lists.join(labels, "node", "left").select(
+        own = written(lists.hint("merge").join(labels, "node", "left").select(
             "s", "node", F.coalesce("comp", "node").alias("comp")), "jaccard-comps")
         # of each list, the rows outside its largest component meet all others
         sizes = own.groupBy("s", "comp").agg(F.count(F.lit(1)).alias("c"))
-        mixed = sizes.groupBy("s").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"),
-                                       F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-        rows = look_up(own, written(mixed, "jaccard-mixed"), ["s"], F.col("node")).where(
-            "main is not null")
-        rows = written(rows.join(classes.drop("first_id"), "node"), "jaccard-open")
+        mixed = written(sizes.groupBy("s").agg(F.max_by("comp", "c").alias("main"),
+                                               F.count(F.lit(1)).alias("k"))
+                        .where("k > 1").drop("k"), "jaccard-mixed")
+        facts = classes.drop("first_id", "wide")
+        # a list of two is its own pair; longer ones are joined
+        two = written(own.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("x"),
+                                           F.max("node").alias("y"), F.min("comp").alias("c"),
+                                           F.max("comp").alias("d")).where("k = 2"), "jaccard-twos")
+        mixed = written(mixed.hint("merge").join(two.select("s"), "s", "left_anti"), "jaccard-mixed")
+        rows = written(own.hint("merge").join(mixed, "s").join(facts, "node"), "jaccard-open")
         a, b = rows.where("comp <> main").alias("a"), rows.alias("b")
         once = (F.col("b.comp") == F.col("b.main")) | (F.col("a.node") < F.col("b.node"))
         pairs = a.join(b.hint("merge"), (F.col("a.s") == F.col("b.s"))
                        & (F.col("a.comp") != F.col("b.comp")) & once & self.fits("a", "b"))
-        pairs = pairs.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct()
+        pairs = pairs.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).union(
+            two.where("c <> d").select("x", "y")).distinct()
         return written(pairs.join(tested, ["x", "y"], "left_anti"), "jaccard-pairs")
 
 
+def _roots(parents: DataFrame) -> DataFrame:
+    """(node, comp): where each node's chain of parents (x, y) ends, by pointer jumping.
+
+    A leader outranks all it leads, so chains have no cycle; round r covers chains of
+    2 ** r, and a leader's hot partition is split like any skewed join's."""
+    state = written(parents, "jaccard-parents")
+    while True:
+        above = state.select(F.col("x").alias("y"), F.col("y").alias("far"))
+        state = written(state.hint("merge").join(above, "y", "left").select(
+            "x", F.coalesce("far", "y").alias("y"), F.col("far").isNotNull().alias("moved")),
+            "jaccard-parents")
+        if not state.where("moved").take(1):
+            break
+        state = state.drop("moved")
+    return state.select(F.col("x").alias("node"), F.col("y").alias("comp")).union(
+        state.select(F.col("y").alias("node"), F.col("y").alias("comp")).distinct())
+
+
 def _text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
@@ -296,14 +382,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lists = join.shared_prefixes(sets)
     touched = lists.select("node").distinct()
     classes = written(
-        sets.where("n > 0").join(touched, "node", "left_semi").groupBy("node", "n", *maps)
-        .agg(F.min("id").alias("first_id")), "jaccard-classes")
+        sets.where("n > 0").select("id", "node", "n", *maps, "wide")
+        .join(touched, "node", "left_semi").groupBy("node", "n", *maps)
+        .agg(F.min("id").alias("first_id"), F.first("wide").alias("wide")), "jaccard-classes")
 
     stars = join.stars(lists, classes)
-    links = written(join.linked(stars, classes), "jaccard-star-links")
-    rest = join.across(lists, classes, components(links, "jaccard-star-comps"), stars)
-    more = written(join.linked(rest, classes), "jaccard-more-links")
-    labels = written(components(links.union(more), "jaccard-comps"), "jaccard-labels")
+    labels = written(_roots(join.linked(stars, classes)), "jaccard-star-comps")
+    rest = join.across(lists, classes, labels, stars)
+    links = written(join.linked(rest, classes), "jaccard-more-links")
+    # links between components, as edges of a small graph of components
+    for side in ("x", "y"):
+        links = links.join(labels.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}")),
+                           side, "left").withColumn(side, F.coalesce(f"c{side}", side))
+    merged = components(links.select("x", "y"), "jaccard-comps")
+    singles = merged.join(labels, "node", "left_anti")
+    united = labels.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")),
+                         "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    labels = written(united.union(singles), "jaccard-labels")
 
     # the first document of each class, then of each component of classes
     first = F.min(F.struct("id", "th")).alias("first")
@@ -329,7 +424,8 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest id -- is kept, with all their columns; documents without words stay.
     Rows repeated with one id and text come back once."""
     stay = near_duplicates(docs, id_col, text_col, threshold).where("first").select(
-        F.col(id_col).alias("_id"), F.col("text_hash").alias("_th")).distinct()
-    own = docs.withColumn("_own_th", _text_hash(docs[text_col]))
-    kept = own.join(stay, own[id_col].eqNullSafe(stay["_id"]) & (own["_own_th"] == stay["_th"]))
-    return kept.dropDuplicates(["_id", "_th"]).select(*docs.columns)
+        F.xxhash64(id_col).alias("key"), F.col("text_hash").alias("th")).distinct()
+    own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("record"),
+                      F.xxhash64(docs[id_col]).alias("key"), _text_hash(docs[text_col]).alias("th"))
+    # the join's partitioning serves the last step: texts are shuffled once
+    return own.join(stay, ["key", "th"]).dropDuplicates(["key", "th"]).select("record.*")
