@@ -29,9 +29,9 @@ by 64 bits of a hash of the whole set.
 
 Defined cases: a text without words (null too) has the empty set and is linked
 with nothing; fewer than five words make one shingle; rows repeated are one class;
-a null id counts as no id (a component with null ids only has a null id and
-no first document); an empty
-table gives an empty table; other columns are ignored.
+a null id counts as no id (a component with null ids only has a null id, and its
+first document is that with the least text hash); an empty table gives an empty
+table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -177,6 +177,17 @@ def _sketch(texts: DataFrame) -> Order:
     return Order(counts.ravel())
 
 
+def _with_ids(texts: DataFrame) -> DataFrame:
+    """No nulls in ``id``, which pandas would turn into rounded floats; see ``_ids``."""
+    return texts.withColumn("no_id", F.col("id").isNull()).withColumn(
+        "id", F.coalesce(F.col("id").cast("long"), F.lit(0).cast("long")))
+
+
+def _ids(b: pd.DataFrame) -> pd.Series:
+    return pd.Series(pd.arrays.IntegerArray(b["id"].to_numpy(dtype=np.int64),
+                                            b["no_id"].to_numpy(dtype=bool)))
+
+
 class _Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, threshold: int):
         self.threshold = threshold
@@ -193,7 +204,7 @@ class _Join:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in _slices(batches):
                 sets = [shingles(t) for t in b["text"]]
-                out = {"id": b["id"], "th": b["th"], "n": [len(s) for s in sets],
+                out = {"id": _ids(b), "th": b["th"], "n": [len(s) for s in sets],
                        "node": pd.array([_node(s) for s in sets], dtype="Int64"),
                        "prefix": [_signed(order.value.prefix(s, threshold)) for s in sets]}
                 maps = np.array([_parity(s, MAPS) for s in sets], dtype=np.int64).reshape(-1, MAPS)
@@ -201,7 +212,7 @@ class _Join:
                 yield pd.DataFrame(out | {f"m{k}": maps[:, k] for k in range(MAPS)})
 
         maps = ", ".join(f"m{k} long" for k in range(MAPS))
-        return written(self.texts.mapInPandas(
+        return written(_with_ids(self.texts).mapInPandas(
             run, f"id long, th long, n long, node long, prefix array<long>, wide array<long>, {maps}"), "jaccard-sets")
 
     def shared_prefixes(self, sets: DataFrame) -> DataFrame:
@@ -283,11 +294,11 @@ class _Join:
             for b in _slices(batches):
                 sets = [shingles(t) for t in b["text"]]
                 yield pd.DataFrame({
-                    "id": b["id"], "node": pd.array([_node(s) for s in sets], dtype="Int64"),
+                    "id": _ids(b), "node": pd.array([_node(s) for s in sets], dtype="Int64"),
                     "parts": [[_signed(f) for f in order.value.fragments(s)] for s in sets]})
 
         # one document of each class that a pair needs (more only if rows are repeated)
-        parts = self.texts.where(maybe(id_hash("id"))).select("id", "text").mapInPandas(
+        parts = _with_ids(self.texts.where(maybe(id_hash("id"))).select("id", "text")).mapInPandas(
             run, "id long, node long, parts array<array<long>>")
         parts = parts.join(checked_broadcast(wanted), (parts["node"] == wanted["node"])
                            & parts["id"].eqNullSafe(wanted["first_id"]), "left_semi")
@@ -375,7 +386,8 @@ def _text_hash(text: Column) -> Column:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: int = THRESHOLD) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` (the smallest id
-    reachable by links), ``first`` (it is the document with that id) and ``text_hash``."""
+    reachable by links), ``first`` (it is the document with that id, or, if no document
+    of the component has an id, that with the least text hash) and ``text_hash``."""
     join = _Join(docs, id_col, text_col, threshold)
     sets = join.describe()
     maps = [f"m{k}" for k in range(MAPS)]
@@ -400,10 +412,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
     labels = written(united.union(singles), "jaccard-labels")
 
-    # the first document of each class, then of each component of classes
-    first = F.min(F.struct("id", "th")).alias("first")
+    # the first document of each class, then of each component of classes; ids before nulls
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "th")
     named = written(
-        sets.where("n > 0 and id is not null").groupBy("node").agg(first)
+        sets.where("n > 0").groupBy("node").agg(F.min(rank).alias("first"))
         .join(labels, "node", "left").select("node", "first", F.coalesce("comp", "node")
                                              .alias("comp")), "jaccard-named")
     of_comp = written(named.groupBy("comp").agg(F.min("first").alias("best")), "jaccard-firsts")
@@ -414,14 +426,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(alone, F.col("id")).otherwise(F.col("best.id")).alias("component_id"),
-        (alone | F.struct("id", "th").eqNullSafe(F.col("best"))).alias("first"),
+        (alone | rank.eqNullSafe(F.col("best"))).alias("first"),
         F.col("th").alias("text_hash"))
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: int = THRESHOLD) -> DataFrame:
     """The documents that stay when one document of each component -- that with the
-    smallest id -- is kept, with all their columns; documents without words stay.
+    smallest id, or one of those without -- is kept, with all their columns; documents
+    without words stay.
     Rows repeated with one id and text come back once."""
     stay = near_duplicates(docs, id_col, text_col, threshold).where("first").select(
         F.xxhash64(id_col).alias("key"), F.col("text_hash").alias("th")).distinct()

@@ -107,6 +107,31 @@ def test_representatives(spark):
     assert {500, 501, 502} <= {i for i, _ in got}
 
 
+def test_representatives_of_documents_without_an_id(spark):
+    """A component without any id keeps exactly one row; one with an id keeps that."""
+    rng = random.Random(4)
+    near, mixed, unique = (prose(rng, 60) for _ in range(3))
+    rows = [(None, near), (None, near + " one"), (None, near + " two"), (None, near),
+            (None, mixed), (7, mixed + " end"), (9, mixed), (None, unique), (None, None), (8, prose(rng, 60))]
+    kept = [(r.doc_id, r.text) for r in J.representatives(docs(spark, rows)).collect()]
+    assert len(kept) == len(set(kept)) == 5
+    assert sum((t or "").startswith(near) for _, t in kept) == 1
+    assert {(7, mixed + " end"), (None, unique), (None, None), rows[-1]} <= set(kept)
+    got = J.near_duplicates(docs(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
+
+
+def test_long_ids_beside_null_ids(spark):
+    """Ids beyond 2 ** 53 stay exact, and their documents are kept, next to rows without an id."""
+    rng = random.Random(8)
+    rows = [((1 << 62) + k if k % 3 else None, prose(rng, 40)) for k in range(60)]
+    rows += [((1 << 62) + 101, rows[1][1] + " end"), (None, rows[2][1] + " end")]
+    got = J.near_duplicates(docs(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
+    kept = [(r.doc_id, r.text) for r in J.representatives(docs(spark, rows)).collect()]
+    assert sorted(kept, key=str) == sorted(rows[:60], key=str)
+
+
 def test_prefix_length():
     for n in range(1, 300):
         assert J.prefix_length(n) == n - -(-75 * n // 100) + 1
