@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.session import scratch_path
+
 from . import (exact_dedup, jaccard_join, mixing, packing, quality_mil, quality_rules, sharding,
                suffix_dedup, toxicity, warc)
 from .common import crc32_mod, read
@@ -47,7 +49,9 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.external_shuffle(read(spark, sf_dir, "documents"), n_shards=40)
+    docs, path = read(spark, sf_dir, "documents"), scratch_path(spark, "shards")
+    sharding.write_shards(docs, path, n_shards=40)
+    return sharding.read_shards(docs, path, n_shards=40)
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

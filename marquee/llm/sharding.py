@@ -2,7 +2,9 @@
 
 Pass one scatters the records into memory-sized buckets by seeded hashes; pass
 two loads one bucket at a time, Fisher-Yates shuffles it (Spark's ``shuffle``)
-and writes it. A shard is a fixed set of buckets.
+and writes it. A shard is a fixed set of buckets, as many as its own bytes and
+rows need. ``write_shards`` writes the whole records, a folder a shard, and
+``read_shards`` reads places, sizes and CRCs back from what was written.
 
 Law ``key``: the shard depends on the id and the shard count only. Shard number
 ``j`` takes an id from the shards below with probability 1/(j + 1) by the hash
@@ -12,19 +14,25 @@ shard, a record's bucket comes from a hash of id, size and CRC, so neither a hot
 id nor equal texts meet in one bucket.
 
 Defined cases: a null text has size 16 and the CRC of no bytes; a null id is a
-value like any other; repeated rows get slots of their own; an empty table gives
-an empty table; other columns are ignored unless named in ``carry``.
+value like any other; repeated rows get slots of their own; an empty table gives an empty table; other columns are ignored
+unless named in ``carry``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from marquee.session import checked_broadcast
+
 from .common import written
 
 ROW_OVERHEAD = 16
+TASKS = 10_000       # buckets are written by at most this many tasks
+SORTED_LISTS = "spark.sql.execution.useObjectHashAggregateExec"
 
 
 def shard_of(key: Column, n_shards: int, seed: int = 0) -> Column:
@@ -34,58 +42,118 @@ def shard_of(key: Column, n_shards: int, seed: int = 0) -> Column:
     return F.greatest(F.lit(0), F.lit(0), *takes).cast("int")
 
 
-def external_shuffle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     n_shards: int = 40, seed: int = 17, bucket_bytes: int = 64 << 20,
-                     bucket_rows: int = 50_000, carry: tuple[str, ...] = ()) -> DataFrame:
-    """id, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``
-    and the ``carry`` columns (in a struct ``record``) of every row.
+def _size(data: Column) -> Column:
+    return (F.length(data) + ROW_OVERHEAD).cast("long")
 
-    ``bucket_bytes`` and ``bucket_rows`` bound what one bucket is expected to
-    hold; the number of buckets follows from the totals of the input."""
-    data = F.coalesce(docs[text_col], F.lit("")).cast("binary")
+
+def _bytes(text: Column) -> Column:
+    return F.coalesce(text, F.lit("")).cast("binary")
+
+
+def scattered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              n_shards: int = 40, seed: int = 17, bucket_bytes: int = 64 << 20,
+              bucket_rows: int = 50_000, carry: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """Pass one: every row's ``shard``, its ``bucket`` (numbered over all shards) and
+    ``r``, the row itself; and the number of buckets."""
+    data = _bytes(docs[text_col])
     record = [F.struct(*[docs[c] for c in carry]).alias("record")] if carry else []
-    rows = docs.select(docs[id_col].alias("id"),
-                       (F.length(data) + ROW_OVERHEAD).cast("long").alias("size"),
+    rows = docs.select(docs[id_col].alias("id"), _size(data).alias("size"),
                        F.crc32(data).alias("crc"), *record)
-    total = docs.select((F.length(data) + ROW_OVERHEAD).alias("size")).agg(
-        F.sum("size").alias("b"), F.count("size").alias("n")).first()
-    per_shard = max(1, -(-(total.b or 0) // (n_shards * bucket_bytes)),
-                    -(-total.n // (n_shards * bucket_rows)))
-
-    shard = shard_of(F.col("id"), n_shards, seed)
+    shard = shard_of(F.col("id"), n_shards, seed).alias("shard")
+    totals = {r.shard: r for r in rows.groupBy(shard).agg(
+        F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()}
+    counts, starts, n_buckets = [], [], 0
+    for k in range(n_shards):
+        t = totals.get(k)
+        counts.append(max(1, -(-t.b // bucket_bytes), -(-t.n // bucket_rows)) if t else 1)
+        starts.append(n_buckets)
+        n_buckets += counts[-1]
     mix = F.xxhash64(F.lit(seed), "crc", "size", "id")
-    scattered = rows.select(
-        shard.alias("shard"), F.pmod(mix, F.lit(per_shard)).cast("int").alias("bucket"),
-        F.struct(mix.alias("mix"), *[F.col(c) for c in rows.columns]).alias("r"))
-    # each bucket: an order that only its contents decide, then Fisher-Yates
-    buckets = (scattered.groupBy("shard", "bucket").agg(F.collect_list("r").alias("rs"))
-               .sortWithinPartitions("shard", "bucket")
-               .select("shard", "bucket", F.shuffle(F.array_sort("rs"), seed).alias("rs")))
-    placed = written(buckets.select("shard", "bucket", F.posexplode("rs").alias("pos", "r")),
-                     "shuffle-buckets")
+    place = mix
+    of_shard = lambda values: F.get(F.lit(values), F.col("shard"))
+    out = rows.select(shard, place.alias("place"), F.struct(
+        place.alias("mix"), *[F.col(c) for c in ("id", "size", "crc")],
+        *([F.col("record")] if carry else [])).alias("r"))
+    return out.select("shard", (of_shard(starts) + F.pmod("place", of_shard(counts))).cast("int")
+                      .alias("bucket"), "r"), n_buckets
+
 
+def shuffled(rows: DataFrame, n_buckets: int, seed: int = 17) -> DataFrame:
+    """Pass two: ``shard``, ``slot`` and ``r``. A task loads bucket after bucket."""
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = placed.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n")).select(
-        "shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    grown = F.when(F.pmod(F.xxhash64(F.lit(seed), F.col("r.id"), F.lit(n_shards)),
+    offsets = written(rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n")).select(
+        "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "shuffle-offsets")
+    tasks = min(n_buckets, TASKS)
+    loaded = rows.repartitionById(tasks, F.pmod("bucket", F.lit(tasks)))
+    # each bucket: an order that only its contents decide, then Fisher-Yates
+    lists = (loaded.groupBy(F.pmod("bucket", F.lit(tasks)).alias("task"), "shard", "bucket")
+             .agg(F.collect_list("r").alias("rs"))
+             .select("shard", "bucket", F.shuffle(F.array_sort("rs"), seed).alias("rs")))
+    return lists.join(checked_broadcast(offsets), "bucket").select(
+        "shard", "offset", F.posexplode("rs").alias("pos", "r")).select(
+        "shard", (F.col("offset") + F.col("pos")).cast("long").alias("slot"), "r")
+
+
+@contextmanager
+def _one_bucket_at_a_time(spark: SparkSession):
+    """Lists are gathered by sorting: hashing would hold all buckets of a task."""
+    before = spark.conf.get(SORTED_LISTS)
+    spark.conf.set(SORTED_LISTS, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(SORTED_LISTS, before)
+
+
+def _described(out: DataFrame, id_col: str, n_shards: int, seed: int) -> list[Column]:
+    """The result's columns, from those of a placed row (id, size, crc, shard, slot)."""
+    grown = F.when(F.pmod(F.xxhash64(F.lit(seed), F.col("id"), F.lit(n_shards)),
                           F.lit(n_shards + 1)) == 0, F.lit(n_shards)).otherwise(F.col("shard"))
-    return placed.join(offsets, ["shard", "bucket"]).select(
-        F.col("r.id").alias(id_col), F.col("r.size").alias("size"),
-        F.col("r.crc").alias("text_crc32"), F.lit("key").alias("law"), F.col("shard"),
-        (F.col("offset") + F.col("pos")).cast("long").alias("slot"),
-        grown.cast("int").alias("grown_shard"), *([F.col("r.record")] if carry else []))
+    return [F.col("id").alias(id_col), F.col("size"), F.col("crc").alias("text_crc32"),
+            F.lit("key").alias("law"), F.col("shard"), F.col("slot"),
+            grown.cast("int").alias("grown_shard")]
 
 
-def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-                 **options) -> None:
-    """Write the whole records, one folder a shard, files in slot order.
+def external_shuffle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     n_shards: int = 40, seed: int = 17, bucket_bytes: int = 64 << 20,
+                     bucket_rows: int = 50_000, carry: tuple[str, ...] = ()) -> DataFrame:
+    """id, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``
+    and the ``carry`` columns (in a struct ``record``) of every row.
 
-    The first bytes of a shard are its lowest slots: rows are ranged by (shard,
-    slot) and sorted inside the range, so a shard may span several files."""
-    out = external_shuffle(docs, id_col, text_col, carry=tuple(docs.columns), **options)
-    (out.select("shard", "slot", "record").repartitionByRange("shard", "slot")
-     .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
+    ``bucket_bytes`` and ``bucket_rows`` bound what one bucket is expected to
+    hold; each shard's number of buckets follows from its own totals."""
+    rows, n_buckets = scattered(docs, id_col, text_col, n_shards, seed, bucket_bytes,
+                                bucket_rows, carry)
+    with _one_bucket_at_a_time(docs.sparkSession):
+        placed = written(shuffled(rows, n_buckets, seed), "shuffle-buckets")
+    out = placed.select("shard", "slot", "r.*")
+    return out.select(*_described(out, id_col, n_shards, seed), *(["record"] if carry else []))
 
 
-__all__ = ["external_shuffle", "shard_of", "write_shards"]
+def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+                 n_shards: int = 40, seed: int = 17, **options) -> None:
+    """Write the whole records (``record``, with their ``slot``), one folder a shard, a
+    file a bucket, in slot order: the buckets of a shard follow one another."""
+    rows, n_buckets = scattered(docs, id_col, text_col, n_shards, seed,
+                                carry=tuple(docs.columns), **options)
+    with _one_bucket_at_a_time(docs.sparkSession):
+        (shuffled(rows, n_buckets, seed).select("shard", "slot", "r.record")
+         .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
+
+
+def read_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+                n_shards: int = 40, seed: int = 17) -> DataFrame:
+    """The columns of ``external_shuffle`` as the shards written from ``docs`` hold them:
+    sizes and CRCs are those of the records' texts, shards those of their folders."""
+    schema = docs.select(F.lit(0).cast("long").alias("slot"),
+                         F.struct(*[docs[c] for c in docs.columns]).alias("record"),
+                         F.lit(0).alias("shard")).schema
+    back = docs.sparkSession.read.schema(schema).parquet(path)
+    data = _bytes(back["record"][text_col])
+    out = back.select(back["record"][id_col].alias("id"), _size(data).alias("size"),
+                      F.crc32(data).alias("crc"), "shard", "slot")
+    return out.select(*_described(out, id_col, n_shards, seed))
+
+
+__all__ = ["external_shuffle", "read_shards", "shard_of", "write_shards"]

@@ -2,7 +2,8 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from marquee.llm import sharding
+from marquee.llm import queries, sharding
+from tests.conftest import SF_SMALL
 from tests.llm.util import docs, long_text
 
 ROWS = [(i, f"text {i % 9} " * (i % 5)) for i in range(500)] + [
@@ -59,5 +60,44 @@ def test_written_shards_hold_the_whole_records(spark, tmp):
     assert back.select("record.*").columns == table.columns
 
 
+def test_written_shards_say_where_their_records_are(spark, tmp):
+    """Places, sizes and CRCs read back from the files; slots are gapless, files in slot order."""
+    table = docs(spark, ROWS)
+    sharding.write_shards(table, f"{tmp}/back", n_shards=6, bucket_rows=50)
+    got = sharding.read_shards(table, f"{tmp}/back", n_shards=6).collect()
+    assert sorted((r.doc_id or -1, r["size"], r.text_crc32) for r in got) == sorted(
+        (i or -1, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in ROWS)
+    slots = {}
+    for r in got:
+        slots.setdefault(r.shard, []).append(r.slot)
+        assert r.grown_shard in (r.shard, 6)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    files = spark.read.parquet(f"{tmp}/back").select(
+        F.input_file_name().alias("f"), "slot", F.col("record.text").alias("text")).collect()
+    assert sorted(r.text or "" for r in files) == sorted(t or "" for _, t in ROWS)
+    per_file = {}
+    for r in files:
+        per_file.setdefault(r.f, []).append(r.slot)
+    assert all(s == list(range(s[0], s[0] + len(s))) for s in per_file.values())
+
+
+def test_the_query_writes_the_shards(spark, monkeypatch):
+    paths = []
+    write = sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda d, path, **k: (paths.append(path), write(d, path, **k)))
+    queries.op6_sharding(spark, SF_SMALL)
+    docs_ = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    back = spark.read.parquet(*paths)
+    places = docs_.select("doc_id", sharding.shard_of(F.col("doc_id"), 40, 17).alias("shard"))
+    assert sorted(map(tuple, back.select("record.doc_id", "shard").collect())) == sorted(map(tuple, places.collect()))
+    assert back.select("record.*").exceptAll(docs_).count() == docs_.exceptAll(back.select("record.*")).count() == 0
+
+
 def test_empty_table(spark):
     assert check([], 40)(spark) == []
+
+
+def test_empty_shards(spark, tmp):
+    table = docs(spark, [])
+    sharding.write_shards(table, f"{tmp}/none", n_shards=40)
+    assert sharding.read_shards(table, f"{tmp}/none").collect() == []
