@@ -11,10 +11,12 @@ Law ``key``: the shard depends on the id and the shard count only. Shard number
 of (seed, id, j), and the last shard that takes it has it; so one more shard
 moves rows only into itself, and all shards expect the same share. Inside a
 shard, a record's bucket comes from a hash of id, size and CRC, so neither a hot
-id nor equal texts meet in one bucket.
+id nor equal texts meet in one bucket. If rows equal in all three could fill a
+bucket, the rows are numbered first and the hash takes in the number.
 
 Defined cases: a null text has size 16 and the CRC of no bytes; a null id is a
-value like any other; repeated rows get slots of their own; an empty table gives an empty table; other columns are ignored
+value like any other; repeated rows get slots of their own, which of them gets
+which is open; an empty table gives an empty table; other columns are ignored
 unless named in ``carry``.
 """
 
@@ -31,6 +33,7 @@ from marquee.session import checked_broadcast
 from .common import written
 
 ROW_OVERHEAD = 16
+LUMP = 4             # equal rows that could fill 1 / LUMP of a bucket are spread
 TASKS = 10_000       # buckets are written by at most this many tasks
 SORTED_LISTS = "spark.sql.execution.useObjectHashAggregateExec"
 
@@ -60,16 +63,25 @@ def scattered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(docs[id_col].alias("id"), _size(data).alias("size"),
                        F.crc32(data).alias("crc"), *record)
     shard = shard_of(F.col("id"), n_shards, seed).alias("shard")
-    totals = {r.shard: r for r in rows.groupBy(shard).agg(
-        F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()}
+    equal = rows.groupBy("id", "size", "crc").agg(F.count(F.lit(1)).alias("n"))
+    many = F.when(F.col("n") > 1, F.col("n"))
+    totals = {r.shard: r for r in equal.select(shard, "size", "n", many.alias("many")).groupBy("shard").agg(
+        F.sum(F.col("n") * F.col("size")).alias("b"), F.sum("n").alias("n"),
+        F.max(F.col("many") * F.col("size")).alias("lump_b"), F.max("many").alias("lump_n")).collect()}
     counts, starts, n_buckets = [], [], 0
     for k in range(n_shards):
         t = totals.get(k)
         counts.append(max(1, -(-t.b // bucket_bytes), -(-t.n // bucket_rows)) if t else 1)
         starts.append(n_buckets)
         n_buckets += counts[-1]
+    number = F.lit(0).cast("long")
+    if any(counts[k] > 1 and (LUMP * (t.lump_b or 0) > bucket_bytes
+                              or LUMP * (t.lump_n or 0) > bucket_rows) for k, t in totals.items()):
+        # written, so that a task that runs again sees the same numbers
+        rows = written(rows.withColumn("number", F.monotonically_increasing_id()), "shuffle-numbered")
+        number = F.col("number")
     mix = F.xxhash64(F.lit(seed), "crc", "size", "id")
-    place = mix
+    place = F.when(number > 0, F.xxhash64(number, mix)).otherwise(mix)
     of_shard = lambda values: F.get(F.lit(values), F.col("shard"))
     out = rows.select(shard, place.alias("place"), F.struct(
         place.alias("mix"), *[F.col(c) for c in ("id", "size", "crc")],

@@ -93,6 +93,20 @@ def test_the_query_writes_the_shards(spark, monkeypatch):
     assert back.select("record.*").exceptAll(docs_).count() == docs_.exceptAll(back.select("record.*")).count() == 0
 
 
+def test_buckets_stay_bounded_on_skew(spark):
+    """Equal rows, and a hot id's rows, are spread over buckets by their shard's own counts."""
+    rows = [(i, f"text {i}") for i in range(600)] + [(None, None)] * 400 + [(7, f"hot {i}") for i in range(400)]
+    for carry in ((), ("doc_id", "text")):
+        out, n = sharding.scattered(docs(spark, rows), n_shards=4, bucket_rows=50, carry=carry)
+        sizes = [r["count"] for r in out.groupBy("bucket").count().collect()]
+        assert sum(sizes) == len(rows) and n <= len(rows) // 50 + 4 and max(sizes) <= 100
+    got = check(rows, 4, bucket_rows=50)(spark)
+    by_shard = {}
+    for r in got:
+        by_shard.setdefault(r.shard, []).append(r.slot)
+    assert len(got) == len(rows) and all(sorted(s) == list(range(len(s))) for s in by_shard.values())
+
+
 def test_empty_table(spark):
     assert check([], 40)(spark) == []
 
