@@ -110,7 +110,7 @@ def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_
 
 
 _FIELD = re.compile(rb"(?:^|\r\n)([^:\r\n]+):[ \t]*([^\r\n]*)")
-_PAGE = re.compile(rb"^<urn:page:(-?\d{1,18})>$")
+_PAGE = re.compile(rb"^<urn:page:(-?\d{1,19})>$")
 _DIGEST = re.compile(rb"^sha256:([0-9a-f]{64})$")
 _SIZE = re.compile(rb"^\d{1,15}$")
 
@@ -137,7 +137,8 @@ def _record(body: bytes) -> tuple:
 
     def page(name: bytes) -> int | None:
         found = _PAGE.match(fields.get(name, b""))
-        return int(found[1]) if found else None
+        i = int(found[1]) if found else None
+        return i if found and -1 << 63 <= i < 1 << 63 else None
 
     kind = fields.get(b"warc-type", b"").decode("utf-8", "replace")
     if kind == "response":
@@ -223,9 +224,10 @@ _NAMES = [c.split()[0] for c in _OUT.split(", ")]
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=_NAMES)
+    # no float on the way: it would round ids beyond 2 ** 53
+    out = pd.DataFrame(rows, columns=_NAMES, dtype=object)
     for c in ("page_id", "payload_bytes", "refers_to"):
-        out[c] = out[c].astype("Int64")
+        out[c] = pd.array(out[c].to_list(), dtype="Int64")
     return out
 
 

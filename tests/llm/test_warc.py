@@ -48,6 +48,21 @@ def test_round_trip(spark, tmp):
     assert warc.broken_files(spark, f"{tmp}/a").count() == 0
 
 
+def test_round_trip_of_long_ids(spark):
+    """The least and greatest long, ids of 19 digits and nulls among them come back exactly."""
+    least, most = -1 << 63, (1 << 63) - 1
+    rows = [(i, "u", f"<html>{i}</html>") for i in (least, least + 1, most, most - 1, 10 ** 18, 10 ** 18 + 1,
+                                                    (1 << 53) + 1, None, 3)]
+    rows += [(most, "u", BIG), (most - 2, "u", BIG), (None, "u", BIG), (10 ** 18 + 3, "v", FORGED * 5),
+             (10 ** 18 + 5, "v", FORGED * 5)]
+    got = warc.round_trip(table(spark, rows, SCHEMA)).collect()
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)
+                   for r in got) == brute(rows)
+    head = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{}>\r\n\r\n"
+    for i, read in ((most, most), (most + 1, None), (least, least), (least - 1, None)):
+        assert warc._record(head.format(i).encode())[0] == read
+
+
 def test_splits_inside_a_file_change_nothing(spark, tmp):
     """Files read in many small splits give the same candidates and records."""
     warc.write_archives(table(spark, ROWS, SCHEMA).coalesce(1), f"{tmp}/b", compression="none")
