@@ -19,8 +19,9 @@ Learned from labelled rows: the insult lexicon (words, and word stems marked by
 a prefix length, that occur in many toxic texts and hardly any other) with its
 weights, and the pattern weights, starting from fixed prior weights. Counts run
 over a hash sample of at most ``max_train`` labelled rows; near copies of a text
-count once (by the smallest hash of its long words). Labels, language, source
-and id are never read by a score.
+count once, toxic or clean (by the smallest hash of its long words), and words only
+where they are neither negated nor reported. Labels, language, source and id are
+never read by a score.
 
 Defined cases: a null or empty text has no clause and scores the model's base
 rate; repeated rows score alike; without labelled rows the prior weights stand;
@@ -40,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, written
+from .common import bloom_bitmap, crc32_mod, in_bloom, written
 
 # fixed values: closed-class words of the grammar (en, de, fr, es)
 TARGETS = frozenset(
@@ -151,6 +152,8 @@ def classify(word: str, lexicon: dict[str, float]) -> tuple[int, float]:
 
 
 NOTHING = (OTHER, 0.0)
+EACH = ""               # stands for a text itself among its terms
+SHIFTS = {w: classify(w, {})[0] for w in NEGATIONS | REPORTS}
 
 
 class Reader:
@@ -205,62 +208,99 @@ def signature(words: set[str]) -> int:
                default=xxhash.xxh64_intdigest(" ".join(sorted(words)))) >> 1
 
 
+def plain_words(low: str) -> set[str]:
+    """The words of a lower-cased text that stand somewhere neither negated nor reported."""
+    found, state = set(), 0
+    for token in TOKEN.findall(low):
+        if token in ".,;:!?|\n":
+            state = TABLE[0][QUOTE] if STATES[state][1] == 2 else 0
+            continue
+        if token in QUOTES:
+            symbol = QUOTE
+        else:
+            symbol = SHIFTS.get(token, OTHER)
+            negated, reported, _ = STATES[state]
+            if not negated and not reported:
+                found.add(token)
+        state = TABLE[state][symbol]
+    return found
+
+
+def term_hash(term: str) -> int:
+    import xxhash
+
+    return int(np.uint64(xxhash.xxh64_intdigest(term)).view(np.int64))
+
+
 def learn_lexicon(train: DataFrame, min_docs: int = 4, min_share: float = 0.01,
                   purity: float = 0.05, margin: float = 1.5,
                   max_terms: int = 50_000) -> dict[str, float]:
     """Words and stems that mark toxic texts, with weights of evidence.
 
-    ``train``: text, label. A term counts once per signature among toxic texts. It
-    enters if it is in at least ``min_docs`` and ``min_share`` of them, in few
-    others (``purity`` of its toxic count at most), and if so pure a count would not
-    be met by chance among all terms tried (log-likelihood plus ``margin``)."""
+    ``train``: text, label. A term counts once per signature, among toxic and among
+    clean texts, where it is neither negated nor reported. It enters if it is in at
+    least ``min_docs`` and ``min_share`` of the toxic ones, in few others (``purity``
+    of its toxic count at most), and if so pure a count would not be met by chance
+    among all terms tried (log-likelihood plus ``margin``). Clean texts' terms are
+    64-bit hashes; a part of them rules out the common words first."""
+    def signed(text: str) -> tuple[int, set[str]]:
+        low = text.lower()
+        features = {f for w in plain_words(low) if len(w) >= 3 for f in features_of(w)}
+        return signature(set(WORDS.findall(low))), features
+
     def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for start in range(0, len(b), SLICE):
                 rows = set()
                 for text in b["text"].iloc[start:start + SLICE]:
-                    words = set(WORDS.findall(text.lower()))
-                    sig = signature(words)
-                    rows |= {(f, sig) for w in words if len(w) >= 3 for f in features_of(w)}
-                yield pd.DataFrame(list(rows), columns=["term", "sig"])
+                    sig, features = signed(text)
+                    rows |= {(f, sig) for f in features | {EACH}}
+                yield pd.DataFrame([(f, term_hash(f), sig) for f, sig in rows],
+                                   columns=["term", "h", "sig"])
+
+    def clean_counts(left: DataFrame, parts: int) -> DataFrame:
+        """(h, c): in how many clean signatures, of one in ``parts``, a term is."""
+        held = bloom_bitmap(left.select("h"), left.count())
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                hashes, sigs = [], []
+                for text in b["text"]:
+                    sig, features = signed(text)
+                    if sig % parts == 0:
+                        h = np.array([term_hash(f) for f in features], dtype=np.int64)
+                        h = np.append(h[in_bloom(held.value, h.view(np.uint64))], term_hash(EACH))
+                        hashes.append(h)
+                        sigs.append(np.full(len(h), sig, dtype=np.int64))
+                if hashes:
+                    yield pd.DataFrame({"h": np.concatenate(hashes), "sig": np.concatenate(sigs)})
+
+        return written(clean.select("text").mapInPandas(run, "h long, sig long").distinct()
+                       .groupBy("h").agg(F.count(F.lit(1)).alias("c")), "toxicity-clean")
 
     toxic, clean = train.where("label = 1"), train.where("label = 0")
-    n_clean = clean.count()
-    in_toxic = written(toxic.select("text").mapInPandas(terms, "term string, sig long")
+    in_toxic = written(toxic.select("text").mapInPandas(terms, "term string, h long, sig long")
                        .distinct(), "toxicity-terms")
-    n_toxic = in_toxic.select("sig").distinct().count()
-    floor = max(min_docs, min_share * n_toxic)
-    tried = in_toxic.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    n_toxic = in_toxic.where(F.col("term") == EACH).count()
+    tried = in_toxic.where(F.col("term") != EACH).groupBy("term", "h").agg(
+        F.count(F.lit(1)).alias("t"))
     n_terms = max(2, tried.count())
-    counts = {r.term: r.n for r in tried.where(F.col("n") >= floor)
-              .orderBy(F.desc("n"), "term").limit(max_terms).collect()}
-    if not counts or not n_clean:
+    left = (tried.where(F.col("t") >= max(min_docs, min_share * n_toxic))
+            .orderBy(F.desc("t"), "term").limit(max_terms))
+    for parts in (16, 1):
+        left = written(left, "toxicity-left")
+        found = clean_counts(left, parts)
+        left = left.select("term", "h", "t").join(found, "h", "left").withColumn(
+            "c", F.coalesce("c", F.lit(0))).where(F.col("c") <= purity * F.col("t"))
+    n_clean = (found.where(F.col("h") == term_hash(EACH)).first() or {"c": 0})["c"]
+    if not n_toxic or not n_clean:
         return {}
-    wanted = train.sparkSession.sparkContext.broadcast(frozenset(counts))
-
-    def clean_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: dict[str, int] = defaultdict(int)
-        for b in batches:
-            for text in b["text"]:
-                for t in {f for w in set(WORDS.findall(text.lower())) for f in features_of(w)
-                          if f in wanted.value}:
-                    found[t] += 1
-        yield pd.DataFrame(list(found.items()), columns=["term", "n"])
-
-    elsewhere = {r.term: r.n for r in clean.select("text")
-                 .mapInPandas(clean_counts, "term string, n long")
-                 .groupBy("term").agg(F.sum("n").alias("n")).collect()}  # <= max_terms rows
     rate = n_toxic / (n_toxic + n_clean)
-    lexicon = {}
-    for term, t in counts.items():
-        c = elsewhere.get(term, 0)
-        if c > purity * t:
-            continue
-        share = t / (t + c)
-        gain = t * np.log(share / rate) + (c * np.log((1 - share) / (1 - rate)) if c else 0.0)
-        if gain >= np.log(n_terms) + margin:
-            lexicon[term] = float(np.log((t + 0.5) / (n_toxic + 1) * (n_clean + 1) / (c + 0.5)))
-    return lexicon
+    share = F.col("t") / (F.col("t") + F.col("c"))
+    gain = F.col("t") * F.log(share / rate) + F.when(
+        F.col("c") > 0, F.col("c") * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    return {r.term: float(np.log((r.t + 0.5) / (n_toxic + 1) * (n_clean + 1) / (r.c + 0.5)))
+            for r in left.where(gain >= float(np.log(n_terms) + margin)).collect()}
 
 
 def fit_patterns(x: np.ndarray, y: np.ndarray, loose: float = 0.05, tight: float = 0.5,

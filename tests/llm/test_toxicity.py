@@ -77,6 +77,21 @@ def test_learns_words_and_stems_from_the_usable_rows(spark):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if not r.predicted}
 
 
+def test_clean_copies_and_quotes_do_not_take_a_word_out(spark):
+    """Copies of one clean text count once; quoted and negated uses are no use of the word."""
+    rng = random.Random(6)
+    rows = [(f"{prose(rng, 40)}. moron {prose(rng, 5)}", 1) for _ in range(60)]
+    rows += [(f"{prose(rng, 40)}. bonobo {prose(rng, 5)}", k % 2) for k in range(60)]
+    copied = f"{prose(rng, 40)}. moron {prose(rng, 5)}"
+    rows += [(prose(rng, 45), 0) for _ in range(200)] + [(copied, 0)] * 30
+    rows += [(f'{prose(rng, 40)}. He said "moron" to me', 0) for _ in range(8)]
+    rows += [(f"{prose(rng, 40)}. You are no moron", 0) for _ in range(8)]
+    lexicon = T.learn_lexicon(spark.createDataFrame(rows, "text string, label int").repartition(4))
+    assert "moron" in lexicon and "bonobo" not in lexicon
+    assert T.plain_words('a moron. he said idiot, then "fool. oaf" not a big dunce but fine') == {
+        "a", "moron", "he", "said", "then", "not", "but", "fine"}
+
+
 def test_held_out_rows_teach_nothing(spark):
     rows, labels = corpus()
     marks = spark.createDataFrame(labels, "doc_id long, toxic int")
