@@ -19,8 +19,8 @@ Learned from labelled rows: the insult lexicon (words, and word stems marked by
 a prefix length, that occur in many toxic texts and hardly any other) with its
 weights, and the pattern weights, starting from fixed prior weights. Counts run
 over a hash sample of at most ``max_train`` labelled rows; near copies of a text
-count once, toxic or clean (by the smallest hash of its long words), and words only
-where they are neither negated nor reported. Labels, language, source and id are
+count once, toxic or clean (by the smallest hash of their runs of three words), and
+words only where they are neither negated nor reported. Labels, language, source and id are
 never read by a score.
 
 Defined cases: a null or empty text has no clause and scores the model's base
@@ -65,6 +65,7 @@ NEGATION_SCOPE = 3
 SLICE = 100             # texts whose terms a task holds at once
 REMEMBERED = 100_000    # words whose symbols a task remembers
 STEMS = (4, 5, 6)
+RUN = 3                 # words of a run that a signature is taken from
 MODES = ("plain", "negated", "reported")
 PATTERNS = [(kind, mode, target) for kind in ("insult", "threat") for mode in MODES
             for target in (False, True)]
@@ -200,12 +201,13 @@ class Reader:
         return np.log1p(total), matched
 
 
-def signature(words: set[str]) -> int:
-    """The smallest hash of the long words: alike for near copies."""
+def signature(words: list[str]) -> int:
+    """The smallest hash of the runs of ``RUN`` words: alike for near copies only, while
+    long texts that merely share words differ."""
     import xxhash
 
-    return min((xxhash.xxh64_intdigest(w) for w in words if len(w) >= 8),
-               default=xxhash.xxh64_intdigest(" ".join(sorted(words)))) >> 1
+    runs = {" ".join(words[k:k + RUN]) for k in range(max(1, len(words) - RUN + 1))}
+    return min(xxhash.xxh64_intdigest(r) for r in runs) >> 1
 
 
 def plain_words(low: str) -> set[str]:
@@ -232,21 +234,20 @@ def term_hash(term: str) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(term)).view(np.int64))
 
 
-def learn_lexicon(train: DataFrame, min_docs: int = 4, min_share: float = 0.01,
-                  purity: float = 0.05, margin: float = 1.5,
-                  max_terms: int = 50_000) -> dict[str, float]:
+def learn_lexicon(train: DataFrame, min_docs: int = 4, purity: float = 0.05,
+                  margin: float = 1.5) -> dict[str, float]:
     """Words and stems that mark toxic texts, with weights of evidence.
 
     ``train``: text, label. A term counts once per signature, among toxic and among
     clean texts, where it is neither negated nor reported. It enters if it is in at
-    least ``min_docs`` and ``min_share`` of the toxic ones, in few others (``purity``
-    of its toxic count at most), and if so pure a count would not be met by chance
-    among all terms tried (log-likelihood plus ``margin``). Clean texts' terms are
-    64-bit hashes; a part of them rules out the common words first."""
+    least ``min_docs`` of the toxic ones, in few others (``purity`` of its toxic count
+    at most), and if so pure a count would not be met by chance among all terms tried
+    (log-likelihood plus ``margin``). Clean texts' terms are 64-bit hashes; a part of
+    them rules out the common words first."""
     def signed(text: str) -> tuple[int, set[str]]:
         low = text.lower()
         features = {f for w in plain_words(low) if len(w) >= 3 for f in features_of(w)}
-        return signature(set(WORDS.findall(low))), features
+        return signature(WORDS.findall(low)), features
 
     def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -285,8 +286,7 @@ def learn_lexicon(train: DataFrame, min_docs: int = 4, min_share: float = 0.01,
     tried = in_toxic.where(F.col("term") != EACH).groupBy("term", "h").agg(
         F.count(F.lit(1)).alias("t"))
     n_terms = max(2, tried.count())
-    left = (tried.where(F.col("t") >= max(min_docs, min_share * n_toxic))
-            .orderBy(F.desc("t"), "term").limit(max_terms))
+    left = tried.where(F.col("t") >= min_docs)
     for parts in (16, 1):
         left = written(left, "toxicity-left")
         found = clean_counts(left, parts)

@@ -92,6 +92,20 @@ def test_clean_copies_and_quotes_do_not_take_a_word_out(spark):
         "a", "moron", "he", "said", "then", "not", "but", "fine"}
 
 
+def test_rare_pure_words_enter_however_many_rows_there_are(spark):
+    """19 of 2,000 toxic texts have a word that no clean text has; long texts keep apart."""
+    rng = random.Random(7)
+    rows = [(f"{prose(rng, 8)} {'zounderkite' if k < 19 else 'muppet'}", 1) for k in range(2000)]
+    rows += [(prose(rng, 9), 0) for _ in range(2000)]
+    lexicon = T.learn_lexicon(spark.createDataFrame(rows, "text string, label int").repartition(4))
+    assert {"muppet", "zounderkite"} <= set(lexicon)
+    long = [prose(rng, 3000, 10 ** 9).split() for _ in range(2)]
+    shared = [w for pair in zip(*long) for w in pair]
+    texts = [rng.sample(shared, len(shared)) for _ in range(20)]
+    assert len({T.signature(t) for t in texts}) == 20
+    assert T.signature(texts[0]) == T.signature(list(texts[0]))
+
+
 def test_held_out_rows_teach_nothing(spark):
     rows, labels = corpus()
     marks = spark.createDataFrame(labels, "doc_id long, toxic int")
