@@ -44,8 +44,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 1024 tokens with their sequence and place."""
-    return packing.pack(docs)
+    """Pieces of at most 1024 tokens, with their token ids, sequence and place."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [("toxicity", not_toxic), ("exact_dedup", unique_texts),

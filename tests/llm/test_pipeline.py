@@ -69,6 +69,17 @@ def test_run_writes_every_stage(spark):
     assert {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
 
 
+def test_packed_sequences_hold_their_tokens(spark, tmp):
+    """The last stage's ids, put together by document, are the text's."""
+    texts = {1: "one text", 2: "word " * 3000, 3: None}
+    rows = P.packed(spark, docs(spark, list(texts.items())).select(*P.COLUMNS), tmp).collect()
+    encode = packing.encoder(packing.tokenizer_path())
+    assert all(len(r.ids) == r.length for r in rows)
+    for i, text in texts.items():
+        own = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.piece)
+        assert [k for r in own for k in r.ids] == [*encode(text or "").tolist(), packing.END_ID]
+
+
 def test_stages_on_odd_rows_and_an_empty_table(spark, tmp):
     rows = [(1, None), (2, ""), (3, "x"), (3, "x"), (None, "no id at all"), (4, "a b c d e f g"), (5, "A b c d e f g"),
             (6, "\n \t"), (7, "word " * 3000, None)]
