@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from marquee.session import scratch_path
 
-from . import (exact_dedup, jaccard_join, mixing, packing, quality_mil, quality_rules, sharding,
-               suffix_dedup, toxicity, warc)
+from . import (chat_format, code_compression, exact_dedup, jaccard_join, mixing, packing, quality_mil,
+               quality_rules, ranked_search, sharding, suffix_dedup, toxicity, warc)
 from .common import crc32_mod, read
 
 
@@ -140,6 +140,132 @@ FROM f
 """
 
 
+def conversation_records(turns: DataFrame) -> DataFrame:
+    """Stand-in input of op11: every row of ``conversations`` as one record (JSON) in one of
+    the layouts that chat corpora come in, and conversation -7 of two rows."""
+    said = "</s>[INST] ok [/INST]"
+    rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").union(
+        turns.sparkSession.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                           "conv_id long, turn long, role string, text string"))
+    role, text = F.col("role"), F.col("text")
+    spoken = F.when(role == "user", "human").when(role == "assistant", "gpt").when(role == "system", "system")
+
+    def record(*fields):
+        return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+    def by_role(user, assistant):
+        return F.when(role == "user", record(*user)).when(role == "assistant", record(*assistant))
+
+    layouts = [
+        record(role, text),
+        record(F.array(F.struct(role, text.alias("content"))).alias("messages")),
+        record(F.array(F.struct(role, F.array(F.struct(F.lit("text").alias("type"), text)).alias("content")))
+               .alias("messages")),
+        record(F.struct(F.struct(role).alias("author"), F.struct(F.array(text).alias("parts")).alias("content"))
+               .alias("message")),
+        F.when(spoken.isNotNull(), record(F.array(F.struct(spoken.alias("from"), text.alias("value")))
+                                          .alias("conversations"))),
+        by_role([text.alias("prompt")], [text.alias("completion")]),
+        by_role([text.alias("instruction"), F.lit("").alias("input")], [text.alias("output")]),
+    ]
+    which = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(len(layouts)))
+    chosen = F.coalesce(*[F.when(which == i, r) for i, r in enumerate(layouts)], layouts[0])
+    return rows.select("conv_id", "turn", chosen.alias("record"))
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = conversation_records(read(spark, sf_dir, "conversations"))
+    turns = chat_format.canonical_turns(records, "conv_id", "record", "turn")
+    return chat_format.read_back(chat_format.formatted_turns(turns), "conv_id")
+
+
+def _sql_op11() -> str:
+    template = chat_format.Template()
+
+    def escaped(column):
+        out = f"replace({column}, '\\', '\\\\')"
+        for c in template.controls:
+            out = f"replace({out}, '{c}', '{c[0]}\\{c[1:]}')"
+        return out
+
+    marks = len(template.opens + template.says + template.closes)
+    return f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+           UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum({marks} + length({escaped('role')}) + length({escaped('text')}))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+def op12_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_compression.compress(read(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4,
+                                     scale=1024)
+
+
+def _sql_op12(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    assigned = """a{r} AS MATERIALIZED (
+  SELECT id, part, v, min(d) AS d, arg_min(entry, d * 1000 + entry) AS entry FROM (
+    SELECT p.id, p.part, p.v, c.entry, list_inner_product(p.v, p.v) + list_inner_product(c.v, c.v)
+           - 2 * list_inner_product(p.v, c.v) AS d
+    FROM p JOIN c{r} c ON c.part = p.part) GROUP BY id, part, v)"""
+    # doubles hold these integers exactly; // of doubles would not floor, floor() does
+    moved = """c{n} AS MATERIALIZED (
+  SELECT c.part, c.entry, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN (
+    SELECT part, entry, list(x ORDER BY i) AS v FROM (
+      SELECT part, entry, i, floor(sum(v[i]) / count(*)) AS x FROM a{r}, range(1, 17) t(i) GROUP BY part, entry, i)
+    GROUP BY part, entry) m ON m.part = c.part AND m.entry = c.entry)"""
+    steps = []
+    for r in range(rounds):
+        steps += [assigned.format(r=r), moved.format(r=r, n=r + 1)]
+    steps.append(assigned.format(r=rounds))
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id, label,
+         list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT id, s AS part, list_slice(v, (16 * s + 1)::INT, (16 * s + 16)::INT) AS v
+                   FROM k, range({parts}) t(s)),
+c0 AS MATERIALIZED (SELECT part, id - 1 AS entry, v FROM p WHERE id <= {entries}),
+{", ".join(steps)},
+f AS (SELECT id, string_agg(printf('%02x', entry::INT), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+      FROM a{rounds} GROUP BY id),
+h AS (SELECT sha256(string_agg(x::BIGINT::VARCHAR, ',' ORDER BY part, entry, i)) AS codebooks_sha256
+      FROM (SELECT part, entry, i, v[i] AS x FROM c{rounds}, range(1, 17) t(i)))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM k JOIN f USING (id), h
+"""
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=20)
+
+
+SQL_OP13 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+p AS (SELECT doc_id, t, count(*)::BIGINT AS tf, any_value(n)::BIGINT AS n
+      FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM d) GROUP BY doc_id, t),
+f AS (SELECT t, count(*) AS df FROM p GROUP BY t),
+i AS (SELECT p.doc_id, p.t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * f.df + 1)))::BIGINT
+             * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))) AS impact
+      FROM p JOIN f USING (t), s),
+r AS (SELECT q.item_id, i.doc_id, sum(i.impact)::BIGINT AS score FROM q JOIN i USING (t) GROUP BY 1, 2)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
@@ -151,10 +277,16 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_chat_format": op11_chat_format,
+    "op12_code_compression": op12_code_compression,
+    "op13_ranked_search": op13_ranked_search,
 }
 ORACLE = {
     "op3_exact_dedup": SQL_OP3,
     "op7_warc": SQL_OP7,
     "op8_jaccard_join": SQL_OP8,
     "op10_quality_rules": SQL_OP10,
+    "op11_chat_format": _sql_op11(),
+    "op12_code_compression": _sql_op12(),
+    "op13_ranked_search": SQL_OP13,
 }

@@ -24,7 +24,10 @@ COLUMNS = {
     "op8_jaccard_join": ["doc_id", "n_shingles", "component_id"],
     "op9_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
     "op10_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                           "base_failed", "kept"]}
+                           "base_failed", "kept"],
+    "op11_chat_format": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
+    "op12_code_compression": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
+    "op13_ranked_search": ["item_id", "rank", "doc_id", "score"]}
 
 
 def test_registered():
