@@ -2,8 +2,9 @@
 
 Jobs:
   warehouse  --metrics GLOB --catalogue GLOB --out DIR [--buckets N] [--partition-by-month]
+             [--publish]
   legacy     --catalogue GLOB --out DIR [--metrics GLOB] [--history DIR] [--users FILE]
-             [--as-of "March 2025"] [--collation UNICODE_CI_AI]
+             [--as-of "March 2025"] [--collation UNICODE_CI_AI] [--declare]
   incremental --source DIR --target DIR --checkpoint DIR --keys k1,k2 --order c1,c2
              --schema "k bigint, ts timestamp_ntz, ..." [--format parquet]
 
@@ -28,6 +29,7 @@ def main(argv=None) -> int:
     w.add_argument("--out", required=True)
     w.add_argument("--buckets", type=int)
     w.add_argument("--partition-by-month", action="store_true")
+    w.add_argument("--publish", action="store_true")
     lg = sub.add_parser("legacy")
     lg.add_argument("--catalogue", required=True)
     lg.add_argument("--out", required=True)
@@ -36,6 +38,7 @@ def main(argv=None) -> int:
     lg.add_argument("--users")
     lg.add_argument("--as-of")
     lg.add_argument("--collation")
+    lg.add_argument("--declare", action="store_true")
     inc = sub.add_parser("incremental")
     for a in ("--source", "--target", "--checkpoint", "--keys", "--order", "--schema"):
         inc.add_argument(a, required=True)
@@ -47,13 +50,15 @@ def main(argv=None) -> int:
         from .plans import pipeline
         _, summary = pipeline.run(spark, args.metrics, args.catalogue, args.out,
                                   buckets=args.buckets,
-                                  partition_fact_by_month=args.partition_by_month)
+                                  partition_fact_by_month=args.partition_by_month,
+                                  publish=args.publish)
         for row in summary:
             print("\t".join(map(str, row)))
     elif args.job == "legacy":
         from .plans import legacy
         tables = legacy.run(spark, args.out, args.catalogue, args.metrics, args.history,
-                            args.users, players_as_of=args.as_of, collation=args.collation)
+                            args.users, players_as_of=args.as_of, collation=args.collation,
+                            declare=args.declare)
         for name in sorted(tables):
             if name.endswith("_audit"):
                 tables[name].where("file_path IS NULL").show(truncate=False)

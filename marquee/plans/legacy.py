@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cleaning as X
 from ..functions import dates as D
-from ..operators import loads
+from ..operators import declared, loads
 from ..operators.keys import collated, get_or_create_keys
 from ..operators.loads import LoadResult
 from ..operators.members import member_links
@@ -46,9 +46,19 @@ def catalogue_load(bronze: DataFrame, developers: DataFrame | None = None,
 
     A game without an id or a name is refused; so is a second game of one id. Under
     a collation the developer's id is found by the collated name, as the unique
-    index finds it."""
+    index finds it.
+
+    Rows of ``read_catalogue_variant`` say which fields their record lacks: those take
+    the defaults, an explicit null stays NULL, and a record with a value that does not
+    fit its column is refused. Without that column a NULL counts as absent."""
     spark = bronze.sparkSession
     bronze = _identified(bronze)
+    told = "absent" in bronze.columns
+
+    def default(c, value):
+        lacks = F.array_contains("absent", c) if told else F.col(c).isNull()
+        return F.when(lacks, value).otherwise(F.col(c)).alias(c)
+
     dev_dim = developers if developers is not None else spark.createDataFrame(
         [], "developer_id bigint, name string")
     first_dev = bronze.select(F.get(F.col("developers"), 0).alias("name"))
@@ -56,20 +66,23 @@ def catalogue_load(bronze: DataFrame, developers: DataFrame | None = None,
     games = bronze.select(
         "appid", "name", F.get(F.col("developers"), 0).alias("_dev"),
         D.try_parse_day("release_date").alias("release_date"),
-        F.coalesce("short_description", F.lit("")).alias("short_description"),
-        F.coalesce("price", F.lit(0).cast("bigint")).alias("price"),
+        default("short_description", F.lit("")),
+        default("price", F.lit(0).cast("bigint")),
         "currency",
-        F.coalesce("windows", F.lit(False)).alias("windows"),
-        F.coalesce("linux", F.lit(False)).alias("linux"),
-        F.coalesce("mac", F.lit(False)).alias("mac"),
+        default("windows", F.lit(False)),
+        default("linux", F.lit(False)),
+        default("mac", F.lit(False)),
         "metacritic",
-        F.coalesce("recommendations", F.lit(0).cast("bigint")).alias("recommendations"),
-        F.coalesce("header_image", F.lit("")).alias("header_image"),
+        default("recommendations", F.lit(0).cast("bigint")),
+        default("header_image", F.lit("")),
+        (F.col("unfit") if told else F.lit(None).cast("string")).alias("_unfit"),
         *ORDER)
     ids = dev_dim.select(collated("name", collation).alias("_name"), "developer_id")
     games = games.join(checked_broadcast(ids), collated("_dev", collation) == F.col("_name"),
                        "left").drop("_dev", "_name")
-    games = games.withColumn("reason", F.when(F.col("name").isNull(), F.lit("no name")))
+    games = games.withColumn("reason", F.coalesce(
+        F.when(F.col("_unfit").isNotNull(), F.concat(F.lit("bad "), "_unfit")),
+        F.when(F.col("name").isNull(), F.lit("no name")))).drop("_unfit")
     res = loads.keyed_load(games, ["appid"], ORDER, [*GAME_FIELDS, *ORDER], target)
     return CatalogueLoad(res.rows, res.rejected, res.audit, dev_dim)
 
@@ -186,9 +199,11 @@ def member_dim(bronze: DataFrame, array_col: str, existing: DataFrame | None = N
 
 def run(spark, out: str, catalogue_glob: str, metrics_glob: str | None = None,
         history_root: str | None = None, users_path: str | None = None,
-        players_as_of: str | None = None, collation: str | None = None) -> dict:
+        players_as_of: str | None = None, collation: str | None = None, declare: bool = False) -> dict:
     """The whole legacy load as Spark jobs. Each table is written once under
-    ``out`` and read back by the loads that reference it (parent checks)."""
+    ``out`` and read back by the loads that reference it (parent checks). With
+    ``declare`` the tables are written again with the legacy database's names, types
+    and order (``out/declared``), and its declared constraints are enforced on them."""
     from ..schemas import CATALOGUE_SCHEMA, METRICS_TEXT_SCHEMA, PLAYERS_SCHEMA, PRICE_SCHEMA, USERS_SCHEMA
     from ..sources import files, sinks
 
@@ -205,8 +220,8 @@ def run(spark, out: str, catalogue_glob: str, metrics_glob: str | None = None,
         t[f"{name}_audit"] = keep(f"{name}_audit", res.audit)
 
     # raw files are parsed once, into typed bronze tables; all else reads those
-    bronze = keep("_bronze_catalogue", files.read_catalogue_json(
-        spark, catalogue_glob, CATALOGUE_SCHEMA, with_order=True))
+    bronze = keep("_bronze_catalogue", files.read_catalogue_variant(
+        spark, catalogue_glob, CATALOGUE_SCHEMA))
     res = catalogue_load(bronze, collation=collation)
     games = keep("_games", res.rows)
     t["developers"] = keep("developers", res.developers)
@@ -235,4 +250,20 @@ def run(spark, out: str, catalogue_glob: str, metrics_glob: str | None = None,
         users = keep("_bronze_users", files.with_file_order(
             files.read_semicolon_csv(spark, users_path, USERS_SCHEMA)))
         load("global_steam_users", users_load(users))
+    if declare:
+        _declare(t, out, keep)
     return t
+
+
+def _declare(t: dict, out: str, keep) -> None:
+    """The declared tables, their rejects and the report of their constraints."""
+    tables = {}
+    for name, spec in declared.LEGACY_TABLES.items():
+        if name in t:
+            res = declared.declared_write(t[name], spec, f"{out}/declared/{name}")
+            tables[name], t[f"declared_{name}_rejects"] = res.rows, res.rejected
+            t[f"declared_{name}"] = res.rows
+    t["constraint_report"] = keep("constraint_report", declared.constraint_report(tables))
+    bad = t["constraint_report"].where("n_failing > 0").collect()  # one row a constraint
+    if bad:
+        raise declared.ConstraintError(f"constraints violated: {[tuple(r) for r in bad]}")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import quality
 from ..schemas import CATALOGUE_SCHEMA, METRICS_SCHEMA
 from ..sources import files, sinks
+from ..sources.publish import Publication
 from . import marts, staging
 
 
@@ -51,18 +52,31 @@ GAME_KEY_BUCKETED = {
 }
 
 
+def _staged(bronze: dict, month_format: str):
+    raw_m = bronze["bronze_twitch"].withColumn("Month", F.try_to_date("Month", month_format))
+    return staging.stage_catalogue(bronze["bronze_steam"]), staging.stage_metrics(raw_m)
+
+
 def run(spark: SparkSession, metrics_glob: str, catalogue_glob: str, out: str,
         month_format: str = "d/M/yyyy", check: bool = True, buckets: int | None = None,
-        table_prefix: str = "", partition_fact_by_month: bool = False):
+        table_prefix: str = "", partition_fact_by_month: bool = False, publish: bool = False):
     """Build every model under ``out``; returns (warehouse, check summary).
-    With ``buckets`` the fact and bridges are bucketed on ``game_key``; with
+    With ``publish`` the models become a new version of ``out`` all at once, after the
+    checks have passed (``sources.publish``); a build that fails leaves the version
+    before in place. With ``buckets`` the fact and bridges are bucketed on ``game_key``; with
     ``partition_fact_by_month`` the fact is also partitioned by ``date_key``, so
     month-filtered reads prune whole folders."""
     parts = {"fct_twitch_data": "date_key"} if partition_fact_by_month else None
+    if publish:
+        if buckets:
+            raise ValueError("bucketed tables live in the catalog, not in a published version")
+        with Publication(spark, out) as build:
+            bronze = load_bronze(spark, metrics_glob, catalogue_glob, f"{out}/v{build.version}/_bronze", month_format)
+            w = marts.build_warehouse(*_staged(bronze, month_format), write=lambda name, df: build.write(
+                name, df, [parts[name]] if name in (parts or {}) else None))
+            return w, quality.gate(w, check)
     bronze = load_bronze(spark, metrics_glob, catalogue_glob, out, month_format)
-    stg_c = staging.stage_catalogue(bronze["bronze_steam"])
-    raw_m = bronze["bronze_twitch"].withColumn("Month", F.try_to_date("Month", month_format))
-    stg_m = staging.stage_metrics(raw_m)
+    stg_c, stg_m = _staged(bronze, month_format)
     write = (sinks.bucketed_writer(spark, out, GAME_KEY_BUCKETED, buckets, table_prefix, parts)
              if buckets else sinks.table_writer(spark, out, parts))
     w = marts.build_warehouse(stg_c, stg_m, write=write)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import driver, driver_dirty, driver_io, driver_ops, driver_pages
+from . import driver, driver_dirty, driver_io, driver_ops, driver_pages, driver_store
 
 
 def queries():
@@ -12,6 +12,7 @@ def queries():
     out.update(driver_io.Q)
     out.update(driver_pages.Q)
     out.update(driver_dirty.Q)
+    out.update(driver_store.Q)
     return out
 
 
@@ -22,4 +23,5 @@ def oracle_sql():
     out.update(driver_io.SQL)
     out.update(driver_pages.SQL)
     out.update(driver_dirty.SQL)
+    out.update(driver_store.SQL)
     return out

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import CATALOGUE_SCHEMA, METRICS_TEXT_SCHEMA
+from ..session import evaluate_once
+from .variant import is_object, typed_row
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
@@ -75,6 +77,27 @@ def read_catalogue_json(spark: SparkSession, path: str,
     return with_file_order(df) if with_order else df
 
 
+def read_catalogue_variant(spark: SparkSession, path: str,
+                           schema: T.StructType = CATALOGUE_SCHEMA, **options) -> DataFrame:
+    """S2 with absent fields kept apart from explicit nulls: the declared columns, then
+    ``absent`` (names of the fields a record lacks), ``unfit`` (its first field whose
+    value does not convert), ``file_path`` and ``line_no`` (the record's place in its
+    file). A file that is no JSON, or an item that is no object, is one row whose
+    ``unfit`` is ``record``; an empty array gives none."""
+    reader = spark.read.option("multiLine", True).option("singleVariantColumn", "v")
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    whole = reader.json(path).select("v", F.col("_metadata.file_path").alias("file_path"))
+    items = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v"))
+    rows = whole.select("file_path", F.posexplode(items).alias("line_no", "v"))
+    *columns, lacking, wrong = typed_row(F.col("v"), schema)
+    no_record = ~is_object(F.col("v"))
+    # converted once per record, whatever reads the columns afterwards
+    return evaluate_once(rows.select(
+        *columns, lacking, F.when(no_record, F.lit("record")).otherwise(wrong).alias("unfit"),
+        "file_path", F.col("line_no").cast("bigint").alias("line_no")))
+
+
 def read_keyed_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
                    key_regex: str = r"(\d+)_[^/]*$", key_name: str = "appid",
                    drop_footer: bool = False, **options) -> DataFrame:

@@ -4,6 +4,9 @@ executors; nothing is gathered on the driver."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.keys import surrogate_key
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
@@ -41,6 +44,24 @@ def export_json(df: DataFrame, path: str, per_file: int | None = None,
     w.json(path)
 
 
+def export_batches(df: DataFrame, path: str, by: str, per_file: int, number: str = "batch",
+                   mode: str = "overwrite") -> None:
+    """K4: numbered JSON batches. Rows in ``by`` order are numbered 1..n over the whole
+    table, and batch b holds the rows (b - 1) * per_file + 1 .. b * per_file: one file a
+    batch, in the folder ``<number>=b``, and only the last one may hold fewer rows.
+
+    A file is one JSON array with a record a line, null fields written out, text as is
+    (no ASCII escaping). ``per_file`` bounds what a task holds for a batch."""
+    ranked = surrogate_key(df, by, "_rn")
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+    batch = F.floor((F.col("_rn") - 1) / F.lit(per_file)) + 1
+    lines = ranked.select(batch.cast("int").alias(number), F.struct("_rn", record.alias("record")).alias("line"))
+    arrays = lines.groupBy(number).agg(F.concat_ws(",\n", F.transform(
+        F.array_sort(F.collect_list("line")), lambda x: x["record"])).alias("records"))
+    arrays.select(number, F.concat(F.lit("[\n"), "records", F.lit("\n]")).alias("value")) \
+        .write.mode(mode).partitionBy(number).text(path)
+
+
 def table_writer(spark: SparkSession, root: str, partitions: dict[str, str] | None = None):
     """``write(name, df) -> df`` for ``build_warehouse``: write a model, hand
     back its read-back table so later models reuse it instead of recomputing.
