@@ -72,8 +72,9 @@ def english_months(c) -> Column:
 
 def parse_any_date(c, formats=ANY_DATE_FORMATS) -> Column:
     """First format that parses wins (parsing ignores case); French month
-    names are understood; text matching no format gives NULL (callers route it
-    to a reject table)."""
+    names are understood. Text of another shape goes by the grammar of
+    ``parse_free_date``; what that does not take either is NULL (callers route it to a
+    reject table)."""
     text = english_months(c)
     shapes: dict[str, list[str]] = {}
     for fmt, shape in formats:
@@ -81,7 +82,84 @@ def parse_any_date(c, formats=ANY_DATE_FORMATS) -> Column:
     attempts = [F.when(text.rlike(shape),
                        F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in fmts]))
                 for shape, fmts in shapes.items()]
-    return F.coalesce(*attempts).cast("date")
+    return F.coalesce(*[a.cast("date") for a in attempts], parse_free_date(c))
+
+
+# Words that stand in a date without saying anything of it.
+FILLERS = ("of", "the", "on", "at", "à", "de", "du", "le", "la", "au", "en", "er", "st", "nd", "rd", "th",
+           "monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday",
+           "mon", "tue", "tues", "wed", "thu", "thur", "thurs", "fri", "sat", "sun",
+           "lundi", "mardi", "mercredi", "jeudi", "vendredi", "samedi", "dimanche")
+# Months as they are written, by number.
+MONTH_WORDS = (
+    ("january", "jan", "janvier", "janv"), ("february", "feb", "février", "fevrier", "févr", "fevr"),
+    ("march", "mar", "mars"), ("april", "apr", "avril", "avr"), ("may", "mai"), ("june", "jun", "juin"),
+    ("july", "jul", "juillet", "juil"), ("august", "aug", "août", "aout"),
+    ("september", "sep", "sept", "septembre"), ("october", "oct", "octobre"),
+    ("november", "nov", "novembre"), ("december", "dec", "décembre", "decembre", "déc"),
+)
+# A time of day and its zone at the end of a text, after a space or ISO's T.
+_CLOCK = (r"(?:^|(?<=\d)t|[\s,]\s*)\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?\s*(?:[ap]\.?m\.?)?"
+          r"\s*(?:z|utc|gmt|[+-]\d{2}:?\d{2})?\s*$")
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def parse_free_date(c) -> Column:
+    """A date in free form by a grammar of tokens, in built-in expressions.
+
+    A time of day at the end goes. Of what remains, runs of letters are words and runs
+    of digits numbers. Fillers (weekdays, ``of``, ``1st``) are left out; any other word
+    must be a month, English or French, and there may be one. Then the numbers decide:
+
+    - with a month: a number of four digits is the year, or the last of two; the other
+      is the day, the first of the month if there is none;
+    - three numbers: year, month, day if the first has four digits; else day, month,
+      year, unless only month, day, year is possible. ``03/04/2024`` is ambiguous and
+      read day first, as the collectors write dates;
+    - two numbers: a month and a year of four digits; eight digits: ``yyyyMMdd``;
+    - years of two digits are 1969 to 2068.
+
+    All else is NULL: a lone year, a day that does not exist, an unknown word."""
+    text = F.lower(F.trim(_c(c)))
+    text = F.regexp_replace(text, _CLOCK, "")
+    months = F.create_map(*[F.lit(x) for i, names in enumerate(MONTH_WORDS) for n in names for x in (n, i + 1)])
+
+    def dated(y, m, d):
+        # the century of a year of two digits
+        year = F.when(F.length(y) == 4, y.cast("int")).when(
+            F.length(y) == 2, y.cast("int") + F.when(y.cast("int") < 69, F.lit(2000)).otherwise(F.lit(1900)))
+        return F.try_to_date(F.format_string("%04d-%02d-%02d", year, m, d), "yyyy-MM-dd")
+
+    def whole(t):
+        """A number of at most four digits as an int."""
+        return F.when(F.length(t) <= 2, t.cast("int"))
+
+    def resolved(p):
+        word, n = p["word"], p["numbers"]
+        a, b, z = F.get(n, 0), F.get(n, 1), F.get(n, 2)
+        count, four = F.size(n), lambda t: F.length(t) == 4
+        named = (F.when((count == 1) & four(a), dated(a, word, F.lit(1)))
+                 .when((count == 2) & four(a), dated(a, word, whole(b)))
+                 .when(count == 2, dated(b, word, whole(a))))
+        day_first = dated(z, whole(b), whole(a))
+        numeric = (F.when((count == 3) & four(a), dated(a, whole(b), whole(z)))
+                   .when(count == 3, F.coalesce(day_first, dated(z, whole(a), whole(b))))
+                   .when((count == 2) & four(a), dated(a, whole(b), F.lit(1)))
+                   .when((count == 2) & four(b), dated(b, whole(a), F.lit(1)))
+                   .when((count == 1) & (F.length(a) == 8), F.try_to_date(a, "yyyyMMdd")))
+        return F.when(p["n_words"] == 0, numeric).when(p["n_words"] == 1, named)
+
+    def classified(tokens):
+        words = F.filter(tokens, lambda t: t.rlike(r"^\p{L}") & ~t.isin(*FILLERS))
+        return F.struct(F.size(words).alias("n_words"), F.try_element_at(months, F.get(words, 0)).alias("word"),
+                        F.filter(tokens, lambda t: t.rlike(r"^\d")).alias("numbers"))
+
+    tokens = F.regexp_extract_all(text, F.lit(r"(\p{L}+|\d+)"), F.lit(1))
+    return _let(tokens, lambda t: _let(classified(t), resolved))
 
 
 def month_floor(c) -> Column:

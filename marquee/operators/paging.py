@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import small_files
 from ..functions.cleaning import name_part
 from .keys import surrogate_key
 
@@ -77,9 +80,49 @@ def union_blocks(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
+def _merged(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The fields of both by name, those of ``old`` first."""
+    known = {f.name: f for f in old}
+    for f in new:
+        if f.name in known and known[f.name].dataType != f.dataType:
+            raise ValueError(f"column {f.name} is {known[f.name].dataType.simpleString()} in earlier blocks, "
+                             f"{f.dataType.simpleString()} in this one")
+    return T.StructType([T.StructField(f.name, f.dataType) for f in
+                         [*old, *(f for f in new if f.name not in known)]])
+
+
+def block_manifest(spark, folder: str) -> dict | None:
+    """The newest manifest of a folder of blocks: one small file that lists them all."""
+    numbers = small_files.numbers(small_files.Folder(spark, folder).names("_blocks"), ".json")
+    if not numbers:
+        return None
+    return json.loads(spark.read.text(f"{folder}/_blocks/{numbers[-1]}.json", wholetext=True).first()[0])
+
+
+def read_blocks(spark, folder: str) -> DataFrame:
+    """Every block, with one schema (columns that a block lacks come out NULL).
+    The manifest names the blocks and the schema, so no footer is read to find either."""
+    listed = block_manifest(spark, folder)
+    if listed is None:
+        raise LookupError(f"{folder} has no block")
+    paths = [f"{folder}/block_{b['number']}" for b in listed["blocks"]]
+    return spark.read.schema(T.StructType.fromJson(listed["schema"])).parquet(*paths)
+
+
 def append_block(spark, folder: str, new: DataFrame, number: int, per_file: int | None = None) -> DataFrame:
     """Write the next block file and read every block back, old and new, with
-    one schema (columns that older blocks lack come out NULL)."""
-    writer = new.write.option("maxRecordsPerFile", per_file or 0)
-    writer.mode("errorifexists").parquet(f"{folder}/block_{number}")
-    return spark.read.option("mergeSchema", True).parquet(f"{folder}/block_*")
+    one schema (columns that older blocks lack come out NULL).
+
+    A block counts from the moment the manifest names it; the manifest after it lists
+    the blocks before and this one (number, rows) and their common schema."""
+    before = block_manifest(spark, folder) or {"blocks": [], "schema": T.StructType([]).jsonValue()}
+    if number <= max((b["number"] for b in before["blocks"]), default=-1):
+        raise ValueError(f"block {number} is not after the last one")
+    schema = _merged(T.StructType.fromJson(before["schema"]), new.schema)
+    path = f"{folder}/block_{number}"
+    new.write.option("maxRecordsPerFile", per_file or 0).mode("errorifexists").parquet(path)
+    rows = spark.read.schema(new.schema).parquet(path).count()
+    files = small_files.Folder(spark, folder)
+    files.publish(f"_blocks/{number}.json", json.dumps({
+        "blocks": [*before["blocks"], {"number": number, "rows": rows}], "schema": schema.jsonValue()}))
+    return read_blocks(spark, folder)

@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import dates as D
 from ..operators import declared
+from ..operators.ledger import IdLedger
 from ..schemas import CATALOGUE_SCHEMA
 from ..session import materialize, read_table, scratch_path
 from ..sources import files, payload, publish, sinks
@@ -328,3 +330,88 @@ def json_batches(spark, sf):
         F.min("appid").alias("first_key"), F.max("appid").alias("last_key"),
         ((first == F.min("appid")) & (last == F.max("appid"))).alias("in_order"),
         F.count_if(F.col("currency").isNull() & ~F.array_contains("absent", "currency")).alias("n_null_currency"))
+
+
+# ------------------------------------------------------------ free-form dates
+
+_DATE_SHAPES = (  # a format of Spark's and of DuckDB's
+    ("yyyy-MM-dd'T'HH:mm:ss'Z'", "%Y-%m-%dT%H:%M:%SZ"), ("yyyy-MM-dd'T'HH:mm:ss.SSS'+02:00'", "%Y-%m-%dT%H:%M:%S.%g+02:00"),
+    ("dd.MM.yyyy", "%d.%m.%Y"), ("MMM d, yyyy", "%b %-d, %Y"), ("EEEE, MMMM d, yyyy", "%A, %B %-d, %Y"),
+    ("d-MMM-yy", "%-d-%b-%y"), ("yyyy/MM/dd HH:mm", "%Y/%m/%d %H:%M"), ("yyyyMMdd", "%Y%m%d"),
+    ("MMM d yyyy h:mm a", "%b %-d %Y %-I:%M %p"), ("d/M/yy", "%-d/%-m/%y"), ("'the 'd'th of 'MMMM yyyy", "the %-dth of %B %Y"),
+    ("MM/yyyy", "%m/%Y"), ("yyyy-MM", "%Y-%m"), ("yyyy", "%Y"), ("'Q1 'yyyy", "Q1 %Y"), ("'Coming 'MMMM", "Coming %B"),
+)
+
+
+@register("date_grammar", f"""
+WITH t AS (SELECT o_orderkey, o_orderdate::DATE AS d,
+                  CASE o_orderkey % {len(_DATE_SHAPES)} {" ".join(f"WHEN {i} THEN strftime(o_orderdate, '{f}')"
+                                                               for i, (_, f) in enumerate(_DATE_SHAPES))} END AS text
+           FROM orders)
+SELECT o_orderkey, text, CASE WHEN o_orderkey % 16 IN (11, 12) THEN date_trunc('month', d)::DATE
+                              WHEN o_orderkey % 16 < 11 THEN d END AS day
+FROM t""")
+def date_grammar(spark, sf):
+    """Dates as ISO with a time, with dots, with weekdays, ordinals, short years and
+    clocks, months without a day, and texts that are no date."""
+    o = read_table(spark, sf, "orders")
+    text = F.coalesce(*[F.when(F.col("o_orderkey") % len(_DATE_SHAPES) == i, F.date_format("o_orderdate", f))
+                        for i, (f, _) in enumerate(_DATE_SHAPES)])
+    return o.select("o_orderkey", text.alias("text"), D.parse_any_date(text).alias("day"))
+
+
+# ------------------------------------------------------------ ids across loads
+
+@register("id_ledger", """
+WITH a AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS name FROM part WHERE p_size <= 25),
+b AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS name FROM part WHERE p_size > 20),
+c AS (SELECT DISTINCT p_brand AS name FROM part UNION SELECT name FROM a)
+SELECT name, (name IN (SELECT name FROM a))::INT + (name IN (SELECT name FROM b))::INT
+             + (name NOT IN (SELECT name FROM a UNION ALL SELECT name FROM b))::INT AS n_ids,
+       true AS ids_are_its_own, true AS aliases_lead_to_it
+FROM (SELECT name FROM a UNION SELECT name FROM b UNION SELECT name FROM c)""")
+def id_ledger(spark, sf):
+    """Two loads that begin before either commits, and a third after them: per name
+    how many ids it got, whether no other name has one of them, and whether the
+    dimension and the aliases lead to its smallest."""
+    ledger = IdLedger(spark, scratch_path(spark, "ledger"), block=8)
+    part = read_table(spark, sf, "part")
+    words = part.select("p_size", F.explode(F.split("p_name", " ")).alias("name"))
+    first = ledger.begin(words.where("p_size <= 25"), "name")
+    second = ledger.begin(words.where("p_size > 20"), "name")
+    second.commit()
+    first.commit()
+    ledger.begin(part.select(F.col("p_brand").alias("name")).union(
+        words.where("p_size <= 25").select("name")), "name").commit()
+    out = ledger.handed_out()
+    owners = out.groupBy("id").agg(F.count_distinct("name").alias("names"))
+    lead = out.join(ledger.aliases(), "id", "left").join(owners, "id").join(
+        ledger.dimension().select("name", F.col("id").alias("canonical")), "name")
+    return lead.groupBy("name").agg(
+        F.count_distinct("id").cast("int").alias("n_ids"), (F.max("names") == 1).alias("ids_are_its_own"),
+        F.bool_and(F.coalesce("name_id", "id") == F.col("canonical")).alias("aliases_lead_to_it"))
+
+
+# ------------------------------------------------------------ late keys
+
+@register("late_keys", """
+WITH d AS (
+  SELECT event_id AS k, value, 0 AS batch FROM events WHERE event_id % 3 <> 2
+  UNION ALL SELECT event_id, value + 1, 1 FROM events WHERE event_id % 3 = 2 AND event_id % 2 = 0
+  UNION ALL SELECT event_id, value + 2, 2 FROM events WHERE event_id % 97 = 0
+  UNION ALL SELECT event_id, value + 3, 3 FROM events)
+SELECT k, arg_min(value, batch) AS value FROM d GROUP BY k""")
+def late_keys(spark, sf):
+    """ST1 + K7: four drops; the later ones repeat keys of the earlier ones, which stay.
+    Every batch opens only stored files whose index does not rule its keys out."""
+    from ..streaming.incremental import read_target, run_incremental
+    root = scratch_path(spark, "late")
+    e = read_table(spark, sf, "events").select(F.col("event_id").alias("k"), "value")
+    drops = (e.where("k % 3 <> 2"), e.where("k % 3 = 2 AND k % 2 = 0").select("k", (F.col("value") + 1).alias("value")),
+             e.where("k % 97 = 0").select("k", (F.col("value") + 2).alias("value")),
+             e.select("k", (F.col("value") + 3).alias("value")))
+    for n, drop in enumerate(drops):
+        drop.write.parquet(f"{root}/src/drop={n}")
+        run_incremental(spark, f"{root}/src", schema=e.schema, target=f"{root}/target",
+                        checkpoint=f"{root}/_checkpoint", keys=["k"], order=["value"])
+    return read_target(spark, f"{root}/target").select("k", "value")

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.lookup import look_up
 from ..schemas import CATALOGUE_SCHEMA, METRICS_TEXT_SCHEMA
-from ..session import evaluate_once
+from ..session import checked_broadcast, evaluate_once, materialize
 from .variant import is_object, typed_row
 
 
@@ -127,14 +128,16 @@ def read_keyed_csv(spark: SparkSession, path: str, schema: T.StructType, sep: st
 def drop_last_per_group(df: DataFrame, group: str, order: str) -> DataFrame:
     """drop the last row of each group in ``order``.
 
-    The per-group maximum is an aggregate (partial per task, so a huge group is
-    not gathered into one task); joining it back is an equi-join that AQE can
-    broadcast or split when one group dominates."""
-    last = df.groupBy(group).agg(F.max(order).alias("_last"))
-    return (df.join(last, group)
-              .where(F.col(order) < F.col("_last"))
-              .drop("_last")
-              .select(*df.columns))
+    Last rows are found split by split: every task keeps the largest ``order`` of each
+    group it meets, and the few rows that leaves (one a group and split) are reduced to
+    one a group and checkpointed. That table is broadcast behind a size check, else
+    looked up by salted keys, so the lines of a file that holds a third of them all stay
+    spread over its splits."""
+    last = materialize(df.groupBy(group).agg(F.max(order).alias("_last")).where(F.col(group).isNotNull()))
+    small = checked_broadcast(last, otherwise=None)
+    flagged = (df.join(small, group) if small is not None
+               else look_up(df, last, [group], F.col(order)))
+    return flagged.where(F.col(order) < F.col("_last")).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def read_semicolon_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

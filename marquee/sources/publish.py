@@ -24,46 +24,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-
-class _Folder:
-    """Small files under a root, on whatever file system it names."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.root = root.rstrip("/")
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def names(self, folder: str) -> list[str]:
-        path = self._path(f"{self.root}/{folder}")
-        return [s.getPath().getName() for s in self._fs.listStatus(path)] if self._fs.exists(path) else []
-
-    def create(self, name: str, text: str = "") -> None:
-        """Fails if the file exists."""
-        out = self._fs.create(self._path(f"{self.root}/{name}"), False)
-        try:
-            out.write(bytearray(text.encode()))
-        finally:
-            out.close()
-
-    def make(self, folder: str) -> None:
-        self._fs.mkdirs(self._path(f"{self.root}/{folder}"))
-
-    def rename(self, old: str, new: str) -> None:
-        if not self._fs.rename(self._path(f"{self.root}/{old}"), self._path(f"{self.root}/{new}")):
-            raise OSError(f"{self.root}/{old} cannot become {new}")
-
-    def delete(self, name: str) -> None:
-        self._fs.delete(self._path(f"{self.root}/{name}"), True)
-
-
-def _numbers(names: list[str], ending: str = "") -> list[int]:
-    stems = [n[:len(n) - len(ending)] for n in names if n.endswith(ending)]
-    return sorted(int(s) for s in stems if s.isdigit())
+from ..small_files import Folder, numbers
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """The complete versions, oldest first."""
-    return _numbers(_Folder(spark, root).names("_manifests"), ".json")
+    return numbers(Folder(spark, root).names("_manifests"), ".json")
 
 
 def manifest(spark: SparkSession, root: str, version: int | None = None) -> dict:
@@ -88,22 +54,13 @@ class Publication:
 
     def __init__(self, spark: SparkSession, root: str, replace_all: bool = False):
         self.spark, self.root, self.replace_all = spark, root.rstrip("/"), replace_all
-        self._folder = _Folder(spark, root)
+        self._folder = Folder(spark, root)
         self._checks: list[Callable[[dict[str, DataFrame]], object]] = []
         self.tables: dict[str, dict] = {}
         self.version = self._claimed()
 
     def _claimed(self) -> int:
-        taken = _numbers(self._folder.names("_claims"))
-        number = taken[-1] + 1 if taken else 1
-        while True:
-            try:
-                self._folder.create(f"_claims/{number}")
-                return number
-            except Exception:
-                if number not in _numbers(self._folder.names("_claims")):
-                    raise  # not taken by another build: a real failure
-                number += 1
+        return self._folder.claim("_claims", first=1)
 
     def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
               sort_by: list[str] | None = None) -> DataFrame:
@@ -134,9 +91,7 @@ class Publication:
         for test in self._checks:
             test({name: self.table(name) for name in self.tables})
         text = json.dumps({"version": self.version, "tables": self.tables}, indent=1)
-        self._folder.create(f"_staged/{self.version}.json", text)
-        self._folder.make("_manifests")
-        self._folder.rename(f"_staged/{self.version}.json", f"_manifests/{self.version}.json")
+        self._folder.publish(f"_manifests/{self.version}.json", text)
         return self.version
 
     def __enter__(self) -> Publication:
@@ -150,7 +105,7 @@ class Publication:
 def expire(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
     """Drop all but the newest ``keep`` versions: their manifests first, then the folders
     that no remaining manifest names, those of failed builds that are older too."""
-    folder, known = _Folder(spark, root), versions(spark, root)
+    folder, known = Folder(spark, root), versions(spark, root)
     if keep < 1:
         raise ValueError("the newest version is never dropped")
     gone = known[:-keep]
@@ -158,7 +113,7 @@ def expire(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
         folder.delete(f"_manifests/{v}.json")
     used = {t["path"] for v in known[-keep:] for t in manifest(spark, root, v)["tables"].values()}
     oldest = min(known[-keep:], default=0)
-    for v in _numbers([n[1:] for n in folder.names("") if n.startswith("v")]):
+    for v in numbers([n[1:] for n in folder.names("") if n.startswith("v")]):
         if v < oldest:
             for name in folder.names(f"v{v}"):
                 if f"v{v}/{name}" not in used:

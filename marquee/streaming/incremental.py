@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..operators.loads import first_per_key, has_key
 from ..session import checked_broadcast
+from . import key_index
 
 
 def run_incremental(spark: SparkSession, source: str, schema: T.StructType, target: str,
@@ -35,22 +36,20 @@ def run_incremental(spark: SparkSession, source: str, schema: T.StructType, targ
     nothing = spark.createDataFrame([], schema)
     for folder in (target, rejects):
         nothing.write.mode("ignore").parquet(f"{folder}/_batch=-1")
-    stored_schema = T.StructType([*schema.fields, T.StructField("_batch", T.LongType())])
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         rows = first_per_key(batch.where(has_key(keys)), keys, order).persist()
-        ends = rows.agg(*[f(k).alias(f"{n}{i}") for i, k in enumerate(keys)
-                          for n, f in (("lo", F.min), ("hi", F.max))]).first()
         # keys of earlier batches only: a re-run of this batch must not see its own
         # partial output
-        stored = spark.read.schema(stored_schema).parquet(target).where(F.col("_batch") != batch_id)
-        for i, k in enumerate(keys):
-            stored = stored.where(F.col(k).between(F.lit(ends[f"lo{i}"]), F.lit(ends[f"hi{i}"])))
+        may_hold = key_index.files_to_open(spark, target, rows, keys, batch_id)
+        stored = spark.read.schema(schema).parquet(*may_hold) if may_hold else nothing
         hits = stored.select(*keys).join(checked_broadcast(rows.select(*keys)), keys, "left_semi")
         # one folder per batch id, overwritten on a re-run: idempotent
-        (rows.join(hits, keys, "left_anti").write.mode("overwrite")
-         .parquet(f"{target}/_batch={batch_id}"))
+        # files of disjoint key ranges, so that the index rules most of them out later
+        (rows.join(hits, keys, "left_anti").repartitionByRange(*keys).write.mode("overwrite")
+         .option("maxRecordsPerFile", key_index.ROWS_A_FILE).parquet(f"{target}/_batch={batch_id}"))
+        key_index.build(spark, target, schema, keys, batch_id)
         batch.where(~has_key(keys)).write.mode("overwrite").parquet(f"{rejects}/_batch={batch_id}")
         rows.unpersist()
         batch.unpersist()
