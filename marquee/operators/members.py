@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import checked_broadcast
 from .keys import collated, surrogate_key
+from .lookup import look_up
 
 
 def exploded(df: DataFrame, key: str, array_col: str, name: str) -> DataFrame:
@@ -47,12 +48,17 @@ def member_links(df: DataFrame, key: str, array_col: str, dim: DataFrame,
     """(entity, member id) links with a composite key: duplicates within the
     input are collapsed, pairs already stored and rows without a key are skipped.
     With ``collation`` a name finds its id under the dimension's collation, as the
-    unique index would."""
+    unique index would.
+
+    Ids are broadcast behind a size check, else looked up by salted keys, so a member
+    with a third of all links is never gathered in one task."""
     ids = dim.select(collated(name_col, collation).alias("_k"), id_col)
-    names = exploded(df.where(F.col(key).isNotNull()), key, array_col, name_col)
-    links = (names.join(ids, collated(name_col, collation) == F.col("_k"))
-             .select(key, id_col)
-             .dropDuplicates([key, id_col]))
+    names = exploded(df.where(F.col(key).isNotNull()), key, array_col, name_col).withColumn(
+        "_k", collated(name_col, collation))
+    small = checked_broadcast(ids, otherwise=None)
+    found = (names.join(small, "_k") if small is not None
+             else look_up(names.where("_k IS NOT NULL"), ids, ["_k"], F.col(key)).where(F.col(id_col).isNotNull()))
+    links = found.select(key, id_col).dropDuplicates([key, id_col])
     if existing is not None:
         links = links.join(existing.select(key, id_col), [key, id_col], "left_anti")
     return links

@@ -96,7 +96,7 @@ SELECT event_id AS appid,
 FROM d""")
 def payload_fields(spark, sf):
     """Raw payloads (one per event) -> released catalogue rows."""
-    e = read_table(spark, sf, "events")
+    e = read_table(spark, sf, "events", spread=True)
     raw = e.select("event_id", _payload_text(e).alias("payload"))
     return payload.parse_payload(raw, "payload", "event_id")
 

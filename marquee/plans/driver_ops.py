@@ -100,7 +100,7 @@ def _clean_sql(expr):
 SELECT doc_id, {_clean_sql('text')} AS clean FROM documents""")
 def clean_name_q(spark, sf):
     """X2 over whole texts."""
-    d = read_table(spark, sf, "documents")
+    d = read_table(spark, sf, "documents", spread=True)
     return d.select("doc_id", X.clean_name("text").alias("clean"))
 
 

@@ -75,8 +75,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+# Into how many partitions ``read_table(..., spread=True)`` deals a table; unset: as the
+# files are split. For tables stored as one row group, whose scan is one task.
+SPREAD = "spark.marquee.spreadPartitions"
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    n = spark.conf.get(SPREAD, None) if spread else None
+    return df.repartition(int(n)) if n else df
 
 
 # A key table of this many rows and bytes stays well inside a broadcast.
@@ -84,13 +91,30 @@ MAX_BROADCAST_KEYS = 1_000_000
 MAX_BROADCAST_BYTES = 64 << 20
 
 
+def _width(c, kind: T.DataType):
+    """Bytes of a value: those of texts and binaries, 8 of a number, and of a list or an
+    object the sum over what it holds."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.octet_length(c)
+    if isinstance(kind, T.ArrayType):
+        return F.aggregate(c, F.lit(0).cast("bigint"),
+                           lambda n, x: n + F.coalesce(_width(x, kind.elementType), F.lit(0)))
+    if isinstance(kind, T.MapType):
+        return (_width(F.map_keys(c), T.ArrayType(kind.keyType))
+                + _width(F.map_values(c), T.ArrayType(kind.valueType)))
+    if isinstance(kind, T.StructType):
+        return sum((F.coalesce(_width(c.getField(f.name), f.dataType), F.lit(0)) for f in kind.fields), F.lit(0))
+    if isinstance(kind, T.VariantType):
+        return F.octet_length(c.cast("string"))
+    return F.lit(8)
+
+
 def measured(df: DataFrame) -> tuple[int, int]:
     """Rows and bytes of values, by one aggregation: every task sends one partial
     count and sum."""
     size = F.lit(0).cast("bigint")
     for f in df.schema.fields:
-        width = F.octet_length(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.StringType) else F.lit(8)
-        size = size + F.coalesce(width, F.lit(0))
+        size = size + F.coalesce(_width(F.col(f"`{f.name}`"), f.dataType), F.lit(0))
     n, b = df.agg(F.count(F.lit(1)), F.sum(size)).first()
     return n, b or 0
 
