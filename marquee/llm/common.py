@@ -43,6 +43,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give what a finished task of a Python worker has freed back to the system: idle
+    workers otherwise keep what their longest texts took."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not this allocator: nothing to give back
+
+
 def crc32_mod(id_col: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo ``n``."""
     return F.crc32(id_col.cast("string").cast("binary")) % n

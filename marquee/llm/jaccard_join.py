@@ -14,9 +14,11 @@ is at least the threshold; the result is each document's connected component.
    class is tested against the leader it shares most with. Near copies of one text
    are thus connected by a row each, not by all pairs.
 4. The rest. Pairs from different components that share a prefix shingle are all
-   tested, save those which sizes or parity maps rule out (the maps differ in at most
-   as many bits as the sets differ in shingles; a small map inside the join, a wide
-   one for each pair). No link between different components can be missed.
+   tested, save those which places, sizes or parity maps rule out: a pair that links
+   has, from its first common shingle on, as many shingles left on both sides as the
+   link needs; and the maps differ in at most as many bits as the sets differ in
+   shingles (a small map first, then one as wide as the set asks for, both inside the
+   join). No link between different components can be missed.
 5. Testing, vertically: the global order is cut into ``FRAGMENTS``; each pair's
    overlap is counted fragment by fragment and summed. Only classes that some pair
    needs are cut up, and a hot leader's fragments are spread over salts.
@@ -47,14 +49,14 @@ from pyspark.sql import functions as F
 
 from marquee.session import checked_broadcast
 
-from .common import bloom_bitmap, components, in_bloom, look_up, written
+from .common import bloom_bitmap, components, in_bloom, look_up, release_memory, written
 
 WORDS = 5
 THRESHOLD = 75          # percent
 FRAGMENTS = 8
 MAPS = 8                # 64-bit words of the small parity map, one column each
 WIDE = 16               # least number of 64-bit words of the wide one
-CELL_BITS = 23          # cells of the count sketch (16 MB of counts)
+CELL_BITS = 22          # cells of the count sketch (8 MB of counts)
 CHUNK_BITS = 15         # cells of one piece of it
 TASKS_AT_ONCE = 256     # sketches added up in one group
 SLICE = 500             # documents described at once
@@ -157,6 +159,8 @@ def _sketch(texts: DataFrame) -> Order:
             for text in b["text"]:
                 np.add.at(total, cells(shingles(text)), 1)
         yield packed(total.reshape(-1, 1 << CHUNK_BITS), TaskContext.get().partitionId())
+        del total
+        release_memory()
 
     def packed(pieces: np.ndarray, task: int, first: int = 0) -> pd.DataFrame:
         return pd.DataFrame({"chunk": range(first, first + len(pieces)), "task": task,
@@ -210,13 +214,15 @@ class _Join:
                 maps = np.array([_parity(s, MAPS) for s in sets], dtype=np.int64).reshape(-1, MAPS)
                 out["wide"] = [_parity(s, _wide(len(s))) for s in sets]
                 yield pd.DataFrame(out | {f"m{k}": maps[:, k] for k in range(MAPS)})
+            release_memory()
 
         maps = ", ".join(f"m{k} long" for k in range(MAPS))
         return written(_with_ids(self.texts).mapInPandas(
             run, f"id long, th long, n long, node long, prefix array<long>, wide array<long>, {maps}"), "jaccard-sets")
 
     def shared_prefixes(self, sets: DataFrame) -> DataFrame:
-        """(s, node) of the prefix shingles that several classes have."""
+        """(s, node, pos) of the prefix shingles that several classes have, with their
+        place in the class's order."""
         many = written(sets.select(F.explode("prefix").alias("s"), "node").groupBy("s").agg(
             F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
             .select("s"), "jaccard-shared")
@@ -228,11 +234,12 @@ class _Join:
                 if lengths.sum():
                     s = np.concatenate(b["prefix"].to_list()).astype(np.int64)
                     keep = in_bloom(bitmap.value, s.view(np.uint64))
+                    places = np.concatenate([np.arange(k, dtype=np.int32) for k in lengths])
                     yield pd.DataFrame({
-                        "s": s[keep], "node": np.repeat(b["node"].to_numpy(), lengths)[keep]
-                    }).drop_duplicates()
+                        "s": s[keep], "node": np.repeat(b["node"].to_numpy(), lengths)[keep],
+                        "pos": places[keep]}).drop_duplicates()
 
-        maybe = sets.where("n > 0").select("prefix", "node").mapInPandas(run, "s long, node long")
+        maybe = sets.where("n > 0").select("prefix", "node").mapInPandas(run, "s long, node long, pos int")
         # one exchange: the join's partitioning serves the distinct rows too
         return written(maybe.hint("merge").join(many, "s", "left_semi").distinct(), "jaccard-lists")
 
@@ -245,10 +252,32 @@ class _Join:
         return ((100 * F.least(na, nb) >= t * F.greatest(na, nb))
                 & ((100 + t) * differ <= (100 - t) * (na + nb)))
 
+    def in_place(self, a: str, b: str) -> Column:
+        """The common shingle of rows ``a`` and ``b`` may be the first that a link shares:
+        from its places on, both sets still hold as many shingles as a link needs.
+        A pair that links holds this at its first common shingle."""
+        t = self.threshold
+        left = F.least(F.col(f"{a}.n") - F.col(f"{a}.pos"), F.col(f"{b}.n") - F.col(f"{b}.pos"))
+        return (100 + t) * left >= t * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+    def wide_fits(self, wa: str, wb: str, na: Column, nb: Column) -> Column:
+        """The wide maps do not rule out a link."""
+        def halved(w: str, least: Column) -> Column:
+            """Sets of like sizes have maps of one size, or of one size and its double,
+            whose halves add up to the smaller map."""
+            half = F.zip_with(F.slice(w, F.lit(1), least), F.slice(w, least + 1, least),
+                              lambda a, b: a.bitwiseXOR(b))
+            return F.when(F.size(w) > least, half).otherwise(F.col(w))
+
+        least = F.least(F.size(wa), F.size(wb))
+        differ = F.aggregate(
+            F.zip_with(halved(wa, least), halved(wb, least),
+                       lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+        return (100 + self.threshold) * differ <= (100 - self.threshold) * (na + nb)
+
     def worth_testing(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """The pairs that neither sizes and small maps nor the wide maps rule out, with
         their sizes."""
-        t = self.threshold
         fact = F.struct("n", *[f"m{k}" for k in range(MAPS)])
         for side in ("x", "y"):
             pairs = pairs.hint("merge").join(
@@ -260,19 +289,21 @@ class _Join:
             pairs = pairs.hint("merge").join(
                 classes.select(F.col("node").alias(side), F.col("wide").alias(f"w{side}")), side)
 
-        def halved(w: str, least: Column) -> Column:
-            """Sets of like sizes have maps of one size, or of one size and its double,
-            whose halves add up to the smaller map."""
-            half = F.zip_with(F.slice(w, F.lit(1), least), F.slice(w, least + 1, least),
-                              lambda a, b: a.bitwiseXOR(b))
-            return F.when(F.size(w) > least, half).otherwise(F.col(w))
+        return pairs.where(self.wide_fits("wx", "wy", F.col("nx"), F.col("ny"))).drop("wx", "wy")
 
-        least = F.least(F.size("wx"), F.size("wy"))
-        differ = F.aggregate(
-            F.zip_with(halved("wx", least), halved("wy", least),
-                       lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
-        return pairs.where((100 + t) * differ <= (100 - t) * (F.col("nx") + F.col("ny"))).drop(
-            "wx", "wy")
+    def fragments_of(self, wanted: DataFrame, held, cut_up, id_hash) -> DataFrame:
+        """(node, parts) of one document of each class that a pair needs. Rows that share
+        its id, or have none, are reduced in the tasks before the exchange: whatever
+        repeats, a class has one row."""
+        @F.pandas_udf("boolean")
+        def maybe(h: pd.Series) -> pd.Series:
+            return pd.Series(in_bloom(held.value, h.to_numpy().view(np.uint64)))
+
+        parts = _with_ids(self.texts.where(maybe(id_hash("id"))).select("id", "text")).mapInPandas(
+            cut_up, "id long, node long, parts array<array<long>>")
+        own = parts.join(checked_broadcast(wanted), (parts["node"] == wanted["node"])
+                         & parts["id"].eqNullSafe(wanted["first_id"]), "left_semi")
+        return own.select("node", "parts").dropDuplicates(["node"])
 
     def linked(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """The pairs (x, y) of classes that link; y is the side that may be hot."""
@@ -286,22 +317,15 @@ class _Join:
         held = bloom_bitmap(wanted.select(id_hash("first_id")), wanted.count())
         order = self.order
 
-        @F.pandas_udf("boolean")
-        def maybe(h: pd.Series) -> pd.Series:
-            return pd.Series(in_bloom(held.value, h.to_numpy().view(np.uint64)))
-
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in _slices(batches):
                 sets = [shingles(t) for t in b["text"]]
                 yield pd.DataFrame({
                     "id": _ids(b), "node": pd.array([_node(s) for s in sets], dtype="Int64"),
                     "parts": [[_signed(f) for f in order.value.fragments(s)] for s in sets]})
+            release_memory()
 
-        # one document of each class that a pair needs (more only if rows are repeated)
-        parts = _with_ids(self.texts.where(maybe(id_hash("id"))).select("id", "text")).mapInPandas(
-            run, "id long, node long, parts array<array<long>>")
-        parts = parts.join(checked_broadcast(wanted), (parts["node"] == wanted["node"])
-                           & parts["id"].eqNullSafe(wanted["first_id"]), "left_semi")
+        parts = self.fragments_of(wanted, held, run, id_hash)
         cut = F.posexplode("parts").alias("fragment", "part")
         left = (parts.join(checked_broadcast(pairs), F.col("x") == F.col("node"))
                 .select("x", "y", "nx", "ny", "salt", cut))
@@ -339,13 +363,13 @@ class _Join:
                tested: DataFrame) -> DataFrame:
         """All pairs from different components that share a prefix shingle and may link."""
         own = written(lists.hint("merge").join(labels, "node", "left").select(
-            "s", "node", F.coalesce("comp", "node").alias("comp")), "jaccard-comps")
+            "s", "node", "pos", F.coalesce("comp", "node").alias("comp")), "jaccard-comps")
         # of each list, the rows outside its largest component meet all others
         sizes = own.groupBy("s", "comp").agg(F.count(F.lit(1)).alias("c"))
         mixed = written(sizes.groupBy("s").agg(F.max_by("comp", "c").alias("main"),
                                                F.count(F.lit(1)).alias("k"))
                         .where("k > 1").drop("k"), "jaccard-mixed")
-        facts = classes.drop("first_id", "wide")
+        facts = classes.drop("first_id")
         # a list of two is its own pair; longer ones are joined
         two = written(own.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("x"),
                                            F.max("node").alias("y"), F.min("comp").alias("c"),
@@ -355,7 +379,8 @@ class _Join:
         a, b = rows.where("comp <> main").alias("a"), rows.alias("b")
         once = (F.col("b.comp") == F.col("b.main")) | (F.col("a.node") < F.col("b.node"))
         pairs = a.join(b.hint("merge"), (F.col("a.s") == F.col("b.s"))
-                       & (F.col("a.comp") != F.col("b.comp")) & once & self.fits("a", "b"))
+                       & (F.col("a.comp") != F.col("b.comp")) & once & self.in_place("a", "b")
+                       & self.fits("a", "b") & self.wide_fits("a.wide", "b.wide", F.col("a.n"), F.col("b.n")))
         pairs = pairs.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).union(
             two.where("c <> d").select("x", "y")).distinct()
         return written(pairs.join(tested, ["x", "y"], "left_anti"), "jaccard-pairs")

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom_bitmap, crc32_mod, in_bloom, written
+from .common import bloom_bitmap, crc32_mod, in_bloom, release_memory, written
 
 # fixed values: closed-class words of the grammar (en, de, fr, es)
 TARGETS = frozenset(
@@ -258,6 +258,7 @@ def learn_lexicon(train: DataFrame, min_docs: int = 4, purity: float = 0.05,
                     rows |= {(f, sig) for f in features | {EACH}}
                 yield pd.DataFrame([(f, term_hash(f), sig) for f, sig in rows],
                                    columns=["term", "h", "sig"])
+        release_memory()
 
     def clean_counts(left: DataFrame, parts: int) -> DataFrame:
         """(h, c): in how many clean signatures, of one in ``parts``, a term is."""
@@ -275,6 +276,7 @@ def learn_lexicon(train: DataFrame, min_docs: int = 4, purity: float = 0.05,
                         sigs.append(np.full(len(h), sig, dtype=np.int64))
                 if hashes:
                     yield pd.DataFrame({"h": np.concatenate(hashes), "sig": np.concatenate(sigs)})
+            release_memory()
 
         return written(clean.select("text").mapInPandas(run, "h long, sig long").distinct()
                        .groupBy("h").agg(F.count(F.lit(1)).alias("c")), "toxicity-clean")
@@ -337,8 +339,13 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None,
                         < int((1 << 20) * max_train / n))
     texts = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit(""))
                         .alias("text"))
-    # at most max_train ids, up to the spread of the hash
-    sample = written(texts.join(F.broadcast(own), "id").select("text", "label"), "toxicity-train")
+    # at most max_train ids, up to the spread of the hash; rows of a repeated id count
+    # once per text, and if there are still too many, a hash of both thins them out
+    sample = written(texts.join(F.broadcast(own), "id").withColumn("th", F.xxhash64("id", "text")).dropDuplicates(
+        ["id", "th", "label"]).select("text", "label", "th"), "toxicity-train")
+    m = sample.count()
+    if m > 2 * max_train:
+        sample = sample.where(F.pmod("th", F.lit(1 << 20)) < int((1 << 20) * max_train / m))
     model = Model(lexicon=learn_lexicon(sample))
     rows = sample.select("label", *_evidence_columns(sample, model)).toPandas()
     if len(rows) and rows["label"].nunique() == 2:
@@ -358,6 +365,7 @@ def _evidence_columns(docs: DataFrame, model: Model, text_col: str = "text") ->
             got = [reader.evidence(t) for t in b]
             yield pd.DataFrame({"evidence": [g[0].tolist() for g in got],
                                 "clauses": [g[1] for g in got]})
+        release_memory()
 
     both = evidence(F.coalesce(docs[text_col], F.lit("")))
     return [both["evidence"].alias("evidence"), both["clauses"].alias("clauses")]

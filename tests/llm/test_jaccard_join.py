@@ -180,3 +180,52 @@ def test_components(spark):
 def test_empty_table(spark):
     assert J.near_duplicates(docs(spark, [])).count() == 0
     assert J.representatives(docs(spark, [])).count() == 0
+
+
+def test_copies_without_ids_are_one_row_of_a_class(spark):
+    """Two near texts, many copies each without an id: the fragments that are joined are
+    those of two documents, and every copy still has its component."""
+
+    words = prose(random.Random(5), 120).split()
+    near = words[:60] + ["changed"] + words[61:]
+    rows = [(None, " ".join(words))] * 150 + [(None, " ".join(near))] * 150 + [(7, "something else entirely here now")]
+    seen = []
+    plain = J._Join.fragments_of
+
+    def counted(self, *args):
+        parts = plain(self, *args)
+        seen.append((parts.count(), parts.select("node").distinct().count()))
+        return parts
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(J._Join, "fragments_of", counted)
+        got = J.near_duplicates(docs(spark, rows), threshold=75).collect()
+    assert seen and all(n == classes <= 2 for n, classes in seen)
+    assert len(got) == 301 and sum(r.first for r in got if r.component_id is None) == 150
+
+
+def test_the_positional_bound_loses_no_link(spark):
+    """Texts around the threshold that share their passage at any place."""
+
+    rng = random.Random(8)
+    base = prose(rng, 200).split()
+    rows = []
+    for i in range(40):
+        cut = rng.randrange(10, 60)
+        at = rng.randrange(0, 200 - cut)
+        rows.append((i, " ".join(base[:at] + prose(rng, rng.randrange(0, cut)).split() + base[at + cut:])))
+    got = {r.doc_id: r.component_id for r in J.near_duplicates(docs(spark, rows), threshold=75).collect()}
+    sets = {i: set(J.shingles(t).tolist()) for i, t in rows}
+    comp = {i: i for i in sets}
+
+    def root(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                comp[y] = x
+    assert got == {i: root(i) for i in sets} and len(set(got.values())) > 1
