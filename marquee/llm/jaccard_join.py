@@ -291,19 +291,22 @@ class _Join:
 
         return pairs.where(self.wide_fits("wx", "wy", F.col("nx"), F.col("ny"))).drop("wx", "wy")
 
-    def fragments_of(self, wanted: DataFrame, held, cut_up, id_hash) -> DataFrame:
-        """(node, parts) of one document of each class that a pair needs. Rows that share
-        its id, or have none, are reduced in the tasks before the exchange: whatever
-        repeats, a class has one row."""
+    def fragments_of(self, wanted: DataFrame, held, cut_up, row_hash: Column) -> DataFrame:
+        """(node, parts) of one document of each class that a pair needs: that with the
+        least id and text hash. Where a row with both is repeated, the copies are reduced
+        in the tasks and by one exchange, so a class has one row whatever repeats."""
         @F.pandas_udf("boolean")
         def maybe(h: pd.Series) -> pd.Series:
             return pd.Series(in_bloom(held.value, h.to_numpy().view(np.uint64)))
 
-        parts = _with_ids(self.texts.where(maybe(id_hash("id"))).select("id", "text")).mapInPandas(
-            cut_up, "id long, node long, parts array<array<long>>")
-        own = parts.join(checked_broadcast(wanted), (parts["node"] == wanted["node"])
-                         & parts["id"].eqNullSafe(wanted["first_id"]), "left_semi")
-        return own.select("node", "parts").dropDuplicates(["node"])
+        parts = _with_ids(self.texts.where(maybe(row_hash)).select("id", "th", "text")).mapInPandas(
+            cut_up, "id long, th long, node long, parts array<array<long>>")
+        same = lambda a: ((a["node"] == wanted["node"]) & (a["th"] == wanted["th"])
+                          & a["id"].eqNullSafe(wanted["id"]))
+        own = parts.join(checked_broadcast(wanted), same(parts), "left_semi").select("node", "parts")
+        rows = self.sets.select("id", "th", "node")
+        repeated = rows.join(checked_broadcast(wanted), same(rows), "left_semi").groupBy("node").count().where("count > 1")
+        return own.dropDuplicates(["node"]) if repeated.take(1) else own
 
     def linked(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """The pairs (x, y) of classes that link; y is the side that may be hot."""
@@ -312,20 +315,20 @@ class _Join:
         pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(salts)))
         wanted = written(
             pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node")))
-            .distinct().join(classes.select("node", "first_id"), "node"), "jaccard-wanted")
-        id_hash = lambda c: F.xxhash64(F.coalesce(F.col(c), F.lit(-1)))
-        held = bloom_bitmap(wanted.select(id_hash("first_id")), wanted.count())
+            .distinct().join(classes.select("node", "first.id", "first.th"), "node"), "jaccard-wanted")
+        row_hash = F.xxhash64(F.coalesce(F.col("id"), F.lit(-1)), F.col("th"))
+        held = bloom_bitmap(wanted.select(row_hash), wanted.count())
         order = self.order
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in _slices(batches):
                 sets = [shingles(t) for t in b["text"]]
                 yield pd.DataFrame({
-                    "id": _ids(b), "node": pd.array([_node(s) for s in sets], dtype="Int64"),
+                    "id": _ids(b), "th": b["th"], "node": pd.array([_node(s) for s in sets], dtype="Int64"),
                     "parts": [[_signed(f) for f in order.value.fragments(s)] for s in sets]})
             release_memory()
 
-        parts = self.fragments_of(wanted, held, run, id_hash)
+        parts = self.fragments_of(wanted, held, run, row_hash)
         cut = F.posexplode("parts").alias("fragment", "part")
         left = (parts.join(checked_broadcast(pairs), F.col("x") == F.col("node"))
                 .select("x", "y", "nx", "ny", "salt", cut))
@@ -369,7 +372,7 @@ class _Join:
         mixed = written(sizes.groupBy("s").agg(F.max_by("comp", "c").alias("main"),
                                                F.count(F.lit(1)).alias("k"))
                         .where("k > 1").drop("k"), "jaccard-mixed")
-        facts = classes.drop("first_id")
+        facts = classes.drop("first")
         # a list of two is its own pair; longer ones are joined
         two = written(own.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("x"),
                                            F.max("node").alias("y"), F.min("comp").alias("c"),
@@ -414,14 +417,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reachable by links), ``first`` (it is the document with that id, or, if no document
     of the component has an id, that with the least text hash) and ``text_hash``."""
     join = _Join(docs, id_col, text_col, threshold)
-    sets = join.describe()
+    sets = join.sets = join.describe()
     maps = [f"m{k}" for k in range(MAPS)]
     lists = join.shared_prefixes(sets)
+    # documents in order: by id, those without one last, by text hash
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "th")
     touched = lists.select("node").distinct()
     classes = written(
-        sets.where("n > 0").select("id", "node", "n", *maps, "wide")
+        sets.where("n > 0").select("id", "th", "node", "n", *maps, "wide")
         .join(touched, "node", "left_semi").groupBy("node", "n", *maps)
-        .agg(F.min("id").alias("first_id"), F.first("wide").alias("wide")), "jaccard-classes")
+        .agg(F.min(rank).alias("first"), F.first("wide").alias("wide")), "jaccard-classes")
 
     stars = join.stars(lists, classes)
     labels = written(_roots(join.linked(stars, classes)), "jaccard-star-comps")
@@ -437,8 +442,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
     labels = written(united.union(singles), "jaccard-labels")
 
-    # the first document of each class, then of each component of classes; ids before nulls
-    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "th")
+    # the first document of each class, then of each component of classes
     named = written(
         sets.where("n > 0").groupBy("node").agg(F.min(rank).alias("first"))
         .join(labels, "node", "left").select("node", "first", F.coalesce("comp", "node")
