@@ -26,6 +26,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from marquee.session import checked_broadcast
@@ -90,6 +91,23 @@ def scattered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       .alias("bucket"), "r"), n_buckets
 
 
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _in_order(rows: str, kind: T.DataType) -> Column:
+    """A bucket's rows in an order that only its contents decide. Records that hold maps
+    or variants have no order of their own and go by the hash that placed them; rows of
+    one hash are equal in id, size and CRC."""
+    if _orderable(kind):
+        return F.array_sort(rows)
+    return F.array_sort(rows, lambda a, b: F.when(a["mix"] < b["mix"], -1).when(a["mix"] > b["mix"], 1).otherwise(0))
+
+
 def shuffled(rows: DataFrame, n_buckets: int, seed: int = 17) -> DataFrame:
     """Pass two: ``shard``, ``slot`` and ``r``. A task loads bucket after bucket."""
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(
@@ -101,7 +119,7 @@ def shuffled(rows: DataFrame, n_buckets: int, seed: int = 17) -> DataFrame:
     # each bucket: an order that only its contents decide, then Fisher-Yates
     lists = (loaded.groupBy(F.pmod("bucket", F.lit(tasks)).alias("task"), "shard", "bucket")
              .agg(F.collect_list("r").alias("rs"))
-             .select("shard", "bucket", F.shuffle(F.array_sort("rs"), seed).alias("rs")))
+             .select("shard", "bucket", F.shuffle(_in_order("rs", rows.schema["r"].dataType), seed).alias("rs")))
     return lists.join(checked_broadcast(offsets), "bucket").select(
         "shard", "offset", F.posexplode("rs").alias("pos", "r")).select(
         "shard", (F.col("offset") + F.col("pos")).cast("long").alias("slot"), "r")
