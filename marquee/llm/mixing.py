@@ -21,7 +21,8 @@ weight for each source, so the table of sources is held by the driver; more than
 
 Defined cases: a null text has size 0 and nothing of it is taken; a null source
 is a source of its own, last in the order; a source without words has target 0;
-a null id hashes like any value; repeated rows share their fate; an empty table
+bins hash the id and the text, so null and repeated ids spread like others, and rows
+equal in both share their fate; an empty table
 gives an empty table; other columns are ignored.
 """
 
@@ -94,11 +95,14 @@ def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed
               bins: int, *extra) -> DataFrame:
     size = F.size(words(docs[text_col])).cast("long")
     rows = docs.select(docs[id_col].alias("id"), docs[source_col].alias("source"),
-                       size.alias("size"), *extra)
+                       size.alias("size"),
+                       # the text too: rows without an id, or of one id, do not fall together
+                       F.xxhash64(F.lit(seed), docs[id_col], F.coalesce(docs[text_col], F.lit(""))).alias("place"),
+                       *extra)
     size_class = F.when(F.col("size") > 0, F.floor(F.log2("size")).cast("int")).otherwise(-1)
     return rows.withColumns({
         "size_class": size_class,
-        "bin": F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(bins)).cast("int")})
+        "bin": F.pmod("place", F.lit(bins)).cast("int")}).drop("place")
 
 
 class Mix:

@@ -70,3 +70,20 @@ def test_empty_table_and_no_words(spark):
     assert mixing.entropy_balance(docs(spark, [])).collect() == []
     got = mixing.entropy_balance(docs(spark, [(1, None, "a"), (2, "", None)])).collect()
     assert [(r.taken, r.target) for r in got] == [(0, 0.0), (0, 0.0)]
+
+
+def test_rows_without_ids_meet_the_target_too(spark):
+    """Two equal sources, one of them without ids or with one id: both end near the target."""
+    rng = random.Random(3)
+    for hot in (None, 7):
+        rows = [(i, prose(rng, 32), "a") for i in range(600)] + [(hot, prose(rng, 32), "b") for _ in range(600)]
+        taken, goal = defaultdict(int), {}
+        got = mixing.entropy_balance(docs(spark, rows), weights=(1.0,), budget=1.5).collect()
+        assert len(got) == 1200
+        for r in got:
+            source = "a" if r.doc_id is not None and r.doc_id < 600 and r.doc_id != hot else "b"
+            taken[source] += r.taken
+            goal[source] = r.target
+        if hot is None:
+            assert abs(taken["a"] - goal["a"]) < 0.02 * goal["a"] and abs(taken["b"] - goal["b"]) < 0.02 * goal["b"]
+        assert abs(sum(taken.values()) - 1.5 * 1200 * 32) < 0.02 * 1.5 * 1200 * 32
