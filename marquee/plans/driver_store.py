@@ -6,11 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..operators import declared
+from ..operators import declared, filters, loads
 from ..operators.ledger import IdLedger
 from ..schemas import CATALOGUE_SCHEMA
 from ..session import materialize, read_table, scratch_path
-from ..sources import files, payload, publish, sinks
+from ..sources import files, pages, payload, publish, sinks
 from . import legacy, marts
 from .driver import STG_FACT_SQL, bronze_catalogue, stg_catalogue, stg_metrics
 
@@ -415,3 +415,44 @@ def late_keys(spark, sf):
         run_incremental(spark, f"{root}/src", schema=e.schema, target=f"{root}/target",
                         checkpoint=f"{root}/_checkpoint", keys=["k"], order=["value"])
     return read_target(spark, f"{root}/target").select("k", "value")
+
+
+# ------------------------------------------------------------ rows that can fail
+
+@register("names_given", """
+SELECT doc_id, CASE WHEN doc_id % 7 = 3 THEN '  x ' ELSE text END AS name FROM documents
+WHERE doc_id % 7 NOT IN (0, 1, 2)""")
+def names_given(spark, sf):
+    """documents whose name is missing, empty or blank go; any other stays."""
+    d = read_table(spark, sf, "documents")
+    key = F.col("doc_id") % 7
+    name = F.when(key == 0, F.lit(None).cast("string")).when(key == 1, F.lit("")).when(key == 2, F.lit("   ")) \
+        .when(key == 3, F.lit("  x ")).otherwise(F.col("text"))
+    named = d.select("doc_id", name.alias("name"))
+    return named.where(filters.name_present(F.trim("name")))
+
+
+@register("notice_pages", """
+SELECT page_id, url FROM pages WHERE page_id % 5 NOT IN (0, 1)""")
+def notice_pages(spark, sf):
+    """Pages that carry a rate-limit or ban notice, in any case of letters, go."""
+    p = read_table(spark, sf, "pages")
+    key = F.col("page_id") % 5
+    notice = F.when(key == 0, F.lit("<p>You have been TEMPORARILY rate limited</p>")).when(
+        key == 1, F.lit("<h1>Your Network has been banned</h1>")).otherwise(F.lit("<p>rate limited offers</p>"))
+    return pages.drop_notice_pages(p.withColumn("html", F.concat("html", notice))).select("page_id", "url")
+
+
+@register("status_times", """
+SELECT o_orderkey, o_orderstatus = 'F' AS players_chart, true AS time_in_run FROM orders""")
+def status_times(spark, sf):
+    """K11 with its time: the log written and read back; every key's time lies between
+    the start of the run and its end."""
+    o = read_table(spark, sf, "orders")
+    path = scratch_path(spark, "status")
+    start = spark.range(1).select(F.current_timestamp().cast("timestamp_ntz")).first()[0]
+    sinks.write_table(loads.status_log(o, "o_orderkey", {"players_chart": F.col("o_orderstatus") == "F"}), path)
+    end = spark.range(1).select(F.current_timestamp().cast("timestamp_ntz")).first()[0]
+    log = sinks.read_back(spark, path)
+    return log.select("o_orderkey", "players_chart",
+                      F.col("processed_time").between(F.lit(start), F.lit(end)).alias("time_in_run"))
