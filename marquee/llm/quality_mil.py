@@ -152,8 +152,12 @@ def fit(bags: list[np.ndarray], y: np.ndarray, epochs: int = 60, batch: int = 12
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          max_train: int = 4_000, **options) -> Model:
-    """Learn a model from the labelled rows for which ``usable`` (over the id) holds."""
+          max_train: int = 4_000, max_bytes: int = 256 << 10, **options) -> Model:
+    """Learn a model from the labelled rows for which ``usable`` (over the id) holds.
+
+    The driver fits at most some ``max_train`` bags of at most ``max_bytes`` of text:
+    rows of a repeated id count once per text, a hash thins out what is too many, and
+    longer labelled texts are scored like all others but not learnt from."""
     own = labels.select(labels[id_col].alias("id"), labels[label_col].alias("label")).where(
         F.col("label").isin(0, 1) & (usable if usable is not None else F.lit(True))).distinct()
     n = own.count()
@@ -168,8 +172,13 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None,
             yield pd.DataFrame({"id": b["id"], "label": b["label"],
                                 "x": [describe(t).ravel() for t in b["text"]]})
 
-    # at most max_train ids, up to the spread of the hash
-    rows = written(texts.join(F.broadcast(own), "id").mapInPandas(
+    # at most max_train ids, up to the spread of the hash; their rows are counted too
+    short = texts.where(F.octet_length("text") <= max_bytes).withColumn("th", F.xxhash64("id", "text"))
+    found = written(short.join(F.broadcast(own), "id").dropDuplicates(["id", "th", "label"]), "quality-rows")
+    m = found.count()
+    if m > 2 * max_train:
+        found = found.where(F.pmod("th", F.lit(1 << 20)) < int((1 << 20) * max_train / m))
+    rows = written(found.select("id", "text", "label").mapInPandas(
         run, "id long, label int, x array<float>"), "quality-train").toPandas()
     rows = rows.sort_values(["id", "label"])
     if rows["label"].nunique() < 2:

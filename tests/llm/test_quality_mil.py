@@ -84,3 +84,18 @@ def test_one_label_no_label_empty_table(spark):
     none = M.train(table, ones.where("false"))
     assert {r.score for r in M.score(table, none).collect()} == {0.5}
     assert M.score(docs(spark, []), none).collect() == []
+
+
+def test_training_rows_are_bounded_after_the_join(spark, monkeypatch):
+    """One labelled id on many rows, repeated and different: what the driver fits stays bounded."""
+    from marquee.llm import quality_mil
+    seen = []
+    plain = quality_mil.fit
+    monkeypatch.setattr(quality_mil, "fit", lambda bags, y, **o: seen.append(len(bags)) or plain(bags, y, **o))
+    rows = [(1, f"good text number {i} with words")for i in range(400)] + [(1, "same")] * 400 + [(2, "bad $$$ !!!")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    quality_mil.train(table, labels, max_train=20)
+    assert not seen or seen[0] <= 60
+    quality_mil.train(table, labels, max_train=4000)
+    assert seen[-1] == 402  # repeated rows count once
