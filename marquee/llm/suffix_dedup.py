@@ -21,9 +21,11 @@ the same document or another, is removed; strings are judged on the input.
    classes of suffixes (cuts of the merged order) and classes of reversed left
    contexts are compared as two integers.
 
-Anchors named by more than 1/2000 of all windows' groups (and ``HOT`` at least) are
-not gathered in one range: their windows are counted one by one, by hash, combined
-in the map tasks and looked up by salted keys. Texts that several documents have
+Anchors named by more groups of windows than a range is planned for (``HOT``, whatever
+the corpus holds) are not gathered in one range: their windows are counted one by one,
+by hash, combined in the map tasks and looked up by salted keys. A Bloom filter names
+them, since there may be any number of them; an anchor it takes for hot by mistake is
+counted so in every task, with the same result. Texts that several documents have
 whole are read once a task and removed whole.
 
 Defined cases: a null text is empty; a text shorter than SPAN loses nothing, as
@@ -49,9 +51,9 @@ SPAN = 200
 GRAM = 32
 REACH = SPAN - GRAM           # an anchor is at most this far into its windows
 BLOCK = 1 << 17               # bytes hashed at once: few enough to stay in a core's cache
-HOT, HOT_PART = 1_000, 2_000
 HOT_SET = 2_000_000           # hashes (16 MB) of hot repeated windows that may be broadcast
 RANGE_SUFFIXES = 20_000       # suffixes that one merge is planned for
+HOT = RANGE_SUFFIXES          # an anchor with more suffixes is never gathered
 RUN_BYTES = 8 << 20           # a task's suffixes are sorted and written when they reach this
 HELD = 200_000                # numbers a task holds before it hands them on
 KEY = 8                       # bytes of the gram hash before a suffix in the sort key
@@ -382,7 +384,7 @@ def _open_rows(texts: DataFrame, bitmap, hot, parts: int) -> DataFrame:
 
         for block, of in blocks(batches):
             live = np.flatnonzero(block.open_windows(bitmap.value))
-            is_hot = np.isin(block.names(block.anchors[live]), hot.value)
+            is_hot = in_bloom(hot.value, block.names(block.anchors[live]))
             shift = np.array([p[1] for p in block.pieces]) - block.starts
             th, n = np.array(of, dtype=np.int64).T
             if is_hot.any():
@@ -469,7 +471,6 @@ def _hot_spans(rows: DataFrame) -> DataFrame:
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """th, n, ``starts``: (first, last) starts of repeated windows, of every text that
     has any."""
-    sc = texts.sparkSession.sparkContext
     classes = texts.where(F.col("n") >= SPAN).groupBy("th", "n").agg(
         F.count(F.lit(1)).alias("copies")).where("copies > 1")
     whole = classes.select("th", "n", F.lit(0).cast("long").alias("a"),
@@ -477,10 +478,8 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
 
     counts = written(_count_anchors(texts).where("c > 1"), "suffix-anchors")
     total = counts.agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("c")).first()
-    limit = max(HOT, (total.c or 0) // HOT_PART)
-    hot = np.sort(np.array([r.h for r in counts.where(F.col("c") > limit).select("h").collect()],
-                           dtype=np.int64).view(np.uint64))  # at most HOT_PART values
-    hot, bitmap = sc.broadcast(hot), bloom_bitmap(counts.select("h"), total.k)
+    hot = counts.where(F.col("c") > HOT).select("h")
+    hot, bitmap = bloom_bitmap(hot, hot.count()), bloom_bitmap(counts.select("h"), total.k)
 
     parts = max(1, -(-(total.c or 0) // RANGE_SUFFIXES))
     found = _open_rows(texts, bitmap, hot, parts)
