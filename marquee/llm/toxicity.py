@@ -1,13 +1,17 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A text is read clause by clause. Each word becomes a symbol (insult, threat,
-target, negation, reporting verb, quote mark, other) and five small transducers
-read the symbols together, as one composed machine:
+A text is read clause by clause. Each word becomes a symbol (insult, verb of harm,
+intent, intensifier, target, negation, reporting verb, quote mark, other) and five
+small weighted transducers read the symbols together, as one composed machine:
 
-* insult and threat: emit their word's weight;
-* target: remembers that the clause addresses or names someone;
 * negation: covers the next ``NEGATION_SCOPE`` words;
-* reported speech: covers the clause after a reporting verb, or a quotation.
+* reported speech: covers the clause after a reporting verb, or a quotation;
+* target: remembers that the clause addresses or names someone;
+* insult: emits its word's weight, ``INTENSIFIED`` times that within
+  ``INTENSE_SCOPE`` words of an intensifier;
+* threat: emits 1 where a verb of harm comes within ``INTENT_SCOPE`` words of an
+  intent ("will", "going"), else where its object, a target, comes within
+  ``OBJECT_SCOPE`` words of the verb; the verb alone is no threat.
 
 What the machine accepts is a *pattern* -- kind (insult, threat), mode (plain,
 negated, reported), with or without a target -- and a text's evidence for a
@@ -58,10 +62,18 @@ REPORTS = frozenset(
 THREATS = frozenset(
     "kill murder hurt destroy beat stab shoot burn töten umbringen schlagen verletzen zerstören "
     "tuer frapper blesser détruire brûler matar golpear herir destruir quemar".split())
+INTENTS = frozenset(
+    "will shall gonna going must i'll we'll werde werden wird wirst muss müssen vais va allons "
+    "vont dois doit voy vamos van debo debe".split())
+INTENSIFIERS = frozenset(
+    "such so total totally complete completely absolute absolutely utter utterly völlig völliger "
+    "totaler absoluter complètement totalement complet absolument totalmente completo absoluto".split())
 QUOTES = frozenset("\"“”„«»")
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, END = range(8)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, INTENT, INTENSE, END = range(10)
 NEGATION_SCOPE = 3
+INTENSE_SCOPE, INTENSIFIED = 2, 1.5
+INTENT_SCOPE, OBJECT_SCOPE = 4, 3
 SLICE = 100             # texts whose terms a task holds at once
 REMEMBERED = 100_000    # words whose symbols a task remembers
 STEMS = (4, 5, 6)
@@ -83,10 +95,11 @@ WORDS = re.compile(WORD)
 
 
 class Transducer:
-    """A deterministic machine: ``step(state, symbol)`` is the next state."""
+    """A deterministic weighted machine: ``step(state, symbol)`` is the next state,
+    ``emit(state, symbol)`` the factor of the symbol's weight that it puts out."""
 
-    def __init__(self, step, start=0):
-        self.step, self.start = step, start
+    def __init__(self, step, emit=None, start=0):
+        self.step, self.emit, self.start = step, emit or (lambda state, symbol: 0.0), start
 
 
 def negation_step(state: int, symbol: int) -> int:
@@ -104,29 +117,65 @@ def target_step(state: int, symbol: int) -> int:
     return int(state or symbol == TARGET)
 
 
-COMPONENTS = (Transducer(negation_step), Transducer(report_step), Transducer(target_step))
+def insult_step(state: int, symbol: int) -> int:
+    """Words left that an intensifier reaches."""
+    return INTENSE_SCOPE if symbol == INTENSE else max(0, state - (symbol != QUOTE))
+
+
+def insult_emit(state: int, symbol: int) -> float:
+    return (INTENSIFIED if state else 1.0) if symbol == INSULT else 0.0
+
+
+def threat_step(state: int, symbol: int) -> int:
+    """Above 0: words left in which an intended act may follow; below 0: words left in
+    which a verb of harm may find its object."""
+    if symbol == QUOTE:
+        return state
+    if symbol == INTENT:
+        return INTENT_SCOPE
+    if symbol == THREAT:
+        return 0 if state > 0 else -OBJECT_SCOPE
+    if symbol == TARGET and state < 0:
+        return 0
+    return state - 1 if state > 0 else min(0, state + 1)
+
+
+def threat_emit(state: int, symbol: int) -> float:
+    return float((symbol == THREAT and state > 0) or (symbol == TARGET and state < 0))
+
+
+COMPONENTS = (Transducer(negation_step), Transducer(report_step), Transducer(target_step),
+              Transducer(insult_step, insult_emit), Transducer(threat_step, threat_emit))
 
 
-def compose(parts: tuple[Transducer, ...] = COMPONENTS) -> tuple[list[tuple], list[list[int]]]:
-    """The product machine: its states and, for each, the next state by symbol.
-    Only reachable states are built."""
+def compose(parts: tuple[Transducer, ...] = COMPONENTS) -> tuple[
+        list[tuple], list[list[int]], list[list[tuple]]]:
+    """The product machine: its states and, for each, the next state and the output by
+    symbol. Only reachable states are built. An output is a tuple of (first of the
+    pattern's two places in ``PATTERNS``, factor): the mode comes from the states of
+    negation and reported speech, the factor from insult and threat."""
     start = tuple(p.start for p in parts)
-    states, table, at = [start], [], 0
+    states, table, output, at = [start], [], [], 0
     number = {start: 0}
     while at < len(states):
-        row = []
+        row, out = [], []
+        negated, reported = states[at][:2]
+        mode = 2 if reported else 1 if negated else 0
         for symbol in range(END):
             then = tuple(p.step(s, symbol) for p, s in zip(parts, states[at]))
             if then not in number:
                 number[then] = len(states)
                 states.append(then)
             row.append(number[then])
+            factors = [p.emit(s, symbol) for p, s in zip(parts, states[at])][3:]
+            out.append(tuple((kind * 6 + mode * 2, f) for kind, f in enumerate(factors) if f))
         table.append(row)
+        output.append(out)
         at += 1
-    return states, table
+    return states, table, output
 
 
-STATES, TABLE = compose()
+STATES, TABLE, OUTPUT = compose()
 
 
 @dataclass
@@ -146,7 +195,7 @@ def classify(word: str, lexicon: dict[str, float]) -> tuple[int, float]:
     if weight > 0:
         return INSULT, weight
     for symbol, members in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS),
-                            (REPORT, REPORTS)):
+                            (REPORT, REPORTS), (INTENT, INTENTS), (INTENSE, INTENSIFIERS)):
         if word in members:
             return symbol, 1.0
     return NOTHING
@@ -184,8 +233,8 @@ class Reader:
                 if hits:
                     target = STATES[state][2]
                     best: dict[int, float] = defaultdict(float)
-                    for kind, mode, weight in hits:
-                        best[kind * 6 + mode * 2 + target] += weight
+                    for pattern, weight in hits:
+                        best[pattern + target] += weight
                     for pattern, weight in best.items():
                         total[pattern] += weight
                     matched, hits = matched + 1, []
@@ -193,10 +242,8 @@ class Reader:
                 state = TABLE[0][QUOTE] if STATES[state][1] == 2 else 0
                 continue
             kind, weight = (QUOTE, 0.0) if token in QUOTES else symbol(token)
-            if kind in (INSULT, THREAT):
-                negated, reported, _ = STATES[state]
-                mode = 2 if reported else 1 if negated else 0
-                hits.append((int(kind == THREAT), mode, weight))
+            for pattern, factor in OUTPUT[state][kind]:
+                hits.append((pattern, factor * weight))
             state = TABLE[state][kind]
         return np.log1p(total), matched
 
@@ -221,7 +268,7 @@ def plain_words(low: str) -> set[str]:
             symbol = QUOTE
         else:
             symbol = SHIFTS.get(token, OTHER)
-            negated, reported, _ = STATES[state]
+            negated, reported = STATES[state][:2]
             if not negated and not reported:
                 found.add(token)
         state = TABLE[state][symbol]
@@ -246,7 +293,7 @@ def learn_lexicon(train: DataFrame, min_docs: int = 4, purity: float = 0.05,
     them rules out the common words first."""
     def signed(text: str) -> tuple[int, set[str]]:
         low = text.lower()
-        features = {f for w in plain_words(low) if len(w) >= 3 for f in features_of(w)}
+        features = {f for w in plain_words(low) for f in features_of(w)}
         return signature(WORDS.findall(low)), features
 
     def terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

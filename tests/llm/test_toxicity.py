@@ -43,6 +43,69 @@ def test_composition_is_the_product_of_the_parts():
             assert T.STATES[state] == tuple(parts)
 
 
+def test_threats_are_patterns_and_intensifiers_weigh():
+    assert found("burn the old wood") == ({}, 0)
+    assert found("he will burn it") == ({("threat", "plain", True): 1.0}, 1)
+    assert found("we did not hurt you") == ({("threat", "negated", True): 1.0}, 1)
+    assert found("she said we will kill") == ({("threat", "reported", True): 1.0}, 1)
+    assert found("you burn") == ({}, 0)
+    assert found("such an idiot") == ({("insult", "plain", False): 3.0}, 1)
+    assert found("such is life with an idiot") == ({("insult", "plain", False): 2.0}, 1)
+
+
+SAID = {"insult": "idiot", "insult2": "loweibert", "threat": "hurt", "target": "you", "negation": "not",
+        "report": "said", "quote": '"', "intent": "will", "intense": "such", "other": "tree", "end": "."}
+
+
+def brute_evidence(names):
+    """What the grammar's definitions say, by looking around each word; no machine."""
+    total, inside, clause = {}, False, []
+    for name in [*names, "end"]:
+        if name != "end":
+            clause.append(name)
+            continue
+        hits = []
+        for i, name in enumerate(clause):
+            back = [w for w in reversed(clause[:i]) if w != "quote"]
+            quotes = clause[:i].count("quote") + inside
+            since = clause[:i]
+            while "quote" in since:
+                since = since[since.index("quote") + 1:]
+            reported = quotes % 2 == 1 or "report" in since
+            mode = "reported" if reported else "negated" if "negation" in back[:3] else "plain"
+            if name in ("insult", "insult2"):
+                hits.append(("insult", mode, {"insult": 2.0, "insult2": 3.0}[name]
+                             * (1.5 if "intense" in back[:2] else 1)))
+            intended = lambda words: "intent" in words[:4] and "threat" not in words[:words.index("intent")]
+            if name == "threat" and intended(back):
+                hits.append(("threat", mode, 1.0))
+            if name == "target":
+                for k, w in enumerate(back[:3]):
+                    if w == "threat":
+                        if not intended(back[k + 1:]):
+                            hits.append(("threat", mode, 1.0))
+                    if w in ("threat", "target", "intent"):
+                        break
+        for kind, mode, weight in hits:
+            key = (kind, mode, "target" in clause)
+            total[key] = total.get(key, 0) + weight
+        inside, clause = (clause.count("quote") + inside) % 2 == 1, []
+    return total
+
+
+def test_matches_a_reading_without_the_machine():
+    rng = random.Random(9)
+    for _ in range(3000):
+        names = [rng.choice(list(SAID)) for _ in range(rng.randrange(1, 25))]
+        assert found(" ".join(SAID[n] for n in names))[0] == brute_evidence(names), names
+
+
+def test_short_words_can_be_learnt(spark):
+    rng = random.Random(8)
+    rows = [(f"{prose(rng, 20)} zq", 1) for _ in range(60)] + [(prose(rng, 21), 0) for _ in range(200)]
+    assert "zq" in T.learn_lexicon(spark.createDataFrame(rows, "text string, label int").repartition(4))
+
+
 def corpus():
     rng = random.Random(5)
     rows, labels = [], []
