@@ -9,7 +9,9 @@ The range key is (first 32 characters, hash of the whole text, salt): short, so
 that the sampled splitters stay small however long the texts are, and equal for
 equal texts, so that a run never crosses a range. A text that holds more than
 1/512 of all rows -- at most 512 texts can -- is cut into 64 salted runs by id
-hash; the runs of such a text, one row each, are then merged by its SHA-256.
+hash; the runs of such a text, one row each, are then merged by its SHA-256. Where one
+id has that many rows of such a text (a null id, a repeated row), the rows are numbered
+in a written table first and salted by their number.
 
 Defined cases: a null text counts as empty; rows equal in id and text are one
 group like any other and exactly one of them is kept; a null id loses against
@@ -52,6 +54,11 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     hot = [r._fp for r in rows.groupBy("_fp").agg(F.count(F.lit(1)).alias("n"))
            .where(F.col("n") > limit).select("_fp").collect()]  # at most HEAVY_TEXTS
     is_hot = F.col("_fp").isin(hot) if hot else F.lit(False)
+    spread = F.col("_id")
+    if hot and rows.where(is_hot).groupBy("_fp", "_id").agg(F.count(F.lit(1)).alias("n")).where(
+            F.col("n") > limit).count():
+        rows = written(rows.withColumn("_no", F.monotonically_increasing_id()), "content-sort-rows")
+        spread = F.col("_no")
 
     best = F.min if keep == "min" else F.max
     order = F.col("_id").asc_nulls_last() if keep == "min" else F.col("_id").desc_nulls_last()
@@ -60,24 +67,33 @@ def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     runs = (rows
             .withColumn("_prefix", F.substring("_t", 1, PREFIX))
             .withColumn("_hot", is_hot)
-            .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("_id", "_fp"),
+            .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread, "_fp"),
                                                               F.lit(HEAVY_SALTS)))
                         .otherwise(F.lit(0)))
             .repartitionByRange("_prefix", "_fp", "_salt")
-            .select("_id", "_hot", F.sha2("_t", 256).alias("_sha"),
+            .select("_id", "_hot", "_salt", F.sha2("_t", 256).alias("_sha"),
                     F.row_number().over(run.orderBy(order)).alias("_rank"),
                     best("_id").over(whole).alias("_run_keep"),
                     F.count(F.lit(1)).over(whole).alias("_run_size"),
                     *(["record"] if carry else [])))
     runs = written(runs, "content-sort-runs")
 
+    # of the runs of a hot text, the one with the best id (then the least salt) keeps it
+    known, first = (F.col("_run_keep").isNotNull(), -F.col("_salt"))
+    if keep == "min":
+        known, first = ~known, F.col("_salt")
     merged = (runs.where(F.col("_hot") & (F.col("_rank") == 1)).groupBy("_sha")
-              .agg(best("_run_keep").alias("_keep"), F.sum("_run_size").alias("_size")))
+              .agg(best(F.struct(known.alias("k"), F.col("_run_keep").alias("id"),
+                                 first.alias("salt"))).alias("_best"),
+                   F.sum("_run_size").alias("_size"))
+              .select("_sha", F.col("_best.id").alias("_keep"), "_size",
+                      F.abs("_best.salt").alias("_keep_salt")))
     keep_id = F.when(F.col("_hot"), F.col("_keep")).otherwise(F.col("_run_keep"))
     return (runs.join(F.broadcast(merged), "_sha", "left")  # one row per hot text
             .select(F.col("_id").alias(id_col), keep_id.alias("keep_id"),
                     F.coalesce("_size", "_run_size").alias("group_size"),
-                    (F.col("_id").eqNullSafe(keep_id) & (F.col("_rank") == 1)).alias("kept"),
+                    (F.col("_id").eqNullSafe(keep_id) & (F.col("_rank") == 1)
+                     & (~F.col("_hot") | (F.col("_salt") == F.col("_keep_salt")))).alias("kept"),
                     F.col("_sha").alias("text_sha256"), *(["record"] if carry else [])))
 
 

@@ -37,6 +37,23 @@ def test_matches_brute_force(spark, monkeypatch, keep, pick, heavy):
     assert sorted(map(tuple, got.collect()), key=str) == brute(ROWS, pick)
 
 
+@pytest.mark.parametrize("keep,pick", [("min", min), ("max", max)])
+def test_a_hot_repeated_row_is_cut_into_runs(spark, monkeypatch, keep, pick):
+    """Rows equal in id and text, and rows without ids, do not meet in one window."""
+    monkeypatch.setattr(exact_dedup, "HEAVY_TEXTS", 8)
+    tables, write = [], exact_dedup.written
+    monkeypatch.setattr(exact_dedup, "written", lambda df, name: tables.append(write(df, name)) or tables[-1])
+    rows = [(i, f"t {i}") for i in range(200)] + [(7, "same")] * 100 + [(None, "void")] * 90 + [(3, "same"), (8, "void")]
+    got = exact_dedup.content_sort_dedup(docs(spark, rows), keep=keep)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows, pick)
+    sizes = tables[-1].where("_hot").groupBy("_sha", "_salt").count().collect()
+    assert len(sizes) > 40 and max(r["count"] for r in sizes) < 20
+    lonely = exact_dedup.content_sort_dedup(docs(spark, [(None, "void")] * 60 + [(1, "a")]), keep=keep)
+    found = lonely.where("text_sha256 = sha2('void', 256)").collect()
+    assert len(found) == 60 and {(r.keep_id, r.group_size) for r in found} == {(None, 60)}
+    assert sum(r.kept for r in found) == 1
+
+
 def test_kept_documents_one_of_each_text_with_all_columns(spark):
     table = docs(spark, ROWS)
     kept = exact_dedup.kept_documents(table, keep="max")
