@@ -17,8 +17,9 @@ is at least the threshold; the result is each document's connected component.
    tested, save those which places, sizes or parity maps rule out: a pair that links
    has, from its first common shingle on, as many shingles left on both sides as the
    link needs; and the maps differ in at most as many bits as the sets differ in
-   shingles (a small map first, then one as wide as the set asks for, both inside the
-   join). No link between different components can be missed.
+   shingles (inside the join a small map, and one of a bit or two a shingle where a
+   set is too large for it; then, for the pairs left, one as wide as the set asks for).
+   No link between different components can be missed.
 5. Testing, vertically: the global order is cut into ``FRAGMENTS``; each pair's
    overlap is counted fragment by fragment and summed. Only classes that some pair
    needs are cut up, and a hot leader's fragments are spread over salts.
@@ -56,6 +57,7 @@ THRESHOLD = 75          # percent
 FRAGMENTS = 8
 MAPS = 8                # 64-bit words of the small parity map, one column each
 WIDE = 16               # least number of 64-bit words of the wide one
+MIDDLE = 64 * MAPS      # larger sets carry a map of a bit or two a shingle into the join
 CELL_BITS = 22          # cells of the count sketch (8 MB of counts)
 CHUNK_BITS = 15         # cells of one piece of it
 TASKS_AT_ONCE = 256     # sketches added up in one group
@@ -143,6 +145,11 @@ def _wide(n: int) -> int:
     return max(WIDE, 1 << max(0, (n - 1) >> 4).bit_length())
 
 
+def _middle(s: np.ndarray) -> np.ndarray:
+    """The map of a set that overfills the small one, of 1 to 2 bits a shingle; else none."""
+    return _parity(s, 1 << ((len(s) - 1) >> 6).bit_length()) if len(s) > MIDDLE else _signed(s[:0])
+
+
 def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The batches in pieces small enough that their shingles take little memory."""
     for b in batches:
@@ -213,12 +220,14 @@ class _Join:
                        "prefix": [_signed(order.value.prefix(s, threshold)) for s in sets]}
                 maps = np.array([_parity(s, MAPS) for s in sets], dtype=np.int64).reshape(-1, MAPS)
                 out["wide"] = [_parity(s, _wide(len(s))) for s in sets]
+                out["middle"] = [_middle(s) for s in sets]
                 yield pd.DataFrame(out | {f"m{k}": maps[:, k] for k in range(MAPS)})
             release_memory()
 
         maps = ", ".join(f"m{k} long" for k in range(MAPS))
         return written(_with_ids(self.texts).mapInPandas(
-            run, f"id long, th long, n long, node long, prefix array<long>, wide array<long>, {maps}"), "jaccard-sets")
+            run, "id long, th long, n long, node long, prefix array<long>, wide array<long>, "
+                 f"middle array<long>, {maps}"), "jaccard-sets")
 
     def shared_prefixes(self, sets: DataFrame) -> DataFrame:
         """(s, node, pos) of the prefix shingles that several classes have, with their
@@ -261,7 +270,7 @@ class _Join:
         return (100 + t) * left >= t * (F.col(f"{a}.n") + F.col(f"{b}.n"))
 
     def wide_fits(self, wa: str, wb: str, na: Column, nb: Column) -> Column:
-        """The wide maps do not rule out a link."""
+        """The wide (or middle) maps do not rule out a link."""
         def halved(w: str, least: Column) -> Column:
             """Sets of like sizes have maps of one size, or of one size and its double,
             whose halves add up to the smaller map."""
@@ -311,8 +320,11 @@ class _Join:
     def linked(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """The pairs (x, y) of classes that link; y is the side that may be hot."""
         pairs = written(self.worth_testing(pairs, classes), "jaccard-worth")
-        salts = max(1, -(-pairs.count() // PAIRS_PER_SALT))
-        pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(salts)))
+        # a leader is sent once for each PAIRS_PER_SALT of its own pairs, most just once
+        hot = pairs.groupBy("y").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_SALT).alias("salts")).where("salts > 1")
+        pairs = written(pairs.join(checked_broadcast(hot), "y", "left").select(
+            "x", "y", "nx", "ny", F.pmod(F.xxhash64("x"), F.coalesce("salts", F.lit(1))).alias("salt")),
+            "jaccard-salted")
         wanted = written(
             pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node")))
             .distinct().join(classes.select("node", "first.id", "first.th"), "node"), "jaccard-wanted")
@@ -372,7 +384,7 @@ class _Join:
         mixed = written(sizes.groupBy("s").agg(F.max_by("comp", "c").alias("main"),
                                                F.count(F.lit(1)).alias("k"))
                         .where("k > 1").drop("k"), "jaccard-mixed")
-        facts = classes.drop("first")
+        facts = classes.drop("first", "wide")
         # a list of two is its own pair; longer ones are joined
         two = written(own.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("x"),
                                            F.max("node").alias("y"), F.min("comp").alias("c"),
@@ -383,7 +395,9 @@ class _Join:
         once = (F.col("b.comp") == F.col("b.main")) | (F.col("a.node") < F.col("b.node"))
         pairs = a.join(b.hint("merge"), (F.col("a.s") == F.col("b.s"))
                        & (F.col("a.comp") != F.col("b.comp")) & once & self.in_place("a", "b")
-                       & self.fits("a", "b") & self.wide_fits("a.wide", "b.wide", F.col("a.n"), F.col("b.n")))
+                       & self.fits("a", "b")
+                       & ((F.size("a.middle") == 0) | (F.size("b.middle") == 0)
+                          | self.wide_fits("a.middle", "b.middle", F.col("a.n"), F.col("b.n"))))
         pairs = pairs.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).union(
             two.where("c <> d").select("x", "y")).distinct()
         return written(pairs.join(tested, ["x", "y"], "left_anti"), "jaccard-pairs")
@@ -424,9 +438,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "th")
     touched = lists.select("node").distinct()
     classes = written(
-        sets.where("n > 0").select("id", "th", "node", "n", *maps, "wide")
+        sets.where("n > 0").select("id", "th", "node", "n", *maps, "wide", "middle")
         .join(touched, "node", "left_semi").groupBy("node", "n", *maps)
-        .agg(F.min(rank).alias("first"), F.first("wide").alias("wide")), "jaccard-classes")
+        .agg(F.min(rank).alias("first"), F.first("wide").alias("wide"), F.first("middle").alias("middle")),
+        "jaccard-classes")
 
     stars = join.stars(lists, classes)
     labels = written(_roots(join.linked(stars, classes)), "jaccard-star-comps")
