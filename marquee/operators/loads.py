@@ -6,7 +6,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as X
@@ -113,16 +113,42 @@ def keyed_load(parsed: DataFrame, keys: list[str], order: list[str], cols: list[
 
     ``order`` identifies a row (file and line). Rows without a key are refused; of
     the rest the first of each key is inserted unless the key is stored already,
-    and every other row is a reject: ``duplicate key``. Refused duplicates are
-    found by their own (file, line), so no hot key is ever joined."""
+    and every other row is a reject: ``duplicate key``."""
     parsed = parsed.withColumn("reason", F.coalesce(
         "reason", F.when(~has_key(keys), F.lit("null key"))))
-    good = parsed.where(F.col("reason").isNull())
-    rows = insert_ignore(good, target, keys, order)
-    late = good.join(rows.select(*order), order, "left_anti").withColumn(
-        "reason", F.lit("duplicate key"))
-    rejected = parsed.where(F.col("reason").isNotNull()).unionByName(late)
-    return LoadResult(rows.select(*cols), rejected, insert_audit(parsed, rows, by))
+    rows = insert_ignore(parsed.where(F.col("reason").isNull()), target, keys, order)
+    return LoadResult(rows.select(*cols), refused(parsed, target, keys, order),
+                      insert_audit(parsed, rows, by))
+
+
+def refused(parsed: DataFrame, target: DataFrame | None, keys: list[str], order: list[str],
+            salts: int = 64) -> DataFrame:
+    """Every row of ``parsed`` that is not inserted, in one reading: those with a
+    ``reason``, and as ``duplicate key`` those after the first of their key.
+
+    The rows of a key are ranked by salt, then the first of its salts among
+    themselves, so a key with a third of the rows is spread over ``salts`` groups and
+    none of its rows meets more than ``salts`` others. A stored key is a row before
+    all lines."""
+    lines = parsed.withColumn("_line", F.lit(1))
+    if target is not None:
+        stored = target.select(*[F.col(k).try_cast(parsed.schema[k].dataType).alias(k) for k in keys])
+        lines = lines.unionByName(stored.where(has_key(keys)).withColumn("_line", F.lit(0)),
+                                  allowMissingColumns=True)
+    place = F.xxhash64(*order)
+    good, sorting = F.col("reason").isNull(), ["_line", *order]
+    lines = lines.withColumn("_good", good).withColumn(
+        "_salt", F.when(good, F.pmod(place, F.lit(salts))).otherwise(place))
+    ranked = lines.withColumn("_r", F.rank().over(
+        Window.partitionBy("_good", *keys, "_salt").orderBy(*sorting)))
+    ranked = ranked.withColumn("_group", F.when(F.col("_good") & (F.col("_r") == 1), F.lit(-1))
+                               .otherwise(F.col("_salt")))
+    ranked = ranked.withColumn("_first", F.rank().over(
+        Window.partitionBy("_good", *keys, "_group").orderBy(*sorting)) == 1)
+    first = (F.col("_group") == -1) & F.col("_first") & has_key(order)
+    return (ranked.withColumn("reason", F.coalesce("reason", F.when(~first, F.lit("duplicate key"))))
+            .where((F.col("_line") == 1) & F.col("reason").isNotNull())
+            .select(*[F.col(f"`{c}`") for c in parsed.columns]))
 
 
 def status_log(df: DataFrame, key: str, flags: dict[str, Column],
@@ -151,31 +177,31 @@ def accept_metrics(raw: DataFrame) -> DataFrame:
     def q(c):
         return F.col(f"`{c}`")
 
-    out = [F.when(q("steam_id") != "-", q("steam_id").try_cast("int")).alias("steam_id"),
-           q("Month").alias("Month")]
-    bad = [F.when((q("steam_id") != "-") & q("steam_id").try_cast("int").isNull(),
-                  F.lit("bad steam_id"))]
-    for c in REQUIRED_METRICS:
-        v = F.when(q(c) != "-", X.int_trunc(q(c)))
+    # Each text is parsed once, in a projection of its own, and the values and reasons
+    # read what it found: with the parses written out wherever they are read, a row's
+    # generated code is too long for the JVM to compile and runs interpreted.
+    held = {c: q(c) != "-" for c in REQUIRED_METRICS}
+    held |= {c: ~q(c).isin("-", "") for c in (*OPTIONAL_INT_METRICS, *OPTIONAL_PCT_METRICS)}
+    found = {c: F.col(f"_v{i}") for i, c in enumerate(held)}
+    parses = [F.when(held[c], F.replace(q(c), F.lit(","), F.lit("")).try_cast("double")
+                     if c in OPTIONAL_PCT_METRICS else X.int_trunc(q(c))).alias(f"_v{i}")
+              for i, c in enumerate(held)]
+    parsed = raw.select("*", F.when(q("steam_id") != "-", q("steam_id").try_cast("int")).alias("_steam"),
+                        F.try_to_date(q("Month"), "d/M/yyyy").alias("_date"), *parses)
+    out = [F.col("_steam").alias("steam_id"), q("Month").alias("Month")]
+    bad = [F.when((q("steam_id") != "-") & F.col("_steam").isNull(), F.lit("bad steam_id"))]
+    for c, there in held.items():
+        v = X.finite(found[c]) if c in OPTIONAL_PCT_METRICS else found[c]
+        lost = there & v.isNull()
         # a CSV reader may hand a blank cell over as NULL: both reject the row
-        bad.append(F.when(q(c).isNull() | ((q(c) != "-") & v.isNull()), F.lit(f"bad {c}")))
-        out.append(v.alias(c))
-    for c in OPTIONAL_INT_METRICS:
-        v = F.when(~q(c).isin("-", ""), X.int_trunc(q(c)))
-        bad.append(F.when(~q(c).isin("-", "") & v.isNull(), F.lit(f"bad {c}")))
-        out.append(v.alias(c))
-    for c in OPTIONAL_PCT_METRICS:
-        number = F.replace(q(c), F.lit(","), F.lit("")).try_cast("double")
-        v = F.when(~q(c).isin("-", ""), X.finite(number))
-        bad.append(F.when(~q(c).isin("-", "") & v.isNull(), F.lit(f"bad {c}")))
+        bad.append(F.when(q(c).isNull() | lost if c in REQUIRED_METRICS else lost, F.lit(f"bad {c}")))
         out.append(v.alias(c))
     out.append(F.when(q("HoursWatched") == "-", F.lit(None).cast("string"))
                .otherwise(q("HoursWatched")).alias("HoursWatched"))
-    date = F.try_to_date(q("Month"), "d/M/yyyy")
-    month_bad = F.when(date.isNull(), F.lit("bad Month"))
+    month_bad = F.when(F.col("_date").isNull(), F.lit("bad Month"))
     reason = F.coalesce(*bad, month_bad)
     extra = [c for c in raw.columns if c not in
              ("steam_id", "Month", *REQUIRED_METRICS, *OPTIONAL_INT_METRICS,
               *OPTIONAL_PCT_METRICS, "HoursWatched")]
-    return raw.select(*out, *extra, date.alias("date"), reason.alias("reason")).withColumn(
-        "accepted", F.col("reason").isNull())
+    return parsed.select(*out, *[q(c) for c in extra], F.col("_date").alias("date"),
+                         reason.alias("reason")).withColumn("accepted", F.col("reason").isNull())

@@ -74,8 +74,9 @@ g AS (
 def _metrics(spark, sf):
     li = read_table(spark, sf, "lineitem")
     root = scratch_path(spark, "dirty-metrics")
-    text = li.select(
-        "l_orderkey", "l_linenumber",
+    # the order moves the four numbers of a row, the texts are made of the ordered rows
+    ordered = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate").orderBy("l_orderkey", "l_linenumber")
+    text = ordered.select(
         _every("l_orderkey", (41, "-"), (43, "x1"), otherwise=F.col("l_partkey").cast("string")).alias("steam_id"),
         _every("l_orderkey", (47, "June 2024"), otherwise=F.date_format("l_shipdate", "d/M/yyyy")).alias("Month"),
         _every("l_orderkey", (53, "3000000000"), (59, "nan"), (61, ""), otherwise=F.lit("1,234.9")).alias("AvgViewers"),
@@ -85,8 +86,7 @@ def _metrics(spark, sf):
         F.lit("0.5").alias("AvgStreamsùGain"), F.lit("7").alias("PeakStreams"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("HoursWatched"))
     # nested folders, found recursively by extension (S6); other files are ignored
-    ordered = text.orderBy("l_orderkey", "l_linenumber").drop("l_orderkey", "l_linenumber")
-    sinks.export_csv(ordered, f"{root}/a/output_1/deep")
+    sinks.export_csv(text, f"{root}/a/output_1/deep")
     spark.range(3).select(F.lit("not,a,metrics,file").alias("value")).write.text(f"{root}/a/notes")
     raw = files.read_metrics_csv(spark, f"{root}/a", METRICS_TEXT_SCHEMA, with_order=True,
                                  recursiveFileLookup=True, pathGlobFilter="*.csv")
