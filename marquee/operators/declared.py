@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..session import checked_broadcast, materialize
 from .loads import LoadResult, keyed_load
 from .lookup import look_up
+from .quality import orphans
 
 
 @dataclass(frozen=True)
@@ -164,12 +165,16 @@ def read_declared(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     return spark.read.schema(spec.schema).parquet(path)
 
 
+def _parent_keys(df: DataFrame, keys: tuple[str, ...], parent: DataFrame, parent_keys: tuple[str, ...]) -> DataFrame:
+    parents = parent.select(*[_q(p).cast(df.schema[k].dataType).alias(k) for k, p in zip(keys, parent_keys)])
+    return parents.dropna().distinct()
+
+
 def _known(df: DataFrame, keys: tuple[str, ...], parent: DataFrame, parent_keys: tuple[str, ...],
            flag: str) -> DataFrame:
     """``df`` with ``flag`` true where a parent row exists. Parents are broadcast behind a
     size check, else looked up by salted keys."""
-    parents = parent.select(*[_q(p).cast(df.schema[k].dataType).alias(k) for k, p in zip(keys, parent_keys)])
-    parents = parents.dropna().distinct().withColumn(flag, F.lit(True))
+    parents = _parent_keys(df, keys, parent, parent_keys).withColumn(flag, F.lit(True))
     small = checked_broadcast(parents, otherwise=None)
     return (df.join(small, list(keys), "left") if small is not None
             else look_up(df, parents, list(keys), F.monotonically_increasing_id()))
@@ -197,7 +202,8 @@ def constraint_report(tables: dict[str, DataFrame], specs: dict[str, TableSpec]
     """Q4: one row per declared constraint of the tables given: ``table_name``, ``kind``
     (not_null, primary_key, unique, foreign_key), ``columns``, ``n_failing`` (rows).
 
-    A table's not-null and foreign-key constraints are conditional counts of one pass; a
+    A table's not-null and foreign-key constraints are conditional counts of one pass,
+    but of parents too many for a broadcast, whose children are counted by key first; a
     key is one grouped count (each row after the first of its key fails; keys with a
     NULL are left to not-null)."""
     parts = []
@@ -206,7 +212,14 @@ def constraint_report(tables: dict[str, DataFrame], specs: dict[str, TableSpec]
         tests = [("not_null", (c,), _q(c).isNull()) for c in spec.required]
         flagged = df
         for i, (keys, table, parent_keys) in enumerate(spec.foreign_keys):
-            flagged = _known(flagged, keys, tables[table], parent_keys, f"_parent{i}")
+            parents = _parent_keys(df, keys, tables[table], parent_keys)
+            small = checked_broadcast(parents, otherwise=None)
+            if small is None:
+                parts.append(orphans(df, list(keys), parents).select(
+                    F.lit(name).alias("table_name"), F.lit("foreign_key").alias("kind"),
+                    F.lit(",".join(keys)).alias("columns"), "n_failing"))
+                continue
+            flagged = flagged.join(small.withColumn(f"_parent{i}", F.lit(True)), list(keys), "left")
             tests.append(("foreign_key", keys, ~_some_null(keys) & F.col(f"_parent{i}").isNull()))
         if tests:
             one = flagged.agg(*[F.count_if(t).alias(f"n{i}") for i, (_, _, t) in enumerate(tests)])

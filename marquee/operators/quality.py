@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checked_broadcast
-from .lookup import look_up
+from .loads import has_key
 
 
 def check_not_null(df: DataFrame, col: str) -> DataFrame:
@@ -112,14 +112,29 @@ def warehouse_checks(w) -> list[Check]:
     return out
 
 
+def orphans(df: DataFrame, cols: list[str], parent: DataFrame) -> DataFrame:
+    """How many rows without a NULL in ``cols`` have no parent row, as ``n_failing``: a
+    value is one row per task however often it comes, and only the counts are joined."""
+    values = df.where(has_key(cols)).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    return values.join(parent.select(*cols), cols, "left_anti").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_failing"))
+
+
+def _named(check: tuple, counted: DataFrame) -> DataFrame:
+    model, _, kind, col, _ = check
+    return counted.select(F.lit(model).alias("model"), F.lit(kind).alias("kind"),
+                          F.lit(col).alias("column_name"), "n_failing")
+
+
 def failure_counts(w, declared=DECLARED_CHECKS) -> DataFrame:
     """One row per declared check with its failing-row count.
 
     One pass per table: its not-null and relationship checks are conditional counts
-    of a single aggregation (parent keys joined as broadcasts behind a size check,
-    else looked up by salted keys); each uniqueness check is one grouped count."""
+    of a single aggregation, parent keys joined as broadcasts behind a size check. Of
+    a larger parent the child's values are counted first and only the counts meet it.
+    Each uniqueness check is one grouped count."""
     t = w.tables() if hasattr(w, "tables") else w
-    parts = []
+    parts, parents = [], {}
     for table in dict.fromkeys(c[1] for c in declared):
         own = [c for c in declared if c[1] == table]
         df, counts = t[table].select(*dict.fromkeys(c[3] for c in own)), []
@@ -127,11 +142,14 @@ def failure_counts(w, declared=DECLARED_CHECKS) -> DataFrame:
             if kind == "not_null":
                 counts.append((i, F.col(col).isNull()))
             elif kind == "relationships":
-                known = t[parent].select(col).where(F.col(col).isNotNull()).distinct() \
-                    .withColumn(f"_p{i}", F.lit(True))
-                small = checked_broadcast(known, otherwise=None)
-                df = (df.join(small, col, "left") if small is not None
-                      else look_up(df, known, [col], F.monotonically_increasing_id()))
+                if (parent, col) not in parents:
+                    parents[parent, col] = checked_broadcast(
+                        t[parent].select(col).where(F.col(col).isNotNull()).distinct(), otherwise=None)
+                small = parents[parent, col]
+                if small is None:
+                    parts.append(_named(own[i], orphans(t[table], [col], t[parent])))
+                    continue
+                df = df.join(small.withColumn(f"_p{i}", F.lit(True)), col, "left")
                 counts.append((i, F.col(col).isNotNull() & F.col(f"_p{i}").isNull()))
         if counts:
             one = df.agg(*[F.count_if(test).alias(f"n{i}") for i, test in counts])
@@ -139,10 +157,8 @@ def failure_counts(w, declared=DECLARED_CHECKS) -> DataFrame:
                 F.lit(own[i][0]).alias("model"), F.lit(own[i][2]).alias("kind"),
                 F.lit(own[i][3]).alias("column_name"), F.col(f"n{i}").alias("n_failing"))
                 for i, _ in counts]))))
-        parts += [check_unique(t[table], col).agg(F.count(F.lit(1)).alias("n_failing")).select(
-            F.lit(model).alias("model"), F.lit(kind).alias("kind"),
-            F.lit(col).alias("column_name"), "n_failing")
-            for model, _, kind, col, _ in own if kind == "unique"]
+        parts += [_named(c, check_unique(t[table], c[3]).agg(F.count(F.lit(1)).alias("n_failing")))
+                  for c in own if c[2] == "unique"]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

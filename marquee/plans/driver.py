@@ -308,10 +308,11 @@ def q_qa_warehouse(spark, sf):
     """Q1-Q4: the 31 declared checks over a warehouse built from the driver
     tables, one row per check with its failing-row count."""
     from ..operators import quality
-    from ..session import materialize
-    # every model is materialised once and read by all checks that use it
+    from ..session import scratch_path
+    from ..sources.sinks import table_writer
+    # every model is written once, as Parquet, and read by all checks that use it
     w = marts.build_warehouse(stg_catalogue(spark, sf), stg_metrics(spark, sf),
-                              write=lambda name, df: materialize(df))
+                              write=table_writer(spark, scratch_path(spark, "qa-warehouse")))
     return quality.failure_counts(w)
 
 

@@ -5,10 +5,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.operators import loads
-from marquee.plans import legacy
+from marquee.operators import declared, loads, quality
+from marquee.plans import driver, legacy
 from marquee.schemas import METRICS_TEXT_SCHEMA
 from marquee.sources import files, sinks
+from tests.conftest import SF_SMALL
 
 
 @pytest.fixture()
@@ -78,3 +79,43 @@ def test_rows_of_one_place_are_inserted_or_refused_as_before(spark):
     got = loads.keyed_load(df, ["k"], ["file_path", "line_no"], ["k", "file_path", "line_no"])
     assert sorted(r.line_no for r in got.rows.collect()) == [1, 1]
     assert sorted((r.k, r.line_no) for r in got.rejected.collect()) == [(1, 2), (2, 1), (2, 9)]
+
+
+def test_a_large_parent_meets_counts_only(spark, monkeypatch, capsys):
+    child = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 77).when(F.col("id") % 100 == 1, None)
+                                     .otherwise(F.col("id") % 60).alias("game_key"))
+    t = {"fct": child, "dim_games": spark.range(50).union(spark.range(9)).withColumnRenamed("id", "game_key")}
+    some = [c for c in quality.DECLARED_CHECKS if c[1] == "fct" and c[3] == "game_key"]
+    small = sorted(tuple(r) for r in quality.failure_counts(t, some).collect())
+    assert [r[3] for r in small] == [child.where("game_key is null").count(),
+                                     child.where("game_key >= 50").count()]
+    monkeypatch.setattr(quality, "checked_broadcast", lambda df, otherwise: None)
+    counted = quality.failure_counts(t, some)
+    assert sorted(tuple(r) for r in counted.collect()) == small
+    counted.explain("extended")
+    assert "_salt" not in capsys.readouterr().out
+
+
+def test_the_gate_reads_models_from_columns(spark, capsys):
+    """Every model is a Parquet table, none a checkpoint of rows."""
+    driver.q_qa_warehouse(spark, SF_SMALL).explain()
+    plan = capsys.readouterr().out
+    assert "FileScan parquet" in plan and "ExistingRDD" not in plan
+
+
+def test_foreign_keys_of_a_large_parent_are_counted_by_key(spark, monkeypatch, capsys):
+    specs = {n: declared.LEGACY_TABLES[n] for n in ("steamgames", "games_genres", "genres")}
+    t = {"steamgames": spark.createDataFrame([(i, "a", None) for i in range(20)], "appid int, name string, developer_id int"),
+         "genres": spark.createDataFrame([(1, "x")], "id int, description string"),
+         "games_genres": spark.range(300).select(F.when(F.col("id") % 9 == 0, None).otherwise(F.col("id") % 30)
+                                                 .cast("int").alias("game_appid"), F.lit(1).alias("genre_id"))}
+    t["developers"] = spark.createDataFrame([], "id int, name string")
+    specs["developers"] = declared.LEGACY_TABLES["developers"]
+    small = sorted(tuple(r) for r in declared.constraint_report(t, specs).collect())
+    lost = t["games_genres"].where("game_appid >= 20").count()
+    assert lost and ("games_genres", "foreign_key", "game_appid", lost) in small
+    monkeypatch.setattr(declared, "checked_broadcast", lambda df, otherwise: None)
+    report = declared.constraint_report(t, specs)
+    assert sorted(tuple(r) for r in report.collect()) == small
+    report.explain("extended")
+    assert "_salt" not in capsys.readouterr().out
